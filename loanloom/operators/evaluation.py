@@ -20,6 +20,7 @@ from loanloom.operators.sampling import hash_sample
 from loanloom.operators.training import SCORE, PositiveScore
 
 CALIBRATED = "probability_of_default"
+MEMBERSHIPS = "_memberships"
 
 
 def fit_calibration(
@@ -68,25 +69,37 @@ def default_subgroups(df: DataFrame) -> list[Subgroup]:
     return groups
 
 
-def subgroup_metrics(
-    df: DataFrame, score: str, label: str, subgroups: list[Subgroup]
+def add_memberships(
+    df: DataFrame, subgroups: list[Subgroup], output: str = MEMBERSHIPS
 ) -> DataFrame:
-    """Ranking metrics per subgroup in one job; empty subgroups are absent."""
-    memberships = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    s.member,
-                    F.struct(F.lit(s.group).alias("group"), F.lit(s.category).alias("category")),
-                )
-                for s in subgroups
-            ]
+    """The (group, category) pairs of every row as one array column."""
+    pairs = [
+        F.when(
+            s.member,
+            F.struct(F.lit(s.group).alias("group"), F.lit(s.category).alias("category")),
         )
-    )
+        for s in subgroups
+    ]
+    empty = "array<struct<group: string, category: string>>"
+    return df.withColumn(output, F.array_compact(F.array(*pairs)).cast(empty))
+
+
+def membership_metrics(
+    df: DataFrame, score: str, label: str, memberships: str = MEMBERSHIPS
+) -> DataFrame:
+    """Ranking metrics per (group, category), in one job."""
     rows = df.select(F.col(score).alias(SCORE), F.col(label).alias("_y"), F.inline(memberships))
     return ranking_metrics(rows, SCORE, "_y", ["group", "category"])
 
 
+def subgroup_metrics(
+    df: DataFrame, score: str, label: str, subgroups: list[Subgroup]
+) -> DataFrame:
+    """Size, positive rate, ROC-AUC and average precision per subgroup; empty
+    subgroups are absent."""
+    return membership_metrics(add_memberships(df, subgroups), score, label)
+
+
 def _classifier(model: PipelineModel):
     for stage in model.stages:
         if hasattr(stage, "numClasses"):
