@@ -121,19 +121,15 @@ def ordinal_encode(
     """Position among the sorted categories; unseen values give -1."""
     if not categories:
         return df
-    names = list(categories)
-    outputs = outputs or {c: c for c in names}
-    raw = [f"_code{i}" for i in range(len(names))]
-    model = StringIndexerModel.from_arrays_of_labels(
-        [categories[c] for c in names], names, raw, handleInvalid="keep"
-    )
-    coded = model.transform(df)
-    for name, code in zip(names, raw, strict=True):
-        unseen = F.col(code) == float(len(categories[name]))
-        coded = coded.withColumn(
-            outputs[name], F.when(unseen, F.lit(-1.0)).otherwise(F.col(code))
-        )
-    return coded.drop(*raw)
+    outputs = outputs or {c: c for c in categories}
+    for name, labels in categories.items():
+        # one model per column: a model of several columns gives an unseen value
+        # the label count of another column
+        coded = StringIndexerModel.from_labels(labels, name, "_code", handleInvalid="keep")
+        code = F.col("_code")
+        known = F.when(code < len(labels), code).otherwise(F.lit(-1.0))
+        df = coded.transform(df).withColumn(outputs[name], known).drop("_code")
+    return df
 
 
 # --------------------------------------------------------------------------

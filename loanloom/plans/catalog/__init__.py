@@ -1,6 +1,8 @@
 """Registered queries with their oracle SQL."""
 
 from loanloom.plans.catalog import (  # noqa: F401  (registration)
+    exploring,
+    feature_queries,
     wide,
 )
 from loanloom.plans.catalog.base import REGISTRY
