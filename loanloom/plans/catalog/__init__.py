@@ -3,6 +3,8 @@
 from loanloom.plans.catalog import (  # noqa: F401  (registration)
     exploring,
     feature_queries,
+    quality_queries,
+    ranking_queries,
     wide,
 )
 from loanloom.plans.catalog.base import REGISTRY
