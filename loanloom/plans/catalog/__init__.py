@@ -3,6 +3,7 @@
 from loanloom.plans.catalog import (  # noqa: F401  (registration)
     exploring,
     feature_queries,
+    model_queries,
     quality_queries,
     ranking_queries,
     wide,

@@ -139,20 +139,25 @@ def cast_failures(text: DataFrame, schema: T.StructType) -> DataFrame:
     return text.agg(F.array(*counts).alias("c")).select(F.inline("c"))
 
 
-def table_summary(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
-    """File bytes and row count per table."""
-
-    def one(name: str) -> DataFrame:
-        files = scan_text(spark, f"{folder}/{name}").select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_size").alias("bytes"),
-        )
-        per_file = files.groupBy("path").agg(
-            F.max("bytes").alias("bytes"), F.count(F.lit(1)).alias("rows")
+def file_summary(scans: dict[str, DataFrame]) -> DataFrame:
+    """File bytes and row count per scan of files, whatever their format."""
+
+    def one(name: str, scan: DataFrame) -> DataFrame:
+        per_file = (
+            scan.select(
+                F.col("_metadata.file_path").alias("path"),
+                F.col("_metadata.file_size").alias("bytes"),
+            )
+            .groupBy("path")
+            .agg(F.max("bytes").alias("bytes"), F.count(F.lit(1)).alias("rows"))
         )
         return per_file.agg(
             F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
             F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         ).select(F.lit(name).alias("table"), "bytes", "rows")
 
-    return reduce(DataFrame.unionByName, [one(name) for name in names])
+    return reduce(DataFrame.unionByName, [one(n, scan) for n, scan in scans.items()])
+
+
+def table_summary(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
+    return file_summary({name: scan_text(spark, f"{folder}/{name}") for name in names})
