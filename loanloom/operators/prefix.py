@@ -23,11 +23,9 @@ def range_edges(
 ) -> list[float]:
     """Approximate quantiles of ``key`` that cut it into even ranges. They are
     read to the driver once, so every use in a plan sees the same edges."""
-    fractions = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    found = df.agg(
-        F.count(key).alias("rows"),
-        F.percentile_approx(key, fractions, 2 * MAX_RANGES).alias("edges"),
-    ).first()
+    fractions = ", ".join(f"{i / MAX_RANGES!r}" for i in range(1, MAX_RANGES))
+    sketch = f"percentile_approx({key}, array({fractions}), {2 * MAX_RANGES})"
+    found = df.agg(F.count(key).alias("rows"), F.expr(sketch).alias("edges")).first()
     if not found["rows"]:
         return []
     ranges = min(MAX_RANGES, max(min_ranges, math.ceil(found["rows"] / rows_per_range)))

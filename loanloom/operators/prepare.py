@@ -14,6 +14,7 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,21 +49,26 @@ def impute_medians(df: DataFrame, medians: dict[str, float]) -> DataFrame:
 
 
 def scaling(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
-    """(mean, population deviation) per column from one aggregate. A constant
-    column, up to rounding, gets deviation 1."""
-    checks = [F.count(F.lit(1)).alias("rows")]
-    for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
-        checks += [F.avg(x).alias(f"mean{i}"), F.var_pop(x).alias(f"var{i}")]
-    seen = df.agg(*checks).first()
+    """(mean, population deviation) of complete columns from one aggregate over
+    vectors. A constant column, up to rounding, gets deviation 1."""
+    if not columns:
+        return {}
+    doubles = df.select([F.col(c).cast("double").alias(c) for c in columns])
+    rows = VectorAssembler(inputCols=columns, outputCol="v", handleInvalid="skip").transform(
+        doubles
+    )
+    seen = rows.agg(
+        Summarizer.metrics("count", "mean", "variance").summary(F.col("v")).alias("s")
+    ).select("s.count", "s.mean", "s.variance").first()
+    n = seen["count"]
+    if not n:
+        return {}
     eps = sys.float_info.epsilon
     result = {}
-    for i, c in enumerate(columns):
-        mean, variance = seen[f"mean{i}"], seen[f"var{i}"]
-        if mean is None:
-            continue
-        noise = seen["rows"] * eps * variance + (seen["rows"] * mean * eps) ** 2
-        result[c] = (mean, 1.0 if variance <= noise else variance**0.5)
+    for c, mean, sample in zip(columns, seen["mean"], seen["variance"], strict=True):
+        variance = float(sample) * (n - 1) / n
+        noise = n * eps * variance + (n * float(mean) * eps) ** 2
+        result[c] = (float(mean), 1.0 if variance <= noise else variance**0.5)
     return result
 
 

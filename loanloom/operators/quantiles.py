@@ -92,18 +92,19 @@ def _bracket(values: DataFrame, names: list[str], probs: list[float]) -> list[_B
 def _count_below(values: DataFrame, names: list[str], brackets: list[_Bracket]) -> None:
     """Rows below each bracket; a bracket that misses its ranks is widened to
     the whole column, so the answer is exact whatever the sketch said."""
-    if not brackets:
-        return
     index = {n: i for i, n in enumerate(names)}
+    narrow = [(k, b) for k, b in enumerate(brackets) if (b.low, b.high) != b.limits]
+    if not narrow:
+        return
     checks = []
-    for k, b in enumerate(brackets):
+    for k, b in narrow:
         column = F.col(f"c{index[b.name]}")
         checks += [
             F.count_if(column < F.lit(b.low)).alias(f"below{k}"),
             F.count_if(column <= F.lit(b.high)).alias(f"upto{k}"),
         ]
     seen = values.agg(*checks).first()
-    for k, b in enumerate(brackets):
+    for k, b in narrow:
         b.below = seen[f"below{k}"]
         if b.below > b.low_rank or seen[f"upto{k}"] <= b.high_rank:
             b.low, b.high = b.limits

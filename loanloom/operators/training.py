@@ -233,16 +233,22 @@ def cross_validate(
     params: dict | None = None,
     drop: list[str] | None = None,
     seed: int = 42,
+    parallelism: int = 5,
 ) -> CrossValidation:
-    """Fit on all folds but one and score the one left out, for every fold."""
+    """Fit on all folds but one and score the one left out, for every fold.
+    ``parallelism`` folds share the cluster at a time. ``df`` is read several
+    times per fold, so it should be a stored table."""
     numbered = stratified_folds(df, id_col, label, folds, seed, "fold")
-    parts = []
-    for fold, train, valid in _fold_numbers(folds, "fold", numbered):
+
+    def score_fold(part: tuple[int, DataFrame, DataFrame]) -> DataFrame:
+        fold, train, valid = part
         model = fit_model(train, family, label, params, [id_col, "fold"], None, drop)
-        scored = model.transform(valid).select(
+        return model.transform(valid).select(
             id_col, F.col(label).cast("int").alias(label), F.lit(fold).alias("fold"), SCORE
         )
-        parts.append(scored)
+
+    with ThreadPool(parallelism) as pool:
+        parts = pool.map(score_fold, _fold_numbers(folds, "fold", numbered))
     scores = cut_lineage(reduce(DataFrame.unionByName, parts))
     return CrossValidation(scores, fold_metrics(scores, label))
 
@@ -286,7 +292,7 @@ def search(
     folds: int = 5,
     drop: list[str] | None = None,
     seed: int = 42,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> list[Trial]:
     """Mean average precision over the folds for every parameter set, best
     first. ``parallelism`` fits run at the same time on a cached fold."""

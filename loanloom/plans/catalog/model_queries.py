@@ -8,6 +8,8 @@ are parameters of the operators.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,7 @@ from loanloom.operators.applicants import aggregate_previous_applications
 from loanloom.plans import modelling
 from loanloom.plans.catalog.base import comparable, query
 from loanloom.plans.catalog.credit_view import loan_table
-from loanloom.session import ensure_checkpoint_dir
+from loanloom.session import cut_lineage, ensure_checkpoint_dir
 from loanloom.sources.stores import load_stages, save_stages
 
 ID, LABEL = "SK_ID_CURR", "TARGET"
@@ -27,7 +29,8 @@ _SMALL_BOOSTED = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.1}
 
 
 def applicants(spark: SparkSession, folder: str) -> DataFrame:
-    """Applicant columns with the aggregates of earlier applications."""
+    """Applicant columns with the aggregates of earlier applications, stored
+    once because every fit reads them several times."""
     main = loan_table(spark, folder, "application_train")
     previous = aggregate_previous_applications(loan_table(spark, folder, "previous_application"))
     amounts = [
@@ -35,7 +38,7 @@ def applicants(spark: SparkSession, folder: str) -> DataFrame:
         else F.col(f.name)
         for f in previous.schema
     ]
-    return left_join_all(main, [previous.select(amounts)], ID)
+    return cut_lineage(left_join_all(main, [previous.select(amounts)], ID))
 
 
 @query("T1 T2 R7 A27")
@@ -135,7 +138,7 @@ def preparation_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Does a saved and loaded preparation give the same features?"""
     rows = applicants(spark, folder)
     model = prepare.fit_pipeline(rows, LABEL, [ID])
-    path = f"{ensure_checkpoint_dir(spark)}/preparation"
+    path = f"{ensure_checkpoint_dir(spark)}/preparation-{uuid.uuid4().hex}"
     save_stages(model, path)
     same = prepare.same_output(model, load_stages(path), rows.limit(100))
     names = prepare.get_feature_names(model)
