@@ -47,18 +47,22 @@ def comparable(
     keep: Iterable[str] = (),
     digits: int = 6,
     coarse: Iterable[str] = (),
+    exact: Iterable[str] = (),
 ) -> DataFrame:
     """Numbers outside ``keep`` as rounded doubles, so that two engines which
     add in different orders show the same value. Columns whose name ends in a
-    ``coarse`` suffix are rounded to 4 digits."""
-    keep, coarse = set(keep), tuple(coarse)
+    ``coarse`` suffix are rounded to 4 digits. Those ending in an ``exact``
+    suffix are one division of exact sums and are not rounded."""
+    keep, coarse, exact = set(keep), tuple(coarse), tuple(exact)
     columns = []
     for f in df.schema:
         column = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.NumericType) and f.name not in keep:
-            places = 4 if coarse and f.name.endswith(coarse) else digits
+            column = column.cast("double")
+            if not f.name.endswith(exact):
+                column = F.round(column, 4 if f.name.endswith(coarse) else digits)
             # adding 0 turns a rounded -0.0 into 0.0
-            column = (F.round(column.cast("double"), places) + F.lit(0.0)).alias(f.name)
+            column = (column + F.lit(0.0)).alias(f.name)
         columns.append(column)
     return df.select(columns)
 

@@ -14,6 +14,8 @@ from loanloom.plans.catalog.credit_view import loan_sql, loan_table, loan_tables
 from loanloom.plans.wide_table import wide_table as build_wide
 
 ID = "SK_ID_CURR"
+# one division of exact sums
+EXACT = ["_MEAN", "_RATE"]
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,6 +49,8 @@ def _sql_function(column: str, fn: str) -> str:
         "std": f"stddev_samp(CAST({column} AS DOUBLE))",
         "size": "count(*)",
     }
+    if fn == "mean":
+        return forms[fn]
     return rounded(forms[fn], 4 if fn == "std" else 6)
 
 
@@ -70,7 +74,7 @@ def agg_child_multi(spark: SparkSession, folder: str) -> DataFrame:
     found = agg.aggregate_children(
         _orders(spark, folder), "o_custkey", _SPEC, "ORD", {"ORD_COUNT": agg.size()}
     )
-    return comparable(found, ["o_custkey"], coarse=["_STD"])
+    return comparable(found, ["o_custkey"], coarse=["_STD"], exact=EXACT)
 
 
 @query(
@@ -212,25 +216,25 @@ _CHILD_SQL = {
       CAST(sum(CASE WHEN CREDIT_ACTIVE = 'Closed' THEN 1 END) AS DOUBLE) AS BUREAU_CLOSED_LOAN_COUNT
       FROM bureau GROUP BY SK_ID_CURR""",
     "m": f"""SELECT SK_ID_CURR, {_sql_spec(applicants.BUREAU_BALANCE, "BB")},
-      {rounded("sum(CASE WHEN STATUS = '0' THEN 1 END) / CAST(count(*) AS DOUBLE)")} AS BB_STATUS_0_RATE,
-      {rounded("sum(CASE WHEN STATUS = 'C' THEN 1 END) / CAST(count(*) AS DOUBLE)")} AS BB_STATUS_C_RATE,
-      {rounded("sum(CASE WHEN STATUS IN ('0', 'C', 'X') THEN NULL ELSE 1 END) / CAST(count(*) AS DOUBLE)")} AS BB_DPD_RATE
+      sum(CASE WHEN STATUS = '0' THEN 1 END) / CAST(count(*) AS DOUBLE) AS BB_STATUS_0_RATE,
+      sum(CASE WHEN STATUS = 'C' THEN 1 END) / CAST(count(*) AS DOUBLE) AS BB_STATUS_C_RATE,
+      sum(CASE WHEN STATUS IN ('0', 'C', 'X') THEN NULL ELSE 1 END) / CAST(count(*) AS DOUBLE) AS BB_DPD_RATE
       FROM bureau_balance JOIN bureau USING (SK_ID_BUREAU) GROUP BY SK_ID_CURR""",
     "p": f"""SELECT SK_ID_CURR, {_sql_spec(applicants.PREVIOUS, "PREV")},
       CAST(count(*) AS DOUBLE) AS PREV_LOAN_COUNT,
       CAST(sum(CASE WHEN NAME_CONTRACT_STATUS = 'Approved' THEN 1 END) AS DOUBLE) AS PREV_APPROVED_COUNT,
       CAST(sum(CASE WHEN NAME_CONTRACT_STATUS = 'Refused' THEN 1 END) AS DOUBLE) AS PREV_REFUSED_COUNT,
-      {rounded("sum(CASE WHEN NAME_CONTRACT_STATUS = 'Approved' THEN 1 END) / CAST(count(*) AS DOUBLE)")} AS PREV_APPROVAL_RATE
+      sum(CASE WHEN NAME_CONTRACT_STATUS = 'Approved' THEN 1 END) / CAST(count(*) AS DOUBLE) AS PREV_APPROVAL_RATE
       FROM previous_application GROUP BY SK_ID_CURR""",
     "c": f"""SELECT SK_ID_CURR, {_sql_spec(applicants.POS_CASH, "POS")},
       CAST(count(DISTINCT SK_ID_PREV) AS DOUBLE) AS POS_LOAN_COUNT,
-      {rounded("sum(CASE WHEN NAME_CONTRACT_STATUS = 'Completed' THEN 1 END) / CAST(count(*) AS DOUBLE)")} AS POS_COMPLETED_RATE
+      sum(CASE WHEN NAME_CONTRACT_STATUS = 'Completed' THEN 1 END) / CAST(count(*) AS DOUBLE) AS POS_COMPLETED_RATE
       FROM POS_CASH_balance GROUP BY SK_ID_CURR""",
     "i": f"""SELECT SK_ID_CURR, {_sql_spec(applicants.INSTALLMENTS, "INST")},
       CAST(count(*) AS DOUBLE) AS INST_COUNT,
       {rounded("avg(CASE WHEN AMT_INSTALMENT > 0 THEN CAST(AMT_PAYMENT AS DOUBLE) / CAST(AMT_INSTALMENT AS DOUBLE) END)")} AS INST_PAYMENT_RATIO,
       {rounded("avg(CASE WHEN DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT > 0 THEN DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT END)")} AS INST_DAYS_PAST_DUE,
-      {rounded("sum(CASE WHEN DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT > 0 THEN 1 END) / CAST(count(*) AS DOUBLE)")} AS INST_LATE_PAYMENT_RATE
+      sum(CASE WHEN DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT > 0 THEN 1 END) / CAST(count(*) AS DOUBLE) AS INST_LATE_PAYMENT_RATE
       FROM installments_payments GROUP BY SK_ID_CURR""",
 }
 
@@ -245,25 +249,25 @@ def aggregate_bureau(spark: SparkSession, folder: str) -> DataFrame:
     found = applicants.aggregate_bureau(
         loan_table(spark, folder, "bureau"), loan_table(spark, folder, "bureau_balance")
     )
-    return comparable(found, [ID], coarse=["_STD"])
+    return comparable(found, [ID], coarse=["_STD"], exact=EXACT)
 
 
 @query("A11", f"WITH {loan_sql('previous_application')} {_CHILD_SQL['p']}")
 def aggregate_previous_applications(spark: SparkSession, folder: str) -> DataFrame:
     rows = loan_table(spark, folder, "previous_application")
-    return comparable(applicants.aggregate_previous_applications(rows), [ID])
+    return comparable(applicants.aggregate_previous_applications(rows), [ID], exact=EXACT)
 
 
 @query("A12", f"WITH {loan_sql('POS_CASH_balance')} {_CHILD_SQL['c']}")
 def aggregate_pos_cash(spark: SparkSession, folder: str) -> DataFrame:
     rows = loan_table(spark, folder, "POS_CASH_balance")
-    return comparable(applicants.aggregate_pos_cash(rows), [ID])
+    return comparable(applicants.aggregate_pos_cash(rows), [ID], exact=EXACT)
 
 
 @query("A13", f"WITH {loan_sql('installments_payments')} {_CHILD_SQL['i']}")
 def aggregate_installments(spark: SparkSession, folder: str) -> DataFrame:
     rows = loan_table(spark, folder, "installments_payments")
-    return comparable(applicants.aggregate_installments(rows), [ID])
+    return comparable(applicants.aggregate_installments(rows), [ID], exact=EXACT)
 
 
 WIDE_SQL = f"""WITH {loan_sql("application_train", "bureau", "bureau_balance",
@@ -295,7 +299,7 @@ def wide(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("A14 J3 J4", WIDE_SQL + "SELECT * FROM wide")
 def wide_table(spark: SparkSession, folder: str) -> DataFrame:
-    return comparable(wide(spark, folder), [ID, "TARGET", "DAYS_BIRTH"], coarse=["_STD"])
+    return comparable(wide(spark, folder), [ID, "TARGET", "DAYS_BIRTH"], coarse=["_STD"], exact=EXACT)
 
 
 @query(
