@@ -27,26 +27,16 @@ def _bins(df: DataFrame, edges: dict[str, list[float]], texts: list[str]) -> Dat
             outputCol=f"_bin{i}",
             handleInvalid="keep",
         ).transform(df)
+    bins = [(n, F.col(f"_bin{i}").cast("int")) for i, n in enumerate(bounded)]
+    bins += [(n, F.col(f"`{n}`")) for n in texts]
     entries = [
-        F.when(
-            F.col(f"`{name}`").isNotNull(),
-            F.struct(
-                F.lit(name).alias("feature"),
-                F.col(f"_bin{i}").cast("int").cast("string").alias("bin"),
-            ),
+        F.struct(
+            F.lit(name).alias("feature"),
+            F.when(F.col(f"`{name}`").isNotNull(), bin_.cast("string")).alias("bin"),
         )
-        for i, name in enumerate(bounded)
+        for name, bin_ in bins
     ]
-    entries += [
-        F.when(
-            F.col(f"`{name}`").isNotNull(),
-            F.struct(
-                F.lit(name).alias("feature"), F.col(f"`{name}`").cast("string").alias("bin")
-            ),
-        )
-        for name in texts
-    ]
-    return df.select(F.inline(F.array_compact(F.array(*entries))))
+    return df.select(F.inline(F.array(*entries))).where("bin is not null")
 
 
 def psi_table(

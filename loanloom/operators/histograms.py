@@ -9,20 +9,23 @@ from loanloom.functions.scalars import clip
 from loanloom.operators.quantiles import exact_quantiles
 
 
-def bin_number(value: Column, low: float, high: float, bins: int) -> Column:
-    """Bin 0 … bins-1 of [low, high]; bins are closed on the left, the last one
-    on both sides. Values on an edge as computed go by that edge."""
-    if low == high:
-        low, high = low - 0.5, high + 0.5
-    step = (high - low) / bins
-    raw = F.least(
-        F.floor((value - low) / (high - low) * bins), F.lit(bins - 1)
-    ).cast("int")
-    left = F.lit(low) + raw * step
-    right = F.lit(low) + (raw + 1) * step
-    down = (value < left).cast("int")
-    up = ((value >= right) & (raw < bins - 1)).cast("int")
-    return raw - down + up
+def bin_number(
+    df: DataFrame, value: str, low: str, high: str, bins: int, output: str = "bin"
+) -> DataFrame:
+    """Adds the bin 0 … bins-1 of a value column within two bound columns; bins
+    are closed on the left, the last one on both sides. Values on an edge as
+    computed go by that edge."""
+    v, lo, width = F.col(value), F.col(low), F.col("_width")
+    raw = F.col("_raw")
+    down = (v < lo + raw * width).cast("int")
+    up = ((v >= lo + (raw + 1) * width) & (raw < bins - 1)).cast("int")
+    share = (v - lo) / (F.col(high) - lo) * bins
+    return (
+        df.withColumn("_width", (F.col(high) - lo) / bins)
+        .withColumn("_raw", F.least(F.floor(share), F.lit(bins - 1)).cast("int"))
+        .withColumn(output, raw - down + up)
+        .drop("_raw", "_width")
+    )
 
 
 def column_bounds(
@@ -57,36 +60,38 @@ def histogram(
     bounds = bounds or column_bounds(df, columns)
     entries = []
     for name, (low, high) in bounds.items():
-        value = columns[name]
-        width = (high - low) / bins or 1.0 / bins
-        start = low if high > low else low - 0.5
-        entry = F.struct(
-            F.lit(name).alias("feature"),
-            bin_number(value, low, high, bins).alias("bin"),
-            F.lit(start).alias("start"),
-            F.lit(width).alias("width"),
+        if low == high:
+            low, high = low - 0.5, high + 0.5
+        entries.append(
+            F.struct(
+                F.lit(name).alias("feature"),
+                columns[name].alias("value"),
+                F.lit(low).alias("low"),
+                F.lit(high).alias("high"),
+            )
         )
-        entries.append(F.when(value.isNotNull(), entry))
     if not entries:
         return df.sparkSession.createDataFrame(
             [],
             "feature string, bin int, bin_low double, bin_high double, count bigint,"
             " density double",
         )
+    long = df.select(F.inline(F.array(*entries))).where("value is not null")
     counted = (
-        df.select(F.inline(F.array_compact(F.array(*entries))))
-        .groupBy("feature", "bin", "start", "width")
+        bin_number(long, "value", "low", "high", bins)
+        .groupBy("feature", "bin", "low", "high")
         .agg(F.count(F.lit(1)).alias("count"))
     )
     # one row per named feature, so safe to broadcast
     totals = counted.groupBy("feature").agg(F.sum("count").alias("rows"))
+    width = (F.col("high") - F.col("low")) / bins
     return counted.join(F.broadcast(totals), "feature").select(
         "feature",
         "bin",
-        (F.col("start") + F.col("bin") * F.col("width")).alias("bin_low"),
-        (F.col("start") + (F.col("bin") + 1) * F.col("width")).alias("bin_high"),
+        (F.col("low") + F.col("bin") * width).alias("bin_low"),
+        (F.col("low") + (F.col("bin") + 1) * width).alias("bin_high"),
         "count",
-        (F.col("count") / (F.col("rows") * F.col("width"))).alias("density"),
+        (F.col("count") / (F.col("rows") * width)).alias("density"),
     )
 
 

@@ -34,12 +34,15 @@ def range_edges(
 
 
 def assign_range(df: DataFrame, key: str, edges: list[float], output: str) -> DataFrame:
-    """Number of edges at or below the key (binary search in the JVM)."""
+    """Number of edges at or below the key (binary search in the JVM). The
+    number is never NULL, so a join on it adds no filter that would keep Spark
+    from reusing a shuffle."""
     if not edges:
-        return df.withColumn(output, F.lit(0.0))
-    return Bucketizer(
+        return df.withColumn(output, F.lit(0))
+    ranged = Bucketizer(
         splits=[-math.inf, *edges, math.inf], inputCol=key, outputCol=output
     ).transform(df)
+    return ranged.withColumn(output, F.coalesce(F.col(output).cast("int"), F.lit(0)))
 
 
 def running_totals(

@@ -345,23 +345,20 @@ def contract_violations(df: DataFrame, contract: list[ColumnRule]) -> DataFrame:
     schema_rows = [(c, k, v, 1) for c, k, v in _schema_failures(df, contract)]
     tables = [df.sparkSession.createDataFrame(schema_rows, schema)]
     if entries:
-        failed = F.array_compact(
-            F.array(
-                *[
-                    F.when(
-                        condition,
-                        F.struct(
-                            F.lit(name).alias("column"),
-                            F.lit(check).alias("check"),
-                            F.col(name).cast("string").alias("failure_case"),
-                        ),
-                    )
-                    for condition, name, check in entries
-                ]
-            )
+        failed = F.array(
+            *[
+                F.struct(
+                    F.lit(name).alias("column"),
+                    F.lit(check).alias("check"),
+                    F.col(name).cast("string").alias("failure_case"),
+                    F.coalesce(condition, F.lit(False)).alias("failed"),
+                )
+                for condition, name, check in entries
+            ]
         )
         tables.append(
             df.select(F.inline(failed))
+            .where("failed")
             .groupBy("column", "check", "failure_case")
             .agg(F.count(F.lit(1)).alias("rows"))
         )

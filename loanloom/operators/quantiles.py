@@ -111,48 +111,53 @@ def _count_below(values: DataFrame, names: list[str], brackets: list[_Bracket])
             b.below = 0
 
 
-def _ranked(values: DataFrame, names: list[str], brackets: list[_Bracket]) -> dict:
-    """The values at the two ranks of every bracket."""
-    if not brackets:
+def _ranked(
+    values: DataFrame, names: list[str], brackets: list[_Bracket]
+) -> dict[tuple[str, int], float]:
+    """The value at each wanted (column, rank). Brackets that cover the same
+    stretch of a column are ranked once."""
+    stretches: dict[tuple[str, float, float, int], set[int]] = {}
+    for b in brackets:
+        ranks = stretches.setdefault((b.name, b.low, b.high, b.below), set())
+        ranks.update((b.low_rank, b.high_rank))
+    if not stretches:
         return {}
     index = {n: i for i, n in enumerate(names)}
     entries = []
-    for k, b in enumerate(brackets):
-        column = F.col(f"c{index[b.name]}")
-        inside = (column >= F.lit(b.low)) & (column <= F.lit(b.high))
-        entries.append(F.when(inside, F.struct(F.lit(k).alias("k"), column.alias("v"))))
-    inside = values.select(F.inline(F.array_compact(F.array(*entries))))
-    counted = inside.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    for k, (name, low, high, _) in enumerate(stretches):
+        column = F.col(f"c{index[name]}")
+        inside = F.when((column >= F.lit(low)) & (column <= F.lit(high)), column)
+        entries.append(F.struct(F.lit(k).alias("k"), inside.alias("v")))
+    counted = (
+        values.select(F.inline(F.array(*entries)))
+        .where("v is not null")
+        .groupBy("k", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     order = (
         Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     )
-
-    def constant(attribute: str) -> Column:
-        array = F.array(*[F.lit(getattr(b, attribute)).cast("bigint") for b in brackets])
-        return F.element_at(array, F.col("k") + 1)
-
-    last = F.sum("n").over(order) + constant("below")
-    placed = counted.select("k", "v", "n", last.alias("last")).select(
-        "k",
-        "v",
-        (F.col("last") - F.col("n")).alias("first"),
-        "last",
-        constant("low_rank").alias("low_rank"),
-        constant("high_rank").alias("high_rank"),
+    below = ", ".join(f"{key[3]}L" for key in stretches)
+    wanted = ", ".join(
+        f"array({', '.join(f'{r}L' for r in sorted(ranks))})" for ranks in stretches.values()
     )
-
-    def at(rank: str) -> Column:
-        hit = (F.col("first") <= F.col(rank)) & (F.col(rank) < F.col("last"))
-        return F.max(F.when(hit, F.col("v")))
-
-    rows = placed.groupBy("k").agg(at("low_rank").alias("a"), at("high_rank").alias("b"))
-    return {r["k"]: (r["a"], r["b"]) for r in rows.collect()}
+    placed = counted.withColumn(
+        "last", F.sum("n").over(order) + F.element_at(F.expr(f"array({below})"), F.col("k") + 1)
+    )
+    first, last = F.col("last") - F.col("n"), F.col("last")
+    held = F.filter(
+        F.element_at(F.expr(f"array({wanted})"), F.col("k") + 1),
+        lambda rank: (first <= rank) & (rank < last),
+    )
+    rows = placed.select("k", "v", held.alias("ranks")).where(F.size("ranks") > 0).collect()
+    owners = [key[0] for key in stretches]
+    return {(owners[r["k"]], rank): r["v"] for r in rows for rank in r["ranks"]}
 
 
 def _interpolate(names, probs, brackets, ranked) -> dict[str, list[float | None]]:
     result = {n: [None] * len(probs) for n in names}
-    for k, b in enumerate(brackets):
-        low, high = ranked[k]
+    for b in brackets:
+        low, high = ranked[(b.name, b.low_rank)], ranked[(b.name, b.high_rank)]
         result[b.name][probs.index(b.prob)] = low + (high - low) * (b.place - b.low_rank)
     return result
 

@@ -49,15 +49,21 @@ def score_steps(
 
 def _metrics() -> list[Column]:
     pos, neg = F.sum("pos"), F.sum("neg")
-    seen = F.col("run_pos").cast("double")
-    area = F.sum(F.col("neg") * (seen + F.col("run_pos") - F.col("pos")) / 2.0)
-    precision = seen / (F.col("run_pos") + F.col("run_neg"))
+    hits, misses = F.col("run_pos").cast("double"), F.col("run_neg").cast("double")
+    # the pairs in right order, counted from the negatives and from the
+    # positives: with both running counts in use, the two inputs of the running
+    # totals have the same columns and share one shuffle
+    from_negatives = F.col("neg") * (hits - F.col("pos") / 2.0)
+    from_positives = F.col("pos") * (F.col("total_neg") - misses + F.col("neg") / 2.0)
+    pairs = F.sum(from_negatives + from_positives) / 2.0
     both = (pos > 0) & (neg > 0)
     return [
         (pos + neg).alias("size"),
         ratio(pos, pos + neg).alias("positive_rate"),
-        F.when(both, ratio(area, pos.cast("double") * neg)).alias("roc_auc"),
-        F.when(both, ratio(F.sum(F.col("pos") * precision), pos)).alias("average_precision"),
+        F.when(both, ratio(pairs, pos.cast("double") * neg)).alias("roc_auc"),
+        F.when(both, ratio(F.sum(F.col("pos") * hits / (hits + misses)), pos)).alias(
+            "average_precision"
+        ),
     ]
 
 

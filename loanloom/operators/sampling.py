@@ -16,6 +16,7 @@ from loanloom.functions.columns import drop_incomplete
 from loanloom.functions.scalars import hash_order
 
 MAX_CLASSES = 100
+MAX_PREFIXES = 200_000
 
 
 def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
@@ -39,9 +40,12 @@ def _border_hashes(
     keyed = df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("label"), hash_order(F.col(id_col), seed).alias("hash")
     )
-    prefixed = keyed.withColumn("prefix", F.substring("hash", 1, digits))
-    if keyed.select("label").distinct().limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
+    classes = keyed.select("label").distinct().limit(MAX_CLASSES + 1).count()
+    if classes > MAX_CLASSES:
         raise ValueError(f"{label} has more than {MAX_CLASSES} values; not a class column")
+    while digits > 1 and classes * 16**digits > MAX_PREFIXES:
+        digits -= 1
+    prefixed = keyed.withColumn("prefix", F.substring("hash", 1, digits))
     counts: dict[object, list[tuple[str, int]]] = {}
     for row in prefixed.groupBy("label", "prefix").count().collect():
         counts.setdefault(row["label"], []).append((row["prefix"], row["count"]))

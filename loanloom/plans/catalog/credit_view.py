@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanloom.plans.catalog.base import table
 
-_MONEY = "DECIMAL(18, 2)"
+# sums of up to 8 digits stay within 18 digits, which Spark adds as plain longs
+_MONEY = "DECIMAL(8, 2)"
 
 _FROM = {
     "application_train": "customer",
@@ -101,7 +102,7 @@ _COLUMNS = {
         f" THEN CAST(o_totalprice AS {_MONEY}) END",
         "AMT_GOODS_PRICE": f"CASE WHEN o_orderkey % 4 > 0"
         f" THEN CAST(o_totalprice AS {_MONEY}) END",
-        "RATE_DOWN_PAYMENT": "CAST(o_orderkey % 100 AS DECIMAL(18, 2))",
+        "RATE_DOWN_PAYMENT": f"CAST(o_orderkey % 100 AS {_MONEY})",
         "DAYS_DECISION": "DAYS(o_orderdate)",
         "CNT_PAYMENT": "CASE WHEN o_orderkey % 10 > 0 THEN CAST(o_orderkey % 48 AS INT) END",
         "DAYS_FIRST_DRAWING": "CASE WHEN o_orderkey % 20 = 0 THEN DAYS(o_orderdate) END",

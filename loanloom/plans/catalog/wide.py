@@ -25,7 +25,7 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
         "o_orderkey",
         "o_orderstatus",
         "o_orderpriority",
-        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice").cast("decimal(18,2)"))
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice").cast("decimal(8,2)"))
         .alias("price"),
         F.datediff("o_orderdate", F.lit("2002-01-01").cast("date")).alias("days"),
     )
@@ -34,7 +34,7 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
 _ORDERS = """
 orders_view AS (
   SELECT o_custkey, o_orderkey, o_orderstatus, o_orderpriority,
-    CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_totalprice AS DECIMAL(18, 2)) END AS price,
+    CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_totalprice AS DECIMAL(8, 2)) END AS price,
     CAST(date_diff('day', TIMESTAMP '2002-01-01', o_orderdate) AS INTEGER) AS days
   FROM orders)
 """
