@@ -281,6 +281,19 @@ def get_feature_names(model: PipelineModel) -> list[str]:
     raise ValueError("the model holds no fitted preparation")
 
 
+def keep_beside(model: PipelineModel, columns: list[str]) -> PipelineModel:
+    """The same fitted chain with further input columns kept beside the vector."""
+    stages = []
+    for stage in model.stages:
+        if isinstance(stage, ColumnPreparationModel):
+            kept = [*stage.getOrDefault(stage.passThrough), *columns]
+            stage = ColumnPreparationModel(
+                fitted=stage.getOrDefault(stage.fitted), passThrough=list(dict.fromkeys(kept))
+            )
+        stages.append(stage)
+    return PipelineModel(stages=stages)
+
+
 def same_output(first: PipelineModel, second: PipelineModel, sample: DataFrame) -> bool:
     """Do two fitted chains agree on every row of a sample?"""
     from pyspark.ml.functions import vector_to_array

@@ -28,17 +28,38 @@ ID, LABEL = "SK_ID_CURR", "TARGET"
 _SMALL_BOOSTED = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.1}
 
 
+_FEATURES = [
+    "CODE_GENDER",
+    "NAME_CONTRACT_TYPE",
+    "NAME_INCOME_TYPE",
+    "WEEKDAY_APPR_PROCESS_START",
+    "AMT_INCOME_TOTAL",
+    "AMT_CREDIT",
+    "AMT_ANNUITY",
+    "DAYS_BIRTH",
+    "DAYS_EMPLOYED",
+    "EXT_SOURCE_1",
+    "EXT_SOURCE_2",
+    "EXT_SOURCE_3",
+]
+_HISTORY = [
+    "PREV_AMT_APPLICATION_MEAN",
+    "PREV_AMT_CREDIT_MAX",
+    "PREV_DAYS_DECISION_MEAN",
+    "PREV_CNT_PAYMENT_SUM",
+    "PREV_LOAN_COUNT",
+    "PREV_REFUSED_COUNT",
+    "PREV_APPROVAL_RATE",
+]
+
+
 def applicants(spark: SparkSession, folder: str) -> DataFrame:
-    """Applicant columns with the aggregates of earlier applications, stored
+    """Applicant columns with a few aggregates of earlier applications, stored
     once because every fit reads them several times."""
-    main = loan_table(spark, folder, "application_train")
+    main = loan_table(spark, folder, "application_train").select(ID, LABEL, *_FEATURES)
     previous = aggregate_previous_applications(loan_table(spark, folder, "previous_application"))
-    amounts = [
-        F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
-        else F.col(f.name)
-        for f in previous.schema
-    ]
-    return cut_lineage(left_join_all(main, [previous.select(amounts)], ID))
+    history = previous.select(ID, *[F.col(c).cast("double").alias(c) for c in _HISTORY])
+    return cut_lineage(left_join_all(main, [history], ID))
 
 
 @query("T1 T2 R7 A27")

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanloom.operators import evaluation, training
 from loanloom.operators import quality as q
@@ -9,7 +10,6 @@ from loanloom.operators.ranking import ranking_metrics
 from loanloom.plans import modelling
 from loanloom.session import cut_lineage
 from loanloom.sources import stores
-from pyspark.sql import types as T
 
 
 @pytest.fixture(scope="module")
@@ -210,6 +210,13 @@ def test_evaluation_uses_separate_rows(spark, loans, tmp_path):
     assert record["optimal_threshold"] == run.metrics["threshold"]
 
 
+def test_a_stored_model_can_be_evaluated(loans, fitted):
+    run = modelling.run_evaluation(loans, model=fitted, shares=(0.5, 0.5, 0.0))
+    assert run.scores.count() == 200
+    assert run.metrics["auc_roc"] > 0.8
+    assert run.subgroups.where("`group` = 'Gender'").count() == 2
+
+
 def test_batch_scoring(loans, fitted):
     calibrator = evaluation.fit_calibration(fitted.transform(loans), "score", "TARGET")
     model = training.with_calibration(fitted, calibrator)
