@@ -40,10 +40,11 @@ def _border_hashes(
     keyed = df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("label"), hash_order(F.col(id_col), seed).alias("hash")
     )
-    classes = keyed.select("label").distinct().limit(MAX_CLASSES + 1).count()
-    if classes > MAX_CLASSES:
+    classes = keyed.select("label", F.col("label").cast("string").alias("text")).distinct()
+    class_texts = {r["label"]: r["text"] for r in classes.limit(MAX_CLASSES + 1).collect()}
+    if len(class_texts) > MAX_CLASSES:
         raise ValueError(f"{label} has more than {MAX_CLASSES} values; not a class column")
-    while digits > 1 and classes * 16**digits > MAX_PREFIXES:
+    while digits > 1 and len(class_texts) * 16**digits > MAX_PREFIXES:
         digits -= 1
     prefixed = keyed.withColumn("prefix", F.substring("hash", 1, digits))
     counts: dict[object, list[tuple[str, int]]] = {}
@@ -65,9 +66,9 @@ def _border_hashes(
                 seen += n
     if not wanted:
         return borders
-    match = F.lit(False)
-    for value, _, prefix, _ in wanted:
-        match = match | ((F.col("label") == F.lit(value)) & (F.col("prefix") == prefix))
+    # one comparison against a list, so that a row is hashed once
+    cell = F.concat_ws("|", F.col("label").cast("string"), "prefix")
+    match = cell.isin(sorted({f"{class_texts[value]}|{p}" for value, _, p, _ in wanted}))
     order = Window.partitionBy("label", "prefix").orderBy("hash")
     ranked = prefixed.where(match).withColumn("place", F.row_number().over(order))
     hit = F.lit(False)
@@ -88,20 +89,21 @@ def _border_hashes(
 def _borders_passed(
     id_col: str, label: str, seed: int, borders: dict[object, list[str | None]]
 ) -> Column:
-    """How many borders of its class a row's hash lies beyond."""
-    place = hash_order(F.col(id_col), seed)
-    result = None
-    for value, hashes in borders.items():
-        beyond = sum(
-            (
-                F.lit(1) if h is None else (place > F.lit(h)).cast("int")
-                for h in hashes
-            ),
-            F.lit(0),
-        )
-        test = F.col(label) == F.lit(value)
-        result = F.when(test, beyond) if result is None else result.when(test, beyond)
-    return F.lit(None).cast("int") if result is None else result
+    """How many borders of its class a row's hash lies beyond. The hash is bound
+    to a lambda variable: it is computed once per row, also where Spark moves
+    this expression into a filter."""
+
+    def passed(place: Column) -> Column:
+        result = F.lit(None).cast("int")
+        for value, hashes in borders.items():
+            beyond = sum(
+                (F.lit(1) if h is None else (place > F.lit(h)).cast("int") for h in hashes),
+                F.lit(0),
+            )
+            result = F.when(F.col(label) == F.lit(value), beyond).otherwise(result)
+        return result
+
+    return F.transform(F.array(hash_order(F.col(id_col), seed)), passed)[0]
 
 
 def stratified_parts(
