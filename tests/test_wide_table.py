@@ -114,3 +114,26 @@ def test_application_gate(spark, folder):
 def test_missing_wide_table(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         wide_table.load_wide_table(spark, str(tmp_path / "none"))
+
+
+def test_applicants_are_shuffled_once(spark, folder):
+    """Without broadcasts every join of the chain is on the applicant id, and
+    only the scan of the application table feeds an exchange of its own."""
+    from conftest import plan_text
+    from loanloom.sources.csv_tables import load_table
+
+    names = [n for n in TABLE_SCHEMAS if n != "application_test.csv"]
+    tables = {n: load_table(spark, folder, n) for n in names}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_text(wide_table.wide_table(tables))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    tree = text.split("\n\n")[0]
+    assert tree.count("SortMergeJoin LeftOuter") == 5
+    # main 1, bureau 1, status 1, pairs 2 (by pair, then by loan), status by
+    # applicant 1,
+    # previous 1, point of sale 2 (distinct loans), instalments 1
+    assert tree.count("Exchange") == 10
+    assert "BroadcastNestedLoopJoin" not in tree and "CartesianProduct" not in tree
