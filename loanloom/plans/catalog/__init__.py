@@ -6,6 +6,7 @@ from loanloom.plans.catalog import (  # noqa: F401  (registration)
     model_queries,
     quality_queries,
     ranking_queries,
+    source_queries,
     wide,
 )
 from loanloom.plans.catalog.base import REGISTRY

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from loanloom.functions.columns import cast_numeric_to_float
 from loanloom.operators.aggregates import (
@@ -35,7 +36,12 @@ def wide_table(tables: dict[str, DataFrame], as_float32: bool = True) -> DataFra
     return left_join_all(tables["application_train.csv"], children, APPLICANT_ID)
 
 
-def build_wide_table(spark: SparkSession, folder: str, output: str) -> DataFrame:
+def build_wide_table(
+    spark: SparkSession,
+    folder: str,
+    output: str,
+    extra_schemas: dict[str, StructType] | None = None,
+) -> DataFrame:
     """Read the CSV tables, write the wide table, and check its row count
     against the application table. Returns shape and null rate."""
     needed = [
@@ -46,7 +52,8 @@ def build_wide_table(spark: SparkSession, folder: str, output: str) -> DataFrame
         "POS_CASH_balance.csv",
         "installments_payments.csv",
     ]
-    tables = {name: load_table(spark, folder, name) for name in needed}
+    stored = extra_schemas or {}
+    tables = {n: load_table(spark, folder, n, None, stored.get(n)) for n in needed}
     write_table(wide_table(tables), output)
     stored = read_table(spark, output)
     require_same_rows(tables["application_train.csv"].count(), stored.count())

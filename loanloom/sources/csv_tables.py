@@ -121,9 +121,16 @@ def load_table(
 
 
 def load_all_tables(
-    spark: SparkSession, folder: str, nrows: int | None = None
+    spark: SparkSession,
+    folder: str,
+    nrows: int | None = None,
+    extra_schemas: dict[str, T.StructType] | None = None,
 ) -> dict[str, DataFrame]:
-    return {name: load_table(spark, folder, name, nrows) for name in TABLE_NAMES}
+    """All tables by name, each read when it is used. Only files with columns
+    beyond the declared ones need a typing pass, unless ``extra_schemas`` has
+    their types."""
+    stored = extra_schemas or {}
+    return {n: load_table(spark, folder, n, nrows, stored.get(n)) for n in TABLE_NAMES}
 
 
 def cast_failures(text: DataFrame, schema: T.StructType) -> DataFrame:
