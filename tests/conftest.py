@@ -10,7 +10,7 @@ from loanloom.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", 4)
+    session = build_session("tests", "local[8]", 4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
