@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from loanloom.llm import keyed_ids, packing, token_counts
+from loanloom.llm import decontaminate, keyed_ids, packing, quality, token_counts, url_filter
 from loanloom.llm.scratch import Scratch
 from loanloom.llm.ship import prepare
 
@@ -37,12 +37,72 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=1)
 
 
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.judge(documents, labels)
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_test_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+URL_RULES = (
+    url_filter.Rule("org", "/", "allow"),
+    url_filter.Rule("example.org", "/es/", "block"),
+    url_filter.Rule("example.org", "/en/1", "block"),
+    url_filter.Rule("com", "/fr/", "allow"),
+    url_filter.Rule("com", "/de/", "block"),
+)
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+SQL["op9_url_filter"] = r"""
+WITH parts AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path
+  FROM pages
+), rules(h, p, v) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+         ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), judged AS (
+  SELECT page_id, host, path,
+         (SELECT max_by(struct_pack(rule := h || p, verdict := v), length(h || p)) FROM rules
+          WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS best
+  FROM parts
+)
+SELECT page_id, host, path, best.rule AS rule,
+       coalesce(best.verdict,
+                CASE WHEN host = '' OR host LIKE '%adult%' OR host LIKE '%bets%'
+                       OR host LIKE '%casino%' OR host LIKE '%porn%'
+                     THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged
+"""
+
+
 @query
 def op10_keyed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Scratch(spark, "op10").folder
