@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from loanloom.llm import decontaminate, keyed_ids, packing, quality, token_counts, url_filter
+from loanloom.llm import decontaminate, keyed_ids, minhash, packing, quality, token_counts, url_filter
 from loanloom.llm.scratch import Scratch
 from loanloom.llm.ship import prepare
 
@@ -37,6 +37,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=1)
 
 
+@query
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
