@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanloom.llm.arrays import mix
-from loanloom.llm.tokens import PieceEncoder
+from loanloom.llm.tokens import piece_encoder
 
 MAGIC = 0x3144494D5048
 GAMMA = 2.0
@@ -209,7 +209,7 @@ def write_ids(
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        encoder = PieceEncoder(tokenizer_file, keeps_space=False)
+        encoder = piece_encoder(tokenizer_file, keeps_space=False)
         name = f"shard-{shard:06d}-{uuid.uuid4().hex}"
         files, path = _open(folder)
         keys: list[np.ndarray] = []

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from loanloom.llm.tokens import PieceEncoder
+from loanloom.llm.tokens import piece_encoder
 
 CAPACITY = 2048
 #: Rests that wait before sequences are filled; bounds a task's memory.
@@ -170,7 +170,7 @@ def pack(
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_file, keeps_space=True)
+        encoder = piece_encoder(tokenizer_file, keeps_space=True)
         packer = Packer(capacity)
         first = TaskContext.get().partitionId() << 33
         id_type = None

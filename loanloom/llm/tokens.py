@@ -2,21 +2,24 @@
 
 Ids come from ``tokenizers`` alone. Running text repeats its words, so texts are
 cut where the tokenizer provably cuts too, each distinct piece is encoded once
-per task, and its ids are kept in a table of bounded size.
+per Python worker while its ids stay in a table of bounded size.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from array import array
 from functools import lru_cache
 
+import numpy as np
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Pieces kept per task, and the longest piece that is kept.
-KEPT_PIECES = 200_000
+#: Pieces kept in each of two tables of a Python worker, about 200 bytes each,
+#: the longest piece that is kept, and pieces encoded in one call.
+KEPT_PIECES = 300_000
 KEPT_CHARS = 40
+JOINED = 2048
 
 #: Byte-level BPE cuts before white space that follows other text, and lets one
 #: space join the next word; so a piece is white space and what follows it.
@@ -34,14 +37,13 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def id_array(ids: list[int]) -> np.ndarray:
+    return np.fromiter(ids, "<u4", len(ids))
+
+
 def id_bytes(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
-    packed = array("I", ids)
-    if packed.itemsize != 4 or array("H", [1]).tobytes() != b"\x01\x00":
-        import numpy as np
-
-        return np.asarray(ids, "<u4").tobytes()
-    return packed.tobytes()
+    return id_array(ids).tobytes()
 
 
 class PieceEncoder:
@@ -49,45 +51,68 @@ class PieceEncoder:
 
     ``keeps_space`` tells a byte-level tokenizer, for which white space belongs
     to the pieces, from one that drops it. A text whose cuts are not proven
-    (special strings or rare white space inside) is encoded in one call.
+    (special strings or rare white space inside) is encoded in one call. New
+    pieces are encoded together, parted by a special token, at which the library
+    cuts a text before anything else.
     """
 
     def __init__(self, path: str, keeps_space: bool) -> None:
         self.tokenizer = tokenizer(path)
         self._find = (_WITH_SPACE if keeps_space else _BETWEEN_SPACE).findall
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        special = [s for s in special if keeps_space or re.search(r"\s", s)]
-        self._special = re.compile("|".join(map(re.escape, special))) if special else None
-        self._keeps_space = keeps_space
-        self._kept: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bool:
-        if self._special and self._special.search(text):
-            return True
-        return self._keeps_space and bool(_OTHER_SPACE.search(text))
+        added = self.tokenizer.get_added_tokens_decoder()
+        special = "|".join(re.escape(t.content) for t in added.values())
+        whole = [special, _OTHER_SPACE.pattern] if keeps_space else [special]
+        self._whole = re.compile("|".join(w for w in whole if w) or r"(?!)").search
+        self._part_id, self._part = next(((i, t.content) for i, t in added.items()), (None, None))
+        self._new: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        encode = self.tokenizer.encode_batch_fast
+        if self._part is None:
+            return [id_bytes(e.ids) for e in encode(pieces, add_special_tokens=False)]
+        out: list[bytes] = []
+        for at in range(0, len(pieces), JOINED):
+            some = pieces[at : at + JOINED]
+            ids = id_array(encode([self._part.join(some)], add_special_tokens=False)[0].ids)
+            cuts = np.flatnonzero(ids == self._part_id)
+            if len(cuts) != len(some) - 1:
+                raise RuntimeError("the tokenizer does not cut at its special token")
+            data = ids.tobytes()
+            cuts = (4 * cuts).tolist()
+            out += [data[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True)]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
-        kept = self._kept
-        pieces = [None if self._whole(t) else self._find(t) for t in texts]
-        wanted = set().union(*(p for p in pieces if p is not None))
-        new = [p for p in wanted if p not in kept]
-        if len(kept) + len(new) > KEPT_PIECES:
-            kept.clear()
-            new = list(wanted)
-        once: dict[str, bytes] = {}
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            once.update(zip(part, (id_bytes(e.ids) for e in found), strict=True))
-        kept.update(once)
+        whole, find = self._whole, self._find
+        pieces = [None if whole(t) else find(t) for t in texts]
+        known = self._new
+        wanted = set().union(*(p for p in pieces if p is not None)).difference(known)
+        if wanted:
+            if len(known) + len(wanted) > KEPT_PIECES:
+                # pieces that are still in use come back from the old table
+                self._old, self._new = known, {}
+                known = self._new
+                wanted = set().union(*(p for p in pieces if p is not None))
+            old = self._old
+            again = wanted.intersection(old)
+            known.update((p, old[p]) for p in again)
+            fresh = list(wanted.difference(again))
+            known.update(zip(fresh, self._encode_pieces(fresh), strict=True))
+        get = known.__getitem__
         out = []
         for text, parts in zip(texts, pieces, strict=True):
             if parts is None:
                 out.append(id_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids))
             else:
-                out.append(b"".join(map(kept.__getitem__, parts)))
-        for piece in once:
-            if len(piece) > KEPT_CHARS:
-                del kept[piece]
+                out.append(b"".join(map(get, parts)))
+        for piece in [p for p in wanted if len(p) > KEPT_CHARS]:
+            del known[piece]
         return out
+
+
+@lru_cache(maxsize=4)
+def piece_encoder(path: str, keeps_space: bool) -> PieceEncoder:
+    """The encoder of a Python worker; its table serves all tasks that run there."""
+    return PieceEncoder(path, keeps_space)
