@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from loanloom.llm import decontaminate, keyed_ids, minhash, packing, quality, token_counts, url_filter
+from loanloom.llm import context_tree, decontaminate, keyed_ids, minhash, packing, quality, token_counts, url_filter
 from loanloom.llm.scratch import Scratch
 from loanloom.llm.ship import prepare
 
@@ -69,6 +69,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@query
+def op7_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(table(spark, sf_dir, "documents"))
+
+
 URL_RULES = (
     url_filter.Rule("org", "/", "allow"),
     url_filter.Rule("example.org", "/es/", "block"),
