@@ -422,7 +422,7 @@ def score(
     def rest(column: str, table: DataFrame, often: Column, value: str) -> DataFrame:
         keys = scored.select("row", F.explode(column).alias("key"))
         keys = keys.groupBy("row", "key").agg(F.count("*").alias("times"))
-        found = keys.join(table.where(~often).select("key", "value"), "key")
+        found = keys.join(table.where(~often).select("key", "value").hint("merge"), "key")
         parts = {
             "known": F.when(F.col("value") > 0, F.col("times")).otherwise(0) if value == "words" else F.lit(0),
             "words": F.col("value") * F.col("times") if value == "words" else F.lit(0),
