@@ -2,11 +2,13 @@
 
 A store is a folder with three files per shard, all little-endian:
 
-- ``*.ids``: the ids of the shard's documents in ascending key order, unsigned
-  32-bit, nothing between them;
+- ``*.ids``: the ids of the shard's documents in ascending key order, unsigned,
+  of 16 bits if the tokenizer has at most 65,536 ids and else of 32, nothing
+  between them;
 - ``*.keys``: the keys in the same order, signed 64-bit;
 - ``*.mph``: the index. Header of eight unsigned 64-bit numbers (magic, seed,
-  documents, levels, words of bits, null keys, 0, 0), the bits of each level,
+  documents, levels, words of bits, null keys, bytes of an id, 0), the bits of
+  each level,
   the words of all levels, the set bits before each word (unsigned 32-bit), and
   per slot a fingerprint (unsigned 32-bit), the id offset and the number of ids
   (unsigned 64-bit).
@@ -124,7 +126,9 @@ def fingerprint(hashes: np.ndarray) -> np.ndarray:
     return (mix(hashes ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(32)).astype(np.uint32)
 
 
-def index_bytes(keys: np.ndarray, offsets: np.ndarray, lengths: np.ndarray, n_null: int) -> bytes:
+def index_bytes(
+    keys: np.ndarray, offsets: np.ndarray, lengths: np.ndarray, n_null: int, width: int = 4
+) -> bytes:
     """The ``.mph`` file of a shard; keys ascend."""
     order = ordinals(keys)
     seed = 0
@@ -138,7 +142,7 @@ def index_bytes(keys: np.ndarray, offsets: np.ndarray, lengths: np.ndarray, n_nu
     prints, at, n = np.zeros(len(keys), "<u4"), np.zeros(len(keys), "<u8"), np.zeros(len(keys), "<u8")
     prints[slot], at[slot], n[slot] = fingerprint(h), offsets, lengths
     header = np.asarray(
-        [MAGIC, seed, len(keys), len(found.sizes), len(found.words), n_null, 0, 0], "<u8"
+        [MAGIC, seed, len(keys), len(found.sizes), len(found.words), n_null, width, 0], "<u8"
     )
     parts = [header, np.asarray(found.sizes, "<u8"), found.words, found.ranks.astype("<u4"), prints, at, n]
     return b"".join(p.tobytes() for p in parts)
@@ -148,7 +152,8 @@ class Index:
     """A read ``.mph`` file."""
 
     def __init__(self, data: bytes) -> None:
-        magic, self.seed, n, levels, words, self.n_null, _, _ = np.frombuffer(data, "<u8", 8).tolist()
+        head = np.frombuffer(data, "<u8", 8).tolist()
+        magic, self.seed, n, levels, words, self.n_null, self.width, _ = head
         if magic != MAGIC:
             raise ValueError("not an index file")
         at = 64
@@ -174,6 +179,11 @@ class Index:
         return at, n
 
 
+def ids_of(data: bytes, width: int) -> bytes:
+    """Stored ids of ``width`` bytes as unsigned 32-bit ones."""
+    return data if width == 4 else np.frombuffer(data, f"<u{width}").astype("<u4").tobytes()
+
+
 def _open(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.FileSystem.from_uri(uri if ":" in uri else f"file://{uri}")
 
@@ -210,6 +220,8 @@ def write_ids(
 
         shard = TaskContext.get().partitionId()
         encoder = piece_encoder(tokenizer_file, keeps_space=False)
+        largest = max(end_id + 1, encoder.tokenizer.get_vocab_size())
+        width = 2 if largest <= 1 << 16 else 4
         name = f"shard-{shard:06d}-{uuid.uuid4().hex}"
         files, path = _open(folder)
         keys: list[np.ndarray] = []
@@ -226,8 +238,9 @@ def write_ids(
             texts = pc.fill_null(batch.column(1), "")
             for at in range(0, len(texts), GROUP):
                 for ids in encoder.encode(texts.slice(at, GROUP).to_pylist()):
-                    out.write(ids + end)
-                    lengths.append(len(ids) // 4 + 1)
+                    stored = np.frombuffer(ids + end, "<u4").astype(f"<u{width}")
+                    out.write(stored.tobytes())
+                    lengths.append(len(stored))
         if out is None:
             return
         out.close()
@@ -235,7 +248,7 @@ def write_ids(
         offsets = np.cumsum(n) - n
         for suffix, data in (
             ("keys", all_keys.tobytes()),
-            ("mph", index_bytes(all_keys, offsets, n, n_null)),
+            ("mph", index_bytes(all_keys, offsets, n, n_null, width)),
         ):
             with files.open_output_stream(f"{path}/{name}.{suffix}") as stream:
                 stream.write(data)
@@ -293,9 +306,9 @@ def read_ids(
                     while first < len(keys):
                         ids = np.cumsum(n[first : first + 4096])
                         last = first + max(1, int(np.searchsorted(ids, READ_IDS, "right")))
-                        data = payload.read_at(
-                            4 * int(at[last - 1] + n[last - 1] - at[first]), 4 * int(at[first])
-                        )
+                        stored = int(at[last - 1] + n[last - 1] - at[first])
+                        data = payload.read_at(index.width * stored, index.width * int(at[first]))
+                        data = ids_of(data, index.width)
                         cut = 4 * (at[first:last] - at[first])
                         parts = [data[a : a + 4 * k] for a, k in zip(cut.tolist(), n[first:last].tolist(), strict=True)]
                         columns = [
@@ -339,7 +352,8 @@ def lookup_ids(keys: DataFrame, folder: str, id_column: str = "doc_id") -> DataF
                 with files.open_input_file(f"{path}/{file[s]}.ids") as payload:
                     for k, a, count in zip(here.tolist(), at.tolist(), n.tolist(), strict=True):
                         if a >= 0 and column[k].is_valid:
-                            out[k] = payload.read_at(4 * count, 4 * a)
+                            width = held[s].width
+                            out[k] = ids_of(payload.read_at(width * count, width * a), width)
             yield pa.RecordBatch.from_arrays([column, pa.array(out, pa.binary())], ["id", "ids"])
 
     rows = keys.select(keys[id_column].cast("long").alias("id"))
