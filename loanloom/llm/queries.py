@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from loanloom.llm import context_tree, decontaminate, keyed_ids, minhash, packing, quality, token_counts, url_filter
+from loanloom.llm import context_tree, decontaminate, keyed_ids, minhash, packing, quality, token_counts, toxicity, url_filter
 from loanloom.llm.scratch import Scratch
 from loanloom.llm.ship import prepare
 
@@ -74,6 +74,12 @@ def op7_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.drop("restored")
+
+
 URL_RULES = (
     url_filter.Rule("org", "/", "allow"),
     url_filter.Rule("example.org", "/es/", "block"),
