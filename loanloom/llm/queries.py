@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from loanloom.llm import context_tree, decontaminate, keyed_ids, minhash, packing, quality, token_counts, toxicity, url_filter
+from loanloom.llm import context_tree, decontaminate, keyed_ids, minhash, packing, quality, suffix_dedup, token_counts, toxicity, url_filter
 from loanloom.llm.scratch import Scratch
 from loanloom.llm.ship import prepare
 
@@ -32,6 +32,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=1)
