@@ -66,9 +66,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
             out.append(np.unique(whole[a : b - SHINGLE + 1]))
         elif b > a:
             short = np.uint64(b - a)
-            for x, k in zip(h[a:b], _K, strict=False):
-                short = short + x * k
-            out.append(arrays.mix(np.array([short], np.uint64)))
+            out.append(arrays.mix((h[a:b] * np.array(_K[: b - a])).sum(keepdims=True) + short))
         else:
             out.append(np.zeros(0, np.uint64))
     return out

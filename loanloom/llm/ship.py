@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 #: Rows per Arrow batch; texts may be long, so fewer than Spark's default.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 
 _PACKAGE = Path(__file__).resolve().parents[1]
 
