@@ -1,8 +1,87 @@
-"""A corpus pipeline of the operators in ``loanloom.llm``."""
+"""A corpus pipeline of the operators in ``loanloom.llm``.
 
-STAGES = []
+Each stage works on all that the one before it kept; its result is written and
+read again as the next one's documents. All stages but the last return the
+columns of ``documents``, with ``text`` as the stage left it and ``n_chars`` as
+its length; the last returns the pieces of the packed sequences.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loanloom.llm import decontaminate, minhash, packing, quality, suffix_dedup
+from loanloom.llm.queries import BYTE_BPE, table
+from loanloom.llm.scratch import Scratch
+from loanloom.llm.ship import prepare
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+END_ID = 1
+#: A document with a larger share of benchmark words goes as a whole.
+MOST_HIT = 0.5
+
+
+def _with_text(rows: DataFrame, text: str) -> DataFrame:
+    return rows.withColumns({"text": F.col(text), "n_chars": F.length(text).cast("long")}).select(COLUMNS)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go."""
+    judged = quality.judge(docs, table(prepare(spark), sf_dir, "labels"), keep=COLUMNS[1:])
+    return judged.where("kept").select(COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays. Rows without an id
+    stay; equal rows stay or go together."""
+    prepare(spark)
+    found = minhash.near_duplicates(docs.select("doc_id", "text"))
+    kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
+    return named.unionByName(docs.where("doc_id IS NULL")).select(COLUMNS)
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages go; so do documents of which nothing is left."""
+    prepare(spark)
+    cleaned = suffix_dedup.remove_repeats(docs, keep=["lang", "source", "n_chars"])
+    cleaned = cleaned.where(F.col("kept_text").rlike(r"[^\x20\x09-\x0D]") | (F.col("n_removed") == 0))
+    return _with_text(cleaned, "kept_text")
+
+
+def decontaminate_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages are cut out; documents that are mostly benchmark go."""
+    items = table(prepare(spark), sf_dir, "benchmark")
+    found = decontaminate.find_test_items(docs, items, keep=["lang", "source", "n_chars"])
+    found = found.where(F.col("n_hit") <= F.lit(MOST_HIT) * F.col("n_words"))
+    return _with_text(found, "clean_text")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return packing.pack(docs, BYTE_BPE, END_ID)
+
+
+STAGES = [
+    ("quality", quality_rules),
+    ("near_dedup", near_dedup),
+    ("remove_repeats", remove_repeats),
+    ("decontaminate", decontaminate_texts),
+    ("pack", pack),
+]
+
+#: Models and hashes cannot be written in SQL; tests/llm holds brute-force versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "pipeline")
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = scratch.store(docs, name)
+        if k:
+            scratch.drop(*[n for n, _ in STAGES[: k - 1]])
+    return docs
