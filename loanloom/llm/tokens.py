@@ -17,7 +17,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces kept in each of two tables of a Python worker, about 200 bytes each,
 #: the longest piece that is kept, and pieces encoded in one call.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 600_000
 KEPT_CHARS = 40
 JOINED = 2048
 
@@ -60,13 +60,17 @@ class PieceEncoder:
         self.tokenizer = tokenizer(path)
         self._find = (_WITH_SPACE if keeps_space else _BETWEEN_SPACE).findall
         added = self.tokenizer.get_added_tokens_decoder()
-        special = "|".join(re.escape(t.content) for t in added.values())
-        whole = [special, _OTHER_SPACE.pattern] if keeps_space else [special]
-        self._whole = re.compile("|".join(w for w in whole if w) or r"(?!)").search
+        self._special = [t.content for t in added.values()]
+        self._keeps_space = keeps_space
         self._part_id, self._part = next(((i, t.content) for i, t in added.items()), (None, None))
         self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
+    def _whole(self, text: str) -> bool:
+        if any(s in text for s in self._special):
+            return True
+        return self._keeps_space and _OTHER_SPACE.search(text) is not None
+
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         encode = self.tokenizer.encode_batch_fast
         if self._part is None:
@@ -85,8 +89,8 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
-        whole, find = self._whole, self._find
-        pieces = [None if whole(t) else find(t) for t in texts]
+        find = self._find
+        pieces = [None if self._whole(t) else find(t) for t in texts]
         known = self._new
         wanted = set().union(*(p for p in pieces if p is not None)).difference(known)
         if wanted:
