@@ -21,11 +21,18 @@ KEPT_PIECES = 600_000
 KEPT_CHARS = 40
 JOINED = 2048
 
+_SPACE = r" \t\n\r"
+_MARKS = r".,;:!?&$%#*|"
+#: A letter or digit before one of the marks: both tokenizers part letters and
+#: digits from other characters. (Only an apostrophe may belong to letters.)
+_WORD_END = r"(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ])(?=[" + _MARKS + "])"
+_LEADING = f"[^{_SPACE}{_MARKS}]++"
+_PIECE = f"{_LEADING}(?![{_MARKS}])|{_LEADING}{_WORD_END}|[^{_SPACE}]+"
 #: Byte-level BPE cuts before white space that follows other text, and lets one
 #: space join the next word; so a piece is white space and what follows it.
-_WITH_SPACE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+\Z")
+_WITH_SPACE = re.compile(f"[{_SPACE}]*(?:{_PIECE})|[{_SPACE}]+\\Z")
 #: Word BPE drops white space; a piece is what stands between.
-_BETWEEN_SPACE = re.compile(r"[^ \t\n\r]+")
+_BETWEEN_SPACE = re.compile(_PIECE)
 #: White space beyond the four characters above, where cuts are not proven.
 _OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　]")
 
