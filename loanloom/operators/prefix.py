@@ -1,7 +1,7 @@
 """Running totals in key order without a single-task sort.
 
-Rows are reduced to one per distinct key, keys are cut into ranges at quantile
-edges, each range is summed in its own window, and the totals of the ranges
+Rows are reduced to one per distinct key, keys are cut into ranges at edges found
+by counting, each range is summed in its own window, and the totals of the ranges
 before it are added. The edges only balance the work; any edges give the same
 totals. No range holds more than its share of all rows, unless it is one key,
 and a key is a single row by then.
@@ -15,22 +15,42 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_RANGES = 4096
+from loanloom.operators.bins import LARGEST, Bracket, bounds, count_bins, finite
+
+#: Bins per expected range in a counting round.
+FINE = 8
 
 
 def range_edges(
     df: DataFrame, key: str, rows_per_range: int = 1_000_000, min_ranges: int = 8
 ) -> list[float]:
-    """Approximate quantiles of ``key`` that cut it into even ranges. They are
-    read to the driver once, so every use in a plan sees the same edges."""
-    fractions = ", ".join(f"{i / MAX_RANGES!r}" for i in range(1, MAX_RANGES))
-    sketch = f"percentile_approx({key}, array({fractions}), {2 * MAX_RANGES})"
-    found = df.agg(F.count(key).alias("rows"), F.expr(sketch).alias("edges")).first()
-    if not found["rows"]:
+    """Values of ``key`` that cut it into ranges of at most ``rows_per_range``
+    rows and of at most a ``min_ranges``-th of them, but for ranges of one key.
+    Bins with too many rows are counted again in finer ones, so the number of
+    edges follows the number of rows. They are read to the driver once, so every
+    use in a plan sees the same edges."""
+    values = df.select(finite(F.col(key)).alias("v"))
+    (whole,) = bounds(values, ["v"])
+    if not whole.rows:
         return []
-    ranges = min(MAX_RANGES, max(min_ranges, math.ceil(found["rows"] / rows_per_range)))
-    picked = {found["edges"][i * MAX_RANGES // ranges - 1] for i in range(1, ranges)}
-    return sorted(e for e in picked if math.isfinite(e))
+    most = max(1, min(rows_per_range, math.ceil(whole.rows / min_ranges)))
+    leaves, heavy, step = [], [whole], 0
+    while heavy:
+        brackets = [
+            Bracket(0, b.low, b.high, step % 2 == 1, FINE * math.ceil(b.rows / most)) for b in heavy
+        ]
+        heavy = []
+        for bins in count_bins(values, ["v"], brackets):
+            for b in bins:
+                (heavy if b.rows > most and b.low < b.high else leaves).append(b)
+        step += 1
+    edges, rows = [], 0
+    for b in sorted(leaves, key=lambda b: b.low):
+        if rows and rows + b.rows > most:
+            edges.append(b.low)
+            rows = 0
+        rows += b.rows
+    return [e for e in edges if abs(e) < LARGEST]
 
 
 def assign_range(df: DataFrame, key: str, edges: list[float], output: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Fitted preparation: median and mode imputation, scaling, ordinal codes.
 
-Everything fitted is a handful of numbers or labels per column, kept as stage
-parameters so that the stages can be saved and loaded.
+Numbers and most frequent values are kept as stage parameters. The codes of the
+categories are a table (column, value, code), saved beside the stage: it may have
+any number of rows and is joined, never collected.
 """
 
 from __future__ import annotations
@@ -12,11 +13,16 @@ from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+)
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.functions.columns import categorical_columns, numeric_columns
@@ -31,8 +37,8 @@ from loanloom.operators.features import (
     SentinelImputer,
 )
 from loanloom.operators.quantiles import exact_quantiles
+from loanloom.session import cut_lineage
 
-MAX_CATEGORIES = 1_000_000
 FEATURES = "features"
 
 
@@ -96,45 +102,51 @@ def _category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def category_tables(
+def fit_categories(
     df: DataFrame, columns: list[str]
-) -> tuple[dict[str, str], dict[str, list[str]]]:
-    """(most frequent value, sorted distinct values) per column from one pass.
+) -> tuple[dict[str, str], DataFrame | None]:
+    """Most frequent value per column (the smallest wins a tie), and the codes
+    (column, value, code) of all distinct values in ascending order.
 
-    The smallest value wins a tie. The labels become part of the model, so
-    columns with more than a million of them are refused.
+    Values are sorted by ranges; a value's code is its place in its range after
+    the values of the ranges before. Only one row per column is collected.
     """
     if not columns:
-        return {}, {}
-    rows = _category_counts(df, columns).limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in {columns}")
-    counts: dict[str, dict[str, int]] = {}
-    for row in rows:
-        counts.setdefault(row["column"], {})[row["value"]] = row["rows"]
-    present = {c: counts[c] for c in columns if c in counts}
-    modes = {c: min(n, key=lambda v: (-n[v], v)) for c, n in present.items()}
-    return modes, {c: sorted(n) for c, n in present.items()}
+        return {}, None
+    counts = cut_lineage(_category_counts(df, columns))
+    first = F.min(F.struct((-F.col("rows")).alias("n"), "value")).alias("first")
+    modes = {
+        r["column"]: r["first"]["value"] for r in counts.groupBy("column").agg(first).collect()
+    }
+    ranged = counts.select("column", "value").repartitionByRange("column", "value")
+    ranged = cut_lineage(ranged.withColumn("part", F.spark_partition_id()))
+    before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy("column", "part").agg(F.count(F.lit(1)).alias("n"))
+    parts = parts.select(
+        "column", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
+    )
+    place = F.row_number().over(Window.partitionBy("column", "part").orderBy("value"))
+    codes = ranged.withColumn("place", place).join(parts, ["column", "part"])
+    code = (F.col("place") - 1 + F.col("before")).cast("double").alias("code")
+    return {c: modes[c] for c in columns if c in modes}, cut_lineage(
+        codes.select("column", "value", code)
+    )
 
 
 def impute_modes(df: DataFrame, modes: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(m)) for c, m in modes.items()})
 
 
-def ordinal_encode(
-    df: DataFrame, categories: dict[str, list[str]], outputs: dict[str, str] | None = None
-) -> DataFrame:
-    """Position among the sorted categories; unseen values give -1."""
-    if not categories:
-        return df
-    outputs = outputs or {c: c for c in categories}
-    for name, labels in categories.items():
-        # one model per column: a model of several columns gives an unseen value
-        # the label count of another column
-        coded = StringIndexerModel.from_labels(labels, name, "_code", handleInvalid="keep")
-        code = F.col("_code")
-        known = F.when(code < len(labels), code).otherwise(F.lit(-1.0))
-        df = coded.transform(df).withColumn(outputs[name], known).drop("_code")
+def ordinal_encode(df: DataFrame, codes: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Replaces each of ``columns`` (name -> name in ``codes``) by the position
+    of its value among the sorted categories; unseen values give -1."""
+    for i, (name, fitted) in enumerate(columns.items()):
+        of_column = codes.where(F.col("column") == fitted).select(
+            F.col("value").alias(f"_value{i}"), F.col("code").alias(f"_code{i}")
+        )
+        df = df.join(of_column, df[f"`{name}`"].cast("string") == F.col(f"_value{i}"), "left")
+        df = df.withColumn(name, F.coalesce(F.col(f"_code{i}"), F.lit(-1.0)))
+        df = df.drop(f"_value{i}", f"_code{i}")
     return df
 
 
@@ -173,16 +185,32 @@ class ColumnPreparation(Estimator, DefaultParamsReadable, DefaultParamsWritable)
         texts = categorical_columns(dataset, exclude)
         medians = column_medians(dataset, numbers)
         spread = scaling(impute_medians(dataset, medians), list(medians))
-        modes, categories = category_tables(dataset, texts)
+        modes, codes = fit_categories(dataset, texts)
         fitted = {
             "numeric": [c for c in numbers if c in medians],
             "categorical": [c for c in texts if c in modes],
             "medians": medians,
             "scaling": spread,
             "modes": modes,
-            "categories": categories,
         }
-        return ColumnPreparationModel(fitted=json.dumps(fitted), passThrough=keep)
+        model = ColumnPreparationModel(fitted=json.dumps(fitted), passThrough=keep)
+        model.codes = codes
+        return model
+
+
+class _WithCodesWriter(DefaultParamsWriter):
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        if self.instance.codes is not None:
+            self.instance.codes.write.parquet(f"{path}/codes")
+
+
+class _WithCodesReader(DefaultParamsReader):
+    def load(self, path: str) -> ColumnPreparationModel:
+        model = super().load(path)
+        if model.values["categorical"]:
+            model.codes = self.sparkSession.read.parquet(f"{path}/codes")
+        return model
 
 
 class ColumnPreparationModel(Model, DefaultParamsReadable, DefaultParamsWritable):
@@ -196,6 +224,14 @@ class ColumnPreparationModel(Model, DefaultParamsReadable, DefaultParamsWritable
         super().__init__()
         self._setDefault(fitted="{}", passThrough=[])
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+        self.codes: DataFrame | None = None
+
+    def write(self) -> _WithCodesWriter:
+        return _WithCodesWriter(self)
+
+    @classmethod
+    def read(cls) -> _WithCodesReader:
+        return _WithCodesReader(cls)
 
     @property
     def values(self) -> dict:
@@ -224,9 +260,7 @@ class ColumnPreparationModel(Model, DefaultParamsReadable, DefaultParamsWritable
             for c in values["categorical"]
         ]
         ready = dataset.select(*kept, *numbers, *texts)
-        coded = ordinal_encode(
-            ready, {f"cat__{c}": values["categories"][c] for c in values["categorical"]}
-        )
+        coded = ordinal_encode(ready, self.codes, {f"cat__{c}": c for c in values["categorical"]})
         return coded.select(
             *[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)], *self.feature_names
         )
@@ -287,15 +321,18 @@ def keep_beside(model: PipelineModel, columns: list[str]) -> PipelineModel:
     for stage in model.stages:
         if isinstance(stage, ColumnPreparationModel):
             kept = [*stage.getOrDefault(stage.passThrough), *columns]
+            codes = stage.codes
             stage = ColumnPreparationModel(
                 fitted=stage.getOrDefault(stage.fitted), passThrough=list(dict.fromkeys(kept))
             )
+            stage.codes = codes
         stages.append(stage)
     return PipelineModel(stages=stages)
 
 
 def same_output(first: PipelineModel, second: PipelineModel, sample: DataFrame) -> bool:
-    """Do two fitted chains agree on every row of a sample?"""
+    """Do two fitted chains agree on every row of a sample? The sample has to be
+    the same rows each time it is read: a stored one, or a hash sample."""
     from pyspark.ml.functions import vector_to_array
 
     outputs = [

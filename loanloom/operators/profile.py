@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,8 +11,6 @@ from loanloom.operators.aggregates import null_rates
 from loanloom.operators.quantiles import exact_quantiles
 from loanloom.operators.sampling import hash_sample
 
-COLUMNS_PER_JOB = 100
-
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """Count and share of every value, missing values left out."""
@@ -69,17 +65,14 @@ def label_correlations(
     """(column, correlation) with the label for every numeric column."""
     names = columns or numeric_columns(df, [label, *(exclude or [])])
     y = F.col(label).cast("double")
-    jobs = []
-    for start in range(0, len(names), COLUMNS_PER_JOB):
-        found = [
-            F.struct(
-                F.lit(c).alias("column"),
-                _correlation(F.col(f"`{c}`").cast("double"), y).alias("correlation"),
-            )
-            for c in names[start : start + COLUMNS_PER_JOB]
-        ]
-        jobs.append(df.agg(F.array(*found).alias("s")).select(F.inline("s")))
-    return reduce(DataFrame.unionByName, jobs)
+    found = [
+        F.struct(
+            F.lit(c).alias("column"),
+            _correlation(F.col(f"`{c}`").cast("double"), y).alias("correlation"),
+        )
+        for c in names
+    ]
+    return df.agg(F.array(*found).alias("s")).select(F.inline("s"))
 
 
 def label_rate_by_category(df: DataFrame, label: str, columns: list[str]) -> DataFrame:
@@ -162,13 +155,20 @@ def top_values(df: DataFrame, columns: list[str], k: int = 5) -> DataFrame:
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Exact number of distinct present values per column."""
+    """Exact number of distinct present values per column; 0 where there are
+    none."""
+    entries = F.array(
+        *[
+            F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
+            for c in columns
+        ]
+    )
     return (
-        _as_text(df, columns)
+        df.select(F.inline(entries))
         .groupBy("column", "value")
         .agg(F.lit(1).alias("one"))
         .groupBy("column")
-        .agg(F.count(F.lit(1)).alias("distinct"))
+        .agg(F.count("value").alias("distinct"))
     )
 
 

@@ -1,9 +1,9 @@
 """Exact quantiles of many columns without sorting or collecting them.
 
-A sketch brackets each quantile between two values. One pass counts the rows
-below each bracket, and only the rows inside a bracket (a few in ten thousand)
-are ranked. A built-in exact percentile would hold all distinct values of a
-column in one task instead.
+Counting rounds narrow the bracket of each wanted rank until it holds a few
+thousand rows or one value; then its distinct values are read and the rank is
+picked. Each round is one aggregate for all columns and ranks. A built-in exact
+percentile would hold all distinct values of a column in one task instead.
 """
 
 from __future__ import annotations
@@ -11,25 +11,30 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
-RANK_ALL_BELOW = 20_000
+from loanloom.operators.bins import LARGEST, Bracket, bounds, count_bins, count_values, finite
+
+#: Rows of a bracket whose distinct values are read to the driver.
+PICKED_ROWS = 2_000
 
 
 @dataclass
-class _Bracket:
-    name: str
-    prob: float
-    low_rank: int
-    high_rank: int
+class _Rank:
+    """A wanted rank of a column; ``below`` rows lie under its bracket."""
+
+    column: int
+    rank: int
     low: float
     high: float
-    place: float
-    limits: tuple[float, float]
+    rows: int
     below: int = 0
 
+    @property
+    def narrow(self) -> bool:
+        return self.low == self.high or self.rows <= PICKED_ROWS
+
 
 def exact_quantiles(
     df: DataFrame, columns: dict[str, Column] | list[str], probs: list[float]
@@ -41,127 +46,58 @@ def exact_quantiles(
     names = list(columns)
     if not names:
         return {}
-    values = df.select(
-        [columns[n].cast("double").alias(f"c{i}") for i, n in enumerate(names)]
-    )
-    brackets = _bracket(values, names, probs)
-    _count_below(values, names, brackets)
-    return _interpolate(names, probs, brackets, _ranked(values, names, brackets))
-
-
-def _bracket(values: DataFrame, names: list[str], probs: list[float]) -> list[_Bracket]:
-    margin = 2.0 / ACCURACY
-    fractions = [
-        min(1.0, max(0.0, p + side)) for p in probs for side in (-margin, margin)
-    ]
-    checks = []
-    for i in range(len(names)):
-        column = F.col(f"c{i}")
-        checks += [
-            F.count(column).alias(f"n{i}"),
-            F.min(column).alias(f"min{i}"),
-            F.max(column).alias(f"max{i}"),
-            F.percentile_approx(column, fractions, ACCURACY).alias(f"q{i}"),
-        ]
-    seen = values.agg(*checks).first()
-    brackets = []
-    for i, name in enumerate(names):
-        rows = seen[f"n{i}"]
-        if not rows:
-            continue
-        for j, p in enumerate(probs):
-            place = (rows - 1) * p
-            low, high = seen[f"q{i}"][2 * j], seen[f"q{i}"][2 * j + 1]
-            if rows <= RANK_ALL_BELOW:
-                low, high = seen[f"min{i}"], seen[f"max{i}"]
-            brackets.append(
-                _Bracket(
-                    name,
-                    p,
-                    math.floor(place),
-                    math.ceil(place),
-                    low,
-                    high,
-                    place,
-                    (seen[f"min{i}"], seen[f"max{i}"]),
-                )
-            )
-    return brackets
-
-
-def _count_below(values: DataFrame, names: list[str], brackets: list[_Bracket]) -> None:
-    """Rows below each bracket; a bracket that misses its ranks is widened to
-    the whole column, so the answer is exact whatever the sketch said."""
-    index = {n: i for i, n in enumerate(names)}
-    narrow = [(k, b) for k, b in enumerate(brackets) if (b.low, b.high) != b.limits]
-    if not narrow:
-        return
-    checks = []
-    for k, b in narrow:
-        column = F.col(f"c{index[b.name]}")
-        checks += [
-            F.count_if(column < F.lit(b.low)).alias(f"below{k}"),
-            F.count_if(column <= F.lit(b.high)).alias(f"upto{k}"),
-        ]
-    seen = values.agg(*checks).first()
-    for k, b in narrow:
-        b.below = seen[f"below{k}"]
-        if b.below > b.low_rank or seen[f"upto{k}"] <= b.high_rank:
-            b.low, b.high = b.limits
-            b.below = 0
-
-
-def _ranked(
-    values: DataFrame, names: list[str], brackets: list[_Bracket]
-) -> dict[tuple[str, int], float]:
-    """The value at each wanted (column, rank). Brackets that cover the same
-    stretch of a column are ranked once."""
-    stretches: dict[tuple[str, float, float, int], set[int]] = {}
-    for b in brackets:
-        ranks = stretches.setdefault((b.name, b.low, b.high, b.below), set())
-        ranks.update((b.low_rank, b.high_rank))
-    if not stretches:
-        return {}
-    index = {n: i for i, n in enumerate(names)}
-    entries = []
-    for k, (name, low, high, _) in enumerate(stretches):
-        column = F.col(f"c{index[name]}")
-        inside = F.when((column >= F.lit(low)) & (column <= F.lit(high)), column)
-        entries.append(F.struct(F.lit(k).alias("k"), inside.alias("v")))
-    counted = (
-        values.select(F.inline(F.array(*entries)))
-        .where("v is not null")
-        .groupBy("k", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    order = (
-        Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    below = ", ".join(f"{key[3]}L" for key in stretches)
-    wanted = ", ".join(
-        f"array({', '.join(f'{r}L' for r in sorted(ranks))})" for ranks in stretches.values()
-    )
-    placed = counted.withColumn(
-        "last", F.sum("n").over(order) + F.element_at(F.expr(f"array({below})"), F.col("k") + 1)
-    )
-    first, last = F.col("last") - F.col("n"), F.col("last")
-    held = F.filter(
-        F.element_at(F.expr(f"array({wanted})"), F.col("k") + 1),
-        lambda rank: (first <= rank) & (rank < last),
-    )
-    rows = placed.select("k", "v", held.alias("ranks")).where(F.size("ranks") > 0).collect()
-    owners = [key[0] for key in stretches]
-    return {(owners[r["k"]], rank): r["v"] for r in rows for rank in r["ranks"]}
-
-
-def _interpolate(names, probs, brackets, ranked) -> dict[str, list[float | None]]:
-    result = {n: [None] * len(probs) for n in names}
-    for b in brackets:
-        low, high = ranked[(b.name, b.low_rank)], ranked[(b.name, b.high_rank)]
-        result[b.name][probs.index(b.prob)] = low + (high - low) * (b.place - b.low_rank)
+    held = [f"c{i}" for i in range(len(names))]
+    values = df.select([finite(columns[n]).alias(h) for n, h in zip(names, held, strict=True)])
+    whole = bounds(values, held)
+    ranks = {}
+    for i, b in enumerate(whole):
+        for p in probs if b.rows else ():
+            place = (b.rows - 1) * p
+            for rank in {math.floor(place), math.ceil(place)}:
+                ranks[i, rank] = _Rank(i, rank, b.low, b.high, b.rows)
+    found = _values_at(values, held, list(ranks.values()))
+    result: dict[str, list[float | None]] = {}
+    for i, (name, b) in enumerate(zip(names, whole, strict=True)):
+        places = [(b.rows - 1) * p for p in probs]
+        result[name] = [_between(found, i, place) if b.rows else None for place in places]
     return result
 
 
+def _between(found: dict[tuple[int, int], float], column: int, place: float) -> float:
+    low, high = found[column, math.floor(place)], found[column, math.ceil(place)]
+    return low if low == high else low + (high - low) * (place - math.floor(place))
+
+
+def _values_at(
+    values: DataFrame, columns: list[str], ranks: list[_Rank]
+) -> dict[tuple[int, int], float]:
+    step = 0
+    while open_ := [r for r in ranks if not r.narrow]:
+        brackets = list(dict.fromkeys(Bracket(r.column, r.low, r.high, step % 2 == 1) for r in open_))
+        bins = dict(zip(brackets, count_bins(values, columns, brackets), strict=True))
+        for r in open_:
+            for b in bins[Bracket(r.column, r.low, r.high, step % 2 == 1)]:
+                if r.below + b.rows > r.rank:
+                    r.low, r.high, r.rows = b.low, b.high, b.rows
+                    break
+                r.below += b.rows
+        step += 1
+    found = {(r.column, r.rank): r.low for r in ranks if r.low == r.high}
+    open_ = [r for r in ranks if r.low != r.high]
+    brackets = list(dict.fromkeys(Bracket(r.column, r.low, r.high) for r in open_))
+    if brackets:
+        read = dict(zip(brackets, count_values(values, columns, brackets), strict=True))
+        for r in open_:
+            below = r.below
+            for value, rows in read[Bracket(r.column, r.low, r.high)]:
+                below += rows
+                if below > r.rank:
+                    found[r.column, r.rank] = value
+                    break
+    infinite = {LARGEST: math.inf, -LARGEST: -math.inf}
+    return {k: infinite.get(v, v) for k, v in found.items()}
+
+
 def quantile_table(
     df: DataFrame, columns: dict[str, Column] | list[str], probs: list[float]
 ) -> DataFrame:
@@ -173,15 +109,3 @@ def quantile_table(
         for p, value in zip(probs, values, strict=True)
     ]
     return df.sparkSession.createDataFrame(rows, "column string, prob double, value double")
-
-
-def approximate_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    """One pass, rank error at most 1/10000."""
-    found = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.percentile_approx(F.col(f"`{c}`").cast("double"), probs, ACCURACY).alias("values"),
-        )
-        for c in columns
-    ]
-    return df.agg(F.array(*found).alias("s")).select(F.inline("s"))

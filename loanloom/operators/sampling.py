@@ -2,21 +2,24 @@
 
 The hash of ``id-seed`` gives every row a fixed place in a shuffled order, so a
 result does not change with partitioning, retries or engine. Splits and folds
-need only the hash values at their borders: those few values are looked up
-first, and each row is then assigned by comparing its own hash, with no shuffle
-of the rows. Ids must be unique.
+need only the hash values at their borders: those are looked up first, a row per
+class, and each row is then assigned by comparing its own hash with them. Ids
+must be unique.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.functions.columns import drop_incomplete
 from loanloom.functions.scalars import hash_order
+from loanloom.session import cut_lineage
 
-MAX_CLASSES = 100
-MAX_PREFIXES = 200_000
+#: Rows that share a hash prefix, on average, at most.
+ROWS_PER_PREFIX = 100_000
 
 
 def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
@@ -32,78 +35,60 @@ def complete_sample(
 
 
 def _border_hashes(
-    df: DataFrame, id_col: str, label: str, seed: int, ranks, digits: int
-) -> dict[object, list[str | None]]:
-    """Per class the hash at each rank that ``ranks(rows)`` asks for; ``None``
-    for rank 0. First the class is counted by hash prefix, then only the
-    prefixes that hold a border are ranked."""
+    df: DataFrame, id_col: str, label: str, seed: int, ranks: Column, digits: int | None
+) -> DataFrame:
+    """(label, borders): per class the hash at each of ``ranks``, an array over
+    the class's row count ``total``; NULL for rank 0. First the class is counted
+    by hash prefix, then only the prefixes that hold a border are ranked. A
+    table with one row per class, stored, so that its size is known."""
     keyed = df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("label"), hash_order(F.col(id_col), seed).alias("hash")
     )
-    classes = keyed.select("label", F.col("label").cast("string").alias("text")).distinct()
-    class_texts = {r["label"]: r["text"] for r in classes.limit(MAX_CLASSES + 1).collect()}
-    if len(class_texts) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values; not a class column")
-    while digits > 1 and len(class_texts) * 16**digits > MAX_PREFIXES:
-        digits -= 1
+    if digits is None:
+        rows = df.select(label).count()
+        digits = max(2, math.ceil(math.log(max(1, rows / ROWS_PER_PREFIX), 16)))
     prefixed = keyed.withColumn("prefix", F.substring("hash", 1, digits))
-    counts: dict[object, list[tuple[str, int]]] = {}
-    for row in prefixed.groupBy("label", "prefix").count().collect():
-        counts.setdefault(row["label"], []).append((row["prefix"], row["count"]))
-
-    borders = {}
-    wanted = []
-    for value, parts in counts.items():
-        parts.sort()
-        targets = ranks(sum(n for _, n in parts))
-        borders[value] = [None] * len(targets)
-        for i, target in enumerate(targets):
-            seen = 0
-            for prefix, n in parts:
-                if target and seen < target <= seen + n:
-                    wanted.append((value, i, prefix, target - seen))
-                    break
-                seen += n
-    if not wanted:
-        return borders
-    # one comparison against a list, so that a row is hashed once
-    cell = F.concat_ws("|", F.col("label").cast("string"), "prefix")
-    match = cell.isin(sorted({f"{class_texts[value]}|{p}" for value, _, p, _ in wanted}))
+    counts = cut_lineage(prefixed.groupBy("label", "prefix").agg(F.count(F.lit(1)).alias("rows")))
+    in_class = Window.partitionBy("label")
+    before = in_class.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    cells = counts.select(
+        "label",
+        "prefix",
+        "rows",
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"),
+        F.sum("rows").over(in_class).alias("total"),
+    )
+    totals = counts.groupBy("label").agg(F.sum("rows").alias("total"))
+    wanted = totals.select("label", F.posexplode(ranks).alias("border", "rank"))
+    cells = cells.select("label", "prefix", "rows", "before", F.posexplode(ranks).alias("border", "rank"))
+    inside = (F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("rows"))
+    cells = cut_lineage(
+        cells.where(inside).select("label", "prefix", "border", (F.col("rank") - F.col("before")).alias("place"))
+    )
     order = Window.partitionBy("label", "prefix").orderBy("hash")
-    ranked = prefixed.where(match).withColumn("place", F.row_number().over(order))
-    hit = F.lit(False)
-    for value, _, prefix, place in wanted:
-        hit = hit | (
-            (F.col("label") == F.lit(value))
-            & (F.col("prefix") == prefix)
-            & (F.col("place") == place)
-        )
-    found = {
-        (r["label"], r["prefix"], r["place"]): r["hash"] for r in ranked.where(hit).collect()
-    }
-    for value, i, prefix, place in wanted:
-        borders[value][i] = found[(value, prefix, place)]
-    return borders
-
-
-def _borders_passed(
-    id_col: str, label: str, seed: int, borders: dict[object, list[str | None]]
-) -> Column:
-    """How many borders of its class a row's hash lies beyond. The hash is bound
-    to a lambda variable: it is computed once per row, also where Spark moves
-    this expression into a filter."""
+    ranked = prefixed.join(cells.select("label", "prefix").distinct(), ["label", "prefix"], "left_semi")
+    ranked = ranked.withColumn("place", F.row_number().over(order))
+    found = ranked.join(cells, ["label", "prefix", "place"]).select("label", "border", "hash")
+    borders = wanted.join(found, ["label", "border"], "left").groupBy("label").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("border", "hash"))), lambda x: x["hash"]).alias("borders")
+    )
+    return cut_lineage(borders)
+
+
+def _numbered(
+    df: DataFrame, id_col: str, label: str, seed: int, borders: DataFrame, output: str
+) -> DataFrame:
+    """Adds how many borders of its class a row's hash lies beyond; NULL without
+    a class. The hash is bound to a lambda variable, so it is computed once."""
+    named = borders.select(F.col("label").alias("_class"), F.col("borders").alias("_borders"))
 
     def passed(place: Column) -> Column:
-        result = F.lit(None).cast("int")
-        for value, hashes in borders.items():
-            beyond = sum(
-                (F.lit(1) if h is None else (place > F.lit(h)).cast("int") for h in hashes),
-                F.lit(0),
-            )
-            result = F.when(F.col(label) == F.lit(value), beyond).otherwise(result)
-        return result
+        beyond = F.filter("_borders", lambda h: h.isNull() | (place > h))
+        return F.when(F.col("_borders").isNotNull(), F.size(beyond))
 
-    return F.transform(F.array(hash_order(F.col(id_col), seed)), passed)[0]
+    number = F.transform(F.array(hash_order(F.col(id_col), seed)), passed)[0]
+    joined = df.join(named, df[label] == named["_class"], "left")
+    return joined.withColumn(output, number).drop("_class", "_borders")
 
 
 def stratified_parts(
@@ -113,20 +98,14 @@ def stratified_parts(
     shares: list[float],
     seed: int = 42,
     output: str = "part",
-    digits: int = 4,
+    digits: int | None = None,
 ) -> DataFrame:
     """Number the rows 0, 1, … by consecutive shares of each class in hash
     order. A border after share s of n rows lies at rank round-half-up(s·n)."""
     cumulative = [sum(shares[: i + 1]) for i in range(len(shares) - 1)]
-    borders = _border_hashes(
-        df,
-        id_col,
-        label,
-        seed,
-        lambda n: [int(s * n + 0.5) for s in cumulative],
-        digits,
-    )
-    return df.withColumn(output, _borders_passed(id_col, label, seed, borders))
+    ranks = F.array(*[F.floor(F.lit(s) * F.col("total") + 0.5).cast("long") for s in cumulative])
+    borders = _border_hashes(df, id_col, label, seed, ranks, digits)
+    return _numbered(df, id_col, label, seed, borders, output)
 
 
 def stratified_split(
@@ -135,7 +114,7 @@ def stratified_split(
     label: str,
     test_share: float = 0.2,
     seed: int = 42,
-    digits: int = 4,
+    digits: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) with the class shares of the whole."""
     parts = stratified_parts(
@@ -154,16 +133,13 @@ def stratified_folds(
     folds: int = 5,
     seed: int = 42,
     output: str = "fold",
-    digits: int = 4,
+    digits: int | None = None,
 ) -> DataFrame:
     """Fold numbers 0 … folds-1; within a class the fold sizes differ by at
     most one row."""
-    borders = _border_hashes(
-        df,
-        id_col,
-        label,
-        seed,
-        lambda n: [n * i // folds for i in range(1, folds)],
-        digits,
-    )
-    return df.withColumn(output, _borders_passed(id_col, label, seed, borders))
+    ranks = F.transform(F.sequence(F.lit(1), F.lit(folds - 1)), lambda i: F.expr("total") * i)
+    ranks = F.transform(ranks, lambda r: F.floor(r / F.lit(folds)).cast("long"))
+    if folds < 2:
+        ranks = F.array().cast("array<long>")
+    borders = _border_hashes(df, id_col, label, seed, ranks, digits)
+    return _numbered(df, id_col, label, seed, borders, output)

@@ -192,7 +192,7 @@ def _mode(c: str) -> str:
 )
 def mode_impute(spark: SparkSession, folder: str) -> DataFrame:
     rows = _applicants(spark, folder).select(ID, *_TEXTS)
-    modes, _ = prepare.category_tables(rows, _TEXTS)
+    modes, _ = prepare.fit_categories(rows, _TEXTS)
     return prepare.impute_modes(rows, modes)
 
 
@@ -216,8 +216,8 @@ def ordinal_encode(spark: SparkSession, folder: str) -> DataFrame:
     names = ["NAME_INCOME_TYPE", "CODE_GENDER"]
     rows = _applicants(spark, folder).select(ID, *names)
     seen = rows.where("NAME_INCOME_TYPE <> 'MACHINERY' AND CODE_GENDER <> 'XNA'")
-    _, categories = prepare.category_tables(seen, names)
-    return prepare.ordinal_encode(rows, categories)
+    _, codes = prepare.fit_categories(seen, names)
+    return prepare.ordinal_encode(rows, codes, {c: c for c in names})
 
 
 _CHAIN_NUMERIC = {

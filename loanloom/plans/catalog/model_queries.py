@@ -18,6 +18,7 @@ from loanloom.operators import evaluation, prepare, training
 from loanloom.operators import quality as q
 from loanloom.operators.aggregates import left_join_all
 from loanloom.operators.applicants import aggregate_previous_applications
+from loanloom.operators.sampling import hash_sample
 from loanloom.plans import modelling
 from loanloom.plans.catalog.base import comparable, query
 from loanloom.plans.catalog.credit_view import loan_table
@@ -161,6 +162,7 @@ def preparation_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     model = prepare.fit_pipeline(rows, LABEL, [ID])
     path = f"{ensure_checkpoint_dir(spark)}/preparation-{uuid.uuid4().hex}"
     save_stages(model, path)
-    same = prepare.same_output(model, load_stages(path), rows.limit(100))
+    sample = cut_lineage(hash_sample(rows, ID, 100))
+    same = prepare.same_output(model, load_stages(path), sample)
     names = prepare.get_feature_names(model)
     return spark.createDataFrame([(n, same) for n in names], "feature string, same boolean")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,27 +32,21 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a private one only in local mode."""
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError(
-                "set spark.checkpoint.dir to a folder that every executor can reach"
-            )
-        folder = tempfile.mkdtemp(prefix="loanloom-checkpoint-")
-    context.setCheckpointDir(folder)
-    return folder
+    """The shared folder of ``spark.checkpoint.dir``; where that is unset, one
+    beside the session's warehouse, which is shared as well."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch").rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and read it back. Losing
     executors later re-reads files instead of repeating model fits and joins,
-    and unlike a row checkpoint the table is still read column by column."""
+    and unlike a row checkpoint the table is still read column by column. The
+    table goes when the session ends."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)

@@ -20,22 +20,26 @@ def test_scaling_of_one_row(spark):
 
 def test_mode_takes_the_smallest_on_a_tie(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,)], "s string")
-    modes, categories = prepare.category_tables(df, ["s"])
-    assert modes == {"s": "a"} and categories == {"s": ["a", "b"]}
+    modes, codes = prepare.fit_categories(df, ["s"])
+    assert modes == {"s": "a"}
+    assert {(r["value"], r["code"]) for r in codes.collect()} == {("a", 0.0), ("b", 1.0)}
     assert prepare.impute_modes(df, modes).where("s = 'a'").count() == 3
 
 
 def test_unseen_category_is_minus_one_in_every_column(spark):
     df = spark.createDataFrame([("a", "z"), ("q", "x"), ("b", "y")], "s string, t string")
-    out = prepare.ordinal_encode(df, {"s": ["a", "b"], "t": ["u", "v", "w", "x"]})
-    assert [tuple(r) for r in out.collect()] == [(0.0, -1.0), (-1.0, 3.0), (1.0, -1.0)]
-
-
-def test_category_column_must_be_small(spark, monkeypatch):
-    monkeypatch.setattr(prepare, "MAX_CATEGORIES", 3)
-    df = spark.range(10).select(F.col("id").cast("string").alias("s"))
-    with pytest.raises(ValueError, match="categories"):
-        prepare.category_tables(df, ["s"])
+    fitted = spark.createDataFrame([("a", "u"), ("b", "v"), (None, "w"), ("a", "x")], "s string, t string")
+    _, codes = prepare.fit_categories(fitted, ["s", "t"])
+    out = prepare.ordinal_encode(df, codes, {"s": "s", "t": "t"})
+    assert sorted(tuple(r) for r in out.collect()) == [(-1.0, 3.0), (0.0, -1.0), (1.0, -1.0)]
+
+
+def test_column_with_many_categories(spark):
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("s")).repartition(7)
+    modes, codes = prepare.fit_categories(df, ["s"])
+    assert modes == {"s": "0"}
+    expected = {v: float(i) for i, v in enumerate(sorted(str(n) for n in range(20_000)))}
+    assert {r["value"]: r["code"] for r in codes.collect()} == expected
 
 
 def raw(spark):
