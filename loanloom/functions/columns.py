@@ -46,16 +46,3 @@ def split_label(df: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
 
 def drop_incomplete(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.dropna(subset=columns)
-
-
-def round_doubles(df: DataFrame, digits: int = 6, keep: Iterable[str] = ()) -> DataFrame:
-    """Round every double column; used where results are shown or compared."""
-    skip = set(keep)
-    return df.select(
-        [
-            F.round(f.name, digits).alias(f.name)
-            if isinstance(f.dataType, T.DoubleType) and f.name not in skip
-            else F.col(f.name)
-            for f in df.schema
-        ]
-    )

@@ -40,7 +40,3 @@ def null_flag(column: Column) -> Column:
 def is_not_member(column: Column, members: list) -> Column:
     """True for values outside the set; a missing value counts as outside."""
     return ~F.coalesce(column.isin(members), F.lit(False))
-
-
-def fill_null(column: Column, value) -> Column:
-    return F.coalesce(column, F.lit(value))

@@ -25,18 +25,46 @@ from loanloom.functions.scalars import (
 # columns left out of the feature set.
 EMPLOYED_SENTINEL = 365243
 EXTERNAL_SCORES = ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
-DROPPED_COLUMNS = """
-    SK_ID_CURR DAYS_EMPLOYED WEEKDAY_APPR_PROCESS_START
-    COMMONAREA_MODE COMMONAREA_MEDI NONLIVINGAPARTMENTS_MODE NONLIVINGAPARTMENTS_MEDI
-    LIVINGAPARTMENTS_MODE LIVINGAPARTMENTS_MEDI FLOORSMIN_MODE FLOORSMIN_MEDI
-    YEARS_BUILD_MODE YEARS_BUILD_MEDI LANDAREA_MODE LANDAREA_MEDI
-    BASEMENTAREA_MODE BASEMENTAREA_MEDI NONLIVINGAREA_MODE NONLIVINGAREA_MEDI
-    ELEVATORS_MODE ELEVATORS_MEDI APARTMENTS_MODE APARTMENTS_MEDI
-    ENTRANCES_MODE ENTRANCES_MEDI LIVINGAREA_MODE LIVINGAREA_MEDI
-    FLOORSMAX_MODE FLOORSMAX_MEDI TOTALAREA_MODE
-    FLAG_MOBIL FLAG_DOCUMENT_2 FLAG_DOCUMENT_10 FLAG_DOCUMENT_12 FLAG_DOCUMENT_17
-    FLAG_DOCUMENT_19 FLAG_DOCUMENT_20 FLAG_DOCUMENT_21
-""".split()
+DROPPED_COLUMNS = [
+    "SK_ID_CURR",
+    "DAYS_EMPLOYED",
+    "WEEKDAY_APPR_PROCESS_START",
+    "COMMONAREA_MODE",
+    "COMMONAREA_MEDI",
+    "NONLIVINGAPARTMENTS_MODE",
+    "NONLIVINGAPARTMENTS_MEDI",
+    "LIVINGAPARTMENTS_MODE",
+    "LIVINGAPARTMENTS_MEDI",
+    "FLOORSMIN_MODE",
+    "FLOORSMIN_MEDI",
+    "YEARS_BUILD_MODE",
+    "YEARS_BUILD_MEDI",
+    "LANDAREA_MODE",
+    "LANDAREA_MEDI",
+    "BASEMENTAREA_MODE",
+    "BASEMENTAREA_MEDI",
+    "NONLIVINGAREA_MODE",
+    "NONLIVINGAREA_MEDI",
+    "ELEVATORS_MODE",
+    "ELEVATORS_MEDI",
+    "APARTMENTS_MODE",
+    "APARTMENTS_MEDI",
+    "ENTRANCES_MODE",
+    "ENTRANCES_MEDI",
+    "LIVINGAREA_MODE",
+    "LIVINGAREA_MEDI",
+    "FLOORSMAX_MODE",
+    "FLOORSMAX_MEDI",
+    "TOTALAREA_MODE",
+    "FLAG_MOBIL",
+    "FLAG_DOCUMENT_2",
+    "FLAG_DOCUMENT_10",
+    "FLAG_DOCUMENT_12",
+    "FLAG_DOCUMENT_17",
+    "FLAG_DOCUMENT_19",
+    "FLAG_DOCUMENT_20",
+    "FLAG_DOCUMENT_21",
+]
 
 
 def sentinel_to_null(
@@ -168,6 +196,31 @@ HISTORY_MARKERS = {
     "POS": "POS_LOAN_COUNT",
     "INST": "INST_COUNT",
 }
+# Columns of the plan that get an IS_NULL flag (the housing columns
+# with more than half of their values missing) and ratios with their denominators.
+FLAGGED_COLUMNS = [
+    "EXT_SOURCE_1",
+    "APARTMENTS_AVG",
+    "BASEMENTAREA_AVG",
+    "YEARS_BUILD_AVG",
+    "COMMONAREA_AVG",
+    "ELEVATORS_AVG",
+    "ENTRANCES_AVG",
+    "FLOORSMIN_AVG",
+    "LANDAREA_AVG",
+    "LIVINGAPARTMENTS_AVG",
+    "LIVINGAREA_AVG",
+    "NONLIVINGAPARTMENTS_AVG",
+    "NONLIVINGAREA_AVG",
+]
+PLANNED_DENOMINATORS = {
+    "CREDIT_GOODS_RATIO": ("AMT_GOODS_PRICE", 0),
+    "INCOME_PER_PERSON": ("CNT_FAM_MEMBERS", 1),
+    "REGISTRATION_AGE_RATIO": ("DAYS_BIRTH", 0),
+    "BUREAU_ACTIVE_RATIO": ("BUREAU_LOAN_COUNT", 0),
+    "BUREAU_CREDIT_UTILIZATION": ("BUREAU_AMT_CREDIT_SUM_SUM", 0),
+    "PREV_REFUSAL_RATIO": ("PREV_LOAN_COUNT", 0),
+}
 MISSING_CATEGORY_COLUMNS = [
     "OCCUPATION_TYPE",
     "FONDKAPREMONT_MODE",
@@ -178,23 +231,30 @@ MISSING_CATEGORY_COLUMNS = [
 
 def add_planned_imputation(df: DataFrame, flagged: list[str] | None = None) -> DataFrame:
     """Rules of the feature plan that need no fit: history flags and IS_NULL
-    flags are taken first, then counts and sums become 0, undefined ratios
-    become 0, the late-status rate becomes 0, text gaps become "Missing" and
-    the age of a car that is not owned becomes 0. Other gaps are left to the
-    median step."""
+    flags are taken first, then counts and sums become 0, a ratio whose
+    denominator is 0 or missing becomes 0, the late-status rate becomes 0, text
+    gaps become "Missing" and the age of a car that is not owned becomes 0. Other
+    gaps, such as a ratio that only lacks its numerator, are left to the median
+    step. Every rule looks at the columns as they came."""
     flags = {
         f"{prefix}_HAS_HISTORY": F.col(marker).isNotNull().cast("int")
         for prefix, marker in HISTORY_MARKERS.items()
         if marker in df.columns
     }
-    flagged = ["EXT_SOURCE_1"] if flagged is None else flagged
+    flagged = FLAGGED_COLUMNS if flagged is None else flagged
     flags |= {f"{c}_IS_NULL": null_flag(F.col(c)) for c in flagged if c in df.columns}
+    denominators = {n: (b, shift) for n, (_, b, shift) in RATIO_INPUTS.items()}
+    denominators |= PLANNED_DENOMINATORS
     filled = {}
     for name in df.columns:
         ours = name.split("_")[0] in {*HISTORY_MARKERS, "BB"}
         counted = name.endswith(("_COUNT", "_SUM", "_SIZE"))
-        if (ours and counted) or name in RATIO_INPUTS or name == "BB_DPD_RATE":
+        if (ours and counted) or name == "BB_DPD_RATE":
             filled[name] = F.coalesce(F.col(name), F.lit(0).cast(df.schema[name].dataType))
+        elif name in denominators and denominators[name][0] in df.columns:
+            below, shift = denominators[name]
+            undefined = F.col(below).isNull() | (F.col(below) + F.lit(shift) == 0)
+            filled[name] = F.when(undefined, F.lit(0.0)).otherwise(F.col(name))
         elif name in MISSING_CATEGORY_COLUMNS:
             filled[name] = F.coalesce(F.col(name), F.lit("Missing"))
     if {"OWN_CAR_AGE", "FLAG_OWN_CAR"} <= set(df.columns):

@@ -17,17 +17,11 @@ from pyspark.sql import types as T
 
 from loanloom.functions.scalars import ratio
 
-RESULT_SCHEMA = (
-    "number int, expectation string, column string, success boolean,"
-    " observed_value double, element_count bigint, unexpected_count bigint,"
-    " unexpected_percent double"
-)
-
-
 @dataclass(frozen=True)
 class Expectation:
     """One check. ``unexpected`` marks failing rows, ``considered`` the rows it
-    looks at; ``observed`` is a table-level value that must lie in ``bounds``."""
+    looks at; ``observed`` is a table-level value that must lie in ``bounds``.
+    ``needs`` is the kind of column, "number" or "text", that it can look at."""
 
     name: str
     column: str | None = None
@@ -37,6 +31,19 @@ class Expectation:
     observed: Callable[[DataFrame], Column] | None = None
     bounds: tuple[float | None, float | None] = (None, None)
     kind: str = "rows"
+    needs: str | None = None
+
+
+def _kind_of_values(values: list) -> str | None:
+    kinds = {"text" if isinstance(v, str) else "number" for v in values}
+    return kinds.pop() if len(kinds) == 1 else None
+
+
+def _fits(dtype: T.DataType, needs: str | None) -> bool:
+    """Can values of the type be checked without converting them?"""
+    if needs is None:
+        return True
+    return isinstance(dtype, T.NumericType if needs == "number" else T.StringType)
 
 
 def column_exists(column: str) -> Expectation:
@@ -58,7 +65,9 @@ def unique(column: str) -> Expectation:
 
 
 def in_set(column: str, values: list) -> Expectation:
-    return Expectation("in_set", column, lambda c: ~F.col(c).isin(values))
+    return Expectation(
+        "in_set", column, lambda c: ~F.col(c).isin(values), needs=_kind_of_values(values)
+    )
 
 
 def between(
@@ -75,7 +84,7 @@ def between(
             tests.append(F.col(c) >= high if strict else F.col(c) > high)
         return reduce(lambda a, b: a | b, tests, F.lit(False))
 
-    return Expectation("between", column, outside)
+    return Expectation("between", column, outside, needs="number")
 
 
 def mean_between(column: str, low: float, high: float) -> Expectation:
@@ -85,6 +94,7 @@ def mean_between(column: str, low: float, high: float) -> Expectation:
         observed=lambda df: F.avg(column),
         bounds=(low, high),
         kind="table",
+        needs="number",
     )
 
 
@@ -206,10 +216,13 @@ def _unique_check(df: DataFrame, number: int, check: Expectation) -> DataFrame:
 
 def check_expectations(df: DataFrame, checks: list[Expectation]) -> DataFrame:
     """One row per expectation, in order of ``number``. A check on an absent
-    column fails without stopping the others."""
+    column, or one of a kind that it cannot look at, fails without figures and
+    without stopping the others."""
     results, separate = [], []
+    types = {f.name: f.dataType for f in df.schema}
     for number, check in enumerate(checks, 1):
-        exists = check.column is None or check.column in df.columns
+        exists = check.column is None or check.column in types
+        exists = exists and (check.column is None or _fits(types[check.column], check.needs))
         if check.kind == "schema" or not exists:
             passed = F.lit(check.kind == "schema" and exists)
             results.append(_result(number, check, passed))
@@ -240,10 +253,12 @@ def check_expectations(df: DataFrame, checks: list[Expectation]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Rule:
-    """A value check with the name it is reported under."""
+    """A value check with the name it is reported under, and the kind of column
+    that it can look at."""
 
     name: str
     failing: Callable[[Column], Column]
+    needs: str | None = "number"
 
 
 def greater_than(limit) -> Rule:
@@ -259,7 +274,7 @@ def less_than(limit) -> Rule:
 
 
 def member(values: list) -> Rule:
-    return Rule(f"isin({values})", lambda c: ~c.isin(values))
+    return Rule(f"isin({values})", lambda c: ~c.isin(values), _kind_of_values(values))
 
 
 def in_range(low, high) -> Rule:
@@ -317,17 +332,21 @@ def _schema_failures(df: DataFrame, contract: list[ColumnRule]) -> list[tuple[st
 
 def contract_violations(df: DataFrame, contract: list[ColumnRule]) -> DataFrame:
     """Every violation as (column, check, failure_case, rows): rows counts how
-    often the failing value occurs. Types are compared, never converted; columns
-    outside the contract are ignored; missing values skip value checks. Of a
-    repeated key every row but the first is a failure."""
-    present = [r for r in contract if r.name in df.columns]
+    often the failing value occurs. Types are compared, never converted: a column
+    of the wrong kind is a failure of its type, and its values are not looked at.
+    Columns outside the contract are ignored; missing values skip value checks.
+    Of a repeated key every row is a failure."""
+    types = {f.name: f.dataType for f in df.schema}
+    present = [r for r in contract if r.name in types]
     entries, duplicates = [], []
     for rule in present:
         column = F.col(rule.name)
         if not rule.nullable:
             entries.append((column.isNull(), rule.name, "not_nullable"))
         for check in rule.rules:
-            entries.append((column.isNotNull() & check.failing(column), rule.name, check.name))
+            if _fits(types[rule.name], check.needs):
+                failing = column.isNotNull() & check.failing(column)
+                entries.append((failing, rule.name, check.name))
         if rule.unique:
             duplicates.append(
                 df.where(column.isNotNull())
@@ -338,7 +357,7 @@ def contract_violations(df: DataFrame, contract: list[ColumnRule]) -> DataFrame:
                     F.lit(rule.name).alias("column"),
                     F.lit("unique").alias("check"),
                     F.col("key").cast("string").alias("failure_case"),
-                    (F.col("n") - 1).alias("rows"),
+                    F.col("n").alias("rows"),
                 )
             )
     schema = "column string, check string, failure_case string, rows bigint"
@@ -377,16 +396,27 @@ def contract_summary(violations: DataFrame) -> DataFrame:
 
 
 def row_errors(df: DataFrame, contract: list[ColumnRule], output: str = "errors") -> DataFrame:
-    """Adds the list of violated constraints ("column: check") to every row."""
+    """Adds the list of violated constraints ("column: check") to every row. An
+    absent column, or one whose kind no value check of it can look at, is an
+    error of every row."""
+    types = {f.name: f.dataType for f in df.schema}
     tests = []
     for rule in contract:
+        if rule.name not in types:
+            tests.append(F.lit(f"{rule.name}: column_in_dataframe"))
+            continue
         column = F.col(rule.name)
         if not rule.nullable:
             tests.append(F.when(column.isNull(), F.lit(f"{rule.name}: not_nullable")))
+        if not all(_fits(types[rule.name], check.needs) for check in rule.rules):
+            tests.append(F.lit(f"{rule.name}: dtype({rule.dtype.simpleString()})"))
+            continue
         for check in rule.rules:
             tests.append(
                 F.when(check.failing(column), F.lit(f"{rule.name}: {check.name}"))
             )
+    if not tests:
+        return df.withColumn(output, F.array().cast("array<string>"))
     return df.withColumn(output, F.array_compact(F.array(*tests)))
 
 

@@ -236,9 +236,9 @@ def cross_validate(
     parallelism: int = 5,
 ) -> CrossValidation:
     """Fit on all folds but one and score the one left out, for every fold.
-    ``parallelism`` folds share the cluster at a time. ``df`` is read several
-    times per fold, so it should be a stored table."""
-    numbered = stratified_folds(df, id_col, label, folds, seed, "fold")
+    ``parallelism`` folds share the cluster at a time. The rows are stored with
+    their fold, because every fold reads them several times."""
+    numbered = cut_lineage(stratified_folds(df, id_col, label, folds, seed, "fold"))
 
     def score_fold(part: tuple[int, DataFrame, DataFrame]) -> DataFrame:
         fold, train, valid = part
@@ -296,7 +296,7 @@ def search(
 ) -> list[Trial]:
     """Mean average precision over the folds for every parameter set, best
     first. ``parallelism`` fits run at the same time on a cached fold."""
-    numbered = stratified_folds(df, id_col, label, folds, seed, "fold")
+    numbered = cut_lineage(stratified_folds(df, id_col, label, folds, seed, "fold"))
     evaluator = AveragePrecisionEvaluator(labelCol=label)
     totals = [0.0] * len(candidates)
     for _, train, valid in _fold_numbers(folds, "fold", numbered):

@@ -24,7 +24,7 @@ _FROM = {
     "installments_payments": "lineitem JOIN orders ON l_orderkey = o_orderkey",
 }
 
-_COLUMNS = {
+COLUMNS = {
     "application_train": {
         "SK_ID_CURR": "CAST(c_custkey AS INT)",
         "TARGET": "CAST(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS TINYINT)",
@@ -152,12 +152,12 @@ def loan_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     else:
         source = table(spark, folder, _FROM[name])
     return source.selectExpr(
-        *[f"{_days(expr, write)} AS {column}" for column, expr in _COLUMNS[name].items()]
+        *[f"{_days(expr, write)} AS {column}" for column, expr in COLUMNS[name].items()]
     )
 
 
 def loan_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {f"{name}.csv": loan_table(spark, folder, name) for name in _COLUMNS}
+    return {f"{name}.csv": loan_table(spark, folder, name) for name in COLUMNS}
 
 
 def loan_sql(*names: str) -> str:
@@ -166,7 +166,7 @@ def loan_sql(*names: str) -> str:
     parts = []
     for name in names:
         columns = ", ".join(
-            f"{_days(expr, write)} AS {column}" for column, expr in _COLUMNS[name].items()
+            f"{_days(expr, write)} AS {column}" for column, expr in COLUMNS[name].items()
         )
         parts.append(f"{name} AS (SELECT {columns} FROM {_FROM[name]})")
     return ", ".join(parts)

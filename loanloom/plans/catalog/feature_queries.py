@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loanloom.functions.columns import numeric_columns
 from loanloom.operators import features, prepare
 from loanloom.plans.catalog.base import comparable, query, rounded
+from loanloom.plans.catalog.wide import AGGREGATES, WIDE_SQL, wide
 from loanloom.plans.catalog.credit_view import loan_sql, loan_table
 
 ID, LABEL = "SK_ID_CURR", "TARGET"
@@ -98,42 +99,91 @@ def drop_columns(spark: SparkSession, folder: str) -> DataFrame:
     return features.DropColumns(columnsToDrop=dropped).transform(rows)
 
 
-@query(
-    "F9",
-    f"""{_APP} SELECT SK_ID_CURR,
-      {_ratio("AMT_CREDIT", "AMT_GOODS_PRICE")} AS CREDIT_GOODS_RATIO,
-      {_ratio("AMT_INCOME_TOTAL", "CNT_FAM_MEMBERS + 1")} AS INCOME_PER_PERSON,
-      {rounded("abs(nullif(DAYS_EMPLOYED, 365243)) / 365e0")} AS EMPLOYMENT_YEARS,
-      {_ratio("DAYS_REGISTRATION", "DAYS_BIRTH")} AS REGISTRATION_AGE_RATIO,
-      {rounded("CAST(EXT_SOURCE_1 AS DOUBLE) * EXT_SOURCE_2 * EXT_SOURCE_3")} AS EXT_SOURCE_PRODUCT,
-      {rounded("least(EXT_SOURCE_1, EXT_SOURCE_2, EXT_SOURCE_3)")} AS EXT_SOURCE_MIN
-    FROM application_train""",
-)
+_PLANNED_SQL = f"""
+  {_ratio("AMT_CREDIT", "AMT_GOODS_PRICE")} AS CREDIT_GOODS_RATIO,
+  {_ratio("AMT_INCOME_TOTAL", "CNT_FAM_MEMBERS + 1")} AS INCOME_PER_PERSON,
+  {rounded("abs(nullif(DAYS_EMPLOYED, 365243)) / 365e0")} AS EMPLOYMENT_YEARS,
+  {_ratio("DAYS_REGISTRATION", "DAYS_BIRTH")} AS REGISTRATION_AGE_RATIO,
+  {rounded("CAST(EXT_SOURCE_1 AS DOUBLE) * EXT_SOURCE_2 * EXT_SOURCE_3")} AS EXT_SOURCE_PRODUCT,
+  {rounded("least(EXT_SOURCE_1, EXT_SOURCE_2, EXT_SOURCE_3)")} AS EXT_SOURCE_MIN,
+  {_ratio("BUREAU_ACTIVE_LOAN_COUNT", "BUREAU_LOAN_COUNT")} AS BUREAU_ACTIVE_RATIO,
+  {_ratio("BUREAU_AMT_CREDIT_SUM_DEBT_SUM", "BUREAU_AMT_CREDIT_SUM_SUM")}
+    AS BUREAU_CREDIT_UTILIZATION,
+  {_ratio("PREV_REFUSED_COUNT", "PREV_LOAN_COUNT")} AS PREV_REFUSAL_RATIO"""
+_PLANNED = [
+    "CREDIT_GOODS_RATIO",
+    "INCOME_PER_PERSON",
+    "EMPLOYMENT_YEARS",
+    "REGISTRATION_AGE_RATIO",
+    "EXT_SOURCE_PRODUCT",
+    "EXT_SOURCE_MIN",
+    "BUREAU_ACTIVE_RATIO",
+    "BUREAU_CREDIT_UTILIZATION",
+    "PREV_REFUSAL_RATIO",
+]
+
+
+@query("F9", f"{WIDE_SQL} SELECT SK_ID_CURR, {_PLANNED_SQL} FROM wide")
 def planned_features(spark: SparkSession, folder: str) -> DataFrame:
-    made = features.add_planned_features(_applicants(spark, folder))
-    names = [
-        "CREDIT_GOODS_RATIO",
-        "INCOME_PER_PERSON",
-        "EMPLOYMENT_YEARS",
-        "REGISTRATION_AGE_RATIO",
-        "EXT_SOURCE_PRODUCT",
-        "EXT_SOURCE_MIN",
-    ]
-    return comparable(made.select(ID, *names), [ID])
+    made = features.add_planned_features(wide(spark, folder))
+    return comparable(made.select(ID, *_PLANNED), [ID])
+
+
+def _defined(numerator: str, denominator: str) -> str:
+    """0 where the denominator is 0 or missing, else the ratio or its gap."""
+    return (
+        f"CASE WHEN coalesce({denominator}, 0) = 0 THEN 0e0"
+        f" ELSE {_ratio(numerator, denominator)} END"
+    )
+
+
+_ZERO_FILLED = [
+    c for c in AGGREGATES if c.endswith(("_COUNT", "_SUM", "_SIZE")) or c == "BB_DPD_RATE"
+]
+_HISTORY_FLAGS = {
+    "BUREAU": "BUREAU_LOAN_COUNT",
+    "PREV": "PREV_LOAN_COUNT",
+    "POS": "POS_LOAN_COUNT",
+    "INST": "INST_COUNT",
+}
+_IMPUTED_RATIOS = {
+    "CREDIT_INCOME_RATIO": ("AMT_CREDIT", "AMT_INCOME_TOTAL + 1"),
+    "ANNUITY_INCOME_RATIO": ("AMT_ANNUITY", "AMT_INCOME_TOTAL + 1"),
+    "CREDIT_TERM": ("AMT_ANNUITY", "AMT_CREDIT + 1"),
+    "DAYS_EMPLOYED_RATIO": ("nullif(DAYS_EMPLOYED, 365243)", "DAYS_BIRTH - 1"),
+    "CREDIT_GOODS_RATIO": ("AMT_CREDIT", "AMT_GOODS_PRICE"),
+    "INCOME_PER_PERSON": ("AMT_INCOME_TOTAL", "CNT_FAM_MEMBERS + 1"),
+    "REGISTRATION_AGE_RATIO": ("DAYS_REGISTRATION", "DAYS_BIRTH"),
+    "BUREAU_ACTIVE_RATIO": ("BUREAU_ACTIVE_LOAN_COUNT", "BUREAU_LOAN_COUNT"),
+    "BUREAU_CREDIT_UTILIZATION": (
+        "BUREAU_AMT_CREDIT_SUM_DEBT_SUM",
+        "BUREAU_AMT_CREDIT_SUM_SUM",
+    ),
+    "PREV_REFUSAL_RATIO": ("PREV_REFUSED_COUNT", "PREV_LOAN_COUNT"),
+}
 
 
 @query(
     "F10",
-    f"""{_APP} SELECT SK_ID_CURR, CAST(EXT_SOURCE_1 IS NULL AS INTEGER) AS EXT_SOURCE_1_IS_NULL,
+    f"""{WIDE_SQL} SELECT SK_ID_CURR, CAST(EXT_SOURCE_1 IS NULL AS INTEGER) AS EXT_SOURCE_1_IS_NULL,
+      {", ".join(f'CAST({c} IS NOT NULL AS INTEGER) AS {p}_HAS_HISTORY'
+                 for p, c in _HISTORY_FLAGS.items())},
       coalesce(OCCUPATION_TYPE, 'Missing') AS OCCUPATION_TYPE,
       {rounded("CASE WHEN OWN_CAR_AGE IS NULL AND FLAG_OWN_CAR = 'N' THEN 0 ELSE OWN_CAR_AGE END")}
-        AS OWN_CAR_AGE
-    FROM application_train""",
+        AS OWN_CAR_AGE,
+      {", ".join(f"{_defined(a, b)} AS {c}" for c, (a, b) in _IMPUTED_RATIOS.items())},
+      {", ".join(f"{rounded(f'coalesce({c}, 0)')} AS {c}" for c in _ZERO_FILLED)},
+      BUREAU_DAYS_CREDIT_MEAN
+    FROM wide""",
 )
 def planned_imputation(spark: SparkSession, folder: str) -> DataFrame:
-    made = features.add_planned_imputation(_applicants(spark, folder))
-    names = ["EXT_SOURCE_1_IS_NULL", "OCCUPATION_TYPE", "OWN_CAR_AGE"]
-    return comparable(made.select(ID, *names), [ID, "EXT_SOURCE_1_IS_NULL"])
+    """All rules of the plan on the wide table; the mean of the history columns
+    keeps its gaps."""
+    rows = features.add_ratios(features.sentinel_to_null(wide(spark, folder)))
+    made = features.add_planned_imputation(features.add_planned_features(rows))
+    flags = ["EXT_SOURCE_1_IS_NULL", *[f"{p}_HAS_HISTORY" for p in _HISTORY_FLAGS]]
+    names = [*flags, "OCCUPATION_TYPE", "OWN_CAR_AGE", *_IMPUTED_RATIOS, *_ZERO_FILLED]
+    return comparable(made.select(ID, *names, "BUREAU_DAYS_CREDIT_MEAN"), [ID, *flags], exact=["_MEAN"])
 
 
 _FILLED = ["AMT_CREDIT", "AMT_ANNUITY", "OWN_CAR_AGE", "EXT_SOURCE_1", "EXT_SOURCE_3"]

@@ -1,7 +1,7 @@
 """Queries that fit models. They have no SQL counterpart.
 
-The applicants are customers; the features are the aggregates of their orders
-and the derived applicant columns; the label is a negative balance. Searches are
+The applicants are customers; the features are all columns of the wide table; the
+label is a negative balance. Searches are
 kept to two small trials per family here; the number of trials and the ranges
 are parameters of the operators.
 """
@@ -16,12 +16,11 @@ from pyspark.sql import types as T
 
 from loanloom.operators import evaluation, prepare, training
 from loanloom.operators import quality as q
-from loanloom.operators.aggregates import left_join_all
-from loanloom.operators.applicants import aggregate_previous_applications
-from loanloom.operators.sampling import hash_sample
+from loanloom.operators.ranking import find_optimal_threshold
+from loanloom.operators.sampling import hash_sample, stratified_parts
 from loanloom.plans import modelling
 from loanloom.plans.catalog.base import comparable, query
-from loanloom.plans.catalog.credit_view import loan_table
+from loanloom.plans.catalog.wide import wide
 from loanloom.session import cut_lineage, ensure_checkpoint_dir
 from loanloom.sources.stores import load_stages, save_stages
 
@@ -29,54 +28,21 @@ ID, LABEL = "SK_ID_CURR", "TARGET"
 _SMALL_BOOSTED = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.1}
 
 
-_FEATURES = [
-    "CODE_GENDER",
-    "NAME_CONTRACT_TYPE",
-    "NAME_INCOME_TYPE",
-    "WEEKDAY_APPR_PROCESS_START",
-    "AMT_INCOME_TOTAL",
-    "AMT_CREDIT",
-    "AMT_ANNUITY",
-    "DAYS_BIRTH",
-    "DAYS_EMPLOYED",
-    "EXT_SOURCE_1",
-    "EXT_SOURCE_2",
-    "EXT_SOURCE_3",
-]
-_HISTORY = [
-    "PREV_AMT_APPLICATION_MEAN",
-    "PREV_AMT_CREDIT_MAX",
-    "PREV_DAYS_DECISION_MEAN",
-    "PREV_CNT_PAYMENT_SUM",
-    "PREV_LOAN_COUNT",
-    "PREV_REFUSED_COUNT",
-    "PREV_APPROVAL_RATE",
-]
-
-
 def applicants(spark: SparkSession, folder: str) -> DataFrame:
-    """Applicant columns with a few aggregates of earlier applications, stored
-    once because every fit reads them several times."""
-    main = loan_table(spark, folder, "application_train").select(ID, LABEL, *_FEATURES)
-    previous = aggregate_previous_applications(loan_table(spark, folder, "previous_application"))
-    history = previous.select(ID, *[F.col(c).cast("double").alias(c) for c in _HISTORY])
-    return cut_lineage(left_join_all(main, [history], ID))
+    """The wide table, stored once because every fit reads it several times."""
+    return cut_lineage(wide(spark, folder))
 
 
 @query("T1 T2 R7 A27")
 def logistic_cv(spark: SparkSession, folder: str) -> DataFrame:
-    found = training.cross_validate(
-        applicants(spark, folder), training.LOGISTIC, ID, LABEL, 5, {"maxIter": 100}
-    )
+    found = training.cross_validate(applicants(spark, folder), training.LOGISTIC, ID, LABEL)
     return comparable(found.folds, ["fold", "size"])
 
 
 @query("T2 R4 A25 S15")
 def baseline_run(spark: SparkSession, folder: str) -> DataFrame:
     """Cross-validated baseline: summary and pooled confusion counts."""
-    run = modelling.train_baseline(
-        applicants(spark, folder), ID, LABEL, 3, params={"maxIter": 50}
-    )
+    run = modelling.train_baseline(applicants(spark, folder), ID, LABEL)
     counts = run.confusion.first().asDict()
     row = {**run.summary, "threshold": run.threshold, **{k: float(v) for k, v in counts.items()}}
     return spark.createDataFrame([(k, float(v)) for k, v in row.items()], "name string, value double")
@@ -98,14 +64,26 @@ def boosted_champion(spark: SparkSession, folder: str) -> DataFrame:
 
 def _fitted(spark: SparkSession, folder: str):
     rows = applicants(spark, folder)
-    return rows, training.fit_model(rows, training.LOGISTIC, LABEL, {"maxIter": 100}, [ID])
+    return rows, training.fit_model(rows, training.LOGISTIC, LABEL, None, [ID])
+
+
+def _fitted_on_part(spark: SparkSession, folder: str):
+    """Rows to score, rows to calibrate on, and a model fitted on the rest."""
+    rows = applicants(spark, folder)
+    parts = cut_lineage(stratified_parts(rows, ID, LABEL, [0.2, 0.2, 0.6]))
+    train = parts.where("part = 2").drop("part")
+    model = training.fit_model(train, training.LOGISTIC, LABEL, None, [ID])
+    return parts.where("part = 0").drop("part"), parts.where("part = 1").drop("part"), model
 
 
 @query("E1")
 def isotonic_scores(spark: SparkSession, folder: str) -> DataFrame:
-    rows, model = _fitted(spark, folder)
+    """Calibrated scores of rows that neither fit has seen."""
+    rows, calibration, model = _fitted_on_part(spark, folder)
+    calibrator = evaluation.fit_calibration(
+        model.transform(calibration), training.SCORE, LABEL
+    )
     scored = model.transform(rows).select(ID, LABEL, training.SCORE)
-    calibrator = evaluation.fit_calibration(scored, training.SCORE, LABEL)
     return calibrator.transform(scored).select(
         ID, training.SCORE, evaluation.CALIBRATED
     )
@@ -113,7 +91,7 @@ def isotonic_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("E2 E1 K7 R5 R6 A28 S10")
 def evaluation_run(spark: SparkSession, folder: str) -> DataFrame:
-    run = modelling.run_evaluation(applicants(spark, folder), params={"maxIter": 100})
+    run = modelling.run_evaluation(applicants(spark, folder))
     rows = [(k, float(v)) for k, v in run.metrics.items() if v is not None]
     return spark.createDataFrame(rows, "name string, value double")
 
@@ -139,15 +117,19 @@ def outcome_examples(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("B1 Q14")
 def batch_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    """Valid rows with probability and decision, rejected rows with reasons."""
-    rows, model = _fitted(spark, folder)
-    calibrator = evaluation.fit_calibration(model.transform(rows), training.SCORE, LABEL)
+    """Valid rows with probability and decision, rejected rows with reasons. The
+    threshold is the cheapest one on the calibration rows."""
+    rows, calibration, model = _fitted_on_part(spark, folder)
+    known = cut_lineage(model.transform(calibration).select(ID, LABEL, training.SCORE))
+    calibrator = evaluation.fit_calibration(known, training.SCORE, LABEL)
+    chosen = find_optimal_threshold(calibrator.transform(known), evaluation.CALIBRATED, LABEL)
+    threshold = chosen.first()["threshold"]
     contract = [
         q.ColumnRule(ID, T.IntegerType(), rules=[q.greater_than(0)]),
         q.ColumnRule("AMT_CREDIT", T.FloatType(), rules=[q.greater_than(0)]),
     ]
     scored, rejected = evaluation.score_batch(
-        training.with_calibration(model, calibrator), rows, ID, 0.1, contract
+        training.with_calibration(model, calibrator), rows, ID, threshold, contract
     )
     return scored.withColumn("reasons", F.lit("")).unionByName(
         rejected.select(ID, F.concat_ws("; ", "errors").alias("reasons")),

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from loanloom.operators import quality as q
 from loanloom.plans.catalog.base import comparable, query, rounded, table
 from loanloom.plans.catalog.credit_view import loan_sql, loan_table
+from loanloom.plans.validation import validate
 from loanloom.sources import csv_tables
 
 ID = "SK_ID_CURR"
@@ -215,7 +216,7 @@ _VIOLATIONS = " UNION ALL ".join(
         _violation_sql("AMT_CREDIT", "greater_than_or_equal_to(100000)", "AMT_CREDIT < 100000"),
         _violation_sql("CODE_GENDER", "isin([''M'', ''F''])", "CODE_GENDER NOT IN ('M', 'F')"),
         _violation_sql("EXT_SOURCE_3", "in_range(0.0, 0.75)", "EXT_SOURCE_3 > 0.75"),
-        f"""SELECT 'DAYS_BIRTH', 'unique', CAST(DAYS_BIRTH AS VARCHAR), count(*) - 1
+        f"""SELECT 'DAYS_BIRTH', 'unique', CAST(DAYS_BIRTH AS VARCHAR), count(*)
         FROM application_train GROUP BY DAYS_BIRTH HAVING count(*) > 1""",
         "SELECT 'AMT_CREDIT', 'dtype(double)', 'float', CAST(1 AS BIGINT)",
         "SELECT 'NO_SUCH_COLUMN', 'column_in_dataframe', 'NO_SUCH_COLUMN', 1",
@@ -241,6 +242,102 @@ def contract_summary(spark: SparkSession, folder: str) -> DataFrame:
 _ROW_CONTRACT = [r for r in _CONTRACT if r.name != "NO_SUCH_COLUMN"]
 
 
+@query(
+    "Q1 Q6 Q8 Q12 Q13",
+    f"""{_APP}, v AS ({_VIOLATIONS}), r AS ({_bracketed(_EXPECTATION_SQL)}),
+    f AS (SELECT "column", "check", sum("rows") AS n FROM v GROUP BY ALL)
+    SELECT (SELECT count(*) = 0 FROM v) AS contract_passed,
+      (SELECT count(*) = 0 FROM r WHERE NOT success) AS expectations_passed,
+      (SELECT count(*) FROM f) AS failed_checks,
+      (SELECT count(*) FROM r WHERE NOT success) AS failed_expectations,
+      'contract: ' || (SELECT string_agg("column" || ' ' || "check" || ' (' || CAST(n AS BIGINT)
+          || ' rows)', '; ' ORDER BY "column", "check") FROM f)
+        || chr(10) || 'expectations: ' || (SELECT count(*) FROM r WHERE NOT success) || ' failed: '
+        || (SELECT string_agg(expectation || '(' || coalesce("column", '') || ')', ', '
+            ORDER BY number) FROM (SELECT * FROM r WHERE NOT success ORDER BY number LIMIT 5))
+        AS message""",
+)
+def validation_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """The gate itself: both layers, its verdict and its message."""
+    rows = loan_table(spark, folder, "application_train")
+    found = validate(rows, _CONTRACT, _checks(), raise_on_failure=False)
+    verdict = (
+        found.contract_passed,
+        found.expectations_passed,
+        contract_summary(spark, folder).count(),
+        found.results.where("NOT success").count(),
+        found.message,
+    )
+    return spark.createDataFrame(
+        [verdict],
+        "contract_passed boolean, expectations_passed boolean, failed_checks bigint,"
+        " failed_expectations bigint, message string",
+    )
+
+
+_BROKEN_CONTRACT = [
+    q.ColumnRule(ID, T.IntegerType(), unique=True, rules=[q.greater_than(0)]),
+    q.ColumnRule("AMT_CREDIT", T.FloatType(), rules=[q.greater_than(0)]),
+    q.ColumnRule("CODE_GENDER", T.StringType(), rules=[q.member(["M", "F"])]),
+    q.ColumnRule("GONE", T.StringType()),
+]
+
+
+def _broken(spark: SparkSession, folder: str) -> DataFrame:
+    """A number that came as text, and a column that did not come."""
+    rows = loan_table(spark, folder, "application_train")
+    text = F.when(F.col("DAYS_BIRTH") % 2 == 0, "abc")
+    return rows.select(ID, text.alias("AMT_CREDIT"), "CODE_GENDER")
+
+
+@query(
+    "Q1 Q2",
+    f"""{_APP} SELECT 'AMT_CREDIT' AS "column", 'dtype(float)' AS "check",
+      'string' AS failure_case, CAST(1 AS BIGINT) AS "rows"
+    UNION ALL SELECT 'GONE', 'column_in_dataframe', 'GONE', 1
+    UNION ALL {_violation_sql(ID, "greater_than(0)", f"{ID} <= 0")}
+    UNION ALL SELECT 'AMT_CREDIT', 'not_nullable', NULL, count(*) FROM application_train
+      WHERE DAYS_BIRTH % 2 <> 0
+    UNION ALL SELECT 'CODE_GENDER', 'isin([''M'', ''F''])', CODE_GENDER, count(*)
+      FROM application_train WHERE CODE_GENDER NOT IN ('M', 'F') GROUP BY CODE_GENDER""",
+)
+def broken_contract(spark: SparkSession, folder: str) -> DataFrame:
+    return q.contract_violations(_broken(spark, folder), _BROKEN_CONTRACT)
+
+
+@query(
+    "Q6 Q7 Q8 Q12",
+    """SELECT * FROM (VALUES (1, 'between', false), (2, 'mean_between', false),
+      (3, 'in_set', false), (4, 'not_null', false), (5, 'in_set', false), (6, 'unique', true))
+      AS t(number, expectation, success)""",
+)
+def broken_expectations(spark: SparkSession, folder: str) -> DataFrame:
+    checks = [
+        q.between("AMT_CREDIT", 0),
+        q.mean_between("AMT_CREDIT", 0, 1),
+        q.in_set("AMT_CREDIT", [1, 2]),
+        q.not_null("AMT_CREDIT"),
+        q.in_set("CODE_GENDER", [1]),
+        q.unique(ID),
+    ]
+    found = q.check_expectations(_broken(spark, folder), checks)
+    return found.select("number", "expectation", "success")
+
+
+@query(
+    "Q14",
+    f"""{_APP} SELECT SK_ID_CURR, concat_ws('; ',
+      CASE WHEN SK_ID_CURR <= 0 THEN 'SK_ID_CURR: greater_than(0)' END,
+      CASE WHEN DAYS_BIRTH % 2 <> 0 THEN 'AMT_CREDIT: not_nullable' END,
+      'AMT_CREDIT: dtype(float)',
+      CASE WHEN CODE_GENDER NOT IN ('M', 'F') THEN 'CODE_GENDER: isin([''M'', ''F''])' END,
+      'GONE: column_in_dataframe') AS errors FROM application_train""",
+)
+def broken_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    _, rejected = q.split_valid(_broken(spark, folder), _BROKEN_CONTRACT)
+    return rejected.select(ID, F.concat_ws("; ", "errors").alias("errors"))
+
+
 @query(
     "Q14",
     f"""{_APP}, e AS (SELECT SK_ID_CURR, concat_ws('; ',

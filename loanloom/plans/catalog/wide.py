@@ -10,7 +10,7 @@ from loanloom.functions.missing import is_not_member
 from loanloom.operators import aggregates as agg
 from loanloom.operators import applicants
 from loanloom.plans.catalog.base import comparable, query, rounded, table
-from loanloom.plans.catalog.credit_view import loan_sql, loan_table, loan_tables
+from loanloom.plans.catalog.credit_view import COLUMNS, loan_sql, loan_table, loan_tables
 from loanloom.plans.wide_table import wide_table as build_wide
 
 ID = "SK_ID_CURR"
@@ -270,13 +270,59 @@ def aggregate_installments(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(applicants.aggregate_installments(rows), [ID], exact=EXACT)
 
 
+_TEXT = [
+    "NAME_CONTRACT_TYPE",
+    "CODE_GENDER",
+    "NAME_INCOME_TYPE",
+    "NAME_EDUCATION_TYPE",
+    "FLAG_OWN_CAR",
+    "OCCUPATION_TYPE",
+    "WEEKDAY_APPR_PROCESS_START",
+]
+MAIN_COLUMNS = list(COLUMNS["application_train"])
+_MAIN_SQL = ", ".join(
+    "CAST(TARGET AS INTEGER) AS TARGET"
+    if c == "TARGET"
+    else c
+    if c in [*_TEXT, ID, "DAYS_BIRTH"]
+    else f"{rounded(c)} AS {c}"
+    for c in MAIN_COLUMNS
+)
+#: Names of the aggregates, in the order of the child tables.
+AGGREGATES = [
+    aggregate_name(prefix, c, fn)
+    for prefix, spec in (
+        ("BUREAU", applicants.BUREAU),
+        ("BB", applicants.BUREAU_BALANCE),
+        ("PREV", applicants.PREVIOUS),
+        ("POS", applicants.POS_CASH),
+        ("INST", applicants.INSTALLMENTS),
+    )
+    for c, fns in spec.items()
+    for fn in fns
+] + [
+    "BUREAU_LOAN_COUNT",
+    "BUREAU_ACTIVE_LOAN_COUNT",
+    "BUREAU_CLOSED_LOAN_COUNT",
+    "BB_STATUS_0_RATE",
+    "BB_STATUS_C_RATE",
+    "BB_DPD_RATE",
+    "PREV_LOAN_COUNT",
+    "PREV_APPROVED_COUNT",
+    "PREV_REFUSED_COUNT",
+    "PREV_APPROVAL_RATE",
+    "POS_LOAN_COUNT",
+    "POS_COMPLETED_RATE",
+    "INST_COUNT",
+    "INST_PAYMENT_RATIO",
+    "INST_DAYS_PAST_DUE",
+    "INST_LATE_PAYMENT_RATE",
+]
 WIDE_SQL = f"""WITH {loan_sql("application_train", "bureau", "bureau_balance",
     "previous_application", "POS_CASH_balance", "installments_payments")},
   b AS ({_CHILD_SQL["b"]}), m AS ({_CHILD_SQL["m"]}), p AS ({_CHILD_SQL["p"]}),
   c AS ({_CHILD_SQL["c"]}), i AS ({_CHILD_SQL["i"]}),
-  main AS (SELECT SK_ID_CURR, CAST(TARGET AS INTEGER) AS TARGET, CODE_GENDER,
-    NAME_CONTRACT_TYPE, DAYS_BIRTH, {rounded("EXT_SOURCE_2")} AS EXT_SOURCE_2
-    FROM application_train),
+  main AS (SELECT {_MAIN_SQL} FROM application_train),
   wide AS (SELECT * FROM main LEFT JOIN b USING (SK_ID_CURR) LEFT JOIN m USING (SK_ID_CURR)
     LEFT JOIN p USING (SK_ID_CURR) LEFT JOIN c USING (SK_ID_CURR)
     LEFT JOIN i USING (SK_ID_CURR))
@@ -284,16 +330,10 @@ WIDE_SQL = f"""WITH {loan_sql("application_train", "bureau", "bureau_balance",
 
 
 def wide(spark: SparkSession, folder: str) -> DataFrame:
-    """The wide table with a few applicant columns and all 102 aggregates."""
+    """The wide table: all applicant columns and all 102 aggregates."""
     tables = loan_tables(spark, folder)
-    tables["application_train.csv"] = tables["application_train.csv"].select(
-        ID,
-        F.col("TARGET").cast("int").alias("TARGET"),
-        "CODE_GENDER",
-        "NAME_CONTRACT_TYPE",
-        "DAYS_BIRTH",
-        "EXT_SOURCE_2",
-    )
+    main = tables["application_train.csv"]
+    tables["application_train.csv"] = main.withColumn("TARGET", F.col("TARGET").cast("int"))
     return build_wide(tables, as_float32=False)
 
 
@@ -305,39 +345,13 @@ def wide_table(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "A15",
     WIDE_SQL
-    + """, marks AS (SELECT count(*) AS n, {} FROM wide)
-    SELECT n AS "rows", CAST(108 AS INTEGER) AS "columns", round(({}) / 108, 6) AS null_rate
-    FROM marks""".format(
-        ", ".join(
-            f'avg(CASE WHEN "{c}" IS NULL THEN 1.0 ELSE 0.0 END) AS n{i}'
-            for i, c in enumerate(
-                f"{p}_{c}_{fn}".upper()
-                for p, spec in (
-                    ("BUREAU", applicants.BUREAU),
-                    ("BB", applicants.BUREAU_BALANCE),
-                    ("PREV", applicants.PREVIOUS),
-                    ("POS", applicants.POS_CASH),
-                    ("INST", applicants.INSTALLMENTS),
-                )
-                for c, fns in spec.items()
-                for fn in fns
-            )
-        )
-        + ", "
-        + ", ".join(
-            f'avg(CASE WHEN "{c}" IS NULL THEN 1.0 ELSE 0.0 END) AS x{i}'
-            for i, c in enumerate(
-                """BUREAU_LOAN_COUNT BUREAU_ACTIVE_LOAN_COUNT BUREAU_CLOSED_LOAN_COUNT
-                BB_STATUS_0_RATE BB_STATUS_C_RATE BB_DPD_RATE PREV_LOAN_COUNT
-                PREV_APPROVED_COUNT PREV_REFUSED_COUNT PREV_APPROVAL_RATE POS_LOAN_COUNT
-                POS_COMPLETED_RATE INST_COUNT INST_PAYMENT_RATIO INST_DAYS_PAST_DUE
-                INST_LATE_PAYMENT_RATE EXT_SOURCE_2""".split()
-            )
-        ),
-        " + ".join(
-            [f"n{i}" for i in range(86)] + [f"x{i}" for i in range(17)]
-        ),
-    ),
+    + f""", marks AS (SELECT count(*) AS n, {", ".join(
+        f'avg(CASE WHEN "{c}" IS NULL THEN 1.0 ELSE 0.0 END) AS n{i}'
+        for i, c in enumerate(MAIN_COLUMNS + AGGREGATES))} FROM wide)
+    SELECT n AS "rows", CAST({len(MAIN_COLUMNS + AGGREGATES)} AS INTEGER) AS "columns",
+      round(({" + ".join(f"n{i}" for i in range(len(MAIN_COLUMNS + AGGREGATES)))})
+        / {len(MAIN_COLUMNS + AGGREGATES)}, 6) AS null_rate
+    FROM marks""",
 )
 def wide_table_shape(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(agg.shape_and_null_rate(wide(spark, folder)), ["rows", "columns"])

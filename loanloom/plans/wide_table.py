@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -19,7 +21,7 @@ from loanloom.operators.applicants import (
 )
 from loanloom.sources.csv_tables import load_table
 from loanloom.sources.schemas import APPLICANT_ID
-from loanloom.sources.tables import read_table, write_table
+from loanloom.sources.tables import delete_table, publish_table, read_table, write_table
 
 
 def wide_table(tables: dict[str, DataFrame], as_float32: bool = True) -> DataFrame:
@@ -42,8 +44,9 @@ def build_wide_table(
     output: str,
     extra_schemas: dict[str, StructType] | None = None,
 ) -> DataFrame:
-    """Read the CSV tables, write the wide table, and check its row count
-    against the application table. Returns shape and null rate."""
+    """Read the CSV tables, write the wide table beside its place, check its row
+    count against the application table, and only then put it in place of an
+    older one. Returns shape and null rate."""
     needed = [
         "application_train.csv",
         "bureau.csv",
@@ -54,10 +57,17 @@ def build_wide_table(
     ]
     stored = extra_schemas or {}
     tables = {n: load_table(spark, folder, n, None, stored.get(n)) for n in needed}
-    write_table(wide_table(tables), output)
-    stored = read_table(spark, output)
-    require_same_rows(tables["application_train.csv"].count(), stored.count())
-    return shape_and_null_rate(stored)
+    fresh = f"{output.rstrip('/')}.{uuid.uuid4().hex}"
+    write_table(wide_table(tables), fresh, "errorifexists")
+    try:
+        require_same_rows(
+            tables["application_train.csv"].count(), read_table(spark, fresh).count()
+        )
+    except Exception:
+        delete_table(spark, fresh)
+        raise
+    publish_table(spark, fresh, output)
+    return shape_and_null_rate(read_table(spark, output))
 
 
 def load_wide_table(spark: SparkSession, path: str) -> DataFrame:

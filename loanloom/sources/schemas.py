@@ -7,77 +7,144 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+BYTE, SHORT, INT = T.ByteType(), T.ShortType(), T.IntegerType()
+FLOAT, TEXT = T.FloatType(), T.StringType()
+
 # Column names and types of the input files, in file order.
 _DECLARED = {
-    "application_train.csv": """
-        SK_ID_CURR int, TARGET tinyint, NAME_CONTRACT_TYPE string, CODE_GENDER string,
-        FLAG_OWN_CAR string, FLAG_OWN_REALTY string, CNT_CHILDREN tinyint,
-        AMT_INCOME_TOTAL float, AMT_CREDIT float, AMT_ANNUITY float, AMT_GOODS_PRICE float,
-        NAME_TYPE_SUITE string, NAME_INCOME_TYPE string, NAME_EDUCATION_TYPE string,
-        NAME_FAMILY_STATUS string, NAME_HOUSING_TYPE string,
-        REGION_POPULATION_RELATIVE float, DAYS_BIRTH int, DAYS_EMPLOYED int,
-        DAYS_REGISTRATION float, DAYS_ID_PUBLISH int, OWN_CAR_AGE float, FLAG_MOBIL tinyint,
-        FLAG_EMP_PHONE tinyint, FLAG_WORK_PHONE tinyint, FLAG_CONT_MOBILE tinyint,
-        FLAG_PHONE tinyint, FLAG_EMAIL tinyint, OCCUPATION_TYPE string, CNT_FAM_MEMBERS float,
-        REGION_RATING_CLIENT tinyint, REGION_RATING_CLIENT_W_CITY tinyint,
-        WEEKDAY_APPR_PROCESS_START string, HOUR_APPR_PROCESS_START tinyint,
-        REG_REGION_NOT_LIVE_REGION tinyint, REG_REGION_NOT_WORK_REGION tinyint,
-        LIVE_REGION_NOT_WORK_REGION tinyint, REG_CITY_NOT_LIVE_CITY tinyint,
-        REG_CITY_NOT_WORK_CITY tinyint, LIVE_CITY_NOT_WORK_CITY tinyint,
-        ORGANIZATION_TYPE string, EXT_SOURCE_1 float, EXT_SOURCE_2 float, EXT_SOURCE_3 float
-    """,
-    "bureau.csv": """
-        SK_ID_CURR int, SK_ID_BUREAU int, CREDIT_ACTIVE string, CREDIT_CURRENCY string,
-        DAYS_CREDIT int, CREDIT_DAY_OVERDUE smallint, DAYS_CREDIT_ENDDATE float,
-        DAYS_ENDDATE_FACT float, AMT_CREDIT_MAX_OVERDUE float, CNT_CREDIT_PROLONG tinyint,
-        AMT_CREDIT_SUM float, AMT_CREDIT_SUM_DEBT float, AMT_CREDIT_SUM_LIMIT float,
-        AMT_CREDIT_SUM_OVERDUE float, CREDIT_TYPE string, DAYS_CREDIT_UPDATE int,
-        AMT_ANNUITY float
-    """,
-    "bureau_balance.csv": "SK_ID_BUREAU int, MONTHS_BALANCE smallint, STATUS string",
-    "previous_application.csv": """
-        SK_ID_CURR int, SK_ID_PREV int, NAME_CONTRACT_TYPE string, AMT_ANNUITY float,
-        AMT_APPLICATION float, AMT_CREDIT float, AMT_DOWN_PAYMENT float, AMT_GOODS_PRICE float,
-        WEEKDAY_APPR_PROCESS_START string, HOUR_APPR_PROCESS_START tinyint,
-        FLAG_LAST_APPL_PER_CONTRACT string, NFLAG_LAST_APPL_IN_DAY tinyint,
-        RATE_DOWN_PAYMENT float, RATE_INTEREST_PRIMARY float, RATE_INTEREST_PRIVILEGED float,
-        NAME_CASH_LOAN_PURPOSE string, NAME_CONTRACT_STATUS string, DAYS_DECISION int,
-        NAME_PAYMENT_TYPE string, CODE_REJECT_REASON string, NAME_CLIENT_TYPE string,
-        NAME_GOODS_CATEGORY string, NAME_PORTFOLIO string, NAME_PRODUCT_TYPE string,
-        CHANNEL_TYPE string, SELLERPLACE_AREA int, NAME_SELLER_INDUSTRY string,
-        CNT_PAYMENT float, NAME_YIELD_GROUP string, PRODUCT_COMBINATION string,
-        DAYS_FIRST_DRAWING float, DAYS_FIRST_DUE float, DAYS_LAST_DUE_1ST_VERSION float,
-        DAYS_LAST_DUE float, DAYS_TERMINATION float, NFLAG_INSURED_ON_APPROVAL float
-    """,
-    "POS_CASH_balance.csv": """
-        SK_ID_CURR int, SK_ID_PREV int, MONTHS_BALANCE smallint, CNT_INSTALMENT float,
-        CNT_INSTALMENT_FUTURE float, NAME_CONTRACT_STATUS string, SK_DPD smallint,
-        SK_DPD_DEF smallint
-    """,
-    "installments_payments.csv": """
-        SK_ID_CURR int, SK_ID_PREV int, NUM_INSTALMENT_VERSION float,
-        NUM_INSTALMENT_NUMBER smallint, DAYS_INSTALMENT float, DAYS_ENTRY_PAYMENT float,
-        AMT_INSTALMENT float, AMT_PAYMENT float
-    """,
+    "application_train.csv": [
+        ("SK_ID_CURR", INT),
+        ("TARGET", BYTE),
+        ("NAME_CONTRACT_TYPE", TEXT),
+        ("CODE_GENDER", TEXT),
+        ("FLAG_OWN_CAR", TEXT),
+        ("FLAG_OWN_REALTY", TEXT),
+        ("CNT_CHILDREN", BYTE),
+        ("AMT_INCOME_TOTAL", FLOAT),
+        ("AMT_CREDIT", FLOAT),
+        ("AMT_ANNUITY", FLOAT),
+        ("AMT_GOODS_PRICE", FLOAT),
+        ("NAME_TYPE_SUITE", TEXT),
+        ("NAME_INCOME_TYPE", TEXT),
+        ("NAME_EDUCATION_TYPE", TEXT),
+        ("NAME_FAMILY_STATUS", TEXT),
+        ("NAME_HOUSING_TYPE", TEXT),
+        ("REGION_POPULATION_RELATIVE", FLOAT),
+        ("DAYS_BIRTH", INT),
+        ("DAYS_EMPLOYED", INT),
+        ("DAYS_REGISTRATION", FLOAT),
+        ("DAYS_ID_PUBLISH", INT),
+        ("OWN_CAR_AGE", FLOAT),
+        ("FLAG_MOBIL", BYTE),
+        ("FLAG_EMP_PHONE", BYTE),
+        ("FLAG_WORK_PHONE", BYTE),
+        ("FLAG_CONT_MOBILE", BYTE),
+        ("FLAG_PHONE", BYTE),
+        ("FLAG_EMAIL", BYTE),
+        ("OCCUPATION_TYPE", TEXT),
+        ("CNT_FAM_MEMBERS", FLOAT),
+        ("REGION_RATING_CLIENT", BYTE),
+        ("REGION_RATING_CLIENT_W_CITY", BYTE),
+        ("WEEKDAY_APPR_PROCESS_START", TEXT),
+        ("HOUR_APPR_PROCESS_START", BYTE),
+        ("REG_REGION_NOT_LIVE_REGION", BYTE),
+        ("REG_REGION_NOT_WORK_REGION", BYTE),
+        ("LIVE_REGION_NOT_WORK_REGION", BYTE),
+        ("REG_CITY_NOT_LIVE_CITY", BYTE),
+        ("REG_CITY_NOT_WORK_CITY", BYTE),
+        ("LIVE_CITY_NOT_WORK_CITY", BYTE),
+        ("ORGANIZATION_TYPE", TEXT),
+        ("EXT_SOURCE_1", FLOAT),
+        ("EXT_SOURCE_2", FLOAT),
+        ("EXT_SOURCE_3", FLOAT),
+    ],
+    "bureau.csv": [
+        ("SK_ID_CURR", INT),
+        ("SK_ID_BUREAU", INT),
+        ("CREDIT_ACTIVE", TEXT),
+        ("CREDIT_CURRENCY", TEXT),
+        ("DAYS_CREDIT", INT),
+        ("CREDIT_DAY_OVERDUE", SHORT),
+        ("DAYS_CREDIT_ENDDATE", FLOAT),
+        ("DAYS_ENDDATE_FACT", FLOAT),
+        ("AMT_CREDIT_MAX_OVERDUE", FLOAT),
+        ("CNT_CREDIT_PROLONG", BYTE),
+        ("AMT_CREDIT_SUM", FLOAT),
+        ("AMT_CREDIT_SUM_DEBT", FLOAT),
+        ("AMT_CREDIT_SUM_LIMIT", FLOAT),
+        ("AMT_CREDIT_SUM_OVERDUE", FLOAT),
+        ("CREDIT_TYPE", TEXT),
+        ("DAYS_CREDIT_UPDATE", INT),
+        ("AMT_ANNUITY", FLOAT),
+    ],
+    "bureau_balance.csv": [
+        ("SK_ID_BUREAU", INT),
+        ("MONTHS_BALANCE", SHORT),
+        ("STATUS", TEXT),
+    ],
+    "previous_application.csv": [
+        ("SK_ID_CURR", INT),
+        ("SK_ID_PREV", INT),
+        ("NAME_CONTRACT_TYPE", TEXT),
+        ("AMT_ANNUITY", FLOAT),
+        ("AMT_APPLICATION", FLOAT),
+        ("AMT_CREDIT", FLOAT),
+        ("AMT_DOWN_PAYMENT", FLOAT),
+        ("AMT_GOODS_PRICE", FLOAT),
+        ("WEEKDAY_APPR_PROCESS_START", TEXT),
+        ("HOUR_APPR_PROCESS_START", BYTE),
+        ("FLAG_LAST_APPL_PER_CONTRACT", TEXT),
+        ("NFLAG_LAST_APPL_IN_DAY", BYTE),
+        ("RATE_DOWN_PAYMENT", FLOAT),
+        ("RATE_INTEREST_PRIMARY", FLOAT),
+        ("RATE_INTEREST_PRIVILEGED", FLOAT),
+        ("NAME_CASH_LOAN_PURPOSE", TEXT),
+        ("NAME_CONTRACT_STATUS", TEXT),
+        ("DAYS_DECISION", INT),
+        ("NAME_PAYMENT_TYPE", TEXT),
+        ("CODE_REJECT_REASON", TEXT),
+        ("NAME_CLIENT_TYPE", TEXT),
+        ("NAME_GOODS_CATEGORY", TEXT),
+        ("NAME_PORTFOLIO", TEXT),
+        ("NAME_PRODUCT_TYPE", TEXT),
+        ("CHANNEL_TYPE", TEXT),
+        ("SELLERPLACE_AREA", INT),
+        ("NAME_SELLER_INDUSTRY", TEXT),
+        ("CNT_PAYMENT", FLOAT),
+        ("NAME_YIELD_GROUP", TEXT),
+        ("PRODUCT_COMBINATION", TEXT),
+        ("DAYS_FIRST_DRAWING", FLOAT),
+        ("DAYS_FIRST_DUE", FLOAT),
+        ("DAYS_LAST_DUE_1ST_VERSION", FLOAT),
+        ("DAYS_LAST_DUE", FLOAT),
+        ("DAYS_TERMINATION", FLOAT),
+        ("NFLAG_INSURED_ON_APPROVAL", FLOAT),
+    ],
+    "POS_CASH_balance.csv": [
+        ("SK_ID_CURR", INT),
+        ("SK_ID_PREV", INT),
+        ("MONTHS_BALANCE", SHORT),
+        ("CNT_INSTALMENT", FLOAT),
+        ("CNT_INSTALMENT_FUTURE", FLOAT),
+        ("NAME_CONTRACT_STATUS", TEXT),
+        ("SK_DPD", SHORT),
+        ("SK_DPD_DEF", SHORT),
+    ],
+    "installments_payments.csv": [
+        ("SK_ID_CURR", INT),
+        ("SK_ID_PREV", INT),
+        ("NUM_INSTALMENT_VERSION", FLOAT),
+        ("NUM_INSTALMENT_NUMBER", SHORT),
+        ("DAYS_INSTALMENT", FLOAT),
+        ("DAYS_ENTRY_PAYMENT", FLOAT),
+        ("AMT_INSTALMENT", FLOAT),
+        ("AMT_PAYMENT", FLOAT),
+    ],
 }
 
 APPLICANT_ID = "SK_ID_CURR"
 LABEL = "TARGET"
 
-_SPARK_TYPES = {
-    "tinyint": T.ByteType(),
-    "smallint": T.ShortType(),
-    "int": T.IntegerType(),
-    "float": T.FloatType(),
-    "string": T.StringType(),
-}
-
-
-def _struct(declaration: str) -> T.StructType:
-    fields = [item.split() for item in declaration.split(",")]
-    return T.StructType([T.StructField(n, _SPARK_TYPES[t]) for n, t in fields])
-
-
 def without_label(schema: T.StructType, label: str = LABEL) -> T.StructType:
     return T.StructType([f for f in schema if f.name != label])
 
@@ -85,7 +152,7 @@ def without_label(schema: T.StructType, label: str = LABEL) -> T.StructType:
 def _all_schemas() -> dict[str, T.StructType]:
     schemas = {}
     for name, declaration in _DECLARED.items():
-        schemas[name] = _struct(declaration)
+        schemas[name] = T.StructType([T.StructField(c, t) for c, t in declaration])
         if name == "application_train.csv":
             schemas["application_test.csv"] = without_label(schemas[name])
     return schemas

@@ -22,6 +22,33 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def delete_table(spark: SparkSession, path: str) -> None:
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
+def publish_table(spark: SparkSession, fresh: str, path: str) -> None:
+    """Puts a finished table in place of ``path``. The older table is moved
+    aside first and comes back if the move of the new one fails."""
+    files, place = _place(spark, path)
+    _, new = _place(spark, fresh)
+    _, old = _place(spark, f"{fresh}.replaced")
+    had = files.exists(place)
+    if had and not files.rename(place, old):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(new, place):
+        if had:
+            files.rename(old, place)
+        raise OSError(f"cannot move {fresh} to {path}")
+    if had:
+        files.delete(old, True)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

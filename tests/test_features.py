@@ -110,6 +110,25 @@ def test_planned_imputation(spark):
     assert a["OWN_CAR_AGE"] == 0.0 and a["OCCUPATION_TYPE"] == "Missing"
 
 
+def test_ratio_without_a_denominator_is_zero_and_without_a_numerator_a_gap(spark):
+    df = spark.createDataFrame(
+        [(1.0, -1.0, None, 5.0), (2.0, None, None, 5.0), (None, 4.0, None, None), (3.0, 2.0, 1.0, 5.0)],
+        "AMT_CREDIT double, AMT_INCOME_TOTAL double, AMT_ANNUITY double, AMT_GOODS_PRICE double",
+    )
+    made = features.add_planned_features(features.add_ratios(df))
+    out = features.add_planned_imputation(made).collect()
+    assert [r["CREDIT_INCOME_RATIO"] for r in out] == [0.0, 0.0, None, 1.0]
+    assert [r["ANNUITY_INCOME_RATIO"] for r in out] == [0.0, 0.0, None, pytest.approx(1 / 3)]
+    assert [r["CREDIT_GOODS_RATIO"] for r in out] == [0.2, 0.4, 0.0, 0.6]
+
+
+def test_housing_gaps_are_flagged(spark):
+    df = spark.createDataFrame([(None, 1.0), (0.5, None)], "COMMONAREA_AVG double, FLOORSMAX_AVG double")
+    out = features.add_planned_imputation(df)
+    assert [r["COMMONAREA_AVG_IS_NULL"] for r in out.collect()] == [1, 0]
+    assert "FLOORSMAX_AVG_IS_NULL" not in out.columns
+
+
 def test_planned_features(spark):
     df = spark.createDataFrame(
         [(0.5, 0.4, 0.2, 3.0, 4.0), (None, 0.4, 0.2, 1.0, None)],

@@ -97,16 +97,17 @@ def test_champion_is_stored_with_its_preparation(spark, loans, tmp_path):
         ranges={"boosted": {"trees": (2, 3)}, "forest": {"trees": (3, 4)}},
         store=str(tmp_path / "store"),
         run_log=str(tmp_path / "runs"),
+        name="best-trees",
     )
     assert run.version == 1 and len(run.trials) == 2
     assert run.champion.auc_pr == max(t.auc_pr for t in run.trials)
-    loaded = stores.load_registered(spark, str(tmp_path / "store"), "credit-default-risk-champion")
+    loaded = stores.load_registered(spark, str(tmp_path / "store"), "best-trees")
     out = loaded.transform(loans.drop("TARGET"))
     both = out.select("SK_ID_CURR", F.round("score", 9).alias("s")).exceptAll(
         run.model.transform(loans).select("SK_ID_CURR", F.round("score", 9).alias("s"))
     )
     assert both.isEmpty()
-    again = stores.register_model(run.model, str(tmp_path / "store"), "credit-default-risk-champion", "x", spark)
+    again = stores.register_model(run.model, str(tmp_path / "store"), "best-trees", "x", spark)
     assert again == 2
     log = stores.read_runs(spark, str(tmp_path / "runs"))
     assert log.where("kind = 'metric' and name = 'cv_auc_pr'").count() == 1

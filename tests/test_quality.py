@@ -78,7 +78,7 @@ def test_contract_reports_every_kind(spark):
     assert found == {
         ("id", "not_nullable", None, 1),
         ("id", "greater_than(1)", "1", 1),
-        ("id", "unique", "2", 1),
+        ("id", "unique", "2", 2),
         ("y", "dtype(tinyint)", "int", 1),
         ("y", "isin([0])", "1", 1),
         ("g", "isin(['M', 'F'])", "Q", 1),
@@ -111,3 +111,38 @@ def test_gate_raises_with_a_summary_or_returns_a_report(spark, tmp_path):
     assert spark.read.json(path).count() == 2
     good = [q.ColumnRule("y", T.IntegerType())]
     assert validate(table(spark), good, [q.not_null("y")]).passed
+
+
+def broken(spark):
+    return spark.createDataFrame([(1, "abc"), (1, None)], "id int, amount string")
+
+
+def test_wrong_types_and_absent_columns_are_reported(spark):
+    checks = [
+        q.between("amount", 0),
+        q.mean_between("amount", 0, 1),
+        q.in_set("amount", [1]),
+        q.unique("id"),
+        q.not_null("amount"),
+        q.between("gone", 0),
+    ]
+    out = results(broken(spark), checks)
+    assert [out[i]["success"] for i in range(1, 7)] == [False] * 6
+    assert (out[4]["unexpected_count"], out[5]["unexpected_count"]) == (2, 1)
+    contract = [
+        q.ColumnRule("id", T.IntegerType(), unique=True),
+        q.ColumnRule("amount", T.DoubleType(), rules=[q.greater_than(0)]),
+        q.ColumnRule("gone", T.StringType()),
+    ]
+    found = {tuple(r) for r in q.contract_violations(broken(spark), contract).collect()}
+    assert found == {
+        ("id", "unique", "1", 2),
+        ("amount", "dtype(double)", "string", 1),
+        ("amount", "not_nullable", None, 1),
+        ("gone", "column_in_dataframe", "gone", 1),
+    }
+    valid, rejected = q.split_valid(broken(spark), contract)
+    assert valid.isEmpty()
+    assert ["amount: dtype(double)", "gone: column_in_dataframe"] in [r["errors"] for r in rejected.collect()]
+    with pytest.raises(ValidationError):
+        validate(broken(spark), contract, checks)

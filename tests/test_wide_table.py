@@ -137,3 +137,17 @@ def test_applicants_are_shuffled_once(spark, folder):
     # previous 1, point of sale 2 (distinct loans), instalments 1
     assert tree.count("Exchange") == 10
     assert "BroadcastNestedLoopJoin" not in tree and "CartesianProduct" not in tree
+
+
+def test_failed_check_keeps_the_older_table(spark, folder, tmp_path, monkeypatch):
+    output = str(tmp_path / "wide")
+    wide_table.build_wide_table(spark, folder, output)
+    real = wide_table.wide_table
+    monkeypatch.setattr(wide_table, "wide_table", lambda tables: real(tables).limit(3))
+    with pytest.raises(AssertionError):
+        wide_table.build_wide_table(spark, folder, output)
+    assert wide_table.load_wide_table(spark, output).count() == APPLICANTS
+    assert [p.name for p in tmp_path.iterdir()] == ["wide"]
+    monkeypatch.setattr(wide_table, "wide_table", real)
+    wide_table.build_wide_table(spark, folder, output)
+    assert [p.name for p in tmp_path.iterdir()] == ["wide"]
