@@ -38,7 +38,7 @@ from loanloom.llm.scratch import Scratch
 GRAM = 32
 GRAMS = LENGTH - GRAM + 1  # in one string
 MOST_STRINGS = 127  # in one segment
-PART_BYTES = 8 << 20
+PART_BYTES = 2 << 20
 #: Common grams: documents looked at, and the share of them that makes one common.
 SAMPLE_DOCS = 2000
 COMMON_SHARE = 0.01
