@@ -7,7 +7,9 @@ A block holds about ``BLOCK_BYTES`` of text; a longer text is a block of its own
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,26 @@ _MASK = (1 << 64) - 1
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def released(run: Callable) -> Callable:
+    """A task function that hands memory back when it is done. Python workers
+    are kept for later tasks, and an idle one would hold what its largest task
+    has used."""
+
+    @wraps(run)
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return inner
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every input bit."""
     h = h ^ (h >> np.uint64(33))

@@ -164,7 +164,30 @@ def signatures(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                     ["id", "n_shingles", "set_key", "signature"],
                 )
 
-    return rows.mapInArrow(run, "id long, n_shingles long, set_key binary, signature binary")
+    schema = "id long, n_shingles long, set_key binary, signature binary"
+    return rows.mapInArrow(arrays.released(run), schema)
+
+
+def band_keys(signatures: np.ndarray) -> np.ndarray:
+    """Documents x bands: the four registers of a band, and which band it is."""
+    return arrays.mix(signatures.view(np.uint64) ^ arrays.mix(np.arange(1, BANDS + 1, dtype=np.uint64)))
+
+
+def _bands(classes: DataFrame) -> DataFrame:
+    """(rep, band_no, band) of each class, 32 rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, _ = arrays.string_buffers(batch.column(1))
+            keys = band_keys(data.reshape(batch.num_rows, 2 * REGISTERS))
+            rep = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)
+            number = np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)
+            columns = [pa.array(rep), pa.array(number), pa.array(keys.ravel().view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["rep", "band_no", "band"])
+
+    return classes.select("rep", "signature").mapInArrow(
+        arrays.released(run), "rep long, band_no int, band long"
+    )
 
 
 def _sets(rows: DataFrame) -> DataFrame:
@@ -182,7 +205,7 @@ def _sets(rows: DataFrame) -> DataFrame:
                     ["id", "shingles"],
                 ).filter(pa.array(same, pa.bool_()))
 
-    return rows.mapInArrow(run, "id long, shingles binary")
+    return rows.mapInArrow(arrays.released(run), "id long, shingles binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -208,7 +231,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 [batch.column(0), batch.column(1)], ["a", "b"]
             ).filter(pa.array(keep, pa.bool_()))
 
-    return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
+    return joined.select("a", "b", "sa", "sb").mapInArrow(arrays.released(run), "a long, b long").distinct()
 
 
 def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -270,12 +293,11 @@ def near_duplicates(
     )
     classes = scratch.store(classes, "classes")
 
-    numbers = F.sequence(F.lit(0), F.lit(BANDS - 1))
-    key = lambda b: F.xxhash64(b, F.substring("signature", b * (2 * ROWS) + 1, F.lit(2 * ROWS)))
-    bands = classes.select("rep", F.posexplode(F.transform(numbers, key)).alias("band_no", "band"))
+    bands = scratch.store(_bands(classes), "bands")
     leaders = bands.groupBy("band").agg(F.min("rep").alias("leader"), F.count("*").alias("n"))
     leaders = scratch.store(leaders.where("n > 1").drop("n"), "leaders")
     members = scratch.store(bands.join(leaders, "band"), "members")
+    scratch.drop("bands")
     wanted = classes.select("rep", "set_key").join(members.select("rep").distinct(), "rep", "left_semi")
     wanted = scratch.store(wanted.withColumnRenamed("rep", "id"), "wanted")
     texts = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text"))

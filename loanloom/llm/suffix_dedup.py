@@ -171,7 +171,7 @@ def _segment_rows(rows: DataFrame, shared) -> DataFrame:
                     columns += [c.view(np.int64), d, s, n.astype(np.int32), t]
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], _NAMES)
 
-    return rows.mapInArrow(run, _FIELDS)
+    return rows.mapInArrow(arrays.released(run), _FIELDS)
 
 
 _NEEDED = "repeat boolean, key long, doc long, start long, strings int"
@@ -223,7 +223,7 @@ def _selected(dealt: DataFrame) -> DataFrame:
         if kept is not None:
             yield needed(kept, np.arange(len(kept["key"])))
 
-    return dealt.mapInArrow(run, _NEEDED)
+    return dealt.mapInArrow(arrays.released(run), _NEEDED)
 
 
 def _contents(joined: DataFrame) -> DataFrame:
@@ -248,7 +248,7 @@ def _contents(joined: DataFrame) -> DataFrame:
                     ["key", "doc", "start", "content"],
                 )
 
-    return joined.mapInArrow(run, "key long, doc long, start long, content binary")
+    return joined.mapInArrow(arrays.released(run), "key long, doc long, start long, content binary")
 
 
 def repeats_in(
@@ -332,7 +332,7 @@ def _sorted_repeats(dealt: DataFrame) -> DataFrame:
         if held:
             yield found(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(run, "doc long, start long, strings long")
+    return dealt.mapInArrow(arrays.released(run), "doc long, start long, strings long")
 
 
 def _common_grams(rows: DataFrame, sample_docs: int) -> np.ndarray:
@@ -473,7 +473,7 @@ def _cleaned(joined: DataFrame, id_column: str, keep: list[str]) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    cleaned = joined.mapInArrow(run, ", ".join(out))
+    cleaned = joined.mapInArrow(arrays.released(run), ", ".join(out))
     return cleaned.select(
         F.col("id").alias(id_column),
         *[F.col(f"_kept{i}").alias(c) for i, c in enumerate(keep)],
