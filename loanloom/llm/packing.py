@@ -13,6 +13,7 @@ its binary digits, as a power of two needs no padding.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict, deque
 from collections.abc import Iterator
 
@@ -31,16 +32,17 @@ WINDOW = 4096
 GROUP = 256
 
 
-def best_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
+def best_fill(counts: dict[int, int], ascending: list[int], capacity: int) -> dict[int, int]:
     """How many of each length to take so that their sum is as close to
     ``capacity`` as any choice that holds the longest; larger lengths first on
-    equal sums."""
-    seed = max(counts)
+    equal sums. ``ascending`` are the lengths of ``counts``."""
+    seed = ascending[-1]
     room = capacity - seed
     mask = (1 << (room + 1)) - 1
-    lengths = sorted((l for l in counts if l <= room), reverse=True)
-    reached, before = 1, []
-    for length in lengths:
+    lengths, reached, before = [], 1, []
+    for at in range(bisect_right(ascending, room) - 1, -1, -1):
+        length = ascending[at]
+        lengths.append(length)
         before.append(reached)
         left = counts[length] - (length == seed)
         step = 1
@@ -57,7 +59,7 @@ def best_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
     at = reached.bit_length() - 1
     taken: dict[int, int] = defaultdict(int)
     taken[seed] += 1
-    for length, was in zip(reversed(lengths[: len(before)]), reversed(before), strict=True):
+    for length, was in zip(reversed(lengths), reversed(before), strict=True):
         while not was >> at & 1:
             taken[length] += 1
             at -= length
@@ -71,7 +73,9 @@ class Packer:
     def __init__(self, capacity: int = CAPACITY, window: int = WINDOW) -> None:
         self.capacity, self.window = capacity, window
         self.sequence = 0
-        self._waiting: dict[int, deque] = defaultdict(deque)
+        self._waiting: dict[int, deque] = {}
+        self._counts: dict[int, int] = {}
+        self._lengths: list[int] = []  # ascending
         self._n = 0
 
     def _emit(self, pieces: list[tuple]) -> Iterator[tuple]:
@@ -87,24 +91,32 @@ class Packer:
 
     def add(self, key, length: int) -> Iterator[tuple]:
         """A rest, shorter than the capacity."""
-        self._waiting[length].append((key, 0))
-        self._n += 1
+        self._put(length, key, 0)
         if self._n >= self.window:
             yield from self._fill(self.window // 2)
 
+    def _put(self, length: int, key, start: int) -> None:
+        if length not in self._waiting:
+            self._waiting[length] = deque()
+            self._counts[length] = 0
+            insort(self._lengths, length)
+        self._waiting[length].append((key, start))
+        self._counts[length] += 1
+        self._n += 1
+
     def _take(self, length: int) -> tuple:
-        queue = self._waiting[length]
-        key, start = queue.popleft()
-        if not queue:
-            del self._waiting[length]
+        key, start = self._waiting[length].popleft()
+        self._counts[length] -= 1
         self._n -= 1
+        if not self._counts[length]:
+            del self._waiting[length], self._counts[length]
+            self._lengths.pop(bisect_left(self._lengths, length))
         return key, start, length
 
     def _fill(self, leave: int) -> Iterator[tuple]:
         while self._n > leave:
-            counts = {l: len(q) for l, q in self._waiting.items()}
-            chosen = best_fill(counts, self.capacity)
-            times = min(counts[l] // c for l, c in chosen.items())
+            chosen = best_fill(self._counts, self._lengths, self.capacity)
+            times = min(self._counts[l] // c for l, c in chosen.items())
             if sum(l * c for l, c in chosen.items()) < self.capacity:
                 times = 1
             for _ in range(times):
@@ -116,10 +128,10 @@ class Packer:
     def _close(self, pieces: list[tuple]) -> Iterator[tuple]:
         slack = self.capacity - sum(p[2] for p in pieces)
         if slack and self._n:
-            key, start, length = self._take(max(self._waiting))
+            # no waiting rest fits into the gap, so the longest is longer than it
+            key, start, length = self._take(self._lengths[-1])
             pieces.append((key, start, slack))
-            self._waiting[length - slack].append((key, start + slack))
-            self._n += 1
+            self._put(length - slack, key, start + slack)
             slack = 0
         if not slack:
             yield from self._emit(pieces)
