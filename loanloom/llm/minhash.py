@@ -10,11 +10,14 @@ common share one of the 32 bands but for about 5 in a million pairs.
 
 - Documents with equal sets are one class, named by its smallest id; only
   classes go on.
-- Each class is compared with the first member of a band it shares; then members
-  of a band that are still in different components are compared with each other,
-  in blocks. A comparison first estimates the similarity from the registers,
-  corrected for registers that agree by chance, and leaves out pairs that lie
-  five standard deviations below the threshold; the full sets confirm the rest.
+- Each class is compared with the leader of the band that it shares most with.
+  Classes that share a band and are still in different components form a group;
+  members of a group are compared block by block, each pair of blocks in one task,
+  except members of its largest component with each other. A comparison first
+  estimates the similarity from the registers, corrected for registers that agree
+  by chance, and leaves out pairs that lie five standard deviations below the
+  threshold; the full sets confirm the rest. A task passes on as many links as
+  connect its members, not all pairs.
 - Confirmed links give connected components. Nothing but counts reaches the
   driver.
 """
@@ -40,8 +43,10 @@ REGISTERS = 128
 MANTISSA = 10
 ROWS = 4
 BANDS = REGISTERS // ROWS
-#: Members of a band that are compared with each other in one task.
+#: Members of a block; two blocks are compared in one task.
 BLOCK = 512
+#: Columns of the 0/1 matrix by which a task counts common shingles.
+COLUMNS = 4096
 
 _BUCKET_BITS = REGISTERS.bit_length() - 1
 _TABLE = arrays.byte_table(1, fold_case=True)
@@ -128,11 +133,19 @@ def estimates(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 
 def least_estimate(n_a: np.ndarray, n_b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Five standard deviations below the threshold; small sets fill few
-    registers, so their estimates scatter more."""
+    """Five standard deviations below the threshold. What small sets fill of
+    the registers is all that an estimate of them rests on."""
     p = percent / 100
-    used = np.minimum(REGISTERS, np.maximum(np.minimum(n_a, n_b), 1)) / 2
-    return p - 5 * np.sqrt(p * (1 - p) / used)
+    filled = REGISTERS * -np.expm1(-np.maximum(np.minimum(n_a, n_b), 1) / REGISTERS)
+    return p - 5 * np.sqrt(p * (1 - p) / filled)
+
+
+def may_be_similar(
+    a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int = PERCENT
+) -> np.ndarray:
+    """Neither the sizes nor the estimate rule a pair out."""
+    sizes = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+    return sizes & (estimates(a, b, n_a, n_b) >= least_estimate(n_a, n_b, percent))
 
 
 def set_key(shingles: bytes) -> bytes:
@@ -208,8 +221,25 @@ def _sets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(arrays.released(run), "id long, shingles binary")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose estimate does not rule them out and whose full
+    sets are similar enough."""
+    signed = classes.select("rep", "n_shingles", "signature")
+    for side in ("a", "b"):
+        names = {"rep": side, "n_shingles": f"n{side}", "signature": f"s{side}"}
+        pairs = pairs.join(signed.withColumnsRenamed(names), side)
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (
+                arrays.string_buffers(batch.column(c))[0].view(np.uint16).reshape(-1, REGISTERS)
+                for c in (3, 5)
+            )
+            keep = may_be_similar(x, y, batch.column(2).to_numpy(), batch.column(4).to_numpy(), percent)
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    pairs = pairs.select("a", "b", "na", "sa", "nb", "sb")
+    pairs = pairs.mapInArrow(arrays.released(likely), "a long, b long").distinct()
     joined = pairs.join(sets.withColumnsRenamed({"id": "a", "shingles": "sa"}), "a").join(
         sets.withColumnsRenamed({"id": "b", "shingles": "sb"}), "b"
     )
@@ -218,51 +248,79 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                least, most = sorted((len(x), len(y)))
-                if 100 * least < percent * most:
-                    keep.append(False)
-                    continue
-                both = np.concatenate([x, y])
+                both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * common >= percent * (len(both) - common))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1)], ["a", "b"]
-            ).filter(pa.array(keep, pa.bool_()))
-
-    return joined.select("a", "b", "sa", "sb").mapInArrow(arrays.released(run), "a long, b long").distinct()
-
-
-def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs within (band, i, j) of different components that may be similar.
-    ``side`` 0 and 1 are the two blocks, 2 a block that meets itself."""
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    joined = joined.select("a", "b", "sa", "sb")
+    return joined.mapInArrow(arrays.released(run), "a long, b long").distinct()
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each of some sets has in common with each of others:
+    a product of 0/1 matrices, some columns at a time."""
+    names = np.concatenate([*left, *right])
+    _, column, held = np.unique(names, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in [*left, *right]])
+    shared = held[column] > 1
+    column, row = column[shared], row[shared]
+    kept, column = np.unique(column, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(kept), COLUMNS):
+        a, b = np.searchsorted(column, [at, at + COLUMNS])
+        part = np.zeros((len(left) + len(right), COLUMNS), np.float32)
+        part[row[a:b], column[a:b] - at] = 1
+        out += part[: len(left)] @ part[len(left) :].T
+    return out.astype(np.int64)
+
+
+def _block_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components that meet in blocks (i, j) of a group;
+    as many as connect the members. ``side`` 0 and 1 are the two blocks, 2 a
+    block that meets itself."""
 
     def run(table: pa.Table) -> pa.Table:
-        n = table.num_rows
-        ids = table["rep"].to_numpy()
-        comp, side = table["component"].to_numpy(), table["side"].to_numpy()
-        size = table["n_shingles"].to_numpy()
-        signs = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint16).reshape(n, REGISTERS)
-        band = int(table["band_no"][0].as_py())
-        keys = signs.view(np.uint64)
-        left = np.flatnonzero(side != 1)
-        right = np.flatnonzero(side != 0)
-        out = []
-        for x in left.tolist():
-            # a pair is compared in the first band that it shares
-            y = right[(comp[right] != comp[x]) & ((side[right] == 1) | (ids[right] > ids[x]))]
-            if band:
-                y = y[~(keys[y, :band] == keys[x, :band]).any(1)]
-            if not len(y):
-                continue
-            est = estimates(signs[y], signs[x][None], size[y], np.broadcast_to(size[x], len(y)))
-            y = y[est >= least_estimate(size[y], size[x], percent)]
-            out.append(np.stack([np.minimum(ids[y], ids[x]), np.maximum(ids[y], ids[x])], 1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return members.groupBy("band", "i", "j").applyInArrow(run, "a long, b long")
+        ids, comp = table["rep"].to_numpy(), table["component"].to_numpy()
+        side, size = table["side"].to_numpy(), table["n_shingles"].to_numpy()
+        signs = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        sets = [np.frombuffer(s, np.uint64) for s in table["shingles"].to_pylist()]
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        likely = np.zeros((len(left), len(right)), bool)
+        for k, x in enumerate(left.tolist()):
+            y = np.flatnonzero((comp[right] != comp[x]) & ((side[right] == 1) | (ids[right] > ids[x])))
+            if len(y):
+                n = np.broadcast_to(size[x], len(y))
+                r = right[y]
+                likely[k, y] = may_be_similar(signs[r], signs[x][None], size[r], n, percent)
+        out_a: list[int] = []
+        out_b: list[int] = []
+        rows, columns = np.flatnonzero(likely.any(1)), np.flatnonzero(likely.any(0))
+        if len(rows):
+            x, y = left[rows], right[columns]
+            common = common_counts([sets[k] for k in x], [sets[k] for k in y])
+            every = size[x][:, None] + size[y][None, :] - common
+            linked = likely[np.ix_(rows, columns)] & (100 * common >= percent * every)
+            parent = {c: c for c in np.unique(comp).tolist()}
+
+            def root(c: int) -> int:
+                while parent[c] != c:
+                    parent[c] = parent[parent[c]]
+                    c = parent[c]
+                return c
+
+            for k, m in np.argwhere(linked).tolist():
+                p, q = root(int(comp[x[k]])), root(int(comp[y[m]]))
+                if p != q:
+                    parent[p] = q
+                    out_a.append(int(ids[x[k]]))
+                    out_b.append(int(ids[y[m]]))
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+
+    return members.groupBy("grp", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(
@@ -301,40 +359,47 @@ def near_duplicates(
     wanted = classes.select("rep", "set_key").join(members.select("rep").distinct(), "rep", "left_semi")
     wanted = scratch.store(wanted.withColumnRenamed("rep", "id"), "wanted")
     texts = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text"))
-    sets = _sets(texts.join(wanted, "id").select("id", "text", "set_key"))
+    # always a shuffle of the texts: the same plan at every size
+    sets = _sets(texts.join(wanted.hint("merge"), "id").select("id", "text", "set_key"))
     sets = scratch.store(sets, "sets")
 
     # each class with the leader that it shares most bands with
     shared = members.where("rep != leader").groupBy("leader", "rep").agg(F.count("*").alias("n"))
     best = shared.groupBy("rep").agg(F.max(F.struct("n", (-F.col("leader")).alias("l"))).alias("x"))
     stars = best.select((-F.col("x.l")).alias("a"), F.col("rep").alias("b"))
-    links = scratch.store(_confirmed(stars, sets, percent), "links")
+    links = scratch.store(_confirmed(stars, classes, sets, percent), "links")
     joined = scratch.store(components(links, scratch, "first"), "joined")
 
-    # bands with several components: all pairs of different components, in blocks.
-    # The largest component of a band meets the others but not itself.
+    # bands with several components: their members form groups, in which all
+    # pairs of different components meet, block by block. The largest component
+    # of a group meets the others but not itself.
     named = members.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "band_no", "rep", F.coalesce("component", "rep").alias("component")
+        "band", "leader", "rep", F.coalesce("component", "rep").alias("component")
     )
     named = scratch.store(named, "named")
-    counts = named.groupBy("band", "component").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("band").agg(
-        F.max(F.struct("n", "component")).alias("x"), F.sum("n").alias("n"), F.count("*").alias("k")
+    low, high = F.min("component"), F.max("component")
+    mixed = named.groupBy("band").agg(low.alias("low"), high.alias("high")).where("low < high")
+    meeting = scratch.store(
+        named.join(mixed.select("band"), "band", "left_semi").select("leader", "rep", "component"), "meeting"
     )
+    grouped = components(meeting.select(F.col("leader").alias("a"), F.col("rep").alias("b")), scratch, "groups")
+    grouped = grouped.select(F.col("node").alias("rep"), F.col("component").alias("grp"))
+    rows = meeting.select("rep", "component").distinct().join(grouped, "rep")
+    rows = scratch.store(rows, "rows")
+    counts = rows.groupBy("grp", "component").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("grp").agg(F.max(F.struct("n", "component")).alias("x"), F.sum("n").alias("n"))
     blocks_of = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
-    mixed = mixed.where("k > 1").select(
-        "band",
+    sizes = sizes.select(
+        "grp",
         F.col("x.component").alias("main"),
         blocks_of(F.col("x.n")).alias("n_main"),
         blocks_of(F.col("n") - F.col("x.n")).alias("n_other"),
     )
-    mixed = scratch.store(mixed, "mixed")
-    rows = named.join(mixed, "band")
-    salt = lambda n: F.pmod(F.xxhash64("rep", "band"), n).cast("int")
+    sizes = scratch.store(sizes.where("n_other > 0"), "sizes")
+    salt = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
     is_main = F.col("component") == F.col("main")
     # i: a block of others; j: one of others, or n_other + a block of the main component
     own = F.when(is_main, F.col("n_other") + salt(F.col("n_main"))).otherwise(salt(F.col("n_other")))
-    rows = rows.withColumn("own", own)
     others = F.sequence(F.lit(0), F.col("n_other") - 1)
     everything = F.sequence(F.lit(0), F.col("n_other") + F.col("n_main") - 1)
     meets = F.when(
@@ -345,18 +410,21 @@ def near_duplicates(
             lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j")),
         )
     )
+    rows = rows.join(sizes, "grp").withColumn("own", own)
+    signs = classes.select("rep", "n_shingles", "signature")
+    rows = rows.join(signs, "rep").join(sets.withColumnRenamed("id", "rep"), "rep")
     rows = rows.withColumn("m", F.explode(meets)).select(
-        "band",
-        "band_no",
+        "grp",
         "rep",
         "component",
+        "n_shingles",
+        "signature",
+        "shingles",
         F.col("m.i").alias("i"),
         F.col("m.j").alias("j"),
         F.when(F.col("m.i") == F.col("m.j"), 2).when(F.col("own") == F.col("m.j"), 1).otherwise(0).alias("side"),
     )
-    signs = classes.select("rep", "n_shingles", "signature")
-    pairs = scratch.store(_cross_pairs(rows.join(signs, "rep"), percent).distinct(), "pairs")
-    more = scratch.store(_confirmed(pairs, sets, percent), "more-links")
+    more = scratch.store(_block_links(rows, percent), "more-links")
     if more.isEmpty():
         final = joined
     else:
@@ -365,7 +433,7 @@ def near_duplicates(
     of_class = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left")
     of_class = of_class.select("set_key", F.coalesce("component", "rep").alias("component_id"))
     of_class = scratch.store(of_class, "class-components")
-    scratch.drop("leaders", "members", "wanted", "sets", "named", "mixed", "pairs", "classes")
+    scratch.drop("leaders", "members", "wanted", "sets", "named", "meeting", "rows", "sizes", "classes")
 
     named_rows = signed.select("id", "n_shingles", "set_key")
     alone = (F.col("set_key").isNull()) | F.col("id").isNull()

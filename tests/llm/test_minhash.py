@@ -114,6 +114,14 @@ def test_estimates_are_close():
     assert 0 < minhash.chance(1000, 1000) < 0.01
 
 
+def test_common_counts(monkeypatch):
+    monkeypatch.setattr(minhash, "COLUMNS", 16)
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 200, rng.integers(1, 120)).astype(np.uint64)) for _ in range(30)]
+    found = minhash.common_counts(sets[:12], sets[5:])
+    assert found.tolist() == [[len(np.intersect1d(a, b)) for b in sets[5:]] for a in sets[:12]]
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000, 1000 + k) for k in range(1, 200)]
