@@ -35,6 +35,9 @@ _WITH_SPACE = re.compile(f"[{_SPACE}]*(?:{_PIECE})|[{_SPACE}]+\\Z")
 _BETWEEN_SPACE = re.compile(_PIECE)
 #: White space beyond the four characters above, where cuts are not proven.
 _OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　]")
+#: Marks that may compose with a letter before it is lower-cased; without them, a
+#: tokenizer that lower-cases gives the same ids for A-Z and a-z.
+_COMBINING = re.compile("[\u0300-\u036f]")
 
 
 @lru_cache(maxsize=4)
@@ -66,6 +69,10 @@ class PieceEncoder:
     def __init__(self, path: str, keeps_space: bool) -> None:
         self.tokenizer = tokenizer(path)
         self._find = (_WITH_SPACE if keeps_space else _BETWEEN_SPACE).findall
+        normalizer = self.tokenizer.normalizer
+        self._lowers = (
+            not keeps_space and normalizer is not None and normalizer.normalize_str("A") == "a"
+        )
         added = self.tokenizer.get_added_tokens_decoder()
         self._special = [t.content for t in added.values()]
         self._keeps_space = keeps_space
@@ -78,6 +85,13 @@ class PieceEncoder:
             return True
         return self._keeps_space and _OTHER_SPACE.search(text) is not None
 
+    def _pieces(self, text: str) -> list[str] | None:
+        if self._whole(text):
+            return None
+        if self._lowers and not _COMBINING.search(text):
+            text = text.encode().lower().decode()  # A-Z alone
+        return self._find(text)
+
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         encode = self.tokenizer.encode_batch_fast
         if self._part is None:
@@ -96,8 +110,7 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
-        find = self._find
-        pieces = [None if self._whole(t) else find(t) for t in texts]
+        pieces = [self._pieces(t) for t in texts]
         known = self._new
         wanted = set().union(*(p for p in pieces if p is not None)).difference(known)
         if wanted:

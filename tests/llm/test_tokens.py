@@ -15,7 +15,7 @@ from .samples import documents, empty_documents, hard_documents, prose, texts
 def odd_texts(n):
     rng = random.Random(3)
     parts = ["a", "Bé", " ", "  ", "\n", "\t", "'s", "'ll", "12", "<|endoftext|>", "\xa0", "\x1c", "é",
-             "\u0301", "ﬁ", "Ⅷ", "😀", "日本", "\r\n", "<|startoftext|>", "İ", "Σ", "\x85", "\u2028", "%%", "_", ".", ",", "|", "'", "3.14", "=\u0338", "word,", "x&&&", "!!", ".\u0301", "ß;", "日."]
+             "\u0301", "ﬁ", "Ⅷ", "😀", "日本", "\r\n", "<|startoftext|>", "İ", "Σ", "\x85", "\u2028", "%%", "_", ".", ",", "|", "'", "3.14", "=\u0338", "word,", "x&&&", "!!", ".\u0301", "ß;", "日.", "J\u030c", "THE", "\u212a"]
     return ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(n)]
 
 
