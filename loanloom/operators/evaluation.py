@@ -18,6 +18,7 @@ from loanloom.operators.quality import ColumnRule, split_valid
 from loanloom.operators.ranking import ranking_metrics
 from loanloom.operators.sampling import hash_sample
 from loanloom.operators.training import SCORE, PositiveScore
+from loanloom.session import cut_lineage
 
 CALIBRATED = "probability_of_default"
 MEMBERSHIPS = "_memberships"
@@ -145,8 +146,8 @@ def permutation_importance(
 ) -> DataFrame:
     """(feature, importance): fall of the average precision on a fixed-size
     sample when one feature takes the values of other rows. All features are
-    scored in one job."""
-    sample = hash_sample(prepared(model, df), id_col, n_sample, seed)
+    scored in one job; only the sample is prepared."""
+    sample = cut_lineage(prepared(model, hash_sample(df, id_col, n_sample, seed)))
     base = sample.select(
         F.col(id_col).alias("id"), F.col(label).alias("y"), vector_to_array(FEATURES).alias("x")
     )

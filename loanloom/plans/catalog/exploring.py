@@ -8,22 +8,13 @@ from pyspark.sql import functions as F
 from loanloom.operators import histograms, profile, quantiles, sampling
 from loanloom.operators.aggregates import null_rates as column_null_rates
 from loanloom.plans.catalog.base import comparable, query, rounded, table
-from loanloom.plans.catalog.credit_view import loan_sql, loan_table
+from loanloom.plans.catalog.credit_view import COLUMNS, loan_sql, loan_table
 from loanloom.plans.exploration import CATEGORY_COLUMNS
 from loanloom.plans.exploration import summary as explore_summary
 
 ID, LABEL = "SK_ID_CURR", "TARGET"
 _APP = f"WITH {loan_sql('application_train')}"
-_GAPPED = [
-    "AMT_CREDIT",
-    "AMT_ANNUITY",
-    "NAME_EDUCATION_TYPE",
-    "OWN_CAR_AGE",
-    "OCCUPATION_TYPE",
-    "EXT_SOURCE_1",
-    "EXT_SOURCE_2",
-    "EXT_SOURCE_3",
-]
+_GAPPED = list(COLUMNS["application_train"])
 _NUMERIC = [
     "CNT_CHILDREN",
     "AMT_INCOME_TOTAL",
@@ -118,13 +109,13 @@ def label_correlation(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "K2",
     f"""{_APP}, r AS ({_correlation_sql(_NUMERIC)}),
-      low AS (SELECT * FROM r ORDER BY correlation, "column" LIMIT 4),
-      high AS (SELECT * FROM r ORDER BY correlation DESC, "column" DESC LIMIT 4)
+      low AS (SELECT * FROM r ORDER BY correlation, "column" LIMIT 15),
+      high AS (SELECT * FROM r ORDER BY correlation DESC, "column" DESC LIMIT 15)
     SELECT * FROM low UNION ALL SELECT * FROM high""",
 )
 def topk_tails(spark: SparkSession, folder: str) -> DataFrame:
     found = profile.label_correlations(_applicants(spark, folder), LABEL, _NUMERIC)
-    return comparable(profile.both_tails(found, "correlation", "column", 4))
+    return comparable(profile.both_tails(found, "correlation", "column"))
 
 
 @query(
@@ -344,12 +335,12 @@ def hash_sample(spark: SparkSession, folder: str) -> DataFrame:
       {rounded("EXT_SOURCE_3")} AS EXT_SOURCE_3
     FROM application_train WHERE EXT_SOURCE_1 IS NOT NULL AND EXT_SOURCE_2 IS NOT NULL
       AND EXT_SOURCE_3 IS NOT NULL
-    ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || '-42'), SK_ID_CURR LIMIT 200""",
+    ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || '-42'), SK_ID_CURR LIMIT 10000""",
 )
 def complete_sample(spark: SparkSession, folder: str) -> DataFrame:
     scores = ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
     rows = _applicants(spark, folder).select(ID, F.col(LABEL).cast("int").alias(LABEL), *scores)
-    return comparable(sampling.complete_sample(rows, ID, scores, 200), [ID, LABEL])
+    return comparable(sampling.complete_sample(rows, ID, scores, 10_000), [ID, LABEL])
 
 
 _PARTLY = ["EXT_SOURCE_1", "OCCUPATION_TYPE", "EXT_SOURCE_3", "NAME_EDUCATION_TYPE", "OWN_CAR_AGE"]
@@ -380,10 +371,10 @@ def missing_patterns(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "K9",
     f"""{_APP} SELECT SK_ID_CURR, {_FLAGS} FROM application_train
-    ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || '-42'), SK_ID_CURR LIMIT 500""",
+    ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || '-42'), SK_ID_CURR LIMIT 5000""",
 )
 def missing_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.missing_matrix(_applicants(spark, folder), ID, _PARTLY, 500)
+    return profile.missing_matrix(_applicants(spark, folder), ID, _PARTLY)
 
 
 @query(

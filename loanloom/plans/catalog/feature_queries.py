@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.functions.columns import numeric_columns
+from loanloom.functions.columns import numeric_columns, split_label
 from loanloom.operators import features, prepare
 from loanloom.plans.catalog.base import comparable, query, rounded
-from loanloom.plans.catalog.wide import AGGREGATES, WIDE_SQL, wide
 from loanloom.plans.catalog.credit_view import loan_sql, loan_table
+from loanloom.plans.catalog.wide import AGGREGATES, WIDE_SQL, wide
 
 ID, LABEL = "SK_ID_CURR", "TARGET"
 _APP = f"WITH {loan_sql('application_train')}"
@@ -99,6 +99,22 @@ def drop_columns(spark: SparkSession, folder: str) -> DataFrame:
     return features.DropColumns(columnsToDrop=dropped).transform(rows)
 
 
+@query(
+    "P3",
+    f"""{_APP} SELECT CODE_GENDER, count(*) AS "rows", CAST(sum(TARGET) AS BIGINT) AS positives
+    FROM application_train GROUP BY CODE_GENDER""",
+)
+def label_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Features and label apart, met again by position of the id."""
+    rows = _applicants(spark, folder).select(ID, LABEL, "CODE_GENDER")
+    inputs, _ = split_label(rows, LABEL)
+    _, label = split_label(rows.withColumn(LABEL, F.struct(LABEL, ID)), LABEL)
+    met = inputs.join(label.select(f"{LABEL}.*"), ID)
+    return met.groupBy("CODE_GENDER").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(LABEL).cast("bigint").alias("positives")
+    )
+
+
 _PLANNED_SQL = f"""
   {_ratio("AMT_CREDIT", "AMT_GOODS_PRICE")} AS CREDIT_GOODS_RATIO,
   {_ratio("AMT_INCOME_TOTAL", "CNT_FAM_MEMBERS + 1")} AS INCOME_PER_PERSON,

@@ -1,4 +1,8 @@
-"""Queries that fit models. They have no SQL counterpart.
+"""Queries that fit models.
+
+What a fit finds has no SQL counterpart; what must hold of it has: sizes of the
+folds, the sum of contributions, which rows are scored or rejected, equal scores
+of a stored model, and isotonic values of a score with few levels.
 
 The applicants are customers; the features are all columns of the wide table; the
 label is a negative balance. Searches are
@@ -10,7 +14,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,8 +23,9 @@ from loanloom.operators import quality as q
 from loanloom.operators.ranking import find_optimal_threshold
 from loanloom.operators.sampling import hash_sample, stratified_parts
 from loanloom.plans import modelling
-from loanloom.plans.catalog.base import comparable, query
-from loanloom.plans.catalog.wide import wide
+from loanloom.plans.catalog.base import comparable, query, table
+from loanloom.plans.catalog.credit_view import loan_sql
+from loanloom.plans.catalog.wide import AGGREGATES, MAIN_COLUMNS, TEXT_COLUMNS, wide
 from loanloom.session import cut_lineage, ensure_checkpoint_dir
 from loanloom.sources.stores import load_stages, save_stages
 
@@ -39,6 +44,48 @@ def logistic_cv(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(found.folds, ["fold", "size"])
 
 
+_FOLDS_SQL = f"""WITH {loan_sql("application_train")}, shuffled AS (
+  SELECT SK_ID_CURR, CAST(TARGET AS INTEGER) AS y, row_number() OVER (PARTITION BY TARGET
+      ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || '-42'), SK_ID_CURR) AS place,
+    count(*) OVER (PARTITION BY TARGET) AS n FROM application_train)"""
+
+
+@query(
+    "T1 T2 R7",
+    f"""{_FOLDS_SQL}, f AS (SELECT *, CAST({" + ".join(
+        f"CAST(place > n * {i} // 5 AS INTEGER)" for i in range(1, 5))} AS INTEGER) AS fold
+      FROM shuffled)
+    SELECT fold, count(*) AS "size", CAST(sum(y) AS BIGINT) AS positives, min(SK_ID_CURR) AS low,
+      max(SK_ID_CURR) AS high, true AS once, true AS agrees FROM f GROUP BY fold""",
+)
+def out_of_fold_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row is scored once, in its own fold, and the area under the curve of
+    a fold is the one that the mean ranks of its positive rows give."""
+    found = training.cross_validate(applicants(spark, folder), training.LOGISTIC, ID, LABEL)
+    scores = found.scores.select(ID, LABEL, "fold", training.SCORE)
+    once = scores.count() == scores.select(ID).distinct().count()
+    in_fold = Window.partitionBy("fold")
+    ties = Window.partitionBy("fold", training.SCORE)
+    place = F.rank().over(in_fold.orderBy(training.SCORE)) + (F.count(F.lit(1)).over(ties) - 1) / 2
+    ranked = scores.select("fold", LABEL, place.alias("place")).groupBy("fold")
+    ranked = ranked.agg(
+        F.sum(F.col("place") * F.col(LABEL)).alias("sum"),
+        F.sum(LABEL).alias("p"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    p, n = F.col("p"), F.col("n")
+    area = (F.col("sum") - p * (p + 1) / 2) / (p * (n - p))
+    agrees = ranked.select("fold", area.alias("area")).join(found.folds, "fold")
+    agrees = agrees.select("fold", (F.abs(F.col("area") - F.col("auc_roc")) < 1e-9).alias("agrees"))
+    sizes = scores.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.sum(LABEL).cast("bigint").alias("positives"),
+        F.min(ID).alias("low"),
+        F.max(ID).alias("high"),
+    )
+    return sizes.withColumn("once", F.lit(once)).join(agrees, "fold")
+
+
 @query("T2 R4 A25 S15")
 def baseline_run(spark: SparkSession, folder: str) -> DataFrame:
     """Cross-validated baseline: summary and pooled confusion counts."""
@@ -89,6 +136,29 @@ def isotonic_scores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "E1",
+    """WITH s AS (SELECT l_discount * 10.0 AS score, CAST(l_returnflag = 'R' AS INTEGER) AS y
+      FROM lineitem),
+    level AS (SELECT score, sum(y) AS pos, count(*) AS n,
+      row_number() OVER (ORDER BY score) AS i FROM s GROUP BY score),
+    span AS (SELECT a.i AS lo, b.i AS hi, (SELECT sum(pos) / CAST(sum(n) AS DOUBLE) FROM level
+      WHERE i BETWEEN a.i AND b.i) AS mean FROM level a JOIN level b ON a.i <= b.i),
+    below AS (SELECT l.i, span.lo, min(span.mean) AS least FROM level l
+      JOIN span ON span.lo <= l.i AND span.hi >= l.i GROUP BY ALL)
+    SELECT round(score, 6) + 0.0 AS score, round(max(least), 6) + 0.0 AS calibrated
+    FROM level JOIN below USING (i) GROUP BY score""",
+)
+def isotonic_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """Isotonic values of a score with 11 levels: the largest over the lower
+    ends of the least means of the ranges that hold the level."""
+    rows = table(spark, folder, "lineitem").select(
+        (F.col("l_discount") * 10.0).alias("score"), (F.col("l_returnflag") == "R").cast("int").alias("y")
+    )
+    calibrator = evaluation.fit_calibration(rows, "score", "y", "calibrated")
+    return comparable(calibrator.transform(rows.select("score").distinct()))
+
+
 @query("E2 E1 K7 R5 R6 A28 S10")
 def evaluation_run(spark: SparkSession, folder: str) -> DataFrame:
     run = modelling.run_evaluation(applicants(spark, folder))
@@ -102,6 +172,25 @@ def attribution_top10(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.top_attributions(model, rows, ID, LABEL)
 
 
+@query(
+    "E3",
+    f"""WITH {loan_sql("application_train")} SELECT SK_ID_CURR, 132 AS features, true AS same
+    FROM application_train""",
+)
+def contribution_sums(spark: SparkSession, folder: str) -> DataFrame:
+    """The contributions of a row add up to its margin above the mean margin."""
+    rows, model = _fitted(spark, folder)
+    score = F.col(training.SCORE)
+    margin = F.log(score / (1 - score))
+    scored = model.transform(rows).select(ID, margin.alias("margin"))
+    sums = evaluation.linear_contributions(model, rows, ID).groupBy(ID)
+    sums = sums.agg(F.sum("contribution").alias("total"), F.count(F.lit(1)).cast("int").alias("features"))
+    mean = scored.agg(F.avg("margin").alias("mean"))
+    near = F.abs(F.col("margin") - F.col("mean") - F.col("total")) < 1e-6 * (1 + F.abs("margin"))
+    # one row beside each: the mean
+    return sums.join(scored, ID).withColumn("mean", mean.scalar()).select(ID, "features", near.alias("same"))
+
+
 @query("E3")
 def permutation_top10(spark: SparkSession, folder: str) -> DataFrame:
     rows = applicants(spark, folder)
@@ -124,12 +213,8 @@ def batch_scoring(spark: SparkSession, folder: str) -> DataFrame:
     calibrator = evaluation.fit_calibration(known, training.SCORE, LABEL)
     chosen = find_optimal_threshold(calibrator.transform(known), evaluation.CALIBRATED, LABEL)
     threshold = chosen.first()["threshold"]
-    contract = [
-        q.ColumnRule(ID, T.IntegerType(), rules=[q.greater_than(0)]),
-        q.ColumnRule("AMT_CREDIT", T.FloatType(), rules=[q.greater_than(0)]),
-    ]
     scored, rejected = evaluation.score_batch(
-        training.with_calibration(model, calibrator), rows, ID, threshold, contract
+        training.with_calibration(model, calibrator), rows, ID, threshold, _SCORED_CONTRACT
     )
     return scored.withColumn("reasons", F.lit("")).unionByName(
         rejected.select(ID, F.concat_ws("; ", "errors").alias("reasons")),
@@ -137,7 +222,67 @@ def batch_scoring(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("M5 M6 S12 S13")
+_SCORED_CONTRACT = [
+    q.ColumnRule(ID, T.IntegerType(), rules=[q.greater_than(0)]),
+    q.ColumnRule("AMT_CREDIT", T.FloatType(), rules=[q.greater_than(0)]),
+]
+
+
+@query(
+    "B1 Q14 K7",
+    f"""{_FOLDS_SQL}, held AS (SELECT SK_ID_CURR FROM shuffled WHERE place <= floor(0.2e0 * n + 0.5))
+    SELECT SK_ID_CURR, concat_ws('; ',
+        CASE WHEN SK_ID_CURR <= 0 THEN 'SK_ID_CURR: greater_than(0)' END,
+        CASE WHEN AMT_CREDIT IS NULL THEN 'AMT_CREDIT: not_nullable' END,
+        CASE WHEN AMT_CREDIT <= 0 THEN 'AMT_CREDIT: greater_than(0)' END) AS reasons,
+      SK_ID_CURR > 0 AND coalesce(AMT_CREDIT, 0) > 0 AS scored
+    FROM application_train JOIN held USING (SK_ID_CURR)""",
+)
+def scored_or_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """Each held-out row is scored, with a probability and the decision that
+    follows from it, or rejected with its reasons."""
+    rows, calibration, model = _fitted_on_part(spark, folder)
+    calibrator = evaluation.fit_calibration(model.transform(calibration), training.SCORE, LABEL)
+    threshold = 0.5
+    scored, rejected = evaluation.score_batch(
+        training.with_calibration(model, calibrator), rows, ID, threshold, _SCORED_CONTRACT
+    )
+    p = F.col(evaluation.CALIBRATED)
+    right = p.between(0, 1) & (F.col("decision").cast("boolean") == (p >= threshold))
+    return scored.select(ID, F.lit("").alias("reasons"), right.alias("scored")).unionByName(
+        rejected.select(ID, F.concat_ws("; ", "errors").alias("reasons"), F.lit(False).alias("scored"))
+    )
+
+
+#: Numeric columns, their aggregates and the derived features, then the texts.
+_PREPARED = [
+    *[
+        f"num__{c}"
+        for c in [
+            *[c for c in MAIN_COLUMNS if c not in [*TEXT_COLUMNS, ID, LABEL, "DAYS_EMPLOYED"]],
+            *AGGREGATES,
+            "IS_UNEMPLOYED",
+            "CREDIT_INCOME_RATIO",
+            "ANNUITY_INCOME_RATIO",
+            "CREDIT_TERM",
+            "DAYS_EMPLOYED_RATIO",
+            "AGE_YEARS",
+            "EXT_SOURCE_MEAN",
+            "EXT_SOURCE_STD",
+            "EXT_SOURCE_MISSING_COUNT",
+            "WEEKDAY_SIN",
+            "WEEKDAY_COS",
+        ]
+    ],
+    *[f"cat__{c}" for c in TEXT_COLUMNS if c != "WEEKDAY_APPR_PROCESS_START"],
+]
+
+
+@query(
+    "M5 M6 S12 S13",
+    "SELECT * FROM (VALUES " + ", ".join(f"('{c}', true)" for c in _PREPARED)
+    + ") AS t(feature, same)",
+)
 def preparation_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Does a saved and loaded preparation give the same features?"""
     rows = applicants(spark, folder)

@@ -94,12 +94,19 @@ def rows_kept_by_join(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame([(before, after)], "before bigint, after bigint")
 
 
-@query("S14 S15 T8")
+@query(
+    "S14 S15 T8",
+    """SELECT run, kind, name, CASE WHEN kind = 'metric' THEN CAST(n AS DOUBLE) END AS number,
+      CASE WHEN kind = 'param' THEN version END AS text, true AS same_scores
+    FROM (VALUES ('first', '1'), ('second', '2')) AS r(run, version),
+      (VALUES ('param', 'version'), ('metric', 'rows')) AS k(kind, name),
+      (SELECT count(*) AS n FROM customer)""",
+)
 def model_registry(spark: SparkSession, folder: str) -> DataFrame:
     """Register two versions, load the newest, and read the run log."""
     root = _folder(spark)
     rows = applicants(spark, folder)
-    model = training.fit_model(rows, training.LOGISTIC, LABEL, {"maxIter": 20}, [ID])
+    model = training.fit_model(rows, training.LOGISTIC, LABEL, None, [ID])
     for run in ("first", "second"):
         version = stores.register_model(model, f"{root}/models", "champion", run, spark)
         stores.log_run(

@@ -270,7 +270,7 @@ def aggregate_installments(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(applicants.aggregate_installments(rows), [ID], exact=EXACT)
 
 
-_TEXT = [
+TEXT_COLUMNS = [
     "NAME_CONTRACT_TYPE",
     "CODE_GENDER",
     "NAME_INCOME_TYPE",
@@ -284,7 +284,7 @@ _MAIN_SQL = ", ".join(
     "CAST(TARGET AS INTEGER) AS TARGET"
     if c == "TARGET"
     else c
-    if c in [*_TEXT, ID, "DAYS_BIRTH"]
+    if c in [*TEXT_COLUMNS, ID, "DAYS_BIRTH"]
     else f"{rounded(c)} AS {c}"
     for c in MAIN_COLUMNS
 )

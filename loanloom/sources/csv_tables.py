@@ -108,16 +108,20 @@ def load_table(
     extra_schema: T.StructType | None = None,
     null_integers: bool = False,
 ) -> DataFrame:
-    """One of the seven tables with its declared types."""
+    """One of the seven tables with its declared types. With ``nrows`` only the
+    first rows are read, also for the types of undeclared columns. A cell that
+    does not fit its type is an error when its column is read; call
+    ``cast_failures`` to check columns that a query leaves out."""
     if name not in TABLE_SCHEMAS:
         raise ValueError(f"unknown table {name!r}; known: {', '.join(TABLE_NAMES)}")
     text = scan_text(spark, f"{folder}/{name}")
+    if nrows is not None:
+        text = text.limit(nrows)
     declared = TABLE_SCHEMAS[name]
     if extra_schema is None:
         extra_schema = infer_extra_columns(text, declared)
     schema = T.StructType(declared.fields + extra_schema.fields)
-    typed = apply_schema(text, schema, null_integers)
-    return typed.limit(nrows) if nrows is not None else typed
+    return apply_schema(text, schema, null_integers)
 
 
 def load_all_tables(
