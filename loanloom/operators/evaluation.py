@@ -24,11 +24,22 @@ CALIBRATED = "probability_of_default"
 MEMBERSHIPS = "_memberships"
 
 
+#: Distinct scores that an isotonic fit takes at most, on average; the fit pools
+#: its points on the driver.
+CALIBRATION_POINTS = 500_000
+
+
 def fit_calibration(
-    df: DataFrame, score: str, label: str, output: str = CALIBRATED
+    df: DataFrame,
+    score: str,
+    label: str,
+    output: str = CALIBRATED,
+    points: int = CALIBRATION_POINTS,
 ) -> IsotonicRegressionModel:
     """Isotonic regression of the label on the score. Equal scores are merged
-    into one weighted row first, which gives the same fit from fewer rows."""
+    into one weighted row first, which gives the same fit from fewer rows. Of
+    more than ``points`` distinct scores, those with the smallest hashes are
+    taken, each with all its rows: a bounded sample of the calibration rows."""
     merged = (
         df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(score).cast("double").alias(score))
@@ -37,9 +48,12 @@ def fit_calibration(
             F.count(F.lit(1)).cast("double").alias("_rows"),
         )
     )
+    merged = cut_lineage(merged)
+    share = points / max(1, merged.count())
+    place = F.pmod(F.xxhash64(score), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return IsotonicRegression(
         featuresCol=score, labelCol="_rate", weightCol="_rows", predictionCol=output
-    ).fit(merged)
+    ).fit(merged.where(place < F.lit(share)))
 
 
 @dataclass(frozen=True)
