@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanloom.llm.arrays import mix
+from loanloom.llm.scratch import shuffles_freed
 from loanloom.llm.tokens import piece_encoder
 
 MAGIC = 0x3144494D5048
@@ -259,7 +260,8 @@ def write_ids(
             [f.split()[0] for f in MANIFEST.split(", ")],
         )
 
-    dealt.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
+    with shuffles_freed(spark):
+        dealt.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +18,21 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Inside, a query's shuffle files go when it ends, not when the driver
+    happens to collect its garbage. For writes: their plans run once."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 class Scratch:
     """The intermediate tables of one run. A stored table cuts the lineage: a
     lost executor costs a read of files, not the work before them. Tables that
@@ -27,7 +44,8 @@ class Scratch:
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        with shuffles_freed(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
