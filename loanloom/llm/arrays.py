@@ -22,22 +22,28 @@ _MASK = (1 << 64) - 1
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def release() -> None:
+    """Hands memory back that this process does not need between tasks."""
+    _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def released(run: Callable) -> Callable:
-    """A task function that hands memory back when it is done. Python workers
+    """A task function that calls ``release`` when it is done. Python workers
     are kept for later tasks, and an idle one would hold what its largest task
-    has used."""
+    has used. (Only functions are named here: what a task function names is sent
+    along with it.)"""
 
     @wraps(run)
     def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from run(batches)
         finally:
-            _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):  # another C library
-                pass
+            release()
 
     return inner
 
