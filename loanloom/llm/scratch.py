@@ -36,7 +36,8 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
 class Scratch:
     """The intermediate tables of one run. A stored table cuts the lineage: a
     lost executor costs a read of files, not the work before them. Tables that
-    the returned frame no longer reads are deleted with ``drop``."""
+    the returned frame no longer reads are deleted with ``drop``, all others when
+    the session ends."""
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
@@ -46,11 +47,15 @@ class Scratch:
         path = f"{self.folder}/{name}"
         with shuffles_freed(self.spark):
             df.write.option("compression", "zstd").parquet(path)
+        files, place = self._place(name)
+        files.deleteOnExit(place)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _place(self, name: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
     def drop(self, *names: str) -> None:
-        jvm = self.spark._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-            fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-            fs.delete(path, True)
+            files, place = self._place(name)
+            files.delete(place, True)
