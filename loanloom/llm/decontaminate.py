@@ -266,7 +266,7 @@ def find_test_items(
                     schema=batch.schema,
                 )
 
-        return run
+        return arrays.released(run)
 
     for group in groups:
         if any(words for _, words in group):
@@ -315,7 +315,7 @@ def find_test_items(
     kinds = {f.name: f.dataType.simpleString() for f in schema}
     out = ", ".join(f"{n} {kinds[n]}" for n in ["_id", *[f"_kept{i}" for i in range(n_kept)]])
     out += ", n_words long, n_hit long, longest_hit long, items array<string>, spans array<long>, clean_text string"
-    found = rows.mapInArrow(finish, out)
+    found = rows.mapInArrow(arrays.released(finish), out)
     return found.select(
         F.col("_id").alias(id_column),
         *[F.col(f"_kept{i}").alias(c) for i, c in enumerate(keep)],

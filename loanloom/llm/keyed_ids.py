@@ -35,7 +35,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm.arrays import mix
+from loanloom.llm.arrays import mix, released
 from loanloom.llm.scratch import shuffles_freed
 from loanloom.llm.tokens import piece_encoder
 
@@ -261,7 +261,7 @@ def write_ids(
         )
 
     with shuffles_freed(spark):
-        dealt.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
+        dealt.mapInArrow(released(run), MANIFEST).write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
 
 

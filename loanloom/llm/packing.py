@@ -23,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from loanloom.llm.arrays import released
 from loanloom.llm.tokens import piece_encoder
 
 CAPACITY = 2048
@@ -224,4 +225,4 @@ def pack(
         if id_type is not None:
             yield table(rows_of(packer.finish()))
 
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_column)
+    return rows.mapInArrow(released(run), schema).withColumnRenamed("id", id_column)
