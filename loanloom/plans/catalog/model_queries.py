@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from loanloom.operators import evaluation, prepare, training
 from loanloom.operators import quality as q
-from loanloom.operators.ranking import find_optimal_threshold
+from loanloom.operators.ranking import cost_sweep, find_optimal_threshold
 from loanloom.operators.sampling import hash_sample, stratified_parts
 from loanloom.plans import modelling
 from loanloom.plans.catalog.base import comparable, query, table
@@ -166,6 +166,33 @@ def evaluation_run(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "name string, value double")
 
 
+@query(
+    "E2 S10",
+    "SELECT 10 AS fn_cost, 1 AS fp_cost, true AS same, true AS cheapest",
+)
+def threshold_record(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored record of a threshold against the run that it came from: the
+    same figures, and no threshold of the sweep is cheaper on the rows that it
+    was chosen on."""
+    path = f"{ensure_checkpoint_dir(spark)}/thresholds/{uuid.uuid4().hex}"
+    run = modelling.run_evaluation(applicants(spark, folder), threshold_path=path)
+    same = F.lit(True)
+    names = {"optimal_threshold": "threshold", "precision": "precision", "recall": "recall", "f1": "f1"}
+    for column, metric in names.items():
+        same = same & F.col(column).eqNullSafe(F.lit(run.metrics[metric]).cast("double"))
+    calibration = run.calibration.select(LABEL, evaluation.CALIBRATED)
+    costs = cost_sweep(calibration, evaluation.CALIBRATED, LABEL)
+    least = costs.agg(F.min("cost")).first()[0]
+    chosen = costs.where(F.abs(F.col("threshold") - run.metrics["threshold"]) < 1e-9).first()
+    record = spark.read.json(path)
+    return record.select(
+        F.col("fn_cost").cast("int").alias("fn_cost"),
+        F.col("fp_cost").cast("int").alias("fp_cost"),
+        same.alias("same"),
+        F.lit(chosen["cost"] == least).alias("cheapest"),
+    )
+
+
 @query("E3 K1")
 def attribution_top10(spark: SparkSession, folder: str) -> DataFrame:
     rows, model = _fitted(spark, folder)

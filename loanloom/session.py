@@ -21,8 +21,6 @@ def build_session(
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # the wide table has more columns than the default for generated code
-        .config("spark.sql.codegen.maxFields", "400")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
     )
