@@ -36,12 +36,13 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = scratch.store(large.distinct(), f"{name}-{k}-large")
         # small star: smaller neighbours of a node, and the node, go to the smallest
-        least = scratch.store(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}-{k}-small")
+        # (no node has many smaller neighbours left, so this join has no large keys)
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = scratch.store(
             moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), f"{name}-{k}"
         )
-        scratch.drop(f"{name}-{k - 1}", *(f"{name}-{k}-{s}" for s in ("least", "large", "small")))
+        scratch.drop(f"{name}-{k - 1}", *(f"{name}-{k}-{s}" for s in ("least", "large")))
         after = _state(now)
         done, before = after == before, after
     if not done:

@@ -357,7 +357,7 @@ def near_duplicates(
     members = scratch.store(bands.join(leaders, "band"), "members")
     scratch.drop("bands")
     wanted = classes.select("rep", "set_key").join(members.select("rep").distinct(), "rep", "left_semi")
-    wanted = scratch.store(wanted.withColumnRenamed("rep", "id"), "wanted")
+    wanted = wanted.withColumnRenamed("rep", "id")
     texts = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text"))
     # always a shuffle of the texts: the same plan at every size
     sets = _sets(texts.join(wanted.hint("merge"), "id").select("id", "text", "set_key"))
@@ -395,7 +395,7 @@ def near_duplicates(
         blocks_of(F.col("x.n")).alias("n_main"),
         blocks_of(F.col("n") - F.col("x.n")).alias("n_other"),
     )
-    sizes = scratch.store(sizes.where("n_other > 0"), "sizes")
+    sizes = sizes.where("n_other > 0")
     salt = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
     is_main = F.col("component") == F.col("main")
     # i: a block of others; j: one of others, or n_other + a block of the main component
@@ -433,7 +433,7 @@ def near_duplicates(
     of_class = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left")
     of_class = of_class.select("set_key", F.coalesce("component", "rep").alias("component_id"))
     of_class = scratch.store(of_class, "class-components")
-    scratch.drop("leaders", "members", "wanted", "sets", "named", "meeting", "rows", "sizes", "classes")
+    scratch.drop("leaders", "members", "sets", "named", "meeting", "rows", "classes")
 
     named_rows = signed.select("id", "n_shingles", "set_key")
     alone = (F.col("set_key").isNull()) | F.col("id").isNull()
