@@ -18,6 +18,8 @@ from loanloom.llm.ship import prepare
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 END_ID = 1
+#: Smaller than by default: other stages leave less memory to a worker.
+KEPT_PIECES = 150_000
 #: A document with a larger share of benchmark words goes as a whole.
 MOST_HIT = 0.5
 
@@ -60,7 +62,7 @@ def decontaminate_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return packing.pack(docs, BYTE_BPE, END_ID)
+    return packing.pack(docs, BYTE_BPE, END_ID, kept_pieces=KEPT_PIECES)
 
 
 STAGES = [

@@ -17,7 +17,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces kept in each of two tables of a Python worker, about 200 bytes each,
 #: the longest piece that is kept, and pieces encoded in one call.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 600_000
 KEPT_CHARS = 40
 JOINED = 2048
 
@@ -66,8 +66,9 @@ class PieceEncoder:
     cuts a text before anything else.
     """
 
-    def __init__(self, path: str, keeps_space: bool) -> None:
+    def __init__(self, path: str, keeps_space: bool, kept_pieces: int = KEPT_PIECES) -> None:
         self.tokenizer = tokenizer(path)
+        self._most = kept_pieces
         self._find = (_WITH_SPACE if keeps_space else _BETWEEN_SPACE).findall
         normalizer = self.tokenizer.normalizer
         self._lowers = (
@@ -114,7 +115,7 @@ class PieceEncoder:
         known = self._new
         wanted = set().union(*(p for p in pieces if p is not None)).difference(known)
         if wanted:
-            if len(known) + len(wanted) > KEPT_PIECES:
+            if len(known) + len(wanted) > self._most:
                 # pieces that are still in use come back from the old table
                 self._old, self._new = known, {}
                 known = self._new
@@ -137,6 +138,6 @@ class PieceEncoder:
 
 
 @lru_cache(maxsize=4)
-def piece_encoder(path: str, keeps_space: bool) -> PieceEncoder:
+def piece_encoder(path: str, keeps_space: bool, kept_pieces: int = KEPT_PIECES) -> PieceEncoder:
     """The encoder of a Python worker; its table serves all tasks that run there."""
-    return PieceEncoder(path, keeps_space)
+    return PieceEncoder(path, keeps_space, kept_pieces)
