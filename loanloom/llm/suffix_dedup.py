@@ -40,7 +40,7 @@ GRAMS = LENGTH - GRAM + 1  # in one string
 MOST_STRINGS = 127  # in one segment
 PART_BYTES = 2 << 20
 #: Common grams: documents looked at, and the share of them that makes one common.
-SAMPLE_DOCS = 2000
+SAMPLE_DOCS = 500
 COMMON_SHARE = 0.01
 _TABLE = arrays.byte_table(3, fold_case=False)
 _TOP = np.uint64(1 << 63)
