@@ -42,7 +42,7 @@ from loanloom.llm.tokens import piece_encoder
 MAGIC = 0x3144494D5048
 GAMMA = 2.0
 MAX_LEVELS = 48
-GROUP = 256
+GROUP = 512
 READ_IDS = 1 << 20
 #: The key under which a document without an id is stored; ``null keys`` of the
 #: header tells how many of the first documents are meant.

@@ -30,7 +30,7 @@ CAPACITY = 2048
 #: Rests that wait before sequences are filled; bounds a task's memory.
 WINDOW = 4096
 #: Texts encoded at once.
-GROUP = 256
+GROUP = 512
 
 
 def best_fill(counts: dict[int, int], ascending: list[int], capacity: int) -> dict[int, int]:

@@ -17,7 +17,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces kept in each of two tables of a Python worker, about 200 bytes each,
 #: the longest piece that is kept, and pieces encoded in one call.
-KEPT_PIECES = 600_000
+KEPT_PIECES = 1_000_000
 KEPT_CHARS = 40
 JOINED = 2048
 
