@@ -38,7 +38,7 @@ from loanloom.llm.scratch import Scratch
 GRAM = 32
 GRAMS = LENGTH - GRAM + 1  # in one string
 MOST_STRINGS = 127  # in one segment
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 #: Common grams: documents looked at, and the share of them that makes one common.
 SAMPLE_DOCS = 500
 COMMON_SHARE = 0.01
@@ -263,9 +263,10 @@ def repeats_in(
     text[place] = data.astype(np.int16) + 1
     begin = offsets[:-1] + np.arange(n)
     # what a position means: its segment, and its place in the order of starts
-    owner = np.repeat(np.arange(n), length + 1)
+    del place
+    owner = np.repeat(np.arange(n, dtype=np.int32), length + 1)
     strings = length - LENGTH + 1
-    within = np.arange(len(text)) - begin[owner]
+    within = (np.arange(len(text)) - begin[owner]).astype(np.int32)
     is_string = within < strings[owner]
     order = np.lexsort((start, doc))
     later = (np.diff(doc[order]) != 0) | (np.diff(start[order]) != 0)
