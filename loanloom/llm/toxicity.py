@@ -3,9 +3,10 @@
 Words that look disguised (digits or symbols among letters, three equal letters
 in a row, single letters with spaces or marks between them) become lattices: a
 character may stand for itself, for the letters it imitates, for a shorter run,
-or for nothing. A Viterbi search finds the cheapest path under the channel's
-costs and a character 4-gram model of the whole corpus. The letters found so are
-words of the document like any others.
+or for nothing; where single letters follow each other, a word may end after any
+of them. A Viterbi search finds the cheapest path under the channel's costs and a
+character 4-gram model of the whole corpus. The words found so are words of the
+document like any others.
 
 A word's evidence is the largest weight among itself and its first 4, 5 and 6
 bytes: the log odds of occurring in a toxic against another document, learnt
@@ -17,6 +18,7 @@ fitted on the same sample.
 from __future__ import annotations
 
 import math
+import os.path
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,8 +46,12 @@ LOOKS_LIKE = {
 #: Channel costs in nats.
 COST_LETTER, COST_IMITATED, COST_ANY, COST_SKIPPED, COST_DROPPED = 0.0, 0.7, 2.0, 0.3, 4.0
 COST_SHORTER, COST_LONG_RUN = 0.5, 4.0
-#: Longer words are left as they are.
-MAX_WORD = 60
+#: Longer words are decoded each time; the others are remembered.
+REMEMBERED = 60
+#: Slots after which what all paths have in common is set aside.
+PIECE = 32
+#: Marks around a word that are no part of it.
+OUTER = ".,;:?\"'()[]{}<>#%&=/\\~^`_-"
 
 _CODES = 28  # 0 end of word, 1-26 letters, 27 any other letter
 _TABLE = arrays.byte_table(8, fold_case=True)
@@ -58,6 +64,10 @@ _IMITATES = np.zeros(256, bool)
 _IMITATES[[ord(c) for c in LOOKS_LIKE]] = True
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
+_OUTER = np.zeros(256, bool)
+_OUTER[[ord(c) for c in OUTER]] = True
+_FINAL = _OUTER.copy()  # at the end of a word, too
+_FINAL[ord("!")] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -104,9 +114,11 @@ def character_model(counts: np.ndarray) -> np.ndarray:
 # the lattice
 
 
-def _slots(word: str) -> list[list[tuple[str, float]]]:
-    """What each run of equal characters may stand for, and at what cost."""
+def _slots(word: str, ends: bool = False) -> list[list[tuple[str, float]]]:
+    """What each run of equal characters may stand for, and at what cost. With
+    ``ends`` words (a blank) may end at the marks, without any between all runs."""
     out, i = [], 0
+    anywhere = ends and all(c.isalpha() or c in LOOKS_LIKE for c in word)
     while i < len(word):
         c, j = word[i], i
         while j < len(word) and word[j] == c:
@@ -119,6 +131,8 @@ def _slots(word: str) -> list[list[tuple[str, float]]]:
                 options[c * copies] = COST_LETTER if copies == n else COST_SHORTER
             if n > 2:
                 options[c * n] = COST_LONG_RUN
+            if anywhere and n > 1:
+                options[f"{c} {c}"] = COST_LETTER if n == 2 else COST_SHORTER
         elif c in LOOKS_LIKE:
             looks = LOOKS_LIKE[c]
             cost = COST_ANY if len(looks) > 3 else COST_IMITATED
@@ -128,18 +142,31 @@ def _slots(word: str) -> list[list[tuple[str, float]]]:
             options[""] = COST_DROPPED if c.isdigit() else COST_SKIPPED * 4
         else:
             options[""] = COST_SKIPPED
+            if ends:
+                options[" "] = COST_SKIPPED
+        if anywhere and out:
+            out.append([("", 0.0), (" ", 0.0)])
         out.append(list(options.items()))
     return out
 
 
 def _code(letter: str) -> int:
+    if letter == " ":
+        return 0
     return ord(letter) - 96 if "a" <= letter <= "z" else 27
 
 
-def decode(word: str, model: np.ndarray) -> str:
-    """The letters that the word most probably stands for."""
+def decode(word: str, model: np.ndarray, ends: bool = False) -> str:
+    """The letters that the word most probably stands for; with ``ends`` the
+    words, with blanks between them."""
     beam: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
-    for options in _slots(word):
+    settled = []
+    for i, options in enumerate(_slots(word, ends)):
+        if i % PIECE == PIECE - 1:
+            # all paths agree on what they begin with, and none changes it later
+            common = os.path.commonprefix([text for _, text in beam.values()])
+            settled.append(common)
+            beam = {state: (cost, text[len(common) :]) for state, (cost, text) in beam.items()}
         grown: dict[tuple[int, int, int], tuple[float, str]] = {}
         for state, (cost, text) in beam.items():
             for letters, extra in options:
@@ -154,33 +181,41 @@ def decode(word: str, model: np.ndarray) -> str:
                     grown[at] = found
         beam = grown
     ended = ((cost - float(model[s[0], s[1], s[2], 0]), text) for s, (cost, text) in beam.items())
-    return min(ended)[1]
+    return "".join([*settled, min(ended)[1]])
 
 
 class Restorer:
     """Decodes words; equal words are decoded once while they are remembered."""
 
     def __init__(self, model: np.ndarray) -> None:
-        self._decode = lru_cache(maxsize=50_000)(lambda word: decode(word, model))
+        self._decode = lambda word, ends: decode(word, model, ends)
+        self._remembered = lru_cache(maxsize=50_000)(self._decode)
 
-    def __call__(self, word: str) -> str:
-        word = word.lower().strip(".,;:?\"'()[]{}<>#%&=/\\~^`_-")
-        return self._decode(word) if 2 < len(word) <= MAX_WORD else ""
+    def __call__(self, word: str, ends: bool = False) -> str:
+        word = word.lower().strip(OUTER)
+        if len(word) <= 2:
+            return ""
+        return (self._remembered if len(word) <= REMEMBERED else self._decode)(word, ends)
 
 
 def _disguised(
     data: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray
-) -> list[tuple[int, bytes]]:
-    """(row, characters) of the words that look disguised."""
+) -> list[tuple[int, bytes, bool]]:
+    """(row, characters, whether they may be several words) of the words that
+    look disguised."""
     n = len(data)
     if not len(start):
         return []
     letter, imitates = _LETTER[data], _IMITATES[data]
-    counts = [np.concatenate([[0], np.cumsum(m)]) for m in (letter, imitates, ~letter & ~_DIGIT[data])]
-    letters, marks, _ = (c[end] - c[start] for c in counts)
+    other = ~letter & ~_DIGIT[data]
+    gap = other.copy()
+    gap[1:] &= ~other[:-1]  # many marks in a row are one gap
+    counts = [np.concatenate([[0], np.cumsum(m)]) for m in (letter, imitates, other, gap)]
+    letters, marks, *_ = (c[end] - c[start] for c in counts)
     at = np.arange(n)
     last_letter = np.maximum.accumulate(np.where(letter, at, -1))[end - 1]
-    others = counts[2][np.maximum(last_letter, start)] - counts[2][start]  # between letters
+    # between letters
+    others, gaps = (c[np.maximum(last_letter, start)] - c[start] for c in counts[2:])
     first_mark = np.minimum.accumulate(np.where(imitates, at, n)[::-1])[::-1][start]
     inside = (letters >= 2) & (marks > 0) & (first_mark < last_letter)
     after = np.minimum(last_letter + 1, n - 1)
@@ -193,22 +228,29 @@ def _disguised(
         triple[3:] = np.cumsum(same)
     repeated = (end - start >= 4) & (triple[end] > triple[np.minimum(start + 2, end)])
     spelt = (letters >= 3) & (others >= 2) & (2 * others >= letters - 1) & (end - start <= 2 * letters + marks + 2)
-    chosen = (inside | tail | repeated | spelt) & (letters + marks >= 3) & (end - start <= MAX_WORD)
+    spelt |= (letters >= 3) & (gaps >= 2) & (2 * gaps >= letters - 1)
+    chosen = (inside | tail | repeated | spelt) & (letters + marks >= 3)
     out = [
-        (int(r), data[s:e].tobytes())
-        for s, e, r in zip(start[chosen].tolist(), end[chosen].tolist(), row[chosen].tolist(), strict=True)
+        (int(r), data[s:e].tobytes(), p)
+        for s, e, r, p in zip(*(x[chosen].tolist() for x in (start, end, row, spelt)), strict=True)
     ]
-    # single characters with spaces between them
-    single = (end - start == 1) & (letter | imitates)[start]
+    # single characters with spaces between them, and marks around them
+    first = np.minimum.accumulate(np.where(_OUTER[data], n, at)[::-1])[::-1][start]
+    last = np.maximum.accumulate(np.where(_FINAL[data], -1, at))[end - 1] + 1
+    bare = last <= first  # of marks alone
+    first, last = np.where(bare, start, first), np.where(bare, end, last)
+    second = data[np.minimum(first + 1, n - 1)]
+    two_bytes = (last - first == 2) & (data[first] >= 0xC3) & (data[first] < 0xE0) & (second >= 0x80) & (second < 0xC0)
+    single = (last - first == 1) & (letter | imitates)[first] | two_bytes
     if single.sum() >= 4:
         joined = np.zeros(len(start) + 1, bool)
         joined[1:-1] = single[1:] & single[:-1] & (row[1:] == row[:-1])
         edge = np.diff(np.concatenate([[0], joined[1:].astype(np.int8), [0]]))
         for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
-            a, b = a, b + 1
-            for i in range(a, b, MAX_WORD):
-                if min(b, i + MAX_WORD) - i >= 4:
-                    out.append((int(row[a]), data[start[i : min(b, i + MAX_WORD)]].tobytes()))
+            b += 1
+            if b - a >= 4:
+                parts = zip(first[a:b].tolist(), last[a:b].tolist(), strict=True)
+                out.append((int(row[a]), b"".join(data[s:e].tobytes() for s, e in parts), True))
     return out
 
 
@@ -234,10 +276,9 @@ def _words(
     """Bytes, start, end and row of all words, the restored ones at the end."""
     plain = arrays.words(data, offsets, arrays.PLAIN_WORD)
     found = []
-    for r, characters in _disguised(data, *plain):
-        text = restore(characters.decode("utf-8", "ignore"))
-        if len(text) > 2:
-            found.append((r, text))
+    for r, characters, several in _disguised(data, *plain):
+        words = restore(characters.decode("utf-8", "ignore"), several).split(" ")
+        found += [(r, text) for text in words if len(text) > 2]
     start, end, row = arrays.words(data, offsets, _LETTER)
     if found:
         parts = [t.encode() for _, t in found]

@@ -54,6 +54,35 @@ def test_decode_is_the_cheapest_path(model):
         assert min(found) == pytest.approx(best, abs=1e-4)
 
 
+@pytest.mark.parametrize(
+    ("text", "word"),
+    [
+        ("you are a i d i o t", "idiot"),
+        ("w e y o u i d i o t", "idiot"),
+        ("s t u p i d c l o w n", "clown"),
+        ("a m o r o n. c l o w n", "moron"),
+        ("that c l o w n!", "clown"),
+        ("stu" + "u" * 100 + "pid", "stupid"),
+        ("i" + "d" * 70 + "1" + "o" * 70 + "t", "idiot"),
+        ("c....l....o....w....n", "clown"),
+        ("-".join("idiot") + "-" * 80 + "-".join("clown"), "clown"),
+        (" ".join("thewater" * 12 + "idiot"), "idiot"),
+    ],
+)
+def test_words_of_a_run_and_long_words(model, text, word):
+    data = np.frombuffer(text.encode(), np.uint8)
+    *_, found = toxicity._words(data, np.array([0, len(data)]), toxicity.Restorer(model))
+    assert (0, word) in found
+
+
+def test_pieces_do_not_change_the_path(model, monkeypatch):
+    rng = random.Random(2)
+    words = ["".join(rng.choices("idotsup1035$.", k=150)) for _ in range(20)]
+    found = [toxicity.decode(w, model, ends) for w in words for ends in (False, True)]
+    monkeypatch.setattr(toxicity, "PIECE", 10**9)
+    assert found == [toxicity.decode(w, model, ends) for w in words for ends in (False, True)]
+
+
 def test_model_is_a_distribution(model):
     assert np.allclose(np.exp(model).sum(-1), 1, atol=1e-4)
 
