@@ -14,10 +14,15 @@ Selection. Segments travel as hashes. Those that equal an earlier one as a whole
 repeat it. A key whose segments differ, or a segment that repeats itself, needs a
 closer look: their bytes are fetched and sent to the shard of their key.
 
-Sorting. A shard's segments are one text, and ``induced_sort`` gives the order of
-its suffixes with common prefixes. Suffixes that have ``LENGTH`` bytes in common
+Large keys. The segments to look at are added up by key. Where a key has more
+than ``KEY_BYTES``, each of its strings gets a name, a hash of all its bytes, and
+goes to the shard of its name, where the first of one key and name stays.
+
+Sorting. A shard's other segments are one text, and ``induced_sort`` gives the order
+of its suffixes with common prefixes. Suffixes that have ``LENGTH`` bytes in common
 are one string; all its occurrences but the earliest are repeats. Keys do not
-share strings, so a shard is sorted in parts of about ``PART_BYTES``.
+share strings, so a shard, which Spark sorts by key on disk, is sorted in parts of
+about ``PART_BYTES`` in memory, and no part is larger than that and one key.
 """
 
 from __future__ import annotations
@@ -39,10 +44,13 @@ GRAM = 32
 GRAMS = LENGTH - GRAM + 1  # in one string
 MOST_STRINGS = 127  # in one segment
 PART_BYTES = 1 << 20
+#: Most bytes of one key that are sorted in one task.
+KEY_BYTES = 1 << 20
 #: Common grams: documents looked at, and the share of them that makes one common.
 SAMPLE_DOCS = 500
 COMMON_SHARE = 0.01
 _TABLE = arrays.byte_table(3, fold_case=False)
+_NAMES_TABLE = arrays.byte_table(13, fold_case=False)
 _TOP = np.uint64(1 << 63)
 _FILTER_BITS = 20
 #: Ids that are null come after all others.
@@ -180,11 +188,11 @@ _NEEDED = "repeat boolean, key long, doc long, start long, strings int"
 def _selected(dealt: DataFrame) -> DataFrame:
     """From segments sorted by (kind, key, content, doc, start): later copies
     of a segment are repeats; first copies whose key has several segments, or
-    that may repeat themselves, are needed in full. Only the first copies of the
-    last key of a batch are held over to the next."""
+    that may repeat themselves, are needed in full. Only the first copy of the last
+    segment of a batch is held over to the next."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
+        kept, known = None, False  # the last first copy, and whether it was passed on
 
         def rows(repeat, key, doc, start, strings) -> pa.RecordBatch:
             columns = [np.full(len(key), repeat), key, doc, start, strings]
@@ -192,24 +200,16 @@ def _selected(dealt: DataFrame) -> DataFrame:
                 [pa.array(c) for c in columns], ["repeat", "key", "doc", "start", "strings"]
             )
 
-        def needed(x: dict, of: np.ndarray) -> pa.RecordBatch:
-            key, twice = x["key"][of], x["twice"][of]
-            alone = np.ones(len(key), bool)
-            alone[1:] &= key[1:] != key[:-1]
-            alone[:-1] &= key[1:] != key[:-1]
-            at = of[~alone | twice]
-            return rows(False, *(x[c][at] for c in ("key", "doc", "start", "strings")))
-
         for batch in batches:
             x = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in _NAMES[1:]}
             done = x["kind"] == _REPEAT
             if done.any():
                 yield rows(True, *(x[c][done] for c in ("key", "doc", "start", "strings")))
                 x = {c: v[~done] for c, v in x.items()}
-            if kept is not None:
-                x = {c: np.concatenate([kept[c], v]) for c, v in x.items()}
             if not len(x["key"]):
                 continue
+            if kept is not None:
+                x = {c: np.concatenate([kept[c], v]) for c, v in x.items()}
             first = np.ones(len(x["key"]), bool)
             first[1:] = (x["key"][1:] != x["key"][:-1]) | (x["content"][1:] != x["content"][:-1])
             lead = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
@@ -217,11 +217,16 @@ def _selected(dealt: DataFrame) -> DataFrame:
             later = ~first & ~same
             yield rows(True, *(x[c][later] for c in ("key", "doc", "start", "strings")))
             firsts = np.flatnonzero(first)
-            held = firsts[x["key"][firsts] == x["key"][-1]]
-            yield needed(x, firsts[: len(firsts) - len(held)])
-            kept = {c: v[held] for c, v in x.items()}
-        if kept is not None:
-            yield needed(kept, np.arange(len(kept["key"])))
+            key, needed = x["key"][firsts], x["twice"][firsts].astype(bool)
+            needed[1:] |= key[1:] == key[:-1]
+            needed[:-1] |= key[1:] == key[:-1]
+            new = needed.copy()
+            new[0] &= not known
+            at = firsts[new]
+            yield rows(False, *(x[c][at] for c in ("key", "doc", "start", "strings")))
+            # a segment that is alone so far may meet another of its key
+            known = bool(needed[-1]) or (known and len(firsts) == 1)
+            kept = {c: v[firsts[-1:]] for c, v in x.items()}
 
     return dealt.mapInArrow(arrays.released(run), _NEEDED)
 
@@ -251,6 +256,84 @@ def _contents(joined: DataFrame) -> DataFrame:
     return joined.mapInArrow(arrays.released(run), "key long, doc long, start long, content binary")
 
 
+_STRINGS = "place long, repeat boolean, key long, name long, doc long, start long, strings long"
+
+
+def _named_strings(contents: DataFrame) -> DataFrame:
+    """The strings of (key, doc, start, content), named by a hash of their bytes.
+    Equal ones of a batch are passed on once; the later ones are repeats,
+    neighbours together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = arrays.string_buffers(batch.column(3))
+            if not len(data):
+                continue
+            strings = np.maximum(np.diff(offsets) - LENGTH + 1, 0)
+            owner = np.repeat(np.arange(len(strings)), strings)
+            within = np.arange(len(owner)) - np.repeat(np.cumsum(strings) - strings, strings)
+            at = offsets[owner] + within
+            name = arrays.PrefixHash(data, _NAMES_TABLE).ranges(at, at + LENGTH).view(np.int64)
+            key, doc, start = (batch.column(c).to_numpy(zero_copy_only=False)[owner] for c in range(3))
+            start = start + within
+            order = np.lexsort((start, doc, name, key))
+            key, name, doc, start = (x[order] for x in (key, name, doc, start))
+            first, later = _firsts(key, name, doc, start)
+            zero = np.zeros(int(first.sum()), np.int64)
+            parts = [(name[first], zero, key[first], name[first], doc[first], start[first], zero + 1)]
+            d, b = doc[later], start[later]
+            order = np.lexsort((b, d))
+            d, b = d[order], b[order]
+            new = np.ones(len(d), bool)
+            new[1:] = (d[1:] != d[:-1]) | (b[1:] > b[:-1] + 1)
+            head, zero = np.flatnonzero(new), np.zeros(int(new.sum()), np.int64)
+            total = b[np.append(head[1:], len(d)) - 1] - b[head] + 1 if len(head) else zero
+            place = arrays.mix(d[head].view(np.uint64) ^ arrays.mix(b[head].astype(np.uint64))).view(np.int64)
+            parts.append((place, zero + 1, zero, zero, d[head], b[head], total))
+            for columns in parts:
+                columns = [c if i != 1 else c.astype(bool) for i, c in enumerate(columns)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in columns], [f.split()[0] for f in _STRINGS.split(", ")]
+                )
+
+    return contents.mapInArrow(arrays.released(run), _STRINGS)
+
+
+def _firsts(key: np.ndarray, name: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of sorted strings are the first of their key and name, and which
+    come later; the same place of a row that is there twice is neither."""
+    first = np.ones(len(key), bool)
+    first[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
+    lead = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+    return first, ~first & ((doc != doc[lead]) | (start != start[lead]))
+
+
+def _named_repeats(dealt: DataFrame) -> DataFrame:
+    """(doc, start, strings) from strings sorted by (repeat, name, key, doc,
+    start); one string is held over from batch to batch."""
+    columns = ["key", "name", "doc", "start"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            x = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in [*columns, "strings", "repeat"]}
+            done = x.pop("repeat").astype(bool)
+            out = [{c: v[done] for c, v in x.items()}]
+            x = {c: v[~done] for c, v in x.items()}
+            if len(x["key"]):
+                if kept is not None:
+                    x = {c: np.concatenate([kept[c], v]) for c, v in x.items()}
+                first, later = _firsts(*(x[c] for c in columns))
+                out.append({c: v[later] for c, v in x.items()})
+                kept = {c: v[np.flatnonzero(first)[-1:]] for c, v in x.items()}
+            for part in out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[c]) for c in ("doc", "start", "strings")], ["doc", "start", "strings"]
+                )
+
+    return dealt.mapInArrow(arrays.released(run), "doc long, start long, strings long")
+
+
 def repeats_in(
     doc: np.ndarray, start: np.ndarray, data: np.ndarray, offsets: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -304,11 +387,13 @@ def repeats_in(
 
 
 def _sorted_repeats(dealt: DataFrame) -> DataFrame:
-    """(doc, start, strings) from segments sorted by key, one part at a time."""
+    """(doc, start, strings) from segments sorted by (key, doc, start), one part
+    at a time; segments of a row that is there twice are held once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
+        before = None
 
         def found(part: pa.Table) -> pa.RecordBatch:
             part = part.combine_chunks()
@@ -319,6 +404,15 @@ def _sorted_repeats(dealt: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
+            names = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)], 1)
+            if not len(names):
+                continue
+            new = np.ones(len(names), bool)
+            new[1:] = (names[1:] != names[:-1]).any(1)
+            new[0] = before is None or bool((names[0] != before).any())
+            before = names[-1]
+            if not new.all():
+                batch = batch.filter(pa.array(new))
             held.append(batch)
             size += batch.column(3).nbytes
             if size < PART_BYTES:
@@ -412,21 +506,35 @@ def remove_repeats(
     dealt = dealt.sortWithinPartitions("kind", "key", "content", "doc", "start")
     selected = scratch.store(_selected(dealt), "selected")
 
-    wanted = selected.where("NOT repeat").groupBy("doc").agg(
-        F.collect_list(F.struct("key", "start", "strings")).alias("wanted")
-    )
-    texts = plain.join(wanted, "doc").select("doc", "text", "wanted")
-    shards = _contents(texts).repartition(partitions, "key").sortWithinPartitions("key", "doc", "start")
-    sorted_ = scratch.store(_sorted_repeats(shards), "sorted")
+    needed = selected.where("NOT repeat")
+    sizes = needed.groupBy("key").agg(F.sum(F.col("strings") + F.lit(LENGTH - 1)).alias("bytes"))
+    large = scratch.store(sizes.where(F.col("bytes") > F.lit(KEY_BYTES)).select("key"), "large")
+    any_large = not large.isEmpty()
+    # at most one key in each KEY_BYTES of text
+    small = needed.join(F.broadcast(large), "key", "left_anti") if any_large else needed
+
+    shards = _contents(_texts_with(plain, small)).repartition(partitions, "key")
+    sorted_ = scratch.store(_sorted_repeats(shards.sortWithinPartitions("key", "doc", "start")), "sorted")
 
     runs = selected.where("repeat").select("doc", "start", F.col("strings").cast("long")).unionAll(sorted_)
+    if any_large:
+        spread = _texts_with(plain, needed.join(F.broadcast(large), "key", "left_semi"))
+        strings = _named_strings(_contents(spread)).repartition(partitions, "place")
+        strings = strings.sortWithinPartitions("repeat", "name", "key", "doc", "start")
+        runs = runs.unionAll(scratch.store(_named_repeats(strings), "named"))
     runs = runs.groupBy("doc").agg(F.collect_list(F.struct("start", "strings")).alias("runs"))
     runs = scratch.store(runs, "runs")
-    scratch.drop("selected", "sorted")
+    scratch.drop("selected", "large", "sorted", "named")
 
     return _cleaned(rows.join(runs, "doc", "left"), id_column, keep)
 
 
+def _texts_with(plain: DataFrame, segments: DataFrame) -> DataFrame:
+    """(doc, text, wanted): the texts that have some of the segments, with them."""
+    wanted = segments.groupBy("doc").agg(F.collect_list(F.struct("key", "start", "strings")).alias("wanted"))
+    return plain.join(wanted, "doc").select("doc", "text", "wanted")
+
+
 def _cleaned(joined: DataFrame, id_column: str, keep: list[str]) -> DataFrame:
     kept = [f"_kept{i}" for i in range(len(keep))]
     joined = joined.select("id", *kept, "text", "runs")

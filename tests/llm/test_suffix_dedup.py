@@ -99,6 +99,36 @@ def test_many_shared_passages(spark, monkeypatch):
     assert found(df, sample_docs=40) == expected
 
 
+def test_large_keys_are_spread(spark, monkeypatch):
+    """No task sorts more of one key than the bound, whatever the sample of
+    common grams has missed, and the result is the same in small batches."""
+    bound = 2000
+    monkeypatch.setattr(suffix_dedup, "KEY_BYTES", bound, raising=False)
+    monkeypatch.setattr(suffix_dedup, "COMMON_SHARE", 2.0)
+    sizes, sort = [], suffix_dedup._sorted_repeats
+
+    def measured(shards):
+        rows = shards.selectExpr("key", "doc", "start", "length(content) AS n").distinct()
+        sizes.extend(r[1] for r in rows.groupBy("key").sum("n").collect())
+        return sort(shards)
+
+    monkeypatch.setattr(suffix_dedup, "_sorted_repeats", measured)
+    line = "The and attion to thanedble the, anea. Eriner thanea.\n"
+    passage = prose(50, 40)
+    values = [prose(3000 + i, 12) + line + prose(4000 + i, 12) + passage[: 40 + 5 * i] for i in range(60)]
+    values += ["z" * 900, "ab" * 400, values[3], "z" * 300 + values[5]]
+    rows = [(i, v) for i, v in enumerate(values)] + [(7, values[7])] * 3
+    df = spark.createDataFrame([(*r, *[None] * 6) for r in rows], DOCUMENTS).repartition(4)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "7")
+    try:
+        assert found(df) == by_hand(rows)
+    finally:
+        spark.conf.set(batch, before)
+    assert sizes and max(sizes) <= bound
+
+
 def test_rows_with_equal_ids(spark):
     a, b = prose(1, 100), prose(2, 100)
     rows = [(1, a), (1, a), (2, a), (None, b), (3, b)]
