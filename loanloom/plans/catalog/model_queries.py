@@ -5,9 +5,8 @@ folds, the sum of contributions, which rows are scored or rejected, equal scores
 of a stored model, and isotonic values of a score with few levels.
 
 The applicants are customers; the features are all columns of the wide table; the
-label is a negative balance. Searches are
-kept to two small trials per family here; the number of trials and the ranges
-are parameters of the operators.
+label is a negative balance. Fits and searches run with the operators' own folds,
+trials, ranges and parameters.
 """
 
 from __future__ import annotations
@@ -30,7 +29,6 @@ from loanloom.session import cut_lineage, ensure_checkpoint_dir
 from loanloom.sources.stores import load_stages, save_stages
 
 ID, LABEL = "SK_ID_CURR", "TARGET"
-_SMALL_BOOSTED = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.1}
 
 
 def applicants(spark: SparkSession, folder: str) -> DataFrame:
@@ -97,14 +95,7 @@ def baseline_run(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("T3 T4 T5 T6 T7")
 def boosted_champion(spark: SparkSession, folder: str) -> DataFrame:
-    run = modelling.train_champion(
-        applicants(spark, folder),
-        ID,
-        LABEL,
-        trials=2,
-        folds=2,
-        ranges={"boosted": {"trees": (3, 5)}, "forest": {"trees": (5, 10)}},
-    )
+    run = modelling.train_champion(applicants(spark, folder), ID, LABEL)
     rows = [(t.family, t.auc_pr, t is run.champion) for t in run.trials]
     return spark.createDataFrame(rows, "family string, auc_pr double, champion boolean")
 
@@ -221,7 +212,7 @@ def contribution_sums(spark: SparkSession, folder: str) -> DataFrame:
 @query("E3")
 def permutation_top10(spark: SparkSession, folder: str) -> DataFrame:
     rows = applicants(spark, folder)
-    model = training.fit_model(rows, training.BOOSTED, LABEL, _SMALL_BOOSTED, [ID])
+    model = training.fit_model(rows, training.BOOSTED, LABEL, None, [ID])
     return evaluation.top_attributions(model, rows, ID, LABEL)
 
 

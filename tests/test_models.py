@@ -257,3 +257,27 @@ def test_calibration_on_a_bounded_number_of_scores(spark):
     a, b = ([r["q"] for r in m.transform(grid).orderBy("p").collect()] for m in (whole, part))
     assert max(abs(x - y) for x, y in zip(a, b, strict=True)) < 0.15
     assert len(part.boundaries) < len(whole.boundaries)
+
+
+def test_registered_tree_queries_run_with_the_defaults(spark, monkeypatch):
+    """No query narrows the folds, trials or trees of its operator."""
+    from loanloom.plans.catalog import model_queries
+
+    calls = []
+
+    class Stopped(Exception):
+        pass
+
+    def caught(*args, **options):
+        calls.append((args, options))
+        raise Stopped
+
+    monkeypatch.setattr(model_queries, "applicants", lambda spark, folder: None)
+    monkeypatch.setattr(modelling, "train_champion", caught)
+    monkeypatch.setattr(training, "fit_model", caught)
+    for run in (model_queries.boosted_champion, model_queries.permutation_top10):
+        with pytest.raises(Stopped):
+            run(spark, "")
+    (champion, options), (fitted, more) = calls
+    assert champion == (None, "SK_ID_CURR", "TARGET") and not options
+    assert fitted[1] is training.BOOSTED and not fitted[3] and not more
