@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from loanloom.llm import context_tree, decontaminate, keyed_ids, minhash, packing, quality, suffix_dedup, token_counts, toxicity, url_filter
+from loanloom.llm import bit_planes, context_tree, decontaminate, keyed_ids, minhash, packing, quality, suffix_dedup, token_counts, toxicity, url_filter
 from loanloom.llm.scratch import Scratch
 from loanloom.llm.ship import prepare
 
@@ -130,3 +130,69 @@ def op10_keyed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Scratch(spark, "op10").folder
     keyed_ids.write_ids(table(spark, sf_dir, "documents"), store, WORD_BPE, end_id=2)
     return keyed_ids.read_ids(spark, store)
+
+
+@query
+def op13_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_planes.cluster(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def _cluster_sql(k: int = 16, rounds: int = 3) -> str:
+    """One pair of common table expressions a round."""
+    nearest = """
+assigned{n} AS (
+  SELECT row_no, vec_id, c AS cluster, d AS distance
+  FROM (SELECT row_no, vec_id, c, d,
+               row_number() OVER (PARTITION BY row_no ORDER BY d, c) AS nth
+        FROM (SELECT k.row_no, any_value(k.vec_id) AS vec_id, m.c,
+                     CAST(sum((k.x - m.x) * (k.x - m.x)) AS BIGINT) AS d
+              FROM parts k JOIN centroids{n} m USING (i) GROUP BY k.row_no, m.c))
+  WHERE nth = 1
+)"""
+    moved = """
+means{n} AS (
+  SELECT a.cluster AS c, p.i, sum(p.x) AS s, count(*) AS n
+  FROM assigned{n} a JOIN parts p USING (row_no) GROUP BY a.cluster, p.i
+),
+centroids{next} AS (
+  SELECT o.c, o.i,
+         CASE WHEN m.n IS NULL THEN o.x
+              ELSE CAST((m.s - (((m.s % m.n) + m.n) % m.n)) // m.n AS BIGINT) END AS x
+  FROM centroids{n} o LEFT JOIN means{n} m ON o.c = m.c AND o.i = m.i
+)"""
+    steps = [
+        """kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row_no, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v))) = 64
+)""",
+        """parts AS (
+  SELECT row_no, vec_id, unnest(range(64)) AS i,
+         unnest(list_transform(embedding, lambda v: CAST(floor(64 * CAST(v AS DOUBLE)) AS BIGINT))) AS x
+  FROM kept
+)""",
+        f"""firsts AS (
+  SELECT row_no, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c FROM kept
+  QUALIFY c < {k}
+)""",
+        "centroids0 AS (SELECT f.c, p.i, p.x FROM firsts f JOIN parts p USING (row_no))",
+    ]
+    for n in range(rounds):
+        steps += [nearest.format(n=n).strip(), moved.format(n=n, next=n + 1).strip()]
+    steps += [
+        nearest.format(n=rounds).strip(),
+        f"""described AS (
+  SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256
+  FROM centroids{rounds} GROUP BY c
+)""",
+    ]
+    return (
+        "WITH " + ",\n".join(steps) + f"""
+SELECT a.vec_id, CAST(a.cluster AS INTEGER) AS cluster, a.distance,
+       CAST(sum(a.distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.distance) OVER () AS BIGINT) AS inertia, d.centroid_sha256
+FROM assigned{rounds} a JOIN described d ON a.cluster = d.c"""
+    )
+
+
+SQL["op13_bit_planes"] = _cluster_sql()
