@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from loanloom.llm import bit_planes, context_tree, decontaminate, keyed_ids, minhash, packing, quality, suffix_dedup, token_counts, toxicity, url_filter
+from loanloom.llm import alignment, bit_planes, context_tree, decontaminate, hilbert, keyed_ids, minhash, packing, quality, suffix_dedup, token_counts, toxicity, url_filter
 from loanloom.llm.scratch import Scratch
 from loanloom.llm.ship import prepare
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -132,6 +133,16 @@ def op10_keyed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_ids.read_ids(spark, store)
 
 
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_statistics(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
+@query
+def op12_hilbert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op13_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_planes.cluster(table(spark, sf_dir, "embeddings")).drop("centroid")
