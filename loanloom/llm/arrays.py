@@ -25,6 +25,7 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def release() -> None:
     """Hands memory back that this process does not need between tasks."""
     _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    _prime_powers.clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -77,17 +78,74 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+#: Two primes below 2^31 and a base for each.
+_PRIMES = (np.uint64(2147483647), np.uint64(2147483629))
+_PRIME_BASES = (1283694701, 1771823419)
+_prime_powers: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _modulo(values: np.ndarray, prime: np.uint64) -> np.ndarray:
+    """The remainders, in place (a product and a quotient take less than %)."""
+    quotient = values // prime
+    quotient *= prime
+    values -= quotient
+    return values
+
+
+def _power_run(base: int, prime: np.uint64, n: int) -> np.ndarray:
+    run = np.ones(1, np.uint64)
+    while len(run) < n:
+        step = np.uint64(pow(base, len(run), int(prime)))
+        run = np.concatenate([run, _modulo(run * step, prime)])
+    return run
+
+
+def prime_powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each prime, powers of its base and of the base's inverse."""
+    if not _prime_powers or len(_prime_powers[0][0]) < n:
+        size = max(n, 2 * BLOCK_BYTES)
+        _prime_powers[:] = [
+            (_power_run(base, prime, size), _power_run(pow(base, -1, int(prime)), prime, size))
+            for base, prime in zip(_PRIME_BASES, _PRIMES, strict=True)
+        ]
+    return _prime_powers
+
+
 class PrefixHash:
-    """64-bit hashes of any ranges of a block in constant time each."""
+    """62-bit hashes of any ranges of a block in constant time each: polynomials
+    modulo two primes. (Modulo a power of two, words such as Thue and Morse's and
+    its complement collide from 1,024 letters on, whatever the base.)"""
 
     def __init__(self, data: np.ndarray, table: np.ndarray) -> None:
-        up, self._down = powers(len(data) + 1)
-        self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(table[data] * up[: len(data)], out=self._sums[1:])
+        self._parts = []
+        halves = (table & np.uint64(0xFFFFFFFF), table >> np.uint64(32))
+        for (up, down), half, prime in zip(prime_powers(len(data) + 1), halves, _PRIMES, strict=True):
+            terms = (half % prime)[data]
+            terms *= up[: len(data)]
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(_modulo(terms, prime), out=sums[1:])
+            self._parts.append((sums, down, prime))
 
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        h = (self._sums[end] - self._sums[start]) * self._down[start]
-        return mix(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        sizes = (end - start).astype(np.uint64)
+        return self._joined([(s[end] - s[start], d[start]) for s, d, _ in self._parts], sizes)
+
+    def windows(self, width: int) -> np.ndarray:
+        """``ranges`` of ``width`` bytes from every position that has so many."""
+        n = max(0, len(self._parts[0][0]) - width)
+        parts = [(s[width:] - s[:n], d[:n]) for s, d, _ in self._parts] if n else []
+        return self._joined(parts, np.array([width], np.uint64)) if n else np.zeros(0, np.uint64)
+
+    def _joined(self, parts: list[tuple[np.ndarray, np.ndarray]], sizes: np.ndarray) -> np.ndarray:
+        found = []
+        for (h, down), (_, _, prime) in zip(parts, self._parts, strict=True):
+            h = _modulo(h, prime)
+            h *= down
+            found.append(_modulo(h, prime))
+        h = found[1] << np.uint64(31)
+        h |= found[0]
+        h += sizes * np.uint64(0xD6E8FEB86659FD93)
+        return mix(h)
 
 
 def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

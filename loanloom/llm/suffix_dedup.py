@@ -79,9 +79,8 @@ class CommonGrams:
         return hashes
 
 
-def gram_hashes(ranges: arrays.PrefixHash, n: int) -> np.ndarray:
-    at = np.arange(max(n - GRAM + 1, 0))
-    return ranges.ranges(at, at + GRAM)
+def gram_hashes(ranges: arrays.PrefixHash) -> np.ndarray:
+    return ranges.windows(GRAM)
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -99,7 +98,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, common: CommonGrams):
     if len(data) < LENGTH:
         return none, none, none, none.view(np.uint64), none.view(np.uint64), none.astype(bool)
     ranges = arrays.PrefixHash(data, _TABLE)
-    grams = common.last(gram_hashes(ranges, len(data)))
+    grams = common.last(gram_hashes(ranges))
     key = _sliding_min(grams, GRAMS)  # of the string that starts at each byte
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     inside = row[: len(key)] == row[LENGTH - 1 :]
@@ -440,7 +439,7 @@ def _common_grams(rows: DataFrame, sample_docs: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in arrays.blocks(batch.column(0)):
-                grams = gram_hashes(arrays.PrefixHash(data, _TABLE), len(data)) & ~_TOP
+                grams = gram_hashes(arrays.PrefixHash(data, _TABLE)) & ~_TOP
                 row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(grams)]
                 once = arrays.mix(grams ^ arrays.mix(row.astype(np.uint64)))
                 yield pa.RecordBatch.from_arrays(
