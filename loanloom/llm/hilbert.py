@@ -178,12 +178,21 @@ class Index:
 class Best:
     """The k nearest so far of some queries, by (distance, first id)."""
 
-    def __init__(self, nodes: np.ndarray, vectors: np.ndarray, center: np.ndarray, k: int) -> None:
+    def __init__(
+        self,
+        nodes: np.ndarray,
+        vectors: np.ndarray,
+        center: np.ndarray,
+        k: int,
+        far: np.ndarray | None = None,
+    ) -> None:
+        """``far``: distances within which k others of a query are known."""
         self._nodes, self._vectors, self._k = nodes, vectors, k
         self._center = center
         self._moved = vectors - center
         self._norms = (self._moved * self._moved).sum(axis=1)
-        self._far = np.full(len(nodes), np.inf)  # square of the k-th distance
+        # square of the k-th distance, with room for rounding
+        self._far = np.full(len(nodes), np.inf) if far is None else far * far * (1 + 1e-12)
         self._found = [np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64)]
 
     def add(self, nodes: np.ndarray, firsts: np.ndarray, vectors: np.ndarray) -> None:
@@ -211,7 +220,7 @@ class Best:
         query, order, nth = query[keep], order[keep], nth[keep]
         self._found = [query, square[order], first[order], node[order]]
         full = nth == self._k - 1
-        self._far[query[full]] = self._found[1][full]
+        self._far[query[full]] = np.minimum(self._far[query[full]], self._found[1][full])
 
     def rows(self) -> pa.RecordBatch:
         query, square, first, node = self._found
@@ -352,11 +361,11 @@ def _spread(df: DataFrame, index: Index, some: slice, window: int, kind: int) ->
                     slot = (t * n_blocks + block[rows]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(slot), pa.array(np.full(len(rows), kind, np.int8)), *copies.columns],
-                        ["slot", "kind", "node", "first", "vector"],
+                        ["slot", "kind", "node", "first", "vector", "far"],
                     )
 
-    return df.select("node", "first", "vector").mapInArrow(
-        run, f"slot int, kind byte, node long, first long, vector {vector_kind}"
+    return df.select("node", "first", "vector", "far").mapInArrow(
+        run, f"slot int, kind byte, node long, first long, vector {vector_kind}, far double"
     )
 
 
@@ -375,6 +384,7 @@ def _meet(rows: DataFrame, index: Index, k: int) -> DataFrame:
             kinds = batch.column(1).to_numpy()
             nodes, firsts = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             vectors = matrix(batch.column(4), len(center))
+            far = batch.column(5).to_numpy()
             part = 2 * slots.astype(np.int64) + kinds
             cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -383,10 +393,11 @@ def _meet(rows: DataFrame, index: Index, k: int) -> DataFrame:
                         yield best.rows()
                     slot, best, waiting = slots[a], None, []
                 if kinds[a] == 0:
-                    waiting.append((nodes[a:b], vectors[a:b]))
+                    waiting.append((nodes[a:b], vectors[a:b], far[a:b]))
                     continue
                 if best is None and waiting:
-                    best = Best(*(np.concatenate(p) for p in zip(*waiting, strict=True)), center, k)
+                    asked, at, reach = (np.concatenate(p) for p in zip(*waiting, strict=True))
+                    best = Best(asked, at, center, k, reach)
                     waiting = []
                 if best is not None:
                     best.add(nodes[a:b], firsts[a:b], vectors[a:b])
@@ -433,7 +444,7 @@ def search(
     at all has the measured probability of about ``recall``.
 
     Vectors are shuffled twice to find equal ones, and once an ordering, a few
-    orderings at a time. Blocks have like numbers of rows in any data; a task holds
+    orderings at a time, which hand on only what is nearer than all found before. Blocks have like numbers of rows in any data; a task holds
     the queries of one block and streams its rows.
     """
     spark = vectors.sparkSession
@@ -462,16 +473,26 @@ def search(
         return _empty(spark, id_column)
     index = fit(classes, seekers, width, k, recall, orderings, seed, block_rows)
 
-    found = None
-    for t in range(0, len(index.curves.directions), AT_ONCE):
-        some = slice(t, t + AT_ONCE)
-        both = _spread(classes, index, some, 0, 1).unionAll(
-            _spread(seekers, index, some, index.window, 0)
+    # what is found in one ordering bounds what the next ones have to hand on
+    met, rows = None, classes.withColumn("far", F.lit(0.0))
+    asking = seekers.withColumn("far", F.lit(float("inf")))
+    last = len(index.curves.directions)
+    ends = sorted({*range(1, last, AT_ONCE), last})
+    for begin, end in zip([0, *ends], ends, strict=False):
+        some = slice(begin, end)
+        both = _spread(rows, index, some, 0, 1).unionAll(
+            _spread(asking, index, some, index.window, 0)
         )
-        part = scratch.store(_meet(both, index, k), f"found{t}")
-        found = part if found is None else found.unionAll(part)
-    merged = found.groupBy("query", "node", "first").agg(F.min("distance").alias("distance"))
-    met = nearest(merged, k).select("query", "node", "distance")
+        found = _meet(both, index, k)
+        if met is not None:
+            found = found.unionAll(met)
+        best = found.groupBy("query", "node", "first").agg(F.min("distance").alias("distance"))
+        met = scratch.store(nearest(best, k).select("query", "node", "first", "distance"), f"met{end}")
+        far = met.groupBy("query").agg(F.max("distance").alias("last"), F.count("node").alias("n"))
+        bound = F.when(F.col("n") == k, F.col("last")).otherwise(float("inf"))
+        asking = seekers.join(far.select("query", bound.alias("far")), F.col("node") == F.col("query"), "left")
+        asking = asking.withColumn("far", F.coalesce("far", F.lit(float("inf"))))
+    met = met.drop("first")
     own = seekers.select(F.col("node").alias("query"), "node", F.lit(0.0).alias("distance"))
     listed = met.unionByName(own).join(classes.select("node", "ids"), "node")
     entries = F.transform("ids", lambda i: F.struct("distance", i.alias("id"), "node"))
