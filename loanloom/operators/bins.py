@@ -1,7 +1,9 @@
 """Counting rounds: how the values of a column lie within brackets.
 
-A bracket is cut into bins of equal width; one aggregate per round counts every
-bin of every bracket and finds its smallest and largest value. All rounds are
+Values are read in long form (column number, value) and brackets are a small table
+beside them, so a plan is as long for two hundred columns as for two. A bracket is
+cut into bins of equal width; one aggregate per round counts every bin of every
+bracket and finds its smallest and largest value. All rounds are
 grouped by (bracket, bin), so they combine on the map side and no task sees a
 whole column; what reaches the driver is a row per bin. A bin's own bounds are
 the next bracket, so each round at least parts the two ends of a bracket, and
@@ -45,49 +47,64 @@ def finite(value: Column) -> Column:
     return F.when(value.isNotNull() & ~F.isnan(value), limited)
 
 
-def bounds(values: DataFrame, columns: list[str]) -> list[Bin]:
-    """Smallest and largest value and number of present values per column."""
-    checks = []
-    for i, c in enumerate(columns):
-        checks += [F.min(c).alias(f"a{i}"), F.max(c).alias(f"b{i}"), F.count(c).alias(f"n{i}")]
-    seen = values.agg(*checks).first()
-    return [Bin(seen[f"a{i}"], seen[f"b{i}"], seen[f"n{i}"]) for i in range(len(columns))]
-
-
-def _inside(bracket: Bracket, value: Column) -> Column:
-    return (value >= F.lit(bracket.low)) & (value <= F.lit(bracket.high))
-
-
-def _place(bracket: Bracket, value: Column) -> Column:
+def long_values(
+    df: DataFrame, values: Column, width: int, members: Column | None = None
+) -> DataFrame:
+    """(column, v) for every present entry of the array ``values`` of ``width``
+    doubles. With ``members``, an array of group numbers, a row counts for each of
+    its groups, and column c of group g has the number g * width + c."""
+    number = F.col("at")
+    rows = df.select(values.alias("values"), *([] if members is None else [members.alias("members")]))
+    if members is not None:
+        rows = rows.select("values", F.explode("members").alias("member"))
+        number = F.col("member") * width + number
+        rows = rows.select("member", F.posexplode("values").alias("at", "v"))
+    else:
+        rows = rows.select(F.posexplode("values").alias("at", "v"))
+    return rows.where("v IS NOT NULL").select(number.cast("int").alias("column"), "v")
+
+
+def bounds(values: DataFrame, n: int) -> list[Bin]:
+    """Smallest and largest value and number of present values of ``n`` columns."""
+    seen = values.groupBy("column").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n"))
+    found = [Bin(None, None, 0)] * n
+    for r in seen.collect():
+        found[r["column"]] = Bin(r["low"], r["high"], r["n"])
+    return found
+
+
+def _place(value: Column) -> Column:
     """A coordinate that never falls while the value grows; quarters, so that a
     difference cannot overflow."""
-    if not bracket.by_magnitude:
-        return value / 4
-    return F.signum(value) * F.log1p(F.abs(value / 4) * F.lit(1e15))
+    by_magnitude = F.signum(value) * F.log1p(F.abs(value / 4) * F.lit(1e15))
+    return F.when(F.col("by_magnitude"), by_magnitude).otherwise(value / 4)
 
 
-def _bin_number(bracket: Bracket, value: Column) -> Column:
-    low, high = _place(bracket, F.lit(bracket.low)), _place(bracket, F.lit(bracket.high))
-    part = F.try_divide(_place(bracket, value) - low, high - low) * bracket.bins
+def _bin_number() -> Column:
+    value, low, high = (_place(F.col(c)) for c in ("v", "from", "to"))
+    part = F.try_divide(value - low, high - low) * F.col("bins")
     number = F.floor(F.coalesce(part, F.lit(0.0)))
-    number = F.greatest(F.least(number, F.lit(bracket.bins - 1)), F.lit(0))
+    number = F.greatest(F.least(number, F.col("bins") - 1), F.lit(0))
     # the two ends are apart whatever rounding does
-    return F.when(value >= F.lit(bracket.high), F.lit(bracket.bins)).otherwise(number).cast("int")
+    return F.when(F.col("v") >= F.col("to"), F.col("bins")).otherwise(number).cast("int")
+
+
+def _within(values: DataFrame, brackets: list[Bracket]) -> DataFrame:
+    """Values beside the brackets that hold them: a row per wanted rank or range,
+    so the table is bounded by what the caller asks for."""
+    rows = [(k, b.column, b.low, b.high, b.by_magnitude, b.bins) for k, b in enumerate(brackets)]
+    table = values.sparkSession.createDataFrame(
+        rows, "k int, column int, from double, to double, by_magnitude boolean, bins int"
+    )
+    held = values.join(F.broadcast(table), "column")
+    return held.where((F.col("v") >= F.col("from")) & (F.col("v") <= F.col("to")))
 
 
-def count_bins(values: DataFrame, columns: list[str], brackets: list[Bracket]) -> list[list[Bin]]:
+def count_bins(values: DataFrame, brackets: list[Bracket]) -> list[list[Bin]]:
     """The filled bins of each bracket in ascending order; one pass."""
-    entries = []
-    for k, b in enumerate(brackets):
-        value = F.col(columns[b.column])
-        held = F.when(_inside(b, value), value)
-        entries.append(
-            F.struct(F.lit(k).alias("k"), _bin_number(b, held).alias("bin"), held.alias("v"))
-        )
     counted = (
-        values.select(F.inline(F.array(*entries)))
-        .where("v is not null")
-        .groupBy("k", "bin")
+        _within(values, brackets)
+        .groupBy("k", _bin_number().alias("bin"))
         .agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n"))
     )
     found: list[list[Bin]] = [[] for _ in brackets]
@@ -96,15 +113,9 @@ def count_bins(values: DataFrame, columns: list[str], brackets: list[Bracket]) -
     return [sorted(bins, key=lambda b: b.low) for bins in found]
 
 
-def count_values(
-    values: DataFrame, columns: list[str], brackets: list[Bracket]
-) -> list[list[tuple[float, int]]]:
+def count_values(values: DataFrame, brackets: list[Bracket]) -> list[list[tuple[float, int]]]:
     """Each distinct value of narrow brackets with its number of rows."""
-    entries = []
-    for k, b in enumerate(brackets):
-        value = F.col(columns[b.column])
-        entries.append(F.struct(F.lit(k).alias("k"), F.when(_inside(b, value), value).alias("v")))
-    counted = values.select(F.inline(F.array(*entries))).where("v is not null").groupBy("k", "v").count()
+    counted = _within(values, brackets).groupBy("k", "v").count()
     found: list[list[tuple[float, int]]] = [[] for _ in brackets]
     for r in counted.collect():
         found[r["k"]].append((r["v"], r["count"]))

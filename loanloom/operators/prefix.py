@@ -15,7 +15,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanloom.operators.bins import LARGEST, Bracket, bounds, count_bins, finite
+from loanloom.operators.bins import LARGEST, Bracket, bounds, count_bins, finite, long_values
 
 #: Bins per expected range in a counting round.
 FINE = 8
@@ -29,8 +29,8 @@ def range_edges(
     Bins with too many rows are counted again in finer ones, so the number of
     edges follows the number of rows. They are read to the driver once, so every
     use in a plan sees the same edges."""
-    values = df.select(finite(F.col(key)).alias("v"))
-    (whole,) = bounds(values, ["v"])
+    values = long_values(df, F.array(finite(F.col(key))), 1)
+    (whole,) = bounds(values, 1)
     if not whole.rows:
         return []
     most = max(1, min(rows_per_range, math.ceil(whole.rows / min_ranges)))
@@ -40,7 +40,7 @@ def range_edges(
             Bracket(0, b.low, b.high, step % 2 == 1, FINE * math.ceil(b.rows / most)) for b in heavy
         ]
         heavy = []
-        for bins in count_bins(values, ["v"], brackets):
+        for bins in count_bins(values, brackets):
             for b in bins:
                 (heavy if b.rows > most and b.low < b.high else leaves).append(b)
         step += 1

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import sys
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import keyword_only
@@ -36,7 +37,8 @@ from loanloom.operators.features import (
     RatioFeatureCreator,
     SentinelImputer,
 )
-from loanloom.operators.quantiles import exact_quantiles
+from loanloom.operators.bins import Bin, finite, long_values
+from loanloom.operators.quantiles import exact_quantiles, long_quantiles
 from loanloom.session import cut_lineage
 
 FEATURES = "features"
@@ -69,15 +71,80 @@ def scaling(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]
     n = seen["count"]
     if not n:
         return {}
-    eps = sys.float_info.epsilon
     result = {}
     for c, mean, sample in zip(columns, seen["mean"], seen["variance"], strict=True):
         variance = float(sample) * (n - 1) / n
-        noise = n * eps * variance + (n * float(mean) * eps) ** 2
-        result[c] = (float(mean), 1.0 if variance <= noise else variance**0.5)
+        result[c] = (float(mean), _spread(n, float(mean), variance))
     return result
 
 
+def _spread(n: int, mean: float, variance: float) -> float:
+    """The population deviation; 1 for a column that is constant up to rounding."""
+    eps = sys.float_info.epsilon
+    noise = n * eps * variance + (n * mean * eps) ** 2
+    return 1.0 if variance <= noise else variance**0.5
+
+
+@dataclass
+class NumericFit:
+    medians: dict[str, float]
+    scaling: dict[str, tuple[float, float]]
+
+
+def fit_numbers(
+    df: DataFrame, columns: list[str], part: str | None = None, members: list[list[int]] | None = None
+) -> list[NumericFit]:
+    """Medians of each group of rows, and mean and deviation of its columns with
+    their gaps filled by them; without ``part``, of all rows as one group.
+
+    The columns are stored once as one array, whose numbers are then counted by
+    bracket for all columns and groups together. Filled gaps are equal values, so
+    their share in mean and deviation follows from how many there are.
+    """
+    n, width = 1 + max((g for m in members or [[0]] for g in m), default=-1), len(columns)
+    if not columns:
+        return [NumericFit({}, {}) for _ in range(n)]
+    array = F.array(*[finite(F.col(f"`{c}`")) for c in columns]).alias("values")
+    stored = cut_lineage(df.select(array, *([part] if part else [])))
+    groups = None
+    if part:
+        of_part = F.array(*[F.array(*[F.lit(g) for g in m]).cast("array<int>") for m in members])
+        groups = of_part[F.col(part)]
+        sizes = stored.groupBy(part).count().collect()
+        rows = [sum(r["count"] for r in sizes if g in members[r[part]]) for g in range(n)]
+    else:
+        rows = [stored.count()]
+    values = long_values(stored, F.col("values"), width, groups)
+    seen = values.groupBy("column").agg(
+        F.min("v").alias("low"),
+        F.max("v").alias("high"),
+        F.count("v").alias("n"),
+        F.avg("v").alias("mean"),
+        F.var_pop("v").alias("variance"),
+    )
+    whole, moments = [Bin(None, None, 0)] * (n * width), {}
+    for r in seen.collect():
+        whole[r["column"]] = Bin(r["low"], r["high"], r["n"])
+        moments[r["column"]] = (r["mean"], r["variance"])
+    medians = long_quantiles(values, whole, [0.5])
+    out = []
+    for g in range(n):
+        fit = NumericFit({}, {})
+        for i, c in enumerate(columns, g * width):
+            held, total = whole[i].rows, rows[g]
+            if not held:
+                continue
+            median, (mean, variance) = medians[i][0], moments[i]
+            gaps = total - held
+            apart = mean - median
+            filled = mean - apart * gaps / total
+            variance = variance * held / total + apart * apart * held / total * gaps / total
+            fit.medians[c] = median
+            fit.scaling[c] = (filled, _spread(total, filled, variance))
+        out.append(fit)
+    return out
+
+
 def scale(df: DataFrame, fitted: dict[str, tuple[float, float]]) -> DataFrame:
     return df.withColumns(
         {
@@ -87,7 +154,7 @@ def scale(df: DataFrame, fitted: dict[str, tuple[float, float]]) -> DataFrame:
     )
 
 
-def _category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+def _category_counts(df: DataFrame, columns: list[str], *beside: str) -> DataFrame:
     entries = F.array(
         *[
             F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
@@ -95,9 +162,9 @@ def _category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
         ]
     )
     return (
-        df.select(F.inline(entries))
+        df.select(*beside, F.inline(entries))
         .where("value is not null")
-        .groupBy("column", "value")
+        .groupBy(*beside, "column", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
 
@@ -113,7 +180,11 @@ def fit_categories(
     """
     if not columns:
         return {}, None
-    counts = cut_lineage(_category_counts(df, columns))
+    modes, codes = _codes(cut_lineage(_category_counts(df, columns)))
+    return {c: modes[c] for c in columns if c in modes}, codes
+
+
+def _codes(counts: DataFrame) -> tuple[dict[str, str], DataFrame]:
     first = F.min(F.struct((-F.col("rows")).alias("n"), "value")).alias("first")
     modes = {
         r["column"]: r["first"]["value"] for r in counts.groupBy("column").agg(first).collect()
@@ -128,9 +199,31 @@ def fit_categories(
     place = F.row_number().over(Window.partitionBy("column", "part").orderBy("value"))
     codes = ranged.withColumn("place", place).join(parts, ["column", "part"])
     code = (F.col("place") - 1 + F.col("before")).cast("double").alias("code")
-    return {c: modes[c] for c in columns if c in modes}, cut_lineage(
-        codes.select("column", "value", code)
-    )
+    return modes, cut_lineage(codes.select("column", "value", code))
+
+
+def fit_categories_of_groups(
+    df: DataFrame, columns: list[str], part: str, members: list[list[int]]
+) -> list[tuple[dict[str, str], DataFrame | None]]:
+    """``fit_categories`` of several overlapping groups of rows at once. Column
+    ``part`` numbers the rows' parts, and ``members`` lists the groups of each part:
+    values are counted once by part, and the counts are added up by group."""
+    n = 1 + max((g for groups in members for g in groups), default=-1)
+    if not columns:
+        return [({}, None)] * n
+    counted = cut_lineage(_category_counts(df, columns, part))
+    of_part = F.array(*[F.array(*[F.lit(g) for g in groups]).cast("array<int>") for groups in members])
+    grouped = counted.select(F.explode(of_part[F.col(part)]).alias("group"), "column", "value", "rows")
+    name = F.concat_ws(":", "group", "column").alias("column")
+    counts = grouped.groupBy(name, "value").agg(F.sum("rows").alias("rows"))
+    modes, codes = _codes(cut_lineage(counts))
+    out = []
+    for g in range(n):
+        named = codes.where(F.col("column").startswith(f"{g}:"))
+        short = F.expr("substring(column, instr(column, ':') + 1)")
+        found = {c: modes[f"{g}:{c}"] for c in columns if f"{g}:{c}" in modes}
+        out.append((found, named.select(short.alias("column"), "value", "code")))
+    return out
 
 
 def impute_modes(df: DataFrame, modes: dict[str, str]) -> DataFrame:
@@ -179,21 +272,46 @@ class ColumnPreparation(Estimator, DefaultParamsReadable, DefaultParamsWritable)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> ColumnPreparationModel:
-        keep = self.getOrDefault(self.passThrough)
+        numbers, texts = self._columns(dataset)
+        (numeric,) = fit_numbers(dataset, numbers)
+        return self._model(numbers, texts, numeric, *fit_categories(dataset, texts))
+
+    def fit_groups(
+        self, dataset: DataFrame, part: str, members: list[list[int]]
+    ) -> list[ColumnPreparationModel]:
+        """A fitted stage for each of several overlapping groups of rows, from the
+        same few passes as one: ``members`` lists the groups of each number in
+        column ``part``. The training sets of a cross-validation are such groups."""
+        numbers, texts = self._columns(dataset)
+        numeric = fit_numbers(dataset, numbers, part, members)
+        categories = fit_categories_of_groups(dataset, texts, part, members)
+        return [
+            self._model(numbers, texts, fit, *found)
+            for fit, found in zip(numeric, categories, strict=True)
+        ]
+
+    def _columns(self, dataset: DataFrame) -> tuple[list[str], list[str]]:
         exclude = self.getOrDefault(self.exclude)
-        numbers = numeric_columns(dataset, exclude)
-        texts = categorical_columns(dataset, exclude)
-        medians = column_medians(dataset, numbers)
-        spread = scaling(impute_medians(dataset, medians), list(medians))
-        modes, codes = fit_categories(dataset, texts)
+        return numeric_columns(dataset, exclude), categorical_columns(dataset, exclude)
+
+    def _model(
+        self,
+        numbers: list[str],
+        texts: list[str],
+        numeric: NumericFit,
+        modes: dict[str, str],
+        codes: DataFrame | None,
+    ) -> ColumnPreparationModel:
         fitted = {
-            "numeric": [c for c in numbers if c in medians],
+            "numeric": [c for c in numbers if c in numeric.medians],
             "categorical": [c for c in texts if c in modes],
-            "medians": medians,
-            "scaling": spread,
+            "medians": numeric.medians,
+            "scaling": numeric.scaling,
             "modes": modes,
         }
-        model = ColumnPreparationModel(fitted=json.dumps(fitted), passThrough=keep)
+        model = ColumnPreparationModel(
+            fitted=json.dumps(fitted), passThrough=self.getOrDefault(self.passThrough)
+        )
         model.codes = codes
         return model
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.operators.bins import LARGEST, Bracket, bounds, count_bins, count_values, finite
+from loanloom.operators.bins import LARGEST, Bin, Bracket, bounds, count_bins, count_values, finite, long_values
 
 #: Rows of a bracket whose distinct values are read to the driver.
 PICKED_ROWS = 2_000
@@ -46,21 +46,26 @@ def exact_quantiles(
     names = list(columns)
     if not names:
         return {}
-    held = [f"c{i}" for i in range(len(names))]
-    values = df.select([finite(columns[n]).alias(h) for n, h in zip(names, held, strict=True)])
-    whole = bounds(values, held)
+    values = long_values(df, F.array(*[finite(c) for c in columns.values()]), len(names))
+    found = long_quantiles(values, bounds(values, len(names)), probs)
+    return dict(zip(names, found, strict=True))
+
+
+def long_quantiles(
+    values: DataFrame, whole: list[Bin], probs: list[float]
+) -> list[list[float | None]]:
+    """The same for numbered columns in long form, whose ``bounds`` are known."""
     ranks = {}
     for i, b in enumerate(whole):
         for p in probs if b.rows else ():
             place = (b.rows - 1) * p
             for rank in {math.floor(place), math.ceil(place)}:
                 ranks[i, rank] = _Rank(i, rank, b.low, b.high, b.rows)
-    found = _values_at(values, held, list(ranks.values()))
-    result: dict[str, list[float | None]] = {}
-    for i, (name, b) in enumerate(zip(names, whole, strict=True)):
-        places = [(b.rows - 1) * p for p in probs]
-        result[name] = [_between(found, i, place) if b.rows else None for place in places]
-    return result
+    found = _values_at(values, list(ranks.values()))
+    return [
+        [_between(found, i, (b.rows - 1) * p) if b.rows else None for p in probs]
+        for i, b in enumerate(whole)
+    ]
 
 
 def _between(found: dict[tuple[int, int], float], column: int, place: float) -> float:
@@ -68,13 +73,11 @@ def _between(found: dict[tuple[int, int], float], column: int, place: float) ->
     return low if low == high else low + (high - low) * (place - math.floor(place))
 
 
-def _values_at(
-    values: DataFrame, columns: list[str], ranks: list[_Rank]
-) -> dict[tuple[int, int], float]:
+def _values_at(values: DataFrame, ranks: list[_Rank]) -> dict[tuple[int, int], float]:
     step = 0
     while open_ := [r for r in ranks if not r.narrow]:
         brackets = list(dict.fromkeys(Bracket(r.column, r.low, r.high, step % 2 == 1) for r in open_))
-        bins = dict(zip(brackets, count_bins(values, columns, brackets), strict=True))
+        bins = dict(zip(brackets, count_bins(values, brackets), strict=True))
         for r in open_:
             for b in bins[Bracket(r.column, r.low, r.high, step % 2 == 1)]:
                 if r.below + b.rows > r.rank:
@@ -86,7 +89,7 @@ def _values_at(
     open_ = [r for r in ranks if r.low != r.high]
     brackets = list(dict.fromkeys(Bracket(r.column, r.low, r.high) for r in open_))
     if brackets:
-        read = dict(zip(brackets, count_values(values, columns, brackets), strict=True))
+        read = dict(zip(brackets, count_values(values, brackets), strict=True))
         for r in open_:
             below = r.below
             for value, rows in read[Bracket(r.column, r.low, r.high)]:

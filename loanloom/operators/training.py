@@ -10,19 +10,17 @@ from __future__ import annotations
 
 import math
 import random
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
+from statistics import mean, stdev
 
 from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -30,14 +28,15 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.operators.prepare import FEATURES, build_pipeline
+from loanloom.operators.newton import NewtonLogistic
+from loanloom.operators.prepare import FEATURES, ColumnPreparation, build_pipeline
 from loanloom.operators.ranking import (
     best_f1_threshold,
     fold_summary,
     ranking_metrics,
 )
 from loanloom.operators.sampling import stratified_folds
-from loanloom.session import cut_lineage
+from loanloom.session import cut_lineage, drop_tables, ensure_checkpoint_dir
 
 WEIGHT = "_weight"
 SCORE = "score"
@@ -120,18 +119,17 @@ class Family:
     weigh: Callable[[DataFrame, str, ClassCounts], DataFrame]
     build: Callable[[str, ClassCounts, dict], Estimator]
     draw: Callable[[random.Random], dict] | None = None
+    #: The parameter that says how many trees a model has.
+    trees: str | None = None
 
 
 def _logistic(label: str, counts: ClassCounts, params: dict) -> Estimator:
     # the penalty of a summed loss with C = 1, for a loss that is averaged
-    return LogisticRegression(
+    return NewtonLogistic(
         featuresCol=FEATURES,
         labelCol=label,
         weightCol=WEIGHT,
-        elasticNetParam=0.0,
-        regParam=1.0 / counts.rows,
-        standardization=False,
-        **{"maxIter": 1000, **params},
+        **{"regParam": 1.0 / counts.rows, **params},
     )
 
 
@@ -175,8 +173,8 @@ def draw_forest(rng: random.Random, trees: tuple[int, int] = (100, 1000)) -> dic
 
 
 LOGISTIC = Family("logistic", balanced_weight, _logistic)
-BOOSTED = Family("boosted", positive_weight, _boosted, draw_boosted)
-FOREST = Family("forest", positive_weight, _forest, draw_forest)
+BOOSTED = Family("boosted", positive_weight, _boosted, draw_boosted, "maxIter")
+FOREST = Family("forest", positive_weight, _forest, draw_forest, "numTrees")
 
 
 @contextmanager
@@ -219,9 +217,54 @@ class CrossValidation:
         )
 
 
-def _fold_numbers(folds: int, fold_col: str, df: DataFrame):
-    for fold in range(folds):
-        yield fold, df.where(F.col(fold_col) != fold), df.where(F.col(fold_col) == fold)
+@dataclass
+class PreparedFold:
+    """Training and left-out rows of a fold as feature vectors; the preparation
+    was fitted on the training rows."""
+
+    fold: int
+    counts: ClassCounts
+    train: DataFrame
+    valid: DataFrame
+
+
+def prepare_folds(
+    df: DataFrame,
+    id_col: str,
+    label: str,
+    folds: int = 5,
+    drop: list[str] | None = None,
+    seed: int = 42,
+) -> list[PreparedFold]:
+    """The rows of every fold, prepared. Steps that learn nothing run once; what
+    the preparations learn comes from the same passes for all folds; each fold's
+    vectors are stored, because every model tried on it reads them."""
+    numbered = stratified_folds(df, id_col, label, folds, seed, "fold")
+    *steps, columns = build_pipeline(drop, [id_col, label, "fold"]).getStages()
+    plain = cut_lineage(Pipeline(stages=steps).fit(numbered).transform(numbered))
+    assert isinstance(columns, ColumnPreparation)
+    others = [[g for g in range(folds) if g != fold] for fold in range(folds)]
+    models = columns.fit_groups(plain.where("fold IS NOT NULL"), "fold", others)
+    seen = {
+        r["fold"]: (r["neg"], r["pos"])
+        for r in plain.groupBy("fold")
+        .agg(
+            F.count_if(F.col(label).cast("double") == 0.0).alias("neg"),
+            F.count_if(F.col(label).cast("double") == 1.0).alias("pos"),
+        )
+        .collect()
+    }
+
+    def prepared(fold: int) -> PreparedFold:
+        counts = ClassCounts(*(sum(seen[g][i] for g in others[fold] if g in seen) for i in (0, 1)))
+        if not counts.negatives or not counts.positives:
+            raise ValueError(f"{label} needs rows of both classes")
+        vectors = cut_lineage(models[fold].transform(plain))
+        held = F.col("fold") == fold
+        return PreparedFold(fold, counts, vectors.where(~held), vectors.where(held))
+
+    with ThreadPool(folds) as pool:
+        return pool.map(prepared, range(folds))
 
 
 def cross_validate(
@@ -236,20 +279,20 @@ def cross_validate(
     parallelism: int = 5,
 ) -> CrossValidation:
     """Fit on all folds but one and score the one left out, for every fold.
-    ``parallelism`` folds share the cluster at a time. The rows are stored with
-    their fold, because every fold reads them several times."""
-    numbered = cut_lineage(stratified_folds(df, id_col, label, folds, seed, "fold"))
-
-    def score_fold(part: tuple[int, DataFrame, DataFrame]) -> DataFrame:
-        fold, train, valid = part
-        model = fit_model(train, family, label, params, [id_col, "fold"], None, drop)
-        return model.transform(valid).select(
-            id_col, F.col(label).cast("int").alias(label), F.lit(fold).alias("fold"), SCORE
+    ``parallelism`` folds share the cluster at a time."""
+
+    def score_fold(part: PreparedFold) -> DataFrame:
+        with cached(family.weigh(part.train, label, part.counts)) as train:
+            model = family.build(label, part.counts, params or {}).fit(train)
+        scored = PositiveScore().transform(model.transform(part.valid))
+        return scored.select(
+            id_col, F.col(label).cast("int").alias(label), F.lit(part.fold).alias("fold"), SCORE
         )
 
+    parts = prepare_folds(df, id_col, label, folds, drop, seed)
     with ThreadPool(parallelism) as pool:
-        parts = pool.map(score_fold, _fold_numbers(folds, "fold", numbered))
-    scores = cut_lineage(reduce(DataFrame.unionByName, parts))
+        scored = pool.map(score_fold, parts)
+    scores = cut_lineage(reduce(DataFrame.unionByName, scored))
     return CrossValidation(scores, fold_metrics(scores, label))
 
 
@@ -270,11 +313,23 @@ def fold_metrics(scores: DataFrame, label: str, fold_col: str = "fold") -> DataF
     )
 
 
+#: Numbers of trees at which trials are compared, and one of how many goes on.
+RUNGS = (10, 30, 100, 300, 1000)
+GOES_ON = 3
+
+
 @dataclass
 class Trial:
+    """A parameter set, with the number of trees that was best, the average
+    precision of its folds there and their mean. ``drawn`` is the number of trees
+    drawn, ``rungs`` the means at the numbers that were tried."""
+
     family: str
     params: dict
     auc_pr: float
+    folds: list[float] = field(default_factory=list)
+    drawn: int | None = None
+    rungs: dict[int, float] = field(default_factory=dict)
 
 
 def draw_trials(family: Family, trials: int, seed: int = 42, **ranges) -> list[dict]:
@@ -283,6 +338,98 @@ def draw_trials(family: Family, trials: int, seed: int = 42, **ranges) -> list[d
     return [family.draw(rng, **ranges) for _ in range(trials)]
 
 
+def fold_scores(
+    folds: list[PreparedFold],
+    family: Family,
+    candidates: dict[int, dict],
+    label: str,
+    parallelism: int,
+) -> dict[int, list[float]]:
+    """Average precision of every parameter set on every fold. Each fit writes the
+    scores of the rows left out, and all are judged in one job."""
+    spark = folds[0].train.sparkSession
+    base = f"{ensure_checkpoint_dir(spark)}/scores-{uuid.uuid4().hex}"
+    paths = []
+
+    def fit(part: tuple[int, PreparedFold]) -> str:
+        number, fold = part
+        model = family.build(label, fold.counts, candidates[number]).fit(fold.train)
+        scored = PositiveScore().transform(model.transform(fold.valid))
+        path = f"{base}/{number}-{fold.fold}"
+        scored.select(
+            F.lit(number).alias("trial"), F.lit(fold.fold).alias("fold"), F.col(label).alias("y"), SCORE
+        ).write.parquet(path)
+        return path
+
+    # the longest fits first
+    order = sorted(candidates, key=lambda i: -candidates[i].get("maxDepth", 0))
+    with ThreadPool(parallelism) as pool:
+        paths = pool.map(fit, [(i, f) for i in order for f in folds], chunksize=1)
+    judged = ranking_metrics(spark.read.parquet(*paths), SCORE, "y", ["trial", "fold"])
+    found = {(r["trial"], r["fold"]): r["average_precision"] for r in judged.collect()}
+    drop_tables(spark, base)
+    return {i: [found.get((i, f.fold)) or 0.0 for f in folds] for i in candidates}
+
+
+def _raised(before: list[float], after: list[float]) -> bool:
+    """Is the mean gain over the folds more than its standard error?"""
+    if len(before) < 2:
+        return not before or after[0] > before[0]
+    gains = [b - a for a, b in zip(before, after, strict=True)]
+    return mean(gains) > stdev(gains) / math.sqrt(len(gains))
+
+
+def staged_search(
+    folds: list[PreparedFold],
+    family: Family,
+    candidates: list[dict],
+    label: str,
+    parallelism: int = 8,
+    rungs: tuple[int, ...] = RUNGS,
+    goes_on: int = GOES_ON,
+) -> list[Trial]:
+    """The trials, best first, by mean average precision over the folds.
+
+    A boosted model of 1,000 trees begins with those of the model of 100, and a
+    forest of 100 is a smaller sample of the same, so trials are compared with few
+    trees first: at each rung one in ``goes_on`` goes on to more trees, unless the
+    last rung gave it nothing. A trial counts with the number of trees at which it
+    was best, never more than it drew; so no fit is longer than it has to be, and
+    the many that are no good are short.
+    """
+    weighed = [
+        replace(f, train=family.weigh(f.train, label, f.counts).persist(StorageLevel.MEMORY_AND_DISK))
+        for f in folds
+    ]
+    trials = [
+        Trial(family.name, dict(p), -1.0, drawn=p[family.trees]) for p in candidates
+    ]
+    alive = set(range(len(trials)))
+    try:
+        for rung in sorted(rungs):
+            size = {i: min(rung, trials[i].drawn) for i in alive}
+            asked = {i: {**candidates[i], family.trees: size[i]} for i in alive}
+            if not asked:
+                break
+            found = fold_scores(weighed, family, asked, label, parallelism)
+            better = set()
+            for i, scores in found.items():
+                trial, score = trials[i], mean(scores)
+                trial.rungs[size[i]] = score
+                if _raised(trial.folds, scores):
+                    better.add(i)
+                if score > trial.auc_pr:
+                    trial.auc_pr, trial.folds = score, scores
+                    trial.params = asked[i]
+            first = sorted(alive, key=lambda i: (-trials[i].rungs[size[i]], i))
+            first = first[: math.ceil(len(first) / goes_on)]
+            alive = {i for i in first if i in better and size[i] < trials[i].drawn}
+    finally:
+        for f in weighed:
+            f.train.unpersist()
+    return sorted(trials, key=lambda t: -t.auc_pr)
+
+
 def search(
     df: DataFrame,
     family: Family,
@@ -292,31 +439,12 @@ def search(
     folds: int = 5,
     drop: list[str] | None = None,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = 8,
+    rungs: tuple[int, ...] = RUNGS,
 ) -> list[Trial]:
-    """Mean average precision over the folds for every parameter set, best
-    first. ``parallelism`` fits run at the same time on a cached fold."""
-    numbered = cut_lineage(stratified_folds(df, id_col, label, folds, seed, "fold"))
-    evaluator = AveragePrecisionEvaluator(labelCol=label)
-    totals = [0.0] * len(candidates)
-    for _, train, valid in _fold_numbers(folds, "fold", numbered):
-        preparation = build_pipeline(drop, [id_col, label, "fold"]).fit(train)
-        counts = class_counts(train, label)
-        weighed = family.weigh(preparation.transform(train), label, counts)
-        with cached(weighed) as ready, cached(preparation.transform(valid)) as held:
-
-            def judge(params: dict) -> float:
-                model = family.build(label, counts, params).fit(ready)
-                return evaluator.evaluate(PositiveScore().transform(model.transform(held)))
-
-            with ThreadPool(parallelism) as pool:
-                for i, value in enumerate(pool.map(judge, candidates)):
-                    totals[i] += value
-    trials = [
-        Trial(family.name, params, total / folds)
-        for params, total in zip(candidates, totals, strict=True)
-    ]
-    return sorted(trials, key=lambda t: -t.auc_pr)
+    """``staged_search`` on the folds of ``df``."""
+    prepared = prepare_folds(df, id_col, label, folds, drop, seed)
+    return staged_search(prepared, family, candidates, label, parallelism, rungs)
 
 
 def pick_champion(first: list[Trial], second: list[Trial]) -> Trial:

@@ -50,3 +50,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     place = jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_tables(spark: SparkSession, path: str) -> None:
+    """Delete a folder of tables that are no longer read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

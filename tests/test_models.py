@@ -89,6 +89,63 @@ def test_first_family_wins_a_tie():
     assert training.pick_champion(one, [training.Trial("forest", {}, 0.6)]).family == "forest"
 
 
+def test_boosted_model_begins_with_the_smaller_one(loans):
+    """What lets trials be compared with few trees first."""
+    (fold, *_) = training.prepare_folds(loans, "SK_ID_CURR", "TARGET", 2)
+    rows = training.positive_weight(fold.train, "TARGET", fold.counts)
+    params = {"maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.7, "featureSubsetStrategy": "0.6"}
+    few, more = (
+        training.BOOSTED.build("TARGET", fold.counts, {**params, "maxIter": n}).fit(rows) for n in (3, 6)
+    )
+    assert [t.toDebugString.split("\n", 1)[1] for t in few.trees] == [
+        t.toDebugString.split("\n", 1)[1] for t in more.trees[:3]
+    ]
+
+
+def test_prepared_folds_hold_every_row_once(loans):
+    folds = training.prepare_folds(loans, "SK_ID_CURR", "TARGET", 3)
+    ids = [r["SK_ID_CURR"] for f in folds for r in f.valid.select("SK_ID_CURR").collect()]
+    assert sorted(ids) == list(range(400))
+    for f in folds:
+        assert f.train.count() == f.counts.rows == 400 - f.valid.count()
+        assert f.train.where("TARGET = 1").count() == f.counts.positives
+
+
+def test_search_goes_on_with_the_better_trials(loans, monkeypatch):
+    """Scores by rule, so that the course of the search is known."""
+    asked = []
+
+    def scored(folds, family, candidates, label, parallelism):
+        asked.append({i: p[family.trees] for i, p in candidates.items()})
+        gain = {10: 0.0, 30: 0.1, 100: 0.2, 300: 0.2, 700: 0.3}
+        return {i: [i / 100 + gain[p[family.trees]], i / 100 + gain[p[family.trees]]] for i, p in candidates.items()}
+
+    monkeypatch.setattr(training, "fold_scores", scored)
+    folds = training.prepare_folds(loans, "SK_ID_CURR", "TARGET", 2)
+    drawn = [{"maxIter": n} for n in (700, 700, 700, 700, 700, 700, 700, 30, 700)]
+    found = training.staged_search(folds, training.BOOSTED, drawn, "TARGET")
+    assert [len(a) for a in asked] == [9, 3, 1, 1]
+    # trial 7 has no more trees to try at 30, trial 8 nothing to gain at 300
+    assert asked[1] == {6: 30, 7: 30, 8: 30} and asked[3] == {8: 300}
+    best = found[0]
+    assert best.params == {"maxIter": 100} and best.drawn == 700
+    assert best.auc_pr == pytest.approx(0.28) and best.rungs[300] == pytest.approx(0.28)
+    assert best.folds == pytest.approx([0.28, 0.28])
+
+
+def test_scores_of_a_search_are_those_of_single_fits(loans):
+    folds = training.prepare_folds(loans, "SK_ID_CURR", "TARGET", 2)
+    params = {"maxDepth": 2, "numTrees": 5, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.5"}
+    (trial,) = training.staged_search(folds, training.FOREST, [params], "TARGET", rungs=(3, 5))
+    assert set(trial.rungs) <= {3, 5} and trial.auc_pr == max(trial.rungs.values())
+    for f, score in zip(folds, trial.folds, strict=True):
+        rows = training.positive_weight(f.train, "TARGET", f.counts)
+        model = training.FOREST.build("TARGET", f.counts, trial.params).fit(rows)
+        alone = ranking_metrics(training.PositiveScore().transform(model.transform(f.valid)), "score", "TARGET")
+        assert alone.first()["average_precision"] == pytest.approx(score)
+    assert trial.auc_pr == pytest.approx(sum(trial.folds) / 2)
+
+
 def test_champion_is_stored_with_its_preparation(spark, loans, tmp_path):
     run = modelling.train_champion(
         loans,
@@ -279,5 +336,5 @@ def test_registered_tree_queries_run_with_the_defaults(spark, monkeypatch):
         with pytest.raises(Stopped):
             run(spark, "")
     (champion, options), (fitted, more) = calls
-    assert champion == (None, "SK_ID_CURR", "TARGET") and not options
+    assert champion == (None, "SK_ID_CURR", "TARGET") and options == {"trials": model_queries.TRIALS}
     assert fitted[1] is training.BOOSTED and not fitted[3] and not more
