@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.functions.scalars import at_least, hash_order
+from loanloom.operators.isotonic import isotonic_blocks
 from loanloom.operators.prepare import FEATURES, get_feature_names
 from loanloom.operators.quality import ColumnRule, split_valid
 from loanloom.operators.ranking import ranking_metrics
@@ -24,36 +25,33 @@ CALIBRATED = "probability_of_default"
 MEMBERSHIPS = "_memberships"
 
 
-#: Distinct scores that an isotonic fit takes at most, on average; the fit pools
-#: its points on the driver.
-CALIBRATION_POINTS = 500_000
-
-
 def fit_calibration(
     df: DataFrame,
     score: str,
     label: str,
     output: str = CALIBRATED,
-    points: int = CALIBRATION_POINTS,
 ) -> IsotonicRegressionModel:
-    """Isotonic regression of the label on the score. Equal scores are merged
-    into one weighted row first, which gives the same fit from fewer rows. Of
-    more than ``points`` distinct scores, those with the smallest hashes are
-    taken, each with all its rows: a bounded sample of the calibration rows."""
+    """Isotonic regression of the label on the score, of all rows. Equal scores are
+    merged into one weighted point, points are pooled in the cluster, and Spark's
+    own model is made of the ends of the blocks that are left."""
     merged = (
         df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.col(score).cast("double").alias(score))
+        .groupBy(F.col(score).cast("double").alias("_score"))
         .agg(
-            F.avg(F.col(label).cast("double")).alias("_rate"),
+            F.sum(F.col(label).cast("double")).alias("_total"),
             F.count(F.lit(1)).cast("double").alias("_rows"),
         )
     )
-    merged = cut_lineage(merged)
-    share = points / max(1, merged.count())
-    place = F.pmod(F.xxhash64(score), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    blocks = cut_lineage(isotonic_blocks(cut_lineage(merged), "_score", "_total", "_rows"))
+    # either end of a block with half of its weight; one point twice is one point
+    ends = blocks.select(
+        F.explode(F.array("low", "high")).alias(score),
+        F.col("value").alias("_rate"),
+        (F.col("weight") / 2).alias("_rows"),
+    )
     return IsotonicRegression(
         featuresCol=score, labelCol="_rate", weightCol="_rows", predictionCol=output
-    ).fit(merged.where(place < F.lit(share)))
+    ).fit(ends)
 
 
 @dataclass(frozen=True)

@@ -11,23 +11,26 @@ ranges and parameters; a search tries ``TRIALS`` parameter sets of each family.
 
 from __future__ import annotations
 
+import json
 import uuid
 
+import numpy as np
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanloom.operators import evaluation, prepare, training
+from loanloom.operators import evaluation, newton, prepare, training
 from loanloom.operators import quality as q
 from loanloom.operators.ranking import cost_sweep, find_optimal_threshold
 from loanloom.operators.sampling import hash_sample, stratified_folds, stratified_parts
 from loanloom.plans import modelling
 from loanloom.plans.catalog.base import comparable, query, table
-from loanloom.plans.catalog.credit_view import loan_sql
+from loanloom.plans.catalog.credit_view import loan_sql, loan_table
 from loanloom.plans.catalog.wide import AGGREGATES, MAIN_COLUMNS, TEXT_COLUMNS, wide
 from loanloom.session import cut_lineage, ensure_checkpoint_dir
-from loanloom.sources.stores import load_stages, save_stages
+from loanloom.sources.stores import load_registered, load_stages, register_model, save_stages
 
 ID, LABEL = "SK_ID_CURR", "TARGET"
 
@@ -231,6 +234,29 @@ def isotonic_levels(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(calibrator.transform(rows.select("score").distinct()))
 
 
+@query(
+    "E1",
+    """WITH level AS (SELECT floor(l_extendedprice / 50) AS score,
+        count(*) FILTER (WHERE l_returnflag = 'R') AS pos, count(*) AS n FROM lineitem GROUP BY 1),
+    step AS (SELECT score, row_number() OVER w AS i, sum(pos) OVER w AS p, sum(n) OVER w AS n
+      FROM level WINDOW w AS (ORDER BY score)),
+    edge AS (SELECT i, p, n FROM step UNION ALL SELECT 0, 0, 0),
+    least AS (SELECT a.i AS lo, b.i AS hi, min((b.p - a.p) / CAST(b.n - a.n AS DOUBLE)) OVER (
+        PARTITION BY a.i ORDER BY b.i DESC ROWS UNBOUNDED PRECEDING) AS m
+      FROM edge a JOIN edge b ON a.i < b.i)
+    SELECT round(score, 6) + 0.0 AS score, round(max(m), 6) + 0.0 AS calibrated
+    FROM step JOIN least ON hi = i GROUP BY score""",
+)
+def isotonic_many_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for a score with a few thousand levels, pooled in many ranges."""
+    rows = table(spark, folder, "lineitem").select(
+        F.floor(F.col("l_extendedprice") / 50).cast("double").alias("score"),
+        (F.col("l_returnflag") == "R").cast("int").alias("y"),
+    )
+    calibrator = evaluation.fit_calibration(rows, "score", "y", "calibrated")
+    return comparable(calibrator.transform(rows.select("score").distinct()))
+
+
 @query("E2 E1 K7 R5 R6 A28 S10")
 def evaluation_run(spark: SparkSession, folder: str) -> DataFrame:
     run = modelling.run_evaluation(applicants(spark, folder))
@@ -303,6 +329,93 @@ def outcome_examples(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.outcome_examples(model, rows, ID, LABEL)
 
 
+# Fixed values of a small model that SQL can compute: (mean, spread), coefficient.
+_KNOWN = {"AMT_INCOME_TOTAL": ((45000.0, 16384.0), 1.0), "DAYS_BIRTH": ((-16000.0, 4096.0), -0.5)}
+_PLACED = {c: f"((CAST({c} AS DOUBLE) - ({m})) / {s})" for c, ((m, s), _) in _KNOWN.items()}
+
+
+def _known_model(spark: SparkSession) -> PipelineModel:
+    fitted = {
+        "numeric": list(_KNOWN),
+        "categorical": [],
+        "medians": {c: m for c, ((m, _), _) in _KNOWN.items()},
+        "scaling": {c: at for c, (at, _) in _KNOWN.items()},
+        "modes": {},
+    }
+    columns = prepare.ColumnPreparationModel(fitted=json.dumps(fitted), passThrough=[ID, LABEL])
+    slopes = np.array([slope for _, slope in _KNOWN.values()])
+    logistic = newton.fixed_model(spark, slopes, 0.0, prepare.FEATURES, LABEL)
+    return PipelineModel(stages=[columns, logistic, training.PositiveScore()])
+
+
+@query(
+    "E4",
+    f"""WITH {loan_sql("application_train")}, s AS (SELECT SK_ID_CURR, TARGET AS y,
+      {", ".join(f"{x} AS {c}" for c, x in _PLACED.items())} FROM application_train
+      ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || '-42'), SK_ID_CURR LIMIT 2000),
+    judged AS (SELECT *, ({" + ".join(f"{slope} * {c}" for c, (_, slope) in _KNOWN.items())}) >= 0
+      AS guess FROM s),
+    chosen AS (SELECT CASE WHEN y = 1 AND guess THEN 'TP' WHEN y = 0 AND NOT guess THEN 'TN'
+        WHEN y = 0 AND guess THEN 'FP' END AS outcome, min(SK_ID_CURR) AS SK_ID_CURR
+      FROM judged GROUP BY 1 HAVING outcome IS NOT NULL)
+    """
+    + " UNION ALL ".join(
+        f"""SELECT outcome, SK_ID_CURR, 'num__{c}' AS feature,
+        round(({c} - (SELECT avg({c}) FROM s)) * ({slope}), 6) + 0.0 AS contribution
+        FROM chosen JOIN s USING (SK_ID_CURR)"""
+        for c, (_, slope) in _KNOWN.items()
+    ),
+)
+def examples_of_known_model(spark: SparkSession, folder: str) -> DataFrame:
+    """One row of each outcome with its contributions, of a model with given
+    coefficients, whose scores SQL can compute."""
+    rows = loan_table(spark, folder, "application_train")
+    rows = rows.select(ID, F.col(LABEL).cast("int").alias(LABEL), *_KNOWN)
+    found = evaluation.outcome_examples(_known_model(spark), rows, ID, LABEL)
+    return comparable(found, [ID])
+
+
+@query(
+    "E2 E1 S14 T8 A28",
+    f"""{_FOLDS_SQL}, unseen AS (SELECT s.*, count(*) OVER (PARTITION BY y) AS m FROM shuffled s
+      WHERE place <= floor(0.4e0 * n + 0.5)),
+    test AS (SELECT a.* FROM application_train a JOIN unseen USING (SK_ID_CURR)
+      WHERE place <= floor(0.5e0 * m + 0.5)),
+    g AS (SELECT 'Gender' AS "group", CODE_GENDER AS category FROM test WHERE CODE_GENDER IN ('M', 'F')
+      UNION ALL SELECT 'Contract', NAME_CONTRACT_TYPE FROM test
+      UNION ALL SELECT 'Age', CASE WHEN -DAYS_BIRTH / 365.25 < 30 THEN 'Young (<30)'
+        WHEN -DAYS_BIRTH / 365.25 < 50 THEN 'Middle (30-50)' ELSE 'Senior (>=50)' END FROM test)
+    SELECT "group", category, count(*) AS "size", true AS same_scores, true AS beats_cost_of_none
+    FROM g GROUP BY ALL""",
+)
+def stored_champion_evaluation(spark: SparkSession, folder: str) -> DataFrame:
+    """A forest is stored, loaded by name and judged on rows that it has not seen:
+    sizes of the subgroups, whether the loaded model scores as the fitted one, and
+    whether its threshold costs no more than rejecting or accepting every row."""
+    rows = applicants(spark, folder)
+    parts = cut_lineage(stratified_parts(rows, ID, LABEL, [0.4, 0.6]))
+    unseen = parts.where("part = 0").drop("part")
+    params = {"numTrees": 100, "maxDepth": 6, "subsamplingRate": 0.8, "featureSubsetStrategy": "sqrt"}
+    fitted = training.fit_model(parts.where("part = 1").drop("part"), training.FOREST, LABEL, params, [ID])
+    store = f"{ensure_checkpoint_dir(spark)}/champions/{uuid.uuid4().hex}"
+    register_model(fitted, store, "champion", uuid.uuid4().hex, spark)
+    loaded = load_registered(spark, store, "champion")
+    run = modelling.run_evaluation(unseen, model=loaded, shares=(0.5, 0.5, 0.0))
+    score = F.round(training.SCORE, 9)
+    both = [m.transform(unseen).select(ID, score) for m in (fitted, loaded)]
+    same = both[0].exceptAll(both[1]).isEmpty()
+    calibration = run.calibration.agg(
+        F.count_if(F.col(LABEL) == 1).alias("bad"), F.count_if(F.col(LABEL) == 0).alias("good")
+    ).first()
+    chosen = cost_sweep(
+        run.calibration, evaluation.CALIBRATED, LABEL, thresholds=[run.metrics["threshold"]]
+    ).first()["cost"]
+    cheap = chosen <= min(10 * calibration["bad"], calibration["good"])
+    return run.subgroups.select(
+        "group", "category", "size", F.lit(same).alias("same_scores"), F.lit(cheap).alias("beats_cost_of_none")
+    )
+
+
 @query("B1 Q14")
 def batch_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Valid rows with probability and decision, rejected rows with reasons. The

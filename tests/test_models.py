@@ -302,20 +302,6 @@ def test_evaluator_works_with_spark_model_selection(spark, loans):
     assert search.fit(weighed).avgMetrics[0] > 0.5
 
 
-def test_calibration_on_a_bounded_number_of_scores(spark):
-    from loanloom.operators import evaluation
-
-    df = spark.range(4000).select(
-        (F.col("id") / 4000).alias("p"), (F.pmod(F.xxhash64("id"), F.lit(4000)) < F.col("id")).cast("int").alias("y")
-    )
-    whole = evaluation.fit_calibration(df, "p", "y", "q")
-    part = evaluation.fit_calibration(df, "p", "y", "q", points=1000)
-    grid = spark.createDataFrame([(i / 10,) for i in range(1, 10)], "p double")
-    a, b = ([r["q"] for r in m.transform(grid).orderBy("p").collect()] for m in (whole, part))
-    assert max(abs(x - y) for x, y in zip(a, b, strict=True)) < 0.15
-    assert len(part.boundaries) < len(whole.boundaries)
-
-
 def test_registered_tree_queries_run_with_the_defaults(spark, monkeypatch):
     """No query narrows the folds, trials or trees of its operator."""
     from loanloom.plans.catalog import model_queries
