@@ -128,6 +128,13 @@ def missing_patterns(df: DataFrame, columns: list[str]) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def missing_names(df: DataFrame, columns: list[str], output: str = "missing") -> DataFrame:
+    """The names of a row's missing columns, of ``columns`` and in their order,
+    joined by commas, instead of one flag a column."""
+    names = [F.when(F.col(c) == 1, F.lit(c)) for c in columns]
+    return df.withColumn(output, F.concat_ws(",", *names)).drop(*columns)
+
+
 def _as_text(df: DataFrame, columns: list[str]) -> DataFrame:
     entries = F.array(
         *[
@@ -176,11 +183,10 @@ def numeric_profile(
     df: DataFrame,
     columns: list[str] | None = None,
     probs: tuple[float, ...] = (0.05, 0.25, 0.5, 0.75, 0.95),
-    exact: bool = True,
 ) -> DataFrame:
     """Count, missing, zeros, mean, deviation, bounds and quantiles per column."""
     names = columns or numeric_columns(df)
-    quantiles = exact_quantiles(df, names, list(probs)) if exact else {}
+    quantiles = exact_quantiles(df, names, list(probs))
     entries = []
     for c in names:
         x = F.col(f"`{c}`").cast("double")
@@ -195,35 +201,19 @@ def numeric_profile(
             F.max(x).alias("max"),
         ]
         for i, p in enumerate(probs):
-            value = (
-                F.lit(quantiles[c][i]).cast("double")
-                if exact
-                else F.percentile_approx(x, p, 10_000)
-            )
+            value = F.lit(quantiles[c][i]).cast("double")
             fields.append(value.alias(f"p{int(round(p * 100)):02d}"))
         entries.append(F.struct(*fields))
     return df.agg(F.array(*entries).alias("s")).select(F.inline("s"))
 
 
-def column_profile(df: DataFrame, exact_distinct: bool = False, k: int = 5) -> dict[str, DataFrame]:
+def column_profile(df: DataFrame, k: int = 5) -> dict[str, DataFrame]:
     """The parts of a profile report as tables: overview, numeric columns,
-    distinct values and most frequent values."""
-    texts = categorical_columns(df)
-    if exact_distinct:
-        distinct = distinct_values(df, df.columns)
-    else:
-        found = [
-            F.struct(
-                F.lit(c).alias("column"),
-                F.approx_count_distinct(F.col(f"`{c}`")).alias("distinct"),
-            )
-            for c in df.columns
-        ]
-        distinct = df.agg(F.array(*found).alias("s")).select(F.inline("s"))
-    parts = {"nulls": null_rates(df), "distinct": distinct}
-    numbers = numeric_columns(df)
+    distinct values and most frequent values, all of them exact."""
+    parts = {"nulls": null_rates(df), "distinct": distinct_values(df, df.columns)}
+    numbers, texts = numeric_columns(df), categorical_columns(df)
     if numbers:
-        parts["numeric"] = numeric_profile(df, numbers, exact=False)
+        parts["numeric"] = numeric_profile(df, numbers)
     if texts:
         parts["top_values"] = top_values(df, texts, k)
     return parts

@@ -22,9 +22,44 @@ from loanloom.session import cut_lineage
 ROWS_PER_PREFIX = 100_000
 
 
+#: Hexadecimal digits of the hash by which rows are counted at once.
+STEP_DIGITS = 3
+
+
+def _prefix_of_rank(hashes: DataFrame, n: int) -> str | None:
+    """A hash prefix up to which there are at least n rows, and at most n more
+    than that; none if all rows are fewer. Each step counts the rows by the next
+    digits, 4,096 groups at most."""
+    known, before = "", 0
+    while len(known) < 32:
+        digits = F.substring("hash", len(known) + 1, STEP_DIGITS).alias("digits")
+        inside = hashes.where(F.col("hash").startswith(known))
+        counts = sorted(inside.groupBy(digits).count().collect())
+        for found, rows in counts:
+            if before + rows >= n:
+                break
+            before += rows
+        else:
+            return None
+        known += found
+        if rows <= n:
+            break
+    return known
+
+
 def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly n rows (all, if fewer), the same ones on every run."""
-    return df.orderBy(hash_order(F.col(id_col), seed), id_col).limit(n)
+    """Exactly n rows (all, if fewer), the same ones on every run. Rows are counted
+    by hash prefix first, so that the last step sorts the n rows and no more than n
+    others, however many partitions there are."""
+    if n <= 0:
+        return df.limit(0)
+    hashes = df.select(hash_order(F.col(id_col), seed).alias("hash"))
+    last = _prefix_of_rank(hashes, n)
+    if last is None:
+        return df
+    place = hash_order(F.col(id_col), seed)
+    rows = df.where(F.substring(place, 1, len(last)) <= F.lit(last))
+    return rows.orderBy(hash_order(F.col(id_col), seed), id_col).limit(n)
 
 
 def complete_sample(

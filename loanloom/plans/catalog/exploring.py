@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanloom.functions.columns import categorical_columns
 from loanloom.operators import histograms, profile, quantiles, sampling
 from loanloom.operators.aggregates import null_rates as column_null_rates
 from loanloom.plans.catalog.base import comparable, query, rounded, table
@@ -283,7 +284,16 @@ def column_profile(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(found, ["present", "missing", "zeros"], digits=4)
 
 
-_TEXTS = ["CODE_GENDER", "NAME_INCOME_TYPE", "NAME_EDUCATION_TYPE", "OCCUPATION_TYPE"]
+#: All text columns of the applicants.
+_TEXTS = [
+    "NAME_CONTRACT_TYPE",
+    "CODE_GENDER",
+    "NAME_INCOME_TYPE",
+    "NAME_EDUCATION_TYPE",
+    "FLAG_OWN_CAR",
+    "OCCUPATION_TYPE",
+    "WEEKDAY_APPR_PROCESS_START",
+]
 
 
 @query(
@@ -295,7 +305,8 @@ _TEXTS = ["CODE_GENDER", "NAME_INCOME_TYPE", "NAME_EDUCATION_TYPE", "OCCUPATION_
     ),
 )
 def distinct_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.distinct_values(_applicants(spark, folder), [*_TEXTS, *_NUMERIC])
+    rows = _applicants(spark, folder)
+    return profile.distinct_values(rows, [*categorical_columns(rows), *_NUMERIC])
 
 
 @query(
@@ -309,7 +320,8 @@ def distinct_profile(spark: SparkSession, folder: str) -> DataFrame:
     SELECT "column", rank, value, "count" FROM ranked WHERE rank <= 3""",
 )
 def top_values(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.top_values(_applicants(spark, folder), _TEXTS, 3)
+    rows = _applicants(spark, folder)
+    return profile.top_values(rows, categorical_columns(rows), 3)
 
 
 @query(
@@ -343,9 +355,6 @@ def complete_sample(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(sampling.complete_sample(rows, ID, scores, 10_000), [ID, LABEL])
 
 
-_PARTLY = ["EXT_SOURCE_1", "OCCUPATION_TYPE", "EXT_SOURCE_3", "NAME_EDUCATION_TYPE", "OWN_CAR_AGE"]
-
-
 @query(
     "K9",
     f"""{_APP}, r AS ({_null_rates_sql(_GAPPED, "application_train")})
@@ -357,24 +366,36 @@ def partly_missing_columns(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "column string")
 
 
-_FLAGS = ", ".join(f"CAST({c} IS NULL AS INTEGER) AS {c}" for c in _PARTLY)
+_MISSING = f"""{_APP}, r AS ({_null_rates_sql(_GAPPED, "application_train")}),
+    partly AS (SELECT list("column") AS names FROM (SELECT "column" FROM r
+      WHERE null_rate > 0.05 AND null_rate < 0.80 ORDER BY null_rate DESC, "column" LIMIT 30)),
+    flagged AS (SELECT SK_ID_CURR, concat_ws(',', {", ".join(
+        f"CASE WHEN {c} IS NULL AND list_contains(names, '{c}') THEN '{c}' END" for c in _GAPPED)})
+        AS missing FROM application_train, partly)"""
 
 
-@query(
-    "K9 X6",
-    f"{_APP} SELECT {_FLAGS}, count(*) AS \"rows\" FROM application_train GROUP BY ALL",
-)
+def _partly_missing(rows: DataFrame) -> list[str]:
+    found = set(profile.columns_partly_missing(rows.select(_GAPPED)))
+    return [c for c in _GAPPED if c in found]
+
+
+@query("K9 X6", f"{_MISSING} SELECT missing, count(*) AS \"rows\" FROM flagged GROUP BY missing")
 def missing_patterns(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.missing_patterns(_applicants(spark, folder), _PARTLY)
+    """Patterns over all columns that the table misses in part."""
+    rows = _applicants(spark, folder)
+    columns = _partly_missing(rows)
+    return profile.missing_names(profile.missing_patterns(rows, columns), columns)
 
 
 @query(
     "K9",
-    f"""{_APP} SELECT SK_ID_CURR, {_FLAGS} FROM application_train
+    f"""{_MISSING} SELECT SK_ID_CURR, missing FROM flagged
     ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || '-42'), SK_ID_CURR LIMIT 5000""",
 )
 def missing_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.missing_matrix(_applicants(spark, folder), ID, _PARTLY)
+    rows = _applicants(spark, folder)
+    columns = _partly_missing(rows)
+    return profile.missing_names(profile.missing_matrix(rows, ID, columns), columns)
 
 
 @query(

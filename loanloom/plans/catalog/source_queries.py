@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loanloom.operators import aggregates as agg
 from loanloom.operators import quality as q
 from loanloom.operators import training
-from loanloom.plans.catalog.base import query, rounded, table
+from loanloom.plans.catalog.base import comparable, query, rounded, table
 from loanloom.plans.catalog.credit_view import loan_sql, loan_table
 from loanloom.plans.catalog.model_queries import ID, LABEL, applicants
 from loanloom.session import ensure_checkpoint_dir
@@ -48,6 +48,21 @@ def row_limited_scan(spark: SparkSession, folder: str) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query(
+    "S5 S1",
+    f"""WITH {loan_sql("application_train")} SELECT SK_ID_CURR, CODE_GENDER,
+      {rounded("AMT_CREDIT")} AS AMT_CREDIT, false AS labelled FROM application_train""",
+)
+def unlabelled_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Applicants to be scored: the declared columns without the label."""
+    target = _folder(spark)
+    rows = loan_table(spark, folder, "application_train").drop(LABEL)
+    tables.write_csv(rows, f"{target}/application_test.csv")
+    found = csv_tables.load_table(spark, target, "application_test.csv")
+    found = found.withColumn("labelled", F.lit(LABEL in found.columns))
+    return comparable(found.select(ID, "CODE_GENDER", "AMT_CREDIT", "labelled"), [ID])
+
+
 @query("S7 S8", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
 def parquet_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     target = _folder(spark)

@@ -68,6 +68,24 @@ def test_sample_is_repeatable_and_fixed_in_size(spark):
     assert sampling.hash_sample(df, "id", 5000).count() == 1000
 
 
+@pytest.mark.parametrize("digits", [1, 3])
+def test_sample_is_what_a_whole_sort_gives(spark, monkeypatch, digits):
+    monkeypatch.setattr(sampling, "STEP_DIGITS", digits)
+    df = spark.range(3000).withColumn("x", F.col("id") * 2).repartition(7)
+    for n in (0, 1, 7, 500, 2999, 3000, 4000):
+        sorted_ = df.orderBy(sampling.hash_order(F.col("id"), 42), "id").limit(n)
+        assert sorted(map(tuple, sampling.hash_sample(df, "id", n).collect())) == sorted(map(tuple, sorted_.collect()))
+    hashes = df.select(sampling.hash_order(F.col("id"), 42).alias("hash"))
+    last = sampling._prefix_of_rank(hashes, 50)
+    assert 50 <= hashes.where(F.substring("hash", 1, len(last)) <= last).count() <= 100
+
+
+def test_sample_of_equal_ids(spark):
+    df = spark.createDataFrame([(1,)] * 40 + [(2,), (None,)], "id int").repartition(5)
+    assert sampling.hash_sample(df, "id", 10).count() == 10
+    assert sampling.hash_sample(df, "id", 41).count() == 41
+
+
 def test_complete_sample_ignores_gaps(spark):
     df = spark.range(100).select("id", F.when(F.col("id") % 4 == 0, F.lit(1.0)).alias("x"))
     out = sampling.complete_sample(df, "id", ["x"], 10_000)
@@ -196,5 +214,5 @@ def test_column_profile_parts(spark):
     parts = profile.column_profile(df)
     assert set(parts) == {"nulls", "distinct", "numeric", "top_values"}
     assert parts["numeric"].first()["zeros"] == 1
-    exact = {r[0]: r[1] for r in profile.column_profile(df, True)["distinct"].collect()}
+    exact = {r[0]: r[1] for r in profile.column_profile(df)["distinct"].collect()}
     assert exact == {"x": 2, "s": 1}
