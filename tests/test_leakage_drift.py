@@ -37,6 +37,45 @@ def test_flags(spark):
     }
 
 
+@pytest.mark.parametrize(("bins", "heavy"), [(4, 2), (16, 4), (1024, 32)])
+def test_bounds_lose_no_split(spark, bins, heavy):
+    """Few bins, bins cut again, outliers, ties and gaps."""
+    rng = random.Random(6)
+    labels = [int(rng.random() < 0.4) for _ in range(300)]
+    columns = {
+        "outlier": [10.0**9 if i == 0 else rng.gauss(y * 0.5, 1) for i, y in enumerate(labels)],
+        "step": [float(rng.randrange(3) + 3 * y) for y in labels],
+        "peak": [float(i % 50) + (0.5 if 20 < i % 50 < 24 and y else 0.0) for i, y in enumerate(labels)],
+        "gaps": [None if rng.random() < 0.5 else rng.expovariate(1 + y) for y in labels],
+    }
+    data = list(zip(*columns.values(), labels, strict=True))
+    df = spark.createDataFrame(data, "outlier double, step double, peak double, gaps double, y int")
+    out = {
+        r["feature"]: r["auc"]
+        for r in leakage.single_feature_auc(df.repartition(3), "y", bins=bins, heavy=heavy).collect()
+    }
+    for c, values in columns.items():
+        filled = [-999.0 if v is None else v for v in values]
+        assert out[c] == pytest.approx(brute_stump_auc(filled, labels), abs=1e-6)
+
+
+def test_only_counts_are_shuffled(spark):
+    """Few bins are looked into; of the others, only their counts are."""
+    df = spark.range(20_000).select(
+        F.when(F.col("id") < 9000, 1).otherwise(0).cast("bigint").alias("pos"),
+        F.posexplode(F.array(F.col("id").cast("double"), F.pmod(F.hash("id"), F.lit(5000)).cast("double"))).alias("column", "v"),
+    )
+    cells, _ = leakage.split_cells(df)
+    looked = cells.where("open").agg(F.sum("n")).first()[0] or 0
+    assert cells.agg(F.sum("n")).first()[0] == 40_000 and looked < 4_000
+
+
+def test_nan_is_missing_and_nothing_gives_nothing(spark):
+    df = spark.createDataFrame([(float("nan"), 1), (None, 1), (1.0, 0), (2.0, 0)], "x double, y int")
+    assert leakage.single_feature_auc(df, "y").first()["auc"] == 1.0
+    assert leakage.single_feature_auc(df.limit(0), "y").collect() == []
+
+
 def test_audit_equals_brute_force(spark):
     rng = random.Random(2)
     labels = [int(rng.random() < 0.3) for _ in range(200)]
