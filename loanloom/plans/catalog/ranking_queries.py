@@ -12,6 +12,7 @@ from loanloom.plans.audit import run_audit
 from loanloom.plans.catalog.base import comparable, query, rounded, table
 from loanloom.plans.catalog.credit_view import loan_sql, loan_table
 from loanloom.session import ensure_checkpoint_dir
+from loanloom.sources.tables import read_table, write_table
 
 ID, LABEL = "SK_ID_CURR", "TARGET"
 _APP = f"WITH {loan_sql('application_train')}"
@@ -393,3 +394,21 @@ def psi_bins(spark: SparkSession, folder: str) -> DataFrame:
     found = drift.psi_table(old, new, ["value", "cohort"], ["event_type"])
     shares = comparable(found, ["contribution"])
     return shares.withColumn("contribution", F.round("contribution", 9) + F.lit(0.0))
+
+
+@query(
+    "D1 S7 S8",
+    f"""{_PSI_SQL} SELECT feature, round(sum(contribution), 6) AS psi,
+      sum(contribution) > 0.2 AS alert FROM t GROUP BY feature""",
+)
+def psi_from_stored_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Two halves of the reference window are profiled, added up and stored; the
+    current window is scored against the table that is read back."""
+    old, new = _windows(spark, folder)
+    edges = drift.reference_edges(old, ["value", "cohort"])
+    halves = [old.where(f"ts {op} '2024-01-08'") for op in ("<", ">=")]
+    merged = drift.merge_profiles(*[drift.window_profile(h, edges, ["event_type"]) for h in halves])
+    path = f"{ensure_checkpoint_dir(spark)}/profiles/{uuid.uuid4().hex}"
+    write_table(merged, path)
+    table_ = drift.profile_psi_table(read_table(spark, path), new, ["event_type"])
+    return comparable(drift.drift_alerts(table_))

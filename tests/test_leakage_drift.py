@@ -133,3 +133,23 @@ def test_new_category_counts_against_the_smallest_share(spark):
     new = spark.createDataFrame([("a",)] * 5 + [("z",)] * 5, "s string")
     rows = {r["bin"]: r for r in drift.psi_table(old, new, [], ["s"]).collect()}
     assert rows["z"]["reference_share"] == 1e-4 and rows["z"]["current_share"] == 0.5
+
+
+def test_profile_of_two_days_is_that_of_one_pass(spark):
+    old, new = window(spark, 0), window(spark, 300)
+    edges = drift.reference_edges(old, ["x"])
+    days = [old.where("x % 2 < 1"), old.where("NOT x % 2 < 1"), old.limit(0)]
+    merged = drift.merge_profiles(*[drift.window_profile(d, edges, ["s"]) for d in days])
+    whole = drift.window_profile(old, edges, ["s"])
+    assert sorted(map(str, merged.collect())) == sorted(map(str, whole.collect()))
+    assert drift.profile_edges(merged) == edges
+    mine = {(r["feature"], r["bin"]): r["contribution"] for r in drift.profile_psi_table(merged, new, ["s"]).collect()}
+    direct = {(r["feature"], r["bin"]): r["contribution"] for r in drift.psi_table(old, new, ["x"], ["s"]).collect()}
+    assert mine == pytest.approx(direct)
+
+
+def test_profiles_with_other_edges_are_refused(spark):
+    old, new = window(spark, 0), window(spark, 300)
+    profiles = [drift.window_profile(w, drift.reference_edges(w, ["x"]), ["s"]) for w in (old, new)]
+    with pytest.raises(ValueError, match="different edges: x"):
+        drift.merge_profiles(*profiles)
