@@ -29,23 +29,31 @@ def _with_text(rows: DataFrame, text: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go."""
+    """Rejected documents go. A null or empty text has no words and goes; a row
+    without id is judged as any other; repeated rows stay or go together."""
     judged = quality.judge(docs, table(prepare(spark), sf_dir, "labels"), keep=COLUMNS[1:])
     return judged.where("kept").select(COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays. Rows without an id
-    stay; equal rows stay or go together."""
-    prepare(spark)
-    found = minhash.near_duplicates(docs.select("doc_id", "text"))
-    kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    return named.unionByName(docs.where("doc_id IS NULL")).select(COLUMNS)
+    """One row of each group of near duplicates stays, the one with the smallest id
+    (rows without an id come last). Rows are numbered first, so that equal rows,
+    texts under one id, and rows without an id are documents of their own. A text
+    without words is linked with nothing and stays."""
+    scratch = Scratch(prepare(spark), "numbered")
+    numbered = scratch.store(docs.select(COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    found = minhash.near_duplicates(numbered.select(F.col("row").alias("doc_id"), "text"))
+    found = found.select(F.col("doc_id").alias("row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))
+    named = found.join(numbered.select("row", "doc_id"), "row")
+    kept = named.groupBy("component_id").agg(first.alias("first")).select("first.row")
+    return numbered.join(kept, "row", "left_semi").select(COLUMNS)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages go; so do documents of which nothing is left."""
+    """Repeated passages go; so do documents of which nothing is left. A null text
+    is empty and stays so; rows of equal id and text are one document, whose
+    passages do not repeat each other; rows without an id come last."""
     prepare(spark)
     cleaned = suffix_dedup.remove_repeats(docs, keep=["lang", "source", "n_chars"])
     cleaned = cleaned.where(F.col("kept_text").rlike(r"[^\x20\x09-\x0D]") | (F.col("n_removed") == 0))
@@ -53,7 +61,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def decontaminate_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark passages are cut out; documents that are mostly benchmark go."""
+    """Benchmark passages are cut out; documents that are mostly benchmark go. A
+    null or empty text has no words and stays; each row is judged by itself."""
     items = table(prepare(spark), sf_dir, "benchmark")
     found = decontaminate.find_test_items(docs, items, keep=["lang", "source", "n_chars"])
     found = found.where(F.col("n_hit") <= F.lit(MOST_HIT) * F.col("n_words"))
@@ -61,6 +70,8 @@ def decontaminate_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows in sequences. A null or empty text is its end token;
+    rows of equal id, or without one, are packed each."""
     prepare(spark)
     return packing.pack(docs, BYTE_BPE, END_ID, kept_pieces=KEPT_PIECES)
 
