@@ -76,6 +76,18 @@ def test_hard_rows_pass_all_stages(spark):
                 assert docs.columns == cp.COLUMNS
 
 
+def test_one_row_of_a_group_stays_whatever_its_id(spark):
+    """A third of the rows under one id, copies without an id, and equal rows."""
+    a, b, c, d = (prose(4000 + i, 150) for i in range(4))
+    near = a.replace(a.split(" ")[70], "other", 1)
+    values = [(7, a)] * 5 + [(7, b), (3, near), (None, a), (None, c), (None, c), (9, b), (4, d), (8, d), (5, None), (6, "")]
+    docs = spark.createDataFrame([(*v, "en", "s", 1, None, None, None) for v in values], DOCUMENTS)
+    for parts in (1, 4):
+        kept = cp.near_dedup(spark, docs.repartition(parts), "").collect()
+        got = sorted(((r.doc_id, r.text) for r in kept), key=repr)
+        assert got == sorted([(3, near), (7, b), (None, c), (4, d), (5, None), (6, "")], key=repr)
+
+
 def test_clean_documents_stay(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(i, prose(3000 + i, 200), "en", "s", 1, None, None, None) for i in range(20)]
