@@ -185,8 +185,18 @@ def ids_of(data: bytes, width: int) -> bytes:
     return data if width == 4 else np.frombuffer(data, f"<u{width}").astype("<u4").tobytes()
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system, as the session resolves it; tasks, which
+    open it themselves, would take one without a scheme for a local folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def _open(uri: str) -> tuple[arrow_fs.FileSystem, str]:
-    return arrow_fs.FileSystem.from_uri(uri if ":" in uri else f"file://{uri}")
+    local = uri.removeprefix("file:")
+    if local != uri:
+        return arrow_fs.LocalFileSystem(), "/" + local.lstrip("/")
+    return arrow_fs.FileSystem.from_uri(uri)
 
 
 def write_ids(
@@ -207,6 +217,7 @@ def write_ids(
     ordinal in the order of their texts. An empty table gives no shard.
     """
     spark = docs.sparkSession
+    folder = qualified(spark, folder)
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(
         docs[id_column].cast("long").alias("id"), docs[text_column].alias("text")
@@ -287,6 +298,7 @@ def read_ids(
     """One row per stored document, read through the index: id, start (ids of
     all documents before it), n_tokens, ids_crc32 and, with ``with_ids``, ids.
     """
+    folder = qualified(spark, folder)
     schema = "id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
     names = [f.split()[0] for f in schema.split(", ")]
 
@@ -332,6 +344,7 @@ def lookup_ids(keys: DataFrame, folder: str, id_column: str = "doc_id") -> DataF
     null where the key is absent. Keys meet the shard whose range holds them;
     each key costs one index probe and one read of its ids."""
     spark = keys.sparkSession
+    folder = qualified(spark, folder)
     shards = sorted(read_manifest(spark, folder).collect(), key=lambda r: r.shard)
     last = np.asarray([r.last_key for r in shards], np.int64)
     file = [r.file for r in shards]

@@ -128,7 +128,7 @@ FROM judged
 
 @query
 def op10_keyed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = Scratch(spark, "op10").folder
+    store = Scratch(spark, "op10").path("store")
     keyed_ids.write_ids(table(spark, sf_dir, "documents"), store, WORD_BPE, end_id=2)
     return keyed_ids.read_ids(spark, store)
 

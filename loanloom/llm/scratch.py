@@ -47,9 +47,14 @@ class Scratch:
         path = f"{self.folder}/{name}"
         with shuffles_freed(self.spark):
             df.write.option("compression", "zstd").parquet(path)
+        self.path(name)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def path(self, name: str) -> str:
+        """A place for files of another kind, deleted when the session ends too."""
         files, place = self._place(name)
         files.deleteOnExit(place)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return f"{self.folder}/{name}"
 
     def _place(self, name: str):
         place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")

@@ -128,6 +128,22 @@ def test_keyed_ids_round_trip(spark):
         assert np.frombuffer(looked[key], "<u4").tolist() == expected[key]
 
 
+def test_folders_are_qualified_by_the_session(spark, tmp_path):
+    plain, schemed = str(tmp_path / "a"), f"file://{tmp_path}/b"
+    assert keyed_ids.qualified(spark, plain) == f"file:{plain}"
+    for folder in (plain, schemed, f"file:{tmp_path}/c"):
+        keyed_ids.write_ids(documents(spark), folder, WORD_BPE, 2, shards=2)
+        assert keyed_ids.read_ids(spark, folder).count() == len(texts())
+    assert {p.name for p in tmp_path.iterdir()} == {"a", "b", "c"}
+
+
+def test_store_goes_with_the_session(spark):
+    scratch = Scratch(spark, "test-ids")
+    files, place = scratch._place("store")
+    scratch.path("store")
+    assert files.cancelDeleteOnExit(place)
+
+
 def test_keyed_ids_empty(spark):
     folder = Scratch(spark, "test-ids").folder
     keyed_ids.write_ids(empty_documents(spark), folder, WORD_BPE, 2, shards=2)
