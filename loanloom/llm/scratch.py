@@ -53,6 +53,7 @@ class Scratch:
     def path(self, name: str) -> str:
         """A place for files of another kind, deleted when the session ends too."""
         files, place = self._place(name)
+        files.mkdirs(place)  # what is not there yet cannot be marked
         files.deleteOnExit(place)
         return f"{self.folder}/{name}"
 
