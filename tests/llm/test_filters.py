@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+from pyspark.sql import functions as F
 from loanloom.llm import decontaminate, quality, url_filter
 from loanloom.llm.queries import QUERIES, SQL, URL_RULES
 
@@ -85,6 +86,20 @@ def test_quality_threshold():
 
 
 def test_quality_on_held_out_labels(spark):
+    """Learnt from the labels of every other document, judged on the rest."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 2 == 1
+    found = quality.judge(spark.read.parquet(f"{folder}/documents.parquet"), labels.where(~held))
+    rows = found.join(labels.where(held), "doc_id").collect()
+    assert len(rows) > 1000
+    good = [r for r in rows if r.quality == 1 and not r.base_failed]
+    bad = [r for r in rows if r.quality == 0]
+    assert sum(r.kept for r in good) >= 0.95 * len(good)
+    assert sum(not r.kept for r in bad) >= 0.95 * len(bad)
+
+
+def test_quality_keeps_what_is_labelled_good(spark):
     folder = "/root/testdata/sf0.01"
     found = QUERIES["op2_quality"](spark, folder)
     labels = spark.read.parquet(f"{folder}/labels.parquet")
