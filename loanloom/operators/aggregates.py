@@ -56,6 +56,28 @@ def distinct_count(column: Column) -> Column:
     return F.count_distinct(column)
 
 
+def distinct_per_key(
+    df: DataFrame, keys: list[str], column: str, output: str | None = None
+) -> DataFrame:
+    """One row per key with the exact number of distinct present values of a
+    whole-number column; 0 where there are none.
+
+    A value marks one bit of the 64-bit word it lies in. Words are or-ed on the
+    map side and again after the shuffle, and their bits are counted: the counts of
+    parts can be merged, values that lie close share a row, and a key that owns a
+    large share of the rows is spread by word. A null key is a key."""
+    output = output or f"{column}_distinct"
+    value = F.col(column).cast("long")
+    words = df.groupBy(*keys, F.shiftright(value, 6).alias("_word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(CAST(`{column}` AS BIGINT) & 63 AS INT))")).alias(
+            "_bits"
+        )
+    )
+    return words.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0)).cast("long").alias(output)
+    )
+
+
 def _expand(df: DataFrame, spec: dict[str, list[str]], prefix: str) -> list[Column]:
     build = {
         "min": lambda c, t: F.min(c),

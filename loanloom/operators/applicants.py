@@ -64,7 +64,8 @@ INSTALLMENTS = {
 
 
 def aggregate_bureau(bureau: DataFrame, balance: DataFrame) -> DataFrame:
-    """34 columns from loans elsewhere and their monthly status."""
+    """34 columns from loans elsewhere and their monthly status. Status rows that
+    were stored with their applicant are not joined again."""
     loans = aggregate_children(
         bureau,
         APPLICANT_ID,
@@ -77,19 +78,25 @@ def aggregate_bureau(bureau: DataFrame, balance: DataFrame) -> DataFrame:
         },
     )
     status = F.col("STATUS")
-    months = aggregate_grandchildren(
-        balance,
-        bureau.select("SK_ID_BUREAU", APPLICANT_ID),
-        "SK_ID_BUREAU",
-        APPLICANT_ID,
-        BUREAU_BALANCE,
-        "BB",
-        {
-            "BB_STATUS_0_RATE": status == "0",
-            "BB_STATUS_C_RATE": status == "C",
-            "BB_DPD_RATE": is_not_member(status, ["0", "C", "X"]),
-        },
-    )
+    rates = {
+        "BB_STATUS_0_RATE": status == "0",
+        "BB_STATUS_C_RATE": status == "C",
+        "BB_DPD_RATE": is_not_member(status, ["0", "C", "X"]),
+    }
+    if APPLICANT_ID in balance.columns:
+        months = aggregate_children(
+            balance, APPLICANT_ID, BUREAU_BALANCE, "BB", {n: rate_when(c) for n, c in rates.items()}
+        )
+    else:
+        months = aggregate_grandchildren(
+            balance,
+            bureau.select("SK_ID_BUREAU", APPLICANT_ID),
+            "SK_ID_BUREAU",
+            APPLICANT_ID,
+            BUREAU_BALANCE,
+            "BB",
+            rates,
+        )
     return loans.join(months, APPLICANT_ID, "left")
 
 

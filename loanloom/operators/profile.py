@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanloom.functions.columns import categorical_columns, numeric_columns
 from loanloom.functions.scalars import ratio
-from loanloom.operators.aggregates import null_rates
+from loanloom.operators.aggregates import distinct_per_key, null_rates
 from loanloom.operators.quantiles import exact_quantiles
 from loanloom.operators.sampling import hash_sample
+from loanloom.session import cut_lineage
+
+#: Cells that values are counted in before single values are.
+CELLS = 1 << 16
 
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
@@ -148,35 +153,77 @@ def _as_text(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def top_values(df: DataFrame, columns: list[str], k: int = 5) -> DataFrame:
-    """The k most frequent values per column. Spark keeps only k rows per column
-    and task before the ranking shuffle."""
-    counted = _as_text(df, columns).groupBy("column", "value").agg(
-        F.count(F.lit(1)).alias("count")
+    """The k most frequent values per column, equal ones by value; exact.
+
+    Values are first counted by cell (their hash modulo ``CELLS``), so that at
+    most ``CELLS`` rows a column leave a task. The values of the fullest cells are
+    counted one by one; their k-th count is a lower bound of the true one. A value
+    of a cell with fewer rows than that cannot be among the first k, so only the
+    cells that reach the bound are counted as well."""
+    values = _as_text(df, columns).withColumn(
+        "cell", F.pmod(F.xxhash64("value"), F.lit(CELLS)).cast("int")
     )
+    by_cell = values.groupBy("column", "cell").agg(F.count(F.lit(1)).alias("rows"))
+    fullest = Window.partitionBy("column").orderBy(F.desc("rows"), "cell")
+    cells = cut_lineage(by_cell.withColumn("place", F.row_number().over(fullest)))
+    first = _count_in(values, cells.where(F.col("place") <= 4 * k))
     order = Window.partitionBy("column").orderBy(F.desc("count"), "value")
+    first = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    bounds = (
+        first.where(F.col("rank") == k).select("column", F.col("count").alias("bound"))
+    )
+    others = (
+        cells.where(F.col("place") > 4 * k)
+        .join(bounds, "column", "left")
+        .where(F.col("rows") >= F.coalesce("bound", F.lit(0)))
+    )
     return (
-        counted.withColumn("rank", F.row_number().over(order))
+        first.drop("rank")
+        .unionByName(_count_in(values, others))
+        .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
         .select("column", "rank", "value", "count")
     )
 
 
+def _count_in(values: DataFrame, cells: DataFrame) -> DataFrame:
+    """(column, value, count) of the values in the given cells."""
+    chosen = values.join(cells.select("column", "cell"), ["column", "cell"], "left_semi")
+    return chosen.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+
+
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exact number of distinct present values per column; 0 where there are
-    none."""
-    entries = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
-            for c in columns
-        ]
-    )
-    return (
-        df.select(F.inline(entries))
-        .groupBy("column", "value")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("column")
-        .agg(F.count("value").alias("distinct"))
-    )
+    none. Whole numbers are marked in 64-bit words, so that up to 64 values reach
+    the shuffle as one row; other values travel as text."""
+    whole = [c for c in columns if isinstance(df.schema[c].dataType, T.IntegralType)]
+    other = [c for c in columns if c not in whole]
+    parts = []
+    if whole:
+        entries = F.array(
+            *[
+                F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("long").alias("value"))
+                for c in whole
+            ]
+        )
+        parts.append(
+            distinct_per_key(df.select(F.inline(entries)), ["column"], "value", "distinct")
+        )
+    if other:
+        entries = F.array(
+            *[
+                F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
+                for c in other
+            ]
+        )
+        parts.append(
+            df.select(F.inline(entries))
+            .groupBy("column", "value")
+            .agg(F.lit(1).alias("one"))
+            .groupBy("column")
+            .agg(F.count("value").alias("distinct"))
+        )
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def numeric_profile(

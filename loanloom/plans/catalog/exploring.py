@@ -324,6 +324,28 @@ def top_values(spark: SparkSession, folder: str) -> DataFrame:
     return profile.top_values(rows, categorical_columns(rows), 3)
 
 
+@query(
+    "A24",
+    """WITH long AS (
+      SELECT 'l_partkey' AS "column", CAST(l_partkey AS VARCHAR) AS value FROM lineitem
+      UNION ALL SELECT 'l_extendedprice', CAST(CAST(l_extendedprice AS DECIMAL(12, 2)) AS VARCHAR) FROM lineitem
+      UNION ALL SELECT 'l_shipdate', CAST(CAST(l_shipdate AS DATE) AS VARCHAR) FROM lineitem),
+    counted AS (SELECT "column", value, count(*) AS "count" FROM long
+      WHERE value IS NOT NULL GROUP BY ALL),
+    ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY "column"
+      ORDER BY "count" DESC, value) AS INTEGER) AS rank FROM counted)
+    SELECT "column", rank, value, "count" FROM ranked WHERE rank <= 10""",
+)
+def top_line_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns with many values, where most cells need no count."""
+    rows = table(spark, folder, "lineitem").select(
+        "l_partkey",
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("l_extendedprice"),
+        F.col("l_shipdate").cast("date").alias("l_shipdate"),
+    )
+    return profile.top_values(rows, rows.columns, 10)
+
+
 @query(
     "K5 S2 K6",
     """SELECT l_id, l_quantity FROM (

@@ -9,6 +9,7 @@ from loanloom.functions.columns import aggregate_name, cast_numeric_to_float
 from loanloom.functions.missing import is_not_member
 from loanloom.operators import aggregates as agg
 from loanloom.operators import applicants
+from loanloom.plans import stored_layout
 from loanloom.plans.catalog.base import comparable, query, rounded, table
 from loanloom.plans.catalog.credit_view import COLUMNS, loan_sql, loan_table, loan_tables
 from loanloom.plans.wide_table import wide_table as build_wide
@@ -142,6 +143,17 @@ def agg_distinct_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "A4",
+    f"""WITH {loan_sql("POS_CASH_balance")} SELECT SK_ID_CURR,
+      count(DISTINCT SK_ID_PREV) AS loans FROM POS_CASH_balance GROUP BY SK_ID_CURR""",
+)
+def agg_distinct_words(spark: SparkSession, folder: str) -> DataFrame:
+    return agg.distinct_per_key(
+        loan_table(spark, folder, "POS_CASH_balance"), [ID], "SK_ID_PREV", "loans"
+    )
+
+
 @query(
     "A8 P7",
     f"""WITH {loan_sql("installments_payments")} SELECT SK_ID_CURR,
@@ -357,6 +369,34 @@ def wide_table_shape(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(agg.shape_and_null_rate(wide(spark, folder)), ["rows", "columns"])
 
 
+def _stored(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """All loan tables in buckets of the applicant, cut into column groups."""
+    tables = loan_tables(spark, folder)
+    main = tables["application_train.csv"]
+    tables["application_train.csv"] = main.withColumn("TARGET", F.col("TARGET").cast("int"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return stored_layout.column_groups(stored_layout.store_tables(tables, buckets), False)
+
+
+@query("A14 J2 J3 J4 S8", WIDE_SQL + "SELECT * FROM wide")
+def wide_from_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    found = stored_layout.read_columns(_stored(spark, folder))
+    return comparable(found, [ID, "TARGET", "DAYS_BIRTH"], coarse=["_STD"], exact=EXACT)
+
+
+@query(
+    "A14 A17",
+    WIDE_SQL
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", round(avg(CASE WHEN "{c}" IS NULL THEN 1.0 ELSE 0.0 END), 6)
+        + 0.0 AS null_rate FROM wide"""
+        for c in MAIN_COLUMNS + AGGREGATES
+    ),
+)
+def null_rates_by_group(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(stored_layout.group_null_rates(_stored(spark, folder)))
+
+
 @query(
     "J5 Q5",
     """SELECT o_custkey, count(*) AS "rows" FROM orders GROUP BY o_custkey HAVING count(*) > 1""",

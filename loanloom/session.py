@@ -46,12 +46,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    delete_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Delete an existing folder when the session ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def drop_tables(spark: SparkSession, path: str) -> None:
     """Delete a folder of tables that are no longer read."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
