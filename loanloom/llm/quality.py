@@ -6,10 +6,10 @@ its n-grams of log(p_target / p_raw), so its length does not matter. Ratios are
 rounded to integers of 1/65536, so the score is an exact sum and every document
 is judged alike however the input is split.
 
-The raw counts cover all documents. The target is a bounded sample of labelled
-rows (``sample_rows`` of each label, those with the smallest hash of their id).
-The threshold is the cut between two sample scores that costs least, where a
-good document rejected costs ``reject_cost`` bad ones kept.
+The raw counts cover all documents, the target all that are labelled good. The
+threshold is the cut that costs least over the scores of all labelled documents,
+where a good document rejected costs ``reject_cost`` bad ones kept. Scores are
+counted in bins of ``BIN`` for that, so the driver gets a row per bin and label.
 """
 
 from __future__ import annotations
@@ -25,7 +25,10 @@ from loanloom.llm import arrays
 
 BUCKETS = 1 << 16
 N = 4
-SAMPLE_ROWS = 20_000
+#: Width of a bin of scores (1/1024 nat), in units of 1/65536.
+BIN = 64
+#: Labels up to this number are broadcast (16 bytes each), more are joined.
+BROADCAST_LABELS = 1_000_000
 REJECT_COST = 50
 SMOOTHING = 0.5
 UNIT = 65536
@@ -105,38 +108,32 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def labelled_sample(labels: DataFrame, label: str, id_column: str, rows: int) -> DataFrame:
-    """At most ``rows`` rows of each value of a 0/1 label: id, label. The rows
-    with the smallest hash of their id, so the sample is the same every time."""
+def known_labels(labels: DataFrame, label: str, id_column: str) -> DataFrame:
+    """(id, label) of the rows with an id and a 0/1 label, the largest of several."""
     known = labels.select(
         labels[id_column].cast("long").alias("id"), labels[label].cast("int").alias("label")
     ).where("id IS NOT NULL AND label IN (0, 1)")
-    known = known.groupBy("id").agg(F.max("label").alias("label"))
+    return known.groupBy("id").agg(F.max("label").alias("label"))
+
+
+def labelled_sample(labels: DataFrame, label: str, id_column: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows of each value of a 0/1 label: id, label. The rows
+    with the smallest hash of their id, so the sample is the same every time."""
+    known = known_labels(labels, label, id_column)
     parts = [
         known.where(F.col("label") == v).orderBy(F.xxhash64("id"), "id").limit(rows) for v in (0, 1)
     ]
     return parts[0].unionAll(parts[1])
 
 
-def corpus_counts(
-    docs: DataFrame, target_ids: np.ndarray, id_column: str, text_column: str
-) -> tuple[np.ndarray, np.ndarray]:
-    """Raw and target counts of each bucket: ``BUCKETS`` rows reach the driver,
-    however large the corpus is."""
-    rows = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(np.sort(target_ids))
+def corpus_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Raw and target counts of each bucket of rows (label, text); the target is
+    label 1. ``BUCKETS`` rows reach the driver, however large the corpus is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        targets = shared.value
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
-            valid = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
-            at = np.searchsorted(targets, ids)
-            chosen = np.zeros(len(ids), bool)
-            inside = at < len(targets)
-            chosen[inside] = targets[at[inside]] == ids[inside]
-            chosen &= valid
+            chosen = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False) == 1
             for first, last, data, offsets in arrays.blocks(batch.column(1)):
                 grams = gram_buckets(data)
                 low, high = gram_ranges(offsets)
@@ -154,7 +151,9 @@ def corpus_counts(
             ["bucket", "raw", "target"],
         )
 
-    counted = rows.mapInArrow(arrays.released(run), "bucket int, raw long, target long")
+    counted = labelled.select("label", "text").mapInArrow(
+        arrays.released(run), "bucket int, raw long, target long"
+    )
     found = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for r in found.collect():
@@ -182,22 +181,29 @@ def block_scores(data: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> t
     return np.where(n > 0, sums[high] - sums[low], 0), n
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray, reject_cost: float = REJECT_COST) -> float:
+def best_threshold(
+    scores: np.ndarray,
+    labels: np.ndarray,
+    reject_cost: float = REJECT_COST,
+    counts: np.ndarray | None = None,
+) -> float:
     """The cut between two scores that costs least, the lowest of equals; all
-    scores from it on are kept. Minus infinity without both labels."""
+    scores from it on are kept. ``counts`` says how many documents a score with
+    its label stands for, 1 by default. Minus infinity without both labels."""
     if not (labels == 1).any() or not (labels == 0).any():
         return float("-inf")
+    counts = np.ones(len(scores), np.int64) if counts is None else counts
     order = np.argsort(scores, kind="stable")
-    s, y = scores[order], labels[order]
-    rejected_good = np.concatenate([[0], np.cumsum(y == 1)])
-    kept_bad = (y == 0).sum() - np.concatenate([[0], np.cumsum(y == 0)])
+    s, good, bad = scores[order], (counts * (labels == 1))[order], (counts * (labels == 0))[order]
+    rejected_good = np.concatenate([[0], np.cumsum(good)])
+    kept_bad = bad.sum() - np.concatenate([[0], np.cumsum(bad)])
     cost = reject_cost * rejected_good + kept_bad
     cut = np.ones(len(s) + 1, bool)
     cut[1:-1] = s[1:] > s[:-1]
     at = int(np.flatnonzero(cut)[np.argmin(cost[cut])])
     if at == 0:
         return float("-inf")
-    return float(s[-1] + 1) if at == len(s) else float((s[at - 1] + s[at]) / 2)
+    return float(s[-1] + BIN) if at == len(s) else float((s[at - 1] + s[at]) / 2)
 
 
 def judge(
@@ -206,7 +212,6 @@ def judge(
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "quality",
-    sample_rows: int = SAMPLE_ROWS,
     reject_cost: float = REJECT_COST,
     keep: list[str] | None = None,
 ) -> DataFrame:
@@ -218,27 +223,34 @@ def judge(
     are judged each. ``keep`` names columns that are returned as they are; others
     are ignored, whatever their names.
     """
-    sample = labelled_sample(labels, label_column, id_column, sample_rows).collect()
-    good = np.array([r.id for r in sample if r.label == 1], np.int64)
-    raw, target = corpus_counts(docs, good, id_column, text_column)
+    known = known_labels(labels, label_column, id_column)
+    if known.count() <= BROADCAST_LABELS:
+        known = F.broadcast(known)
+    texts = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text"))
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(log_ratios(raw, target))
+    ratios = log_ratios(*corpus_counts(texts.join(known, "id", "left")))
+    shared = spark.sparkContext.broadcast(ratios)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [block_scores(d, o, shared.value) for _, _, d, o in arrays.blocks(batch.column(1))]
             if parts:
                 total, n = (np.concatenate(p) for p in zip(*parts, strict=True))
-                score = total / np.maximum(n, 1)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["label", "score"])
-
-    known = spark.createDataFrame([(r.id, r.label) for r in sample], "id long, label int")
-    drawn = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text")).join(
-        F.broadcast(known), "id"  # at most 2 * sample_rows rows
+                bins = np.floor(total / np.maximum(n, 1) / BIN).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bins)], ["label", "bin"])
+
+    drawn = texts.join(known, "id").select("label", "text")
+    found = (
+        drawn.mapInArrow(arrays.released(scored), "label int, bin long")
+        .groupBy("bin", "label")
+        .count()
+        .collect()
     )
-    found = drawn.select("label", "text").mapInArrow(scored, "label int, score double").collect()
     threshold = best_threshold(
-        np.array([r.score for r in found]), np.array([r.label for r in found]), reject_cost
+        np.array([(r.bin + 0.5) * BIN for r in found]),  # the middle of each bin
+        np.array([r.label for r in found]),
+        reject_cost,
+        np.array([r["count"] for r in found], np.int64),
     )
     keep = [c for c in keep or [] if c != id_column]
     rows = docs.select(

@@ -85,6 +85,21 @@ def test_quality_threshold():
     assert quality.best_threshold(np.array([1.0, 1, 5]), np.array([0, 1, 1]), 10) == float("-inf")
 
 
+def test_quality_threshold_of_counted_scores():
+    rng = np.random.default_rng(4)
+    s, y = rng.integers(0, 30, 500).astype(float), rng.integers(0, 2, 500)
+    pairs, counts = np.unique(np.stack([s, y]), axis=1, return_counts=True)
+    for cost in (0.5, 1, 3):
+        assert quality.best_threshold(pairs[0], pairs[1], cost, counts) == quality.best_threshold(s, y, cost)
+
+
+def test_quality_with_labels_beyond_the_broadcast(spark, monkeypatch):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    found = sorted(map(str, quality.judge(documents(spark), labels).collect()))
+    monkeypatch.setattr(quality, "BROADCAST_LABELS", 3)
+    assert found == sorted(map(str, quality.judge(documents(spark), labels).collect()))
+
+
 def test_quality_on_held_out_labels(spark):
     """Learnt from the labels of every other document, judged on the rest."""
     folder = "/root/testdata/sf0.1"
