@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 from loanloom.llm import arrays
 from loanloom.llm.quality import labelled_sample
 
-#: Bounds: labelled rows of each label, and weights that are kept.
+#: Bound of the labelled rows of each label that the classifier is fitted on.
 SAMPLE_ROWS = 20_000
-MAX_WEIGHTS = 50_000
 #: Likelihood-ratio statistic from which a word counts as evidence.
 LEAST_EVIDENCE = 20.0
+#: Sum of weights around which a further word begins to add less.
+EVIDENCE_SCALE = 40.0
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3
 
@@ -314,7 +315,8 @@ def _sampled_features(drawn: DataFrame, shared) -> DataFrame:
 
 
 def learnt_weights(features: DataFrame, n_toxic: int, n_other: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and weights of what is evidence of toxic documents."""
+    """Sorted keys and weights of all that is evidence of toxic documents. The
+    sample bounds them: a key must occur in several of its toxic documents."""
     counted = features.groupBy("key").agg(
         F.sum(F.col("label").cast("double")).alias("t"), F.sum(1.0 - F.col("label")).alias("o")
     )
@@ -331,7 +333,7 @@ def learnt_weights(features: DataFrame, n_toxic: int, n_other: int) -> tuple[np.
     kept = counted.select("key", odds.alias("weight"), g.alias("g")).where(
         (F.col("g") >= LEAST_EVIDENCE) & (F.col("weight") > 1)
     )
-    found = kept.orderBy(F.col("g").desc(), "key").limit(MAX_WEIGHTS).toArrow()
+    found = kept.toArrow()
     keys = found["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     return keys[order], found["weight"].to_numpy()[order]
@@ -340,8 +342,9 @@ def learnt_weights(features: DataFrame, n_toxic: int, n_other: int) -> tuple[np.
 def _evidence(
     data: np.ndarray, offsets: np.ndarray, weights: tuple[np.ndarray, np.ndarray], restore: Restorer
 ) -> tuple[np.ndarray, list[tuple[int, str]]]:
-    """For each text: its strongest word, and the sum over its distinct words
-    against the logarithm of its length."""
+    """For each text: its strongest word, the sum over its distinct words (each
+    further word adds less, but always something), and that against the
+    logarithm of its length."""
     n = len(offsets) - 1
     data, start, end, row, found = _words(data, offsets, restore)
     out = np.zeros((n, 3))
@@ -359,8 +362,8 @@ def _evidence(
             np.maximum.at(out[:, 0], row[words], best[words])
             np.add.at(out[:, 1], row[words], best[words])
     counts = np.bincount(row, minlength=n)[:n]
-    out[:, 2] = np.minimum(out[:, 1], 40.0) / (1 + np.log1p(counts))
-    out[:, 1] = np.minimum(out[:, 1], 40.0)
+    out[:, 1] = EVIDENCE_SCALE * -np.expm1(-out[:, 1] / EVIDENCE_SCALE)
+    out[:, 2] = out[:, 1] / (1 + np.log1p(counts))
     return out, found
 
 
