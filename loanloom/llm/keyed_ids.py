@@ -192,7 +192,7 @@ def qualified(spark: SparkSession, folder: str) -> str:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
 
 
-def _open(uri: str) -> tuple[arrow_fs.FileSystem, str]:
+def open_folder(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     local = uri.removeprefix("file:")
     if local != uri:
         return arrow_fs.LocalFileSystem(), "/" + local.lstrip("/")
@@ -210,11 +210,12 @@ def write_ids(
 ) -> DataFrame:
     """Encodes and writes all texts; returns the manifest, read from the store.
 
-    Rows are dealt to shards by ranges of the id and written in ascending order
-    by one streaming pass per shard; a shard holds keys and offsets in memory,
-    24 bytes a document. A null text is ``end_id`` alone. Null ids come first,
-    under ``NULL_KEY``; rows with equal ids are kept each, told apart by their
-    ordinal in the order of their texts. An empty table gives no shard.
+    Rows are dealt to shards by ranges of (id, hash of the text) and written in
+    ascending order by one streaming pass per shard, so that an id (or null) that
+    owns a large share of the rows spans shards; a shard holds keys and offsets in
+    memory, 24 bytes a document. A null text is ``end_id`` alone. Null ids come
+    first, under ``NULL_KEY``; rows with equal ids are kept each, in the order of
+    the hashes of their texts. An empty table gives no shard.
     """
     spark = docs.sparkSession
     folder = qualified(spark, folder)
@@ -222,9 +223,8 @@ def write_ids(
     rows = docs.select(
         docs[id_column].cast("long").alias("id"), docs[text_column].alias("text")
     )
-    dealt = rows.repartitionByRange(shards, F.col("id").asc_nulls_first()).sortWithinPartitions(
-        F.col("id").asc_nulls_first(), "text"
-    )
+    order = [F.col("id").asc_nulls_first(), F.xxhash64("text").asc()]
+    dealt = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order, "text")
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +235,7 @@ def write_ids(
         largest = max(end_id + 1, encoder.tokenizer.get_vocab_size())
         width = 2 if largest <= 1 << 16 else 4
         name = f"shard-{shard:06d}-{uuid.uuid4().hex}"
-        files, path = _open(folder)
+        files, path = open_folder(folder)
         keys: list[np.ndarray] = []
         lengths: list[int] = []
         n_null, out = 0, None
@@ -305,7 +305,7 @@ def read_ids(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in batch.to_pylist():
-                files, path = _open(folder)
+                files, path = open_folder(folder)
                 stem = f"{path}/{shard['file']}"
                 with files.open_input_file(f"{stem}.mph") as stream:
                     index = Index(stream.read())
@@ -350,7 +350,7 @@ def lookup_ids(keys: DataFrame, folder: str, id_column: str = "doc_id") -> DataF
     file = [r.file for r in shards]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, path = _open(folder)
+        files, path = open_folder(folder)
         held: dict[int, Index] = {}
         for batch in batches:
             column = batch.column(0)

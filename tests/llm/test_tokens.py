@@ -128,6 +128,24 @@ def test_keyed_ids_round_trip(spark):
         assert np.frombuffer(looked[key], "<u4").tolist() == expected[key]
 
 
+def test_keys_that_own_many_rows_span_shards(spark):
+    """Half of the rows without an id or under one; all come back."""
+    values = [(None if i % 4 == 0 else 500 if i % 4 == 1 else i, f"text {i} " * (i % 5)) for i in range(800)]
+    df = spark.createDataFrame(values, "doc_id long, text string").repartition(4)
+    folder = Scratch(spark, "test-ids").folder
+    manifest = keyed_ids.write_ids(df, folder, WORD_BPE, 2, shards=8).collect()
+    assert max(r.n_docs for r in manifest) <= 200
+    found = sorted(keyed_ids.read_ids(spark, folder).collect(), key=lambda r: r.start)
+    ids = [r.doc_id for r in found]
+    assert ids == sorted([v for v, _ in values], key=lambda v: (v is not None, v or 0))
+    assert [r.start for r in found[1:]] == np.cumsum([r.n_tokens for r in found])[:-1].tolist()
+    tok = tokenizer(WORD_BPE)
+    lengths = sorted(len(tok.encode(t, add_special_tokens=False).ids) + 1 for _, t in values)
+    assert sorted(r.n_tokens for r in found) == lengths
+    keys = spark.createDataFrame([(500,), (3,)], "doc_id long")
+    assert all(r.ids is not None for r in keyed_ids.lookup_ids(keys, folder).collect())
+
+
 def test_folders_are_qualified_by_the_session(spark, tmp_path):
     plain, schemed = str(tmp_path / "a"), f"file://{tmp_path}/b"
     assert keyed_ids.qualified(spark, plain) == f"file:{plain}"
