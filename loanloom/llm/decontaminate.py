@@ -11,24 +11,33 @@ Most words need no step: pairs of neighbouring words that no item has end every
 match, so only runs of known pairs, at least as long as the shortest window, are
 fed to the automaton. Pairs are looked up by hash, a run's words exactly.
 
-Items are a reference table: they are collected, ``MAX_WORDS`` words to an
-automaton, and each further automaton is one more step over the same rows.
+Items are dealt to groups of about ``MAX_WORDS`` words by a hash, in the cluster,
+and written to the shared folder, a folder per group. A task reads a group's
+items and builds its automaton, which the worker keeps until another group comes,
+so one is alive per worker however large the benchmark is. Each further group is
+one more step over the same rows, which are stored in between.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm import arrays
+from loanloom.llm.keyed_ids import open_folder, qualified
+from loanloom.llm.scratch import Scratch
 
 WINDOW = 10
-#: Words of items in one automaton, about 1 kB each in a task.
+#: Words of items in one automaton, about 1 kB each in a worker.
 MAX_WORDS = 200_000
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -165,6 +174,46 @@ def pair_slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return arrays.mix(left * _PAIR + right) >> np.uint64(64 - _BITS)
 
 
+def store_items(
+    items: DataFrame, scratch: Scratch, max_words: int, item_id_column: str, item_text_column: str
+) -> list[str]:
+    """Writes the items that have an id and words, each once, and returns a folder
+    per group of about ``max_words`` words; an item lies in one group."""
+    named = (
+        items.select(
+            items[item_id_column].cast("string").alias("item"), items[item_text_column].alias("text")
+        )
+        .where("item IS NOT NULL AND text IS NOT NULL")
+        .distinct()
+        .withColumn("words", F.regexp_count("text", F.lit(_WORD.pattern.decode())))
+        .where("words > 0")
+    )
+    total = named.agg(F.sum("words")).first()[0]
+    if not total:
+        return []
+    n = math.ceil(total / max_words)
+    folder = qualified(items.sparkSession, scratch.path("items"))
+    part = F.pmod(F.xxhash64("item", "text"), F.lit(n)).cast("int")
+    dealt = named.select("item", "text", part.alias("part"))
+    dealt.repartition(n, "part").write.mode("append").partitionBy("part").parquet(folder)
+    return [f"{folder}/part={i}" for i in range(n)]
+
+
+@lru_cache(maxsize=1)
+def group_automaton(folder: str, window: int) -> SuffixAutomaton | None:
+    """The automaton of a stored group; none for a group without items."""
+    files, path = open_folder(folder)
+    found = files.get_file_info(arrow_fs.FileSelector(path, allow_not_found=True))
+    names = sorted(f.path for f in found if f.path.endswith(".parquet"))
+    rows: list[tuple[str, list[bytes]]] = []
+    for name in names:
+        with files.open_input_file(name) as stream:
+            table = pq.read_table(stream)
+        pairs = zip(table["item"].to_pylist(), table["text"].to_pylist(), strict=True)
+        rows += [(item, item_words(text)) for item, text in pairs]
+    return SuffixAutomaton(sorted(rows), window) if rows else None
+
+
 def _mark_block(
     automaton: SuffixAutomaton, data: np.ndarray, offsets: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[int, set[str]]]:
@@ -216,19 +265,8 @@ def find_test_items(
     names. Without items nothing is hit.
     """
     spark = docs.sparkSession
-    collected = [
-        (str(r[0]), item_words(r[1]))
-        for r in items.select(items[item_id_column], items[item_text_column]).collect()
-        if r[0] is not None
-    ]
-    groups: list[list] = [[]]
-    size = 0
-    for item in sorted(collected):
-        if size + len(item[1]) > max_words and groups[-1]:
-            groups.append([])
-            size = 0
-        groups[-1].append(item)
-        size += len(item[1])
+    scratch = Scratch(spark, "decontaminate")
+    groups = store_items(items, scratch, max_words, item_id_column, item_text_column)
     keep = [c for c in keep or [] if c not in (id_column, text_column)]
     rows = docs.select(
         docs[id_column].alias("_id"),
@@ -240,10 +278,13 @@ def find_test_items(
     schema = rows.schema
     n_kept = len(keep)
 
-    def stepper(shared):
+    def stepper(folder: str):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            automaton = shared.value
             for batch in batches:
+                automaton = group_automaton(folder, window)
+                if automaton is None:
+                    yield batch
+                    continue
                 hits = batch.column(n_kept + 2).to_pylist()
                 names = batch.column(n_kept + 3).to_pylist()
                 for first, _, data, offsets in arrays.blocks(batch.column(1)):
@@ -268,10 +309,12 @@ def find_test_items(
 
         return arrays.released(run)
 
-    for group in groups:
-        if any(words for _, words in group):
-            shared = spark.sparkContext.broadcast(SuffixAutomaton(group, window))
-            rows = rows.mapInArrow(stepper(shared), schema)
+    for i, folder in enumerate(groups):
+        if i:
+            rows = scratch.store(rows, f"hits-{i}")
+        if i > 1:
+            scratch.drop(f"hits-{i - 1}")
+        rows = rows.mapInArrow(stepper(folder), schema)
 
     out_names = ["n_words", "n_hit", "longest_hit", "items", "spans", "clean_text"]
     out_kinds = [pa.int64()] * 3 + [pa.list_(pa.string()), pa.list_(pa.int64()), pa.string()]
