@@ -13,9 +13,9 @@ fed to the automaton. Pairs are looked up by hash, a run's words exactly.
 
 Items are dealt to groups of about ``MAX_WORDS`` words by a hash, in the cluster,
 and written to the shared folder, a folder per group. A task reads a group's
-items and builds its automaton, which the worker keeps until another group comes,
-so one is alive per worker however large the benchmark is. Each further group is
-one more step over the same rows, which are stored in between.
+items and builds its automaton, which goes when the task ends, so one is alive per
+worker however large the benchmark is. Each further group is one more step over
+the same rows, which are stored in between.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -199,7 +198,6 @@ def store_items(
     return [f"{folder}/part={i}" for i in range(n)]
 
 
-@lru_cache(maxsize=1)
 def group_automaton(folder: str, window: int) -> SuffixAutomaton | None:
     """The automaton of a stored group; none for a group without items."""
     files, path = open_folder(folder)
@@ -280,8 +278,10 @@ def find_test_items(
 
     def stepper(folder: str):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                automaton = group_automaton(folder, window)
+            automaton = None
+            for n, batch in enumerate(batches):
+                if n == 0:
+                    automaton = group_automaton(folder, window)
                 if automaton is None:
                     yield batch
                     continue
