@@ -69,7 +69,10 @@ def store_tables(
     for each loan it belongs to. What comes back has the names it went in with."""
     loans = tables["bureau.csv"].select("SK_ID_BUREAU", APPLICANT_ID)
     keyed = dict(tables)
-    keyed["bureau_balance.csv"] = tables["bureau_balance.csv"].join(loans, "SK_ID_BUREAU")
+    # both sides grow with the applicants: dealt by loan at any size
+    keyed["bureau_balance.csv"] = tables["bureau_balance.csv"].join(
+        loans.hint("merge"), "SK_ID_BUREAU"
+    )
     stored = {}
     for name, df in keyed.items():
         if APPLICANT_ID not in df.columns:
