@@ -19,15 +19,17 @@ piece, the two pieces are encoded as one.
 
 from __future__ import annotations
 
+import json
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from loanloom.llm.tokens import tokenizer
+from loanloom.llm.tokens import piece_encoder, tokenizer
 
 PIECE_CHARS = 16_384
 OVERLAP = 256
@@ -70,6 +72,28 @@ def _common(left: _Piece, right: _Piece, length: int) -> tuple[int, int] | None:
     return None
 
 
+@lru_cache(maxsize=4)
+def _is_plain_byte_level(tokenizer_file: str) -> bool:
+    """Does the tokenizer split as ``PieceEncoder`` proves it for byte-level BPE:
+    the usual pattern, nothing before it, texts neither cut nor padded?"""
+    parts = json.loads(tokenizer(tokenizer_file).to_str())
+    split = parts["pre_tokenizer"] or {}
+    return (
+        split.get("type") == "ByteLevel"
+        and split.get("use_regex", True)
+        and not split.get("add_prefix_space")
+        and not any(parts[k] for k in ("normalizer", "truncation", "padding"))
+    )
+
+
+def count_whole(tokenizer_file: str, texts: list[str]) -> list[int]:
+    """Tokens of each text; known words of a byte-level tokenizer are looked up."""
+    if _is_plain_byte_level(tokenizer_file):
+        return [len(ids) // 4 for ids in piece_encoder(tokenizer_file, True).encode(texts)]
+    found = tokenizer(tokenizer_file).encode_batch_fast(texts, add_special_tokens=False)
+    return [len(e) for e in found]
+
+
 def count_long(tok, text: str, piece_chars: int = PIECE_CHARS, overlap: int = OVERLAP) -> int:
     """Tokens of one text, from its overlapping pieces."""
     n = len(text)
@@ -113,7 +137,9 @@ def count_tokens(
     text are handled as the library does by default. A null text is empty and
     has no tokens; a null id is returned as it is. Repeated rows are counted
     each. Other columns of ``docs`` are ignored, whatever their names. The work
-    needs no shuffle; memory is bounded by ``GROUP_CHARS`` and the longest text.
+    needs no shuffle; memory is bounded by ``GROUP_CHARS``, the longest text and
+    the kept pieces of a worker: with a byte-level tokenizer a word is encoded once
+    while its ids are kept.
     """
     rows = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -128,9 +154,8 @@ def count_tokens(
             size = 0
             for i, text in enumerate([*texts, None]):
                 if text is None or size > GROUP_CHARS:
-                    found = tok.encode_batch_fast([texts[k] for k in group], add_special_tokens=False)
-                    for k, e in zip(group, found, strict=True):
-                        counts[k] = len(e)
+                    for k, n in zip(group, count_whole(tokenizer_file, [texts[k] for k in group]), strict=True):
+                        counts[k] = n
                     group, size = [], 0
                 if text is None:
                     break

@@ -180,3 +180,21 @@ def test_perfect_hash_is_minimal_and_refuses_strangers():
     assert (absent == -1).mean() > 0.999
     h = keyed_ids.hashed(keys, order, index.seed)
     assert sorted(index._hash.slots(h).tolist()) == list(range(len(keys)))
+
+
+def test_known_words_are_not_encoded_again(monkeypatch):
+    texts = [
+        "the dog's  bone, it's 12 o'clock;\n\n x=3.5%\t",
+        " <|endoftext|> the dog \xa0 naïve “quoted” 日本語 the\r\n",
+        "",
+        " " * 9,
+    ]
+    tok = token_counts.tokenizer(BYTE_BPE)
+    expected = [len(tok.encode(t, add_special_tokens=False)) for t in texts]
+    assert token_counts.count_whole(BYTE_BPE, texts) == expected
+
+    def again(self, pieces):
+        raise AssertionError(f"encoded again: {pieces}")
+
+    monkeypatch.setattr("loanloom.llm.tokens.PieceEncoder._encode_pieces", again)
+    assert token_counts.count_whole(BYTE_BPE, texts + texts) == expected * 2
