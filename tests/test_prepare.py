@@ -97,3 +97,29 @@ def test_planned_features_are_optional(spark):
 def test_new_rows_may_lack_the_label(spark):
     model = prepare.fit_pipeline(raw(spark), "TARGET", ["SK_ID_CURR"])
     assert model.transform(raw(spark).drop("TARGET")).columns == ["SK_ID_CURR", "features"]
+
+
+def _joins(plan):
+    """Joins in a logical plan."""
+    children = [plan.children().apply(i) for i in range(plan.children().size())]
+    return [plan] * (plan.nodeName() == "Join") + [j for c in children for j in _joins(c)]
+
+
+def test_numbers_pass_the_joins_of_the_codes_as_one_column(spark):
+    """A column per feature would make every join copy rows of that width."""
+    rows = raw(spark).select("*", *[F.col("AMT_CREDIT").alias(f"n{i}") for i in range(120)])
+    model = prepare.fit_pipeline(rows, "TARGET", ["SK_ID_CURR"])
+    out = model.transform(rows)
+    joins = _joins(out._jdf.queryExecution().optimizedPlan())
+    assert joins and all(j.output().size() < 20 for j in joins)
+    columns = model.stages[-1].prepared_columns(prepare.PipelineModel(model.stages[:-1]).transform(rows))
+    names = prepare.get_feature_names(model)
+    expected = {r["SK_ID_CURR"]: [r[n] for n in names] for r in columns.collect()}
+    assert {r["SK_ID_CURR"]: list(r["features"].toArray()) for r in out.collect()} == expected
+
+
+def test_a_feature_that_is_no_number_is_an_error(spark):
+    model = prepare.fit_pipeline(raw(spark), "TARGET", ["SK_ID_CURR"])
+    bad = raw(spark).withColumn("AMT_CREDIT", F.lit(float("nan")))
+    with pytest.raises(Exception, match="NaN"):
+        model.transform(bad).collect()
