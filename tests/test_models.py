@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,6 +112,41 @@ def test_prepared_folds_hold_every_row_once(loans):
         assert f.train.where("TARGET = 1").count() == f.counts.positives
 
 
+def test_training_rows_of_all_folds_share_one_table(loans):
+    """Each row's vector is stored once, in the fold that leaves it out."""
+    folds = training.prepare_folds(loans, "SK_ID_CURR", "TARGET", 3)
+    (first, *others) = [set(f.train.inputFiles()) for f in folds]
+    assert all(files == first for files in others)
+    held = [set(f.valid.inputFiles()) for f in folds]
+    assert not held[0] & held[1] and not held[0] & first
+
+
+def test_a_tree_fit_has_no_more_partitions_than_cores(spark, loans):
+    """What a level of a tree moves must not grow with the partitions of the input."""
+    cores = spark.sparkContext.defaultParallelism
+    seen = []
+
+    class Watched:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def fit(self, rows):
+            seen.append(rows.rdd.getNumPartitions())
+            return self.inner.fit(rows)
+
+    forest = replace(training.FOREST, build=lambda *a: Watched(training.FOREST.build(*a)))
+    split = cut_lineage(loans.repartition(4 * cores))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))  # a partition a file
+    try:
+        params = {"numTrees": 2, "maxDepth": 2, "subsamplingRate": 0.8}
+        training.fit_model(split, forest, "TARGET", params, ["SK_ID_CURR"])
+        folds = training.prepare_folds(split, "SK_ID_CURR", "TARGET", 2)
+        training.staged_search(folds, forest, [params], "TARGET", rungs=(2,))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(seen) == 3 and max(seen) <= cores
+
+
 def test_search_goes_on_with_the_better_trials(loans, monkeypatch):
     """Scores by rule, so that the course of the search is known."""
     asked = []
