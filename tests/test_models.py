@@ -285,6 +285,23 @@ def test_contributions_add_up_to_the_margin(loans, fitted):
     assert model.numClasses == 2
 
 
+def test_permuted_rows_are_scored_once_in_many_tasks(loans, monkeypatch):
+    model = training.fit_model(
+        loans, training.FOREST, "TARGET", {"numTrees": 3, "maxDepth": 2}, ["SK_ID_CURR"]
+    )
+    judged = []
+
+    def watched(rows, *rest):
+        judged.append(rows)
+        return ranking_metrics(rows, *rest)
+
+    monkeypatch.setattr(evaluation, "ranking_metrics", watched)
+    evaluation.permutation_importance(model, loans, "SK_ID_CURR", "TARGET")
+    (rows,) = judged
+    assert "Window" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert len(rows.inputFiles()) > 1
+
+
 def test_outcome_examples_show_three_rows(loans, fitted):
     out = evaluation.outcome_examples(fitted, loans, "SK_ID_CURR", "TARGET")
     assert {r["outcome"] for r in out.collect()} == {"TP", "TN", "FP"}
