@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanloom.operators import applicants
-from loanloom.plans.catalog.credit_view import loan_table
+from loanloom.plans.catalog.credit_view import loan_table, loan_tables
 
 
 @pytest.fixture
@@ -61,3 +61,30 @@ def test_loans_are_counted_without_the_other_partial_values(spark, fixed_plans):
     assert got == {1: (2, 4), 2: (0, 1)}
     by_loan = [s for s in plan(found).split("\n") if re.search(r"keys=\[SK_ID_CURR#\d+, SK_ID_PREV#\d+\]", s)]
     assert by_loan and all("functions=[]" in s for s in by_loan)
+
+
+def test_tables_over_lines_share_one_stored_join(spark, tmp_path):
+    """Lines meet their orders once for all loan tables, repeated and missing keys
+    included; reading the tables moves nothing."""
+    spark.sql(
+        "SELECT k AS o_orderkey, c AS o_custkey, 'F' AS o_orderstatus, 5D AS o_totalprice,"
+        " TIMESTAMP'2002-01-05' AS o_orderdate, '1-URGENT' AS o_orderpriority"
+        " FROM VALUES (7L, 3L), (7L, 4L), (8L, NULL), (NULL, 3L) AS t(k, c)"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql(
+        "SELECT k AS l_orderkey, 11L AS l_partkey, 45L AS l_suppkey, n AS l_linenumber, q AS l_quantity,"
+        " 99.5D AS l_extendedprice, 0.1D AS l_discount, 0.1D AS l_tax, 'A' AS l_returnflag,"
+        " 'F' AS l_linestatus, TIMESTAMP'2002-01-09' AS l_shipdate"
+        " FROM VALUES (7L, 1, 5D), (7L, 1, 5D), (8L, 2, NULL), (8L, 7, 6D), (9L, 1, 1D), (NULL, 1, 1D)"
+        " AS t(k, n, q)"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql(
+        "SELECT 3L AS c_custkey, 'a' AS c_name, 1 AS c_nationkey, 1D AS c_acctbal, 'BUILDING' AS c_mktsegment"
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    tables = loan_tables(spark, str(tmp_path))
+    for name in ("POS_CASH_balance", "installments_payments"):
+        alone, shared = loan_table(spark, str(tmp_path), name), tables[f"{name}.csv"]
+        assert "Join" not in plan(shared) and "Exchange" not in plan(shared)
+        assert shared.dtypes == alone.dtypes
+        assert sorted(map(str, shared.collect())) == sorted(map(str, alone.collect()))
+        assert shared.count() == 6
