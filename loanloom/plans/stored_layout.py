@@ -21,7 +21,7 @@ from loanloom.operators.applicants import (
     aggregate_pos_cash,
     aggregate_previous_applications,
 )
-from loanloom.session import delete_at_end, ensure_checkpoint_dir
+from loanloom.session import cut_lineage, delete_at_end, ensure_checkpoint_dir
 from loanloom.sources.schemas import APPLICANT_ID
 
 #: Columns of a group, the key included. Spark generates code up to 100.
@@ -55,6 +55,7 @@ def store_by_key(df: DataFrame, key: str, buckets: int, folder: str | None = Non
         writer = df.write
     else:
         writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    writer = writer.option("compression", "zstd")
     writer.option("path", path).format("parquet").saveAsTable(name)
     if folder is None:
         delete_at_end(spark, path)
@@ -69,9 +70,10 @@ def store_tables(
     for each loan it belongs to. What comes back has the names it went in with."""
     loans = tables["bureau.csv"].select("SK_ID_BUREAU", APPLICANT_ID)
     keyed = dict(tables)
-    # both sides grow with the applicants: dealt by loan at any size
-    keyed["bureau_balance.csv"] = tables["bureau_balance.csv"].join(
-        loans.hint("merge"), "SK_ID_BUREAU"
+    # both sides grow with the applicants: dealt by loan at any size, and once: the
+    # joined rows are read to count keys and to be dealt by applicant
+    keyed["bureau_balance.csv"] = cut_lineage(
+        tables["bureau_balance.csv"].join(loans.hint("merge"), "SK_ID_BUREAU")
     )
     stored = {}
     for name, df in keyed.items():
