@@ -377,3 +377,22 @@ def test_registered_tree_queries_run_with_the_defaults(spark, monkeypatch):
     (champion, options), (fitted, more) = calls
     assert champion == (None, "SK_ID_CURR", "TARGET") and options == {"trials": model_queries.TRIALS}
     assert fitted[1] is training.BOOSTED and not fitted[3] and not more
+
+
+def test_rows_of_an_evaluation_are_not_written_again(loans, monkeypatch):
+    written, write = [], modelling.cut_lineage
+    monkeypatch.setattr(modelling, "cut_lineage", lambda df: written.append(df.columns) or write(df))
+    modelling.run_evaluation(loans)
+    assert written and not any("risk" in columns for columns in written)
+
+
+def test_a_sample_is_looked_for_once(loans, fitted, monkeypatch):
+    from tests.conftest import plan_text
+
+    read, explain = [], evaluation.linear_contributions
+    monkeypatch.setattr(
+        evaluation, "linear_contributions", lambda m, df, i: read.append(plan_text(df)) or explain(m, df, i)
+    )
+    evaluation.top_attributions(fitted, loans, "SK_ID_CURR", "TARGET", n_sample=50).collect()
+    evaluation.outcome_examples(fitted, loans, "SK_ID_CURR", "TARGET", n_sample=50).collect()
+    assert len(read) == 2 and not any("md5" in text for text in read)

@@ -141,3 +141,15 @@ def test_top_values_when_cells_are_shared(spark, monkeypatch, cells):
         best = sorted(counts.items(), key=lambda e: (-e[1], e[0]))[:5]
         expected += [(name, r + 1, v, n) for r, (v, n) in enumerate(best)]
     assert found == sorted(expected)
+
+
+def test_keys_are_counted_without_a_join(tables, monkeypatch):
+    seen, look = [], stored_layout.has_hot_key
+
+    def counted(df, key, buckets):
+        seen.append(plan_text(df))
+        return look(df, key, buckets)
+
+    monkeypatch.setattr(stored_layout, "has_hot_key", counted)
+    stored_layout.store_tables(tables, 4)
+    assert len(seen) == 6 and not any("Join" in text for text in seen)
