@@ -147,6 +147,44 @@ def test_a_tree_fit_has_no_more_partitions_than_cores(spark, loans):
     assert len(seen) == 3 and max(seen) <= cores
 
 
+def test_fits_and_kept_vectors_follow_the_memory(spark, loans, monkeypatch):
+    """What fits read at each level of each tree stays in memory, however large the
+    input: fewer of them run at a time, and the vectors that they came from make room."""
+    running, most, levels = [], [], []
+
+    class Watched:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def fit(self, rows):
+            running.append(self)
+            most.append(len(running))
+            level = rows.storageLevel
+            levels.append((level.useMemory, level.useDisk))
+            try:
+                return self.inner.fit(rows)
+            finally:
+                running.remove(self)
+
+    forest = replace(training.FOREST, build=lambda *a: Watched(training.FOREST.build(*a)))
+    params = {"numTrees": 3, "maxDepth": 2, "subsamplingRate": 0.8}
+    folds = training.prepare_folds(loans, "SK_ID_CURR", "TARGET", 3)
+    scores = []
+    # a third of the rows and half a kilobyte a row: room for less than one fit, or for all
+    for memory in (100_000, 1 << 40):
+        monkeypatch.setattr(training, "storage_bytes", lambda spark, m=memory: m, raising=False)
+        (trial,) = training.staged_search(folds, forest, [params], "TARGET", rungs=(3,))
+        training.fit_model(loans, forest, "TARGET", params, ["SK_ID_CURR"])
+        scores.append(trial.folds)
+    assert scores[0] == pytest.approx(scores[1])
+    assert most[:4] == [1, 1, 1, 1] and max(most[4:]) > 1
+    assert levels == [(False, True)] * 4 + [(True, True)] * 4
+
+
+def test_memory_for_kept_rows_is_known(spark):
+    assert 0 < training.storage_bytes(spark) <= spark._jvm.Runtime.getRuntime().maxMemory()
+
+
 def test_search_goes_on_with_the_better_trials(loans, monkeypatch):
     """Scores by rule, so that the course of the search is known."""
     asked = []

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -123,3 +125,45 @@ def test_a_feature_that_is_no_number_is_an_error(spark):
     bad = raw(spark).withColumn("AMT_CREDIT", F.lit(float("nan")))
     with pytest.raises(Exception, match="NaN"):
         model.transform(bad).collect()
+
+
+def test_values_of_overlapping_groups_are_read_once(spark, monkeypatch):
+    """Training sets of folds share most rows: a value is counted once for all of them,
+    and they find what a fit of each alone finds."""
+    rng = random.Random(8)
+    nan = float("nan")
+    rows = [
+        (
+            i % 4 if i < 3000 else 3,
+            rng.choice([None, nan, rng.gauss(5.0, 2.0), rng.gauss(0.0, 1e6)]),
+            float(i) if i % 4 == 2 and i < 3000 else None,
+            rng.randrange(3),
+            7.5 if i % 2 else None,
+            None,
+        )
+        for i in range(9000)
+    ]
+    names = ["a", "one_part", "few", "constant", "empty"]
+    df = spark.createDataFrame(
+        rows, "part int, a double, one_part double, few int, constant double, empty double"
+    )
+    members = [[1, 2], [0, 2], [0, 1], [0, 1, 2]]  # groups of each part; part 3 is in all
+    seen = []
+
+    def watched(values, *rest):
+        seen.append(values.count())
+        return long_quantiles(values, *rest)
+
+    long_quantiles = prepare.long_quantiles
+    monkeypatch.setattr(prepare, "long_quantiles", watched)
+    together = prepare.fit_numbers(df, names, "part", members)
+    present = sum(v is not None and v == v for row in rows for v in row[1:])
+    assert seen == [present]
+    for g, fit in enumerate(together):
+        parts = [p for p, groups in enumerate(members) if g in groups]
+        (alone,) = prepare.fit_numbers(df.where(F.col("part").isin(parts)), names)
+        assert fit.medians == alone.medians
+        assert set(fit.scaling) == set(alone.scaling)
+        for c in fit.scaling:
+            assert fit.scaling[c] == pytest.approx(alone.scaling[c], rel=1e-9)
+    assert "empty" not in together[0].medians and "one_part" not in together[2].medians
